@@ -47,9 +47,11 @@ def _cores(master: str) -> int:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch folder only
-    when the session has none (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir``; a scratch folder only for a local session
+    that has none (tests)."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
@@ -57,6 +59,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="meteora-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d

@@ -15,13 +15,14 @@ from meteora.config import PipelineConfig
 from meteora.functions.numerics import stamp
 from meteora.sources.tables import bounded_broadcast, load_table
 
-_NULL_D = F.lit(None).cast("double")
+
 
 
 def _bronze(city, country, time, temp, hum, wind, precip, code, seq, now) -> list:
     return [
         city.alias("city"), country.alias("country"),
-        _NULL_D.alias("latitude"), _NULL_D.alias("longitude"), F.lit("UTC").alias("timezone"),
+        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
+        F.lit("UTC").alias("timezone"),
         time.alias("time"),
         temp.cast("double").alias("temperature_c"),
         hum.cast("bigint").alias("humidity_pct"),
