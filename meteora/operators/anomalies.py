@@ -4,14 +4,14 @@ baseline (per city, country)  ─┐
                                ├─ inner join on city ─> z-scores ─> flags ─> anomalies
 snapshot (latest day per city) ┘
 
-Both inputs are aggregations of the daily table (one row per station), so
-the join is between two station-sized frames; AQE broadcasts one side when
-its measured size allows and shuffles otherwise.
+``baseline`` and ``today_snapshot`` are the two inputs as published;
+``zscores`` computes their join in one aggregation plus a station-sized
+window (see its docstring), so the daily table is read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
@@ -53,9 +53,38 @@ def today_snapshot(daily: DataFrame) -> DataFrame:
 
 
 def zscores(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Snapshot ⨝ baseline USING (city); country comes from the baseline.
-    σ = 0 or NULL gives a NULL z (ANSI-safe)."""
-    j = today_snapshot(daily).join(baseline(daily, cfg), on="city", how="inner")
+    """Snapshot ⨝ baseline USING (city) — country from the baseline, σ = 0
+    or NULL gives a NULL z (ANSI-safe) — computed without a join.
+
+    One hash aggregation per (city, country) yields the baseline statistics
+    and that pair's latest day (``max_by`` over the date, fixed-width
+    buffers: partial aggregation before the shuffle). A window over the
+    station-sized result then gives every (city, country) row its city's
+    snapshot, i.e. the latest day across the city's countries, which is
+    exactly what the join of a per-city snapshot with per-(city, country)
+    baselines produces. The daily table is read once.
+    """
+    per = daily.groupBy("city", "country").agg(
+        F.avg("avg_temp_c").alias("hist_mean_temp"),
+        F.stddev_samp("avg_temp_c").alias("hist_std_temp"),
+        F.avg("avg_wind_speed_kmh").alias("hist_mean_wind"),
+        F.stddev_samp("avg_wind_speed_kmh").alias("hist_std_wind"),
+        F.avg("total_precipitation_mm").alias("hist_mean_precip"),
+        F.stddev_samp("total_precipitation_mm").alias("hist_std_precip"),
+        F.count(F.lit(1)).alias("history_days"),
+        F.max("date").alias("_d"),
+        F.max_by("avg_temp_c", "date").alias("_t"),
+        F.max_by("avg_wind_speed_kmh", "date").alias("_w"),
+        F.max_by("total_precipitation_mm", "date").alias("_p"),
+    )
+    latest_first = Window.partitionBy("city").orderBy(
+        *[F.col(c).desc_nulls_last() for c in ("_d", "country", "_t", "_w", "_p")]
+    ).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    j = (per.withColumn("date", F.first("_d").over(latest_first))
+         .withColumn("today_temp", F.first("_t").over(latest_first))
+         .withColumn("today_wind", F.first("_w").over(latest_first))
+         .withColumn("today_precip", F.first("_p").over(latest_first))
+         .filter(F.col("history_days") >= cfg.min_history_days))
     return j.select(
         "city", "country", "date", "today_temp", "today_wind", "today_precip",
         "hist_mean_temp", "hist_std_temp", "hist_mean_wind", "hist_std_wind",

@@ -173,7 +173,7 @@ def ml_scaled(features: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return scaler.fit(assembled).transform(assembled)
 
 
-def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int = 3) -> SweepResult:
+def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | None = None) -> SweepResult:
     """Fit K-Means for k in [k_min, k_max] on the cached scaled features,
     score each with the silhouette evaluator, keep the best rounded score
     (lowest k on ties). Fits run from a small thread pool; each fit is itself
@@ -190,7 +190,7 @@ def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int = 3)
         return k, round(score, cfg.silhouette_digits), model
 
     ks = list(range(cfg.k_min, cfg.k_max + 1))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(ks))) as ex:
         fitted = list(ex.map(fit, ks))
     best_k, best_score, model = max(fitted, key=lambda t: (t[1], -t[0]))
     clustered = model.transform(scaled)

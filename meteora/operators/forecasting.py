@@ -165,22 +165,23 @@ YEARLY_ORDER = 10
 YEAR_DAYS = 365.25
 
 
-def _design(t, cps, day):
-    import numpy as np
-
-    cols = [np.ones_like(t), t]
-    cols += [np.maximum(t - c, 0.0) for c in cps]
-    for k in range(1, YEARLY_ORDER + 1):
-        ang = 2.0 * np.pi * k * day / YEAR_DAYS
-        cols += [np.sin(ang), np.cos(ang)]
-    return np.column_stack(cols)
-
-
 def make_additive_fn(cfg: PipelineConfig):
-    """Build the per-station function for ``applyInPandas``."""
+    """Build the per-station function for ``applyInPandas``. Everything it
+    needs is captured in the closure, so executors need no package install."""
     z = interval_z(cfg.interval_width)
     horizon, min_rows = cfg.forecast_days, cfg.min_training_rows
     prior = cfg.changepoint_prior_scale
+    n_cp, cp_range, order, year = N_CHANGEPOINTS, CHANGEPOINT_RANGE, YEARLY_ORDER, YEAR_DAYS
+
+    def design(t, cps, day):
+        import numpy as np
+
+        cols = [np.ones_like(t), t]
+        cols += [np.maximum(t - c, 0.0) for c in cps]
+        for k in range(1, order + 1):
+            ang = 2.0 * np.pi * k * day / year
+            cols += [np.sin(ang), np.cos(ang)]
+        return np.column_stack(cols)
 
     def fit_predict(pdf):
         import numpy as np
@@ -203,9 +204,9 @@ def make_additive_fn(cfg: PipelineConfig):
             scale = max(np.nanmax(np.abs(y)), 1e-9)
             ys = y / scale
             ok = ~np.isnan(ys)
-            cps = np.quantile(t[: max(int(np.ceil(n * CHANGEPOINT_RANGE)), 2)],
-                              np.linspace(0, 1, N_CHANGEPOINTS + 2)[1:-1])
-            X = _design(t, cps, day)
+            cps = np.quantile(t[: max(int(np.ceil(n * cp_range)), 2)],
+                              np.linspace(0, 1, n_cp + 2)[1:-1])
+            X = design(t, cps, day)
             # Ridge on changepoint deltas: Laplace(prior) → Gaussian with
             # variance 2·prior²; seasonality and the base line: weak prior.
             lam = np.full(X.shape[1], 1.0 / 100.0)
@@ -218,7 +219,7 @@ def make_additive_fn(cfg: PipelineConfig):
             s2 = float(resid @ resid) / dof
             fday = day[-1] + np.arange(1, horizon + 1, dtype=float)
             ft = (fday - t0) / span
-            Xf = _design(ft, cps, fday)
+            Xf = design(ft, cps, fday)
             yhat = Xf @ beta
             # Future trend uncertainty: changepoints keep arriving at the
             # historical rate with Laplace-scale mean |delta|.
@@ -245,9 +246,21 @@ def make_additive_fn(cfg: PipelineConfig):
 
 def additive_model_runs(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """All per-station outcomes: 7 forecast rows for ``ok`` stations, one
-    status row for ``skipped`` / ``failed`` ones."""
-    s = series(daily)
-    return s.groupBy("city").applyInPandas(make_additive_fn(cfg), ADDITIVE_SCHEMA)
+    status row for ``skipped`` / ``failed`` ones.
+
+    Stations below the row floor are filtered out before the Python step
+    (their ``skipped`` rows come from the eligibility aggregate), so only
+    stations that will be fitted are shipped to pandas."""
+    e = eligibility(daily, cfg)
+    fit_keys = e.filter("eligible").select("city")
+    s = series(daily).join(fit_keys, "city", "left_semi")
+    fitted = s.groupBy("city").applyInPandas(make_additive_fn(cfg), ADDITIVE_SCHEMA)
+    skipped = e.filter(~F.col("eligible")).select(
+        "city", "country", F.lit(None).cast("timestamp_ntz").alias("forecast_date"),
+        F.lit(None).cast("double").alias("yhat"), F.lit(None).cast("double").alias("yhat_lower"),
+        F.lit(None).cast("double").alias("yhat_upper"), F.lit("skipped").alias("status"),
+        F.col("training_rows").cast("bigint").alias("training_rows"))
+    return fitted.unionByName(skipped)
 
 
 def additive_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:

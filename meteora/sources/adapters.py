@@ -67,7 +67,8 @@ def lineitem_observations(lineitem: DataFrame, orders: DataFrame, customer: Data
     Join order is chosen for scale: orders ⨝ customer first (orders-sized
     shuffle on custkey, carrying only two keys), then lineitem ⨝ that on
     orderkey, so the lineitem-sized side is shuffled once. The station
-    dimension is broadcast only after its row bound is checked.
+    dimension is broadcast only after its row bound is checked; the
+    lineitem-to-orders join is pinned to sort-merge.
     """
     cfg = cfg or PipelineConfig()
     oc = (
@@ -79,7 +80,10 @@ def lineitem_observations(lineitem: DataFrame, orders: DataFrame, customer: Data
     dim = bounded_broadcast(station_dim(nation, region), cfg.broadcast_max_rows)
     li = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                          "l_discount", "l_tax", "l_shipdate")
-    j = (li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Fact-to-orders is a big-big join: sort-merge (spills, never through the
+    # driver), even where a small test file would pass the broadcast size
+    # estimate. Smaller joins keep Spark's size-checked strategy choice.
+    j = (li.join(oc.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
          .join(dim, F.col("c_nationkey") == F.col("nationkey")))
     return j.select(*_bronze(
         F.col("city"), F.col("country"), F.col("l_shipdate"),
