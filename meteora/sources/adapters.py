@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
 from meteora.functions.numerics import stamp
-from meteora.sources.tables import bounded_broadcast, load_table
+from meteora.sources.tables import load_table
 
 
 
@@ -77,7 +77,10 @@ def lineitem_observations(lineitem: DataFrame, orders: DataFrame, customer: Data
               F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "c_nationkey")
     )
-    dim = bounded_broadcast(station_dim(nation, region), cfg.broadcast_max_rows)
+    # The station dimension is left to Spark's size-checked join selection
+    # (statistics, then AQE on measured shuffle sizes): it is broadcast while
+    # small and shuffled if it ever grows, with no extra counting job.
+    dim = station_dim(nation, region)
     li = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                          "l_discount", "l_tax", "l_shipdate")
     # Fact-to-orders is a big-big join: sort-merge (spills, never through the
