@@ -36,14 +36,22 @@ def serve_clusters(spark: SparkSession, clusters: DataFrame) -> DataFrame:
            FROM {clusters} ORDER BY climate_cluster, mean_temp_c DESC""", clusters=clusters)
 
 
+def _rh_sql(expr: str, d: int) -> str:
+    """SQL text of ``round_half_up`` (fixed-scale half-up rounding)."""
+    return (f"coalesce(CAST(round(try_cast(({expr}) AS DECIMAL(38,12)), {d}) AS DOUBLE), "
+            f"round(({expr}), {d}))")
+
+
 def cluster_summary(spark: SparkSession, clusters: DataFrame) -> DataFrame:
-    from meteora.functions.numerics import round_half_up as rh
-    return (clusters.groupBy("climate_cluster")
-            .agg(F.count(F.lit(1)).alias("city_count"),
-                 rh(F.avg("mean_temp_c"), 1).alias("avg_temp"),
-                 rh(F.avg("mean_humidity"), 1).alias("avg_humidity"),
-                 rh(F.avg("mean_precip_mm"), 1).alias("avg_precip"))
-            .orderBy(F.col("avg_temp").desc()))
+    """Per-label size and rounded averages, as SQL text over the table."""
+    return spark.sql(
+        f"""SELECT climate_cluster, count(*) AS city_count,
+                   {_rh_sql('avg(mean_temp_c)', 1)} AS avg_temp,
+                   {_rh_sql('avg(mean_humidity)', 1)} AS avg_humidity,
+                   {_rh_sql('avg(mean_precip_mm)', 1)} AS avg_precip
+            FROM {{clusters}}
+            GROUP BY climate_cluster
+            ORDER BY avg_temp DESC""", clusters=clusters)
 
 
 def city_list(ranking: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from meteora.operators import clustering as C
 from meteora.operators import forecasting as FC
 from meteora.operators import quality as QY
 from meteora.operators.gold import city_ranking, gold_daily
-from meteora.operators.runlog import cluster_size_metrics, metrics_long
+from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, metrics_long
 from meteora.operators.silver import to_silver
 from meteora.sinks import export_csv, write_table
 from meteora.sources.payload import landing_to_bronze, parse_landing, quarantine
@@ -88,7 +88,14 @@ def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_d
     sizes = cluster_size_metrics(clusters).select(F.lit(run_id).alias("run_id"), F.lit(None).cast("string").alias("parent_run"),
                                                   F.lit("metric").alias("kind"), F.col("metric").alias("name"),
                                                   F.col("value").cast("string").alias("value"))
-    log = metrics_long(params, "run", None, "metric").unionByName(sizes)
+    # Centre coordinates in scaled units (k ≤ 8 rows from the fitted model):
+    # temperature, humidity and precipitation, rounded to 3 dp.
+    center_rows = spark.createDataFrame(
+        [(run_id, None, "metric", f"center_{i}_{n}", str(round(float(c[j]), 3)))
+         for i, c in enumerate(res.model.clusterCenters())
+         for n, j in (("temp", 0), ("humidity", 2), ("precip", 4))],
+        RUNLOG_SCHEMA)
+    log = metrics_long(params, "run", None, "metric").unionByName(sizes).unionByName(center_rows)
     write_table(log.withColumn("logged_at", stamp(cfg.now)), _t(db, RUNLOG), mode="append")
     if csv_dir:
         export_csv(clusters, csv_dir)
