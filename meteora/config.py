@@ -34,9 +34,11 @@ class PipelineConfig:
     # Wall-clock stamp for ingested_at / detected_at / generated_at. None
     # means current_timestamp(); tests pass a constant.
     now: _dt.datetime | None = None
-    # Partitions of the one-row-per-station frames (features, snapshots).
-    # Hash layout on the key keeps K-Means input identical across runs.
-    station_partitions: int = 8
+    # Upper bound on partitions of one-row-per-station frames (features);
+    # the actual count follows the station count. Hash layout on the key
+    # keeps K-Means input identical across runs.
+    station_partitions: int = 64
+    stations_per_partition: int = 200_000
     # Reporting precision of unrounded statistics (means, sigmas, z).
     stat_digits: int = 6
     # Row bound below which a dimension may be broadcast.

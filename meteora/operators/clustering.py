@@ -41,11 +41,18 @@ def city_features(daily: DataFrame) -> DataFrame:
     )
 
 
-def stable_layout(df: DataFrame, cfg: PipelineConfig, keys=("city", "country")) -> DataFrame:
+def stable_layout(df: DataFrame, partitions: int, keys=("city", "country")) -> DataFrame:
     """Hash layout on the key, sorted inside each partition: the same rows
     in the same partitions whatever the upstream plan, so K-Means init and
     scaler sums repeat exactly between runs."""
-    return df.repartition(cfg.station_partitions, *keys).sortWithinPartitions(*keys)
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def station_partitions(n_rows: int, cfg: PipelineConfig) -> int:
+    """Partitions for a one-row-per-station frame: proportional to the
+    station count, capped by the config (a data property, so the layout
+    stays deterministic)."""
+    return max(1, min(cfg.station_partitions, -(-n_rows // cfg.stations_per_partition)))
 
 
 def scaled_name(c: str) -> str:
@@ -167,7 +174,12 @@ class SweepResult:
 def ml_scaled(features: DataFrame, cfg: PipelineConfig) -> DataFrame:
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    laid = stable_layout(features, cfg)
+    from meteora.operators.materialize import materialize
+
+    # Station-sized frame read by the scaler fit and every K-Means fit:
+    # checkpoint it once (lineage cut on shared storage), then lay it out.
+    feats = materialize(features)
+    laid = stable_layout(feats, station_partitions(feats.count(), cfg))
     assembled = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features_raw").transform(laid)
     scaler = StandardScaler(inputCol="features_raw", outputCol="features", withStd=True, withMean=True)
     return scaler.fit(assembled).transform(assembled)
@@ -182,6 +194,7 @@ def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | No
     from pyspark.ml.evaluation import ClusteringEvaluator
 
     scaled = ml_scaled(features, cfg).cache()
+    scaled.count()  # materialise before the fits run concurrently
     evaluator = ClusteringEvaluator(featuresCol="features")
 
     def fit(k):

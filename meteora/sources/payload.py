@@ -153,10 +153,11 @@ def events_landing(events: DataFrame, cfg: PipelineConfig | None = None) -> Data
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("city"),
         F.concat(F.lit("g"), (F.col("user_id") % 5).cast("string")).alias("country"),
         "doc_id", fail1.alias("f1"), fail2.alias("f2"), good.alias("good"), bad.alias("bad"))
-    now = stamp(cfg.now)
-    a1 = base.select("city", "country", "doc_id", F.lit(1).alias("attempt"), now.alias("ingested_at"),
-                     F.when(F.col("f1"), F.col("bad")).otherwise(F.col("good")).alias("body"))
-    a2 = base.filter("f1").select("city", "country", "doc_id", F.lit(2).alias("attempt"),
-                                  (now + F.expr("INTERVAL 1 MINUTE")).alias("ingested_at"),
-                                  F.when(F.col("f2"), F.col("bad")).otherwise(F.col("good")).alias("body"))
-    return a1.unionByName(a2)
+    # One pass: attempt 1 for every document, attempt 2 only after a failure.
+    tries = F.when(F.col("f1"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    x = base.select("*", F.explode(tries).alias("attempt"))
+    failed = F.when(F.col("attempt") == 1, F.col("f1")).otherwise(F.col("f2"))
+    return x.select(
+        "city", "country", "doc_id", F.col("attempt").cast("int").alias("attempt"),
+        (stamp(cfg.now) + F.make_dt_interval(mins=F.col("attempt") - 1)).alias("ingested_at"),
+        F.when(failed, F.col("bad")).otherwise(F.col("good")).alias("body"))
