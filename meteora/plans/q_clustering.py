@@ -39,8 +39,15 @@ def _features(spark, root):
     return C.city_features(I.daily_a(spark, root))
 
 
+def _features_m(spark, root):
+    """Features checkpointed once: the relational steps below read them
+    from the main plan and from scalar subqueries."""
+    from meteora.operators.materialize import materialize
+    return materialize(_features(spark, root))
+
+
 def _scaled(spark, root):
-    return C.standardize(_features(spark, root))
+    return C.standardize(_features_m(spark, root))
 
 
 # ---- SQL -------------------------------------------------------------------
@@ -157,7 +164,7 @@ _LABELLED_SQL = [*_A_DAILY, _FEATS, _STATS, _SCALED, _sql_assign("asg4", "scaled
 
 
 def _labelled(spark, root):
-    feats = _features(spark, root)
+    feats = _features_m(spark, root)
     a = C.assign_nearest(C.standardize(feats), LABEL_CENTERS).select("city", "country", "prediction")
     return (feats.join(a, ["city", "country"])
             .withColumn("climate_cluster", lookup_label(F.col("prediction"), I.QCFG.cluster_labels))
@@ -215,7 +222,7 @@ def argmax_tiebreak_q(spark, root):
     """Sweep k = 3..8 over literal-centre assignments; best rounded
     silhouette, lowest k on ties."""
     from meteora.operators.materialize import materialize
-    scaled = materialize(_scaled(spark, root))
+    scaled = materialize(_scaled(spark, root))  # read by 2 plans per k
     scores = None
     for k in range(I.QCFG.k_min, I.QCFG.k_max + 1):
         s = C.silhouette(C.assign_nearest(scaled, CENTERS[:k]), k).select(F.lit(k).alias("k"), "silhouette")
