@@ -101,3 +101,57 @@ def start_silver_and_daily(spark: SparkSession, bronze_path: str, silver_path: s
           .option("checkpointLocation", os.path.join(ck, f"{name}_daily"))
           .outputMode("append").trigger(**trig).start())
     return q1, q2
+
+
+# ---- latest-wins upsert (foreachBatch) --------------------------------------
+
+SILVER_MERGE_ORDER = ["ingested_at", "country", "temperature_c", "feels_like_c", "humidity_pct",
+                      "wind_speed_kmh", "precipitation_mm", "weather_description"]
+
+
+def upsert_silver_batch(spark: SparkSession, batch: DataFrame, table: str,
+                        cfg: PipelineConfig | None = None) -> None:
+    """Merge one Bronze micro-batch into a Silver table partitioned by day,
+    latest ingest winning (the batch rebuild's rule).
+
+    Only the day partitions the batch touches are read, merged with
+    ``latest_by`` and rewritten (dynamic partition overwrite). The merged
+    rows are checkpointed first, so the overwrite never reads the files it
+    replaces."""
+    from meteora.operators.dedup import latest_by
+    from meteora.operators.materialize import materialize
+    from meteora.operators.silver import to_silver
+
+    cfg = cfg or PipelineConfig()
+    new = to_silver(batch, cfg).filter(F.col("time").isNotNull()) \
+        .withColumn("day", F.col("time").cast("date"))
+    if not spark.catalog.tableExists(table):
+        new.write.format("parquet").partitionBy("day").saveAsTable(table)
+        return
+    days = [r["day"] for r in new.select("day").distinct().collect()]  # days in one micro-batch
+    if not days:
+        return
+    existing = spark.table(table).filter(F.col("day").isin(days))
+    merged = latest_by(existing.unionByName(new), ["city", "time"], SILVER_MERGE_ORDER)
+    merged = materialize(merged.select(*spark.table(table).columns))
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        merged.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, prev)
+
+
+def start_silver_upsert(spark: SparkSession, bronze_path: str, table: str,
+                        cfg: PipelineConfig | None = None, available_now: bool = True,
+                        name: str = "meteora_upsert"):
+    """D1 with latest-wins semantics: file stream of Bronze → foreachBatch
+    upsert into a day-partitioned Silver table."""
+    cfg = cfg or PipelineConfig()
+    ck = checkpoint_dir(spark)
+    trig = {"availableNow": True} if available_now else {"processingTime": "1 hour"}
+    return (bronze_file_stream(spark, bronze_path).writeStream
+            .foreachBatch(lambda df, _epoch: upsert_silver_batch(spark, df, table, cfg))
+            .option("checkpointLocation", os.path.join(ck, f"{name}_silver"))
+            .trigger(**trig).start())

@@ -56,3 +56,30 @@ def test_jobs_round_trip(spark, tmpdir_path):
     fc = jobs.run_forecasting(spark, cfg.with_(min_training_rows=20), db)
     assert fc.count() > 0
     assert spark.table(f"{db}.{jobs.RUNLOG}").count() > 0
+
+
+def test_upsert_latest_wins(spark, tmpdir_path):
+    import datetime as dt
+    from meteora.streaming.incremental import start_silver_upsert, upsert_silver_batch
+    from tests.helpers import bronze_rows, obs
+
+    db = "meteora_u"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmpdir_path}/udb'")
+    table = f"{db}.silver_upsert"
+    b1 = [obs("A", "2025-03-01T00:00", 1.0), obs("A", "2025-03-02T00:00", 2.0), obs("B", "2025-03-01T05:00", 3.0)]
+    b2 = [obs("A", "2025-03-01T00:00", 9.0, ingested=NOW + dt.timedelta(hours=1)),
+          obs("C", "2025-03-03T00:00", 4.0)]
+    b3 = [obs("A", "2025-03-01T00:00", 5.0, ingested=NOW - dt.timedelta(hours=1))]  # late, older ingest
+    for b in (b1, b2, b3):
+        upsert_silver_batch(spark, bronze_rows(spark, b), table, CFG)
+    got = {(r.city, str(r.time)): r.temperature_c for r in spark.table(table).collect()}
+    assert got == {("A", "2025-03-01 00:00:00"): 9.0, ("A", "2025-03-02 00:00:00"): 2.0,
+                   ("B", "2025-03-01 05:00:00"): 3.0, ("C", "2025-03-03 00:00:00"): 4.0}
+    # the same through a file stream
+    src = os.path.join(tmpdir_path, "ub")
+    bronze_rows(spark, b1).write.parquet(os.path.join(src, "p1"))
+    bronze_rows(spark, b2).write.parquet(os.path.join(src, "p2"))
+    q = start_silver_upsert(spark, src + "/*", f"{db}.silver_upsert_s", CFG, name="u1")
+    q.awaitTermination(180)
+    got2 = {(r.city, str(r.time)): r.temperature_c for r in spark.table(f"{db}.silver_upsert_s").collect()}
+    assert got2[("A", "2025-03-01 00:00:00")] == 9.0 and len(got2) == 4
