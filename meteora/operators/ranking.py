@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 
 
 def global_rank(df: DataFrame, order_col: str, out: str = "rank",
-                descending: bool = True, num_partitions: int | None = None) -> DataFrame:
+                descending: bool = True, num_partitions: int | None = None,
+                checkpoint_input: bool = True) -> DataFrame:
+    """Rank by ``order_col`` (gaps on ties, NULLs last when descending).
+
+    The input is read three times (range-bound sampling, the ranked rows,
+    the partition sizes); ``checkpoint_input`` cuts it to files first so the
+    upstream plan runs once."""
     spark = df.sparkSession
+    if checkpoint_input:
+        from meteora.operators.materialize import materialize
+        df = materialize(df)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
     ranged = df.repartitionByRange(n, o).withColumn("_pid", F.spark_partition_id())

@@ -58,7 +58,8 @@ def dim_lookup_q(spark, root):
     before it meets the dimension."""
     t = lambda n: I.table(spark, root, n)
     per_nation = (t("lineitem").select("l_orderkey")
-                  .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+                  .join(t("orders").select("o_orderkey", "o_custkey").hint("merge"),
+                        F.col("l_orderkey") == F.col("o_orderkey"))
                   .join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
                   .groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count(F.lit(1)).alias("readings")))
     dim = station_dim(t("nation"), t("region"))
