@@ -109,9 +109,11 @@ _BACKFILL_START, _BACKFILL_END = "2024-01-05", "2024-01-20"
 def backfill_window(df, start: str, end: str):
     """Inclusive day range [start, end] on the observation time; written as
     a plain range predicate so it reaches the scan as pushed filters."""
-    lo = _dt.datetime.fromisoformat(start)
-    hi = _dt.datetime.fromisoformat(end) + _dt.timedelta(days=1)
-    return df.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+    lo = _dt.date.fromisoformat(start).isoformat()
+    hi = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
+    # string → TIMESTAMP_NTZ casts do not depend on the session time zone
+    return df.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+                     & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
 
 
 @register("backfill_range", Q.with_(Q.OBS_A.replace(

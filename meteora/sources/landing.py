@@ -27,9 +27,10 @@ from meteora.schemas import LANDING
 
 def _date_bounds(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
     if start:
-        df = df.filter(F.col(col) >= F.lit(_dt.datetime.fromisoformat(start)))
+        df = df.filter(F.col(col) >= F.lit(_dt.date.fromisoformat(start).isoformat()).cast("timestamp"))
     if end:
-        df = df.filter(F.col(col) < F.lit(_dt.datetime.fromisoformat(end) + _dt.timedelta(days=1)))
+        nxt = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
+        df = df.filter(F.col(col) < F.lit(nxt).cast("timestamp"))
     return df
 
 
