@@ -83,59 +83,107 @@ def _sqdist(xs: list[Column], center) -> Column:
     return acc
 
 
-def assign_nearest(scaled: DataFrame, centers: list[list[float]], cols=FEATURE_COLUMNS) -> DataFrame:
-    """Nearest centre by squared Euclidean distance; lowest index on ties."""
-    xs = [F.col(scaled_name(c)) for c in cols]
-    ds = [_sqdist(xs, ctr) for ctr in centers]
+def _nearest(scaled_cols: list[Column], centers: list[list[float]]):
+    """(prediction, squared distance) expressions: nearest centre by squared
+    Euclidean distance, lowest index on ties."""
+    ds = [_sqdist(scaled_cols, ctr) for ctr in centers]
     best = F.least(*ds) if len(ds) > 1 else ds[0]
     pred = None
     for i, d in enumerate(ds):
         pred = F.when(d == best, F.lit(i)) if pred is None else pred.when(d == best, F.lit(i))
-    return scaled.withColumn("prediction", pred.cast("int")).withColumn("sq_distance", best)
+    return pred.cast("int"), best
 
 
-def silhouette_points(assigned: DataFrame, k: int, cols=FEATURE_COLUMNS,
-                      pred: str = "prediction") -> DataFrame:
-    """Per-point silhouette with squared Euclidean distance, the formulation
-    of Spark's ClusteringEvaluator: a = mean distance to the own cluster
-    (others only), b = smallest mean distance to another cluster,
-    singletons score 0. Cluster ids are 0..k-1.
+def assign_nearest(scaled: DataFrame, centers: list[list[float]], cols=FEATURE_COLUMNS) -> DataFrame:
+    """Nearest centre by squared Euclidean distance; lowest index on ties."""
+    pred, best = _nearest([F.col(scaled_name(c)) for c in cols], centers)
+    return scaled.withColumn("prediction", pred).withColumn("sq_distance", best)
 
-    Per-cluster sums (count, feature sums, squared-norm sum) are one
-    aggregate row, attached once as a scalar-subquery column."""
-    names = [scaled_name(c) for c in cols]
+
+def _stat_aggs(k: int, pred: str, tag: str, names: list[str]) -> list[Column]:
     p = F.col(pred)
     xq = sum(F.col(c) * F.col(c) for c in names)
     aggs = []
     for j in range(k):
         inj = p == j
-        aggs.append(F.count_if(inj).cast("double").alias(f"n{j}"))
-        aggs += [F.sum(F.when(inj, F.col(c))).alias(f"t{j}_{i}") for i, c in enumerate(names)]
-        aggs.append(F.sum(F.when(inj, xq)).alias(f"q{j}"))
-    st = assigned.agg(F.struct(*aggs).alias("s")).select("s").scalar()
-    df = assigned.withColumn("_st", st).withColumn("_xq", xq)
+        aggs.append(F.count_if(inj).cast("double").alias(f"{tag}n{j}"))
+        aggs += [F.sum(F.when(inj, F.col(c))).alias(f"{tag}t{j}_{i}") for i, c in enumerate(names)]
+        aggs.append(F.sum(F.when(inj, xq)).alias(f"{tag}q{j}"))
+    return aggs
+
+
+def _silhouette_stages(k: int, pred: str, tag: str, names: list[str], out: str) -> list[dict]:
+    """Column stages (each a dict for one ``withColumns``) computing the
+    per-point silhouette ``out`` from the cluster sums in the struct column
+    ``_st`` (fields prefixed by ``tag``) and the squared norm ``_xq``.
+    Staging keeps each analysed plan small and lets later stages refer to
+    earlier columns instead of repeating their expressions."""
+    p = F.col(pred)
+    st = lambda f: F.col(f"_st.{tag}{f}")
+    d = {}
     for j in range(k):
-        n = F.col(f"_st.n{j}")
-        dot = sum(F.col(c) * F.col(f"_st.t{j}_{i}") for i, c in enumerate(names))
-        df = df.withColumn(f"_d{j}", F.when(n > 0, F.col("_xq") + F.col(f"_st.q{j}") / n
-                                            - F.lit(2.0) * dot / n))
+        n = st(f"n{j}")
+        dot = sum(F.col(c) * st(f"t{j}_{i}") for i, c in enumerate(names))
+        d[f"_{tag}d{j}"] = F.when(n > 0, F.col("_xq") + st(f"q{j}") / n - F.lit(2.0) * dot / n)
     own_n, own_d = None, None
     for j in range(k):
-        own_n = F.when(p == j, F.col(f"_st.n{j}")) if own_n is None else own_n.when(p == j, F.col(f"_st.n{j}"))
-        own_d = F.when(p == j, F.col(f"_d{j}")) if own_d is None else own_d.when(p == j, F.col(f"_d{j}"))
-    others = [F.when(p != j, F.col(f"_d{j}")) for j in range(k)]
-    df = df.withColumn("_own_n", own_n).withColumn("_own_d", own_d).withColumn(
-        "_b", F.least(*others) if len(others) > 1 else others[0])
-    a = F.try_divide(F.col("_own_d") * F.col("_own_n"), F.col("_own_n") - F.lit(1.0))
-    b, on = F.col("_b"), F.col("_own_n")
-    df = df.withColumn("_a", a)
-    a = F.col("_a")
+        own_n = F.when(p == j, st(f"n{j}")) if own_n is None else own_n.when(p == j, st(f"n{j}"))
+        own_d = F.when(p == j, F.col(f"_{tag}d{j}")) if own_d is None else own_d.when(p == j, F.col(f"_{tag}d{j}"))
+    others = [F.when(p != j, F.col(f"_{tag}d{j}")) for j in range(k)]
+    own = {f"_{tag}on": own_n, f"_{tag}od": own_d,
+           f"_{tag}b": F.least(*others) if len(others) > 1 else others[0]}
+    a_stage = {f"_{tag}a": F.try_divide(F.col(f"_{tag}od") * F.col(f"_{tag}on"),
+                                        F.col(f"_{tag}on") - F.lit(1.0))}
+    a, b, on = F.col(f"_{tag}a"), F.col(f"_{tag}b"), F.col(f"_{tag}on")
     sil = (F.when(on == 1, F.lit(0.0))
            .when(a < b, F.lit(1.0) - F.try_divide(a, b))
            .when(a > b, F.try_divide(b, a) - F.lit(1.0))
            .otherwise(F.lit(0.0)))
-    return df.withColumn("silhouette", sil).drop(
-        "_st", "_xq", "_own_n", "_own_d", "_b", "_a", *[f"_d{j}" for j in range(k)])
+    return [d, own, a_stage, {out: sil}]
+
+
+def _apply_stages(df: DataFrame, stage_lists: list[list[dict]]) -> DataFrame:
+    temps = []
+    for i in range(max(len(s) for s in stage_lists)):
+        merged = {}
+        for stages in stage_lists:
+            if i < len(stages):
+                merged.update(stages[i])
+        df = df.withColumns(merged)
+        if i < max(len(s) for s in stage_lists) - 1:
+            temps += list(merged)
+    return df.drop(*temps)
+
+
+def silhouette_points(assigned: DataFrame, k: int, cols=FEATURE_COLUMNS,
+                      pred: str = "prediction") -> DataFrame:
+    """Per-point silhouette with squared Euclidean distance, the formulation
+    of Spark's ClusteringEvaluator: a = mean distance to the own cluster
+    (others only), b = smallest mean distance to another cluster,
+    singletons score 0. Cluster ids are 0..k-1.
+
+    Per-cluster sums (count, feature sums, squared-norm sum) are one
+    aggregate row, attached once as a scalar-subquery column."""
+    names = [scaled_name(c) for c in cols]
+    st = assigned.agg(F.struct(*_stat_aggs(k, pred, "", names)).alias("s")).select("s").scalar()
+    df = assigned.withColumns({"_st": st, "_xq": sum(F.col(c) * F.col(c) for c in names)})
+    return _apply_stages(df, [_silhouette_stages(k, pred, "", names, "silhouette")]).drop("_st", "_xq")
+
+
+def silhouette_sweep(scaled: DataFrame, centers_by_k: dict, cols=FEATURE_COLUMNS) -> DataFrame:
+    """(k, silhouette) for several literal-centre assignments in one pass:
+    every k's assignment is a column, all cluster sums are one aggregate row
+    (one scalar subquery), and one final aggregation averages every k."""
+    names = [scaled_name(c) for c in cols]
+    xs = [F.col(c) for c in names]
+    df = scaled.withColumns({f"p{k}": _nearest(xs, ctrs)[0] for k, ctrs in centers_by_k.items()})
+    aggs = [a for k in centers_by_k for a in _stat_aggs(k, f"p{k}", f"k{k}_", names)]
+    st = df.agg(F.struct(*aggs).alias("s")).select("s").scalar()
+    df = df.withColumns({"_st": st, "_xq": sum(F.col(c) * F.col(c) for c in names)})
+    df = _apply_stages(df, [_silhouette_stages(k, f"p{k}", f"k{k}_", names, f"sil{k}") for k in centers_by_k])
+    wide = df.agg(*[F.avg(f"sil{k}").alias(str(k)) for k in centers_by_k])
+    return wide.unpivot([], [str(k) for k in centers_by_k], "k", "silhouette") \
+        .select(F.col("k").cast("int").alias("k"), "silhouette")
 
 
 def silhouette(assigned: DataFrame, k: int, cols=FEATURE_COLUMNS, pred: str = "prediction") -> DataFrame:

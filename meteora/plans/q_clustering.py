@@ -221,12 +221,9 @@ _SW_PARTS, _SW_UNION = _sweep_sql()
 def argmax_tiebreak_q(spark, root):
     """Sweep k = 3..8 over literal-centre assignments; best rounded
     silhouette, lowest k on ties."""
-    from meteora.operators.materialize import materialize
-    scaled = materialize(_scaled(spark, root))  # read by 2 plans per k
-    scores = None
-    for k in range(I.QCFG.k_min, I.QCFG.k_max + 1):
-        s = C.silhouette(C.assign_nearest(scaled, CENTERS[:k]), k).select(F.lit(k).alias("k"), "silhouette")
-        scores = s if scores is None else scores.unionByName(s)
+    scaled = _scaled(spark, root)
+    ks = range(I.QCFG.k_min, I.QCFG.k_max + 1)
+    scores = C.silhouette_sweep(scaled, {k: CENTERS[:k] for k in ks})
     return C.argmax_k(scores, I.QCFG.silhouette_digits)
 
 
