@@ -41,8 +41,6 @@ class PipelineConfig:
     stations_per_partition: int = 200_000
     # Reporting precision of unrounded statistics (means, sigmas, z).
     stat_digits: int = 6
-    # Row bound below which a dimension may be broadcast.
-    broadcast_max_rows: int = 1_000_000
     cluster_labels: dict = field(
         default_factory=lambda: {0: "Humid & Mild", 1: "Dry", 2: "Warm & Humid"}
     )

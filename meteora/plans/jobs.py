@@ -19,7 +19,7 @@ from meteora.operators.gold import city_ranking, gold_daily
 from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, metrics_long
 from meteora.operators.silver import to_silver
 from meteora.sinks import export_csv, write_table
-from meteora.sources.payload import landing_to_bronze, parse_landing, quarantine
+from meteora.sources.payload import first_valid, flatten, parse_landing, quarantine
 
 BRONZE = "weather_bronze"
 SILVER = "weather_silver"
@@ -47,7 +47,6 @@ def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig,
     parsed = parse_landing(landing).cache()
     try:
         write_table(quarantine(parsed), _t(db, QUARANTINE), mode="append")
-        from meteora.sources.payload import first_valid, flatten
         bronze = flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt")
         append_bronze(spark, bronze, db)
     finally:

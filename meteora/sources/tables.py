@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 _READS: dict = {}
@@ -33,12 +32,3 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
         df = spark.read.parquet(path)
         _READS[key] = df
     return df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned as is and Spark/AQE choose a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
