@@ -247,13 +247,18 @@ def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | No
 
     def fit(k):
         model = KMeans(featuresCol="features", k=k, seed=cfg.kmeans_seed).fit(scaled)
-        score = evaluator.evaluate(model.transform(scaled))
+        try:
+            score = evaluator.evaluate(model.transform(scaled))
+        except Exception:  # noqa: BLE001 — e.g. fewer distinct stations than k: one cluster
+            return k, float("-inf"), model
         return k, round(score, cfg.silhouette_digits), model
 
     ks = list(range(cfg.k_min, cfg.k_max + 1))
     with ThreadPoolExecutor(max_workers=max(1, parallelism or len(ks))) as ex:
         fitted = list(ex.map(fit, ks))
     best_k, best_score, model = max(fitted, key=lambda t: (t[1], -t[0]))
+    if best_score == float("-inf"):
+        raise ValueError("no k in the sweep could be scored (too few stations)")
     clustered = model.transform(scaled)
     return SweepResult([(k, s) for k, s, _ in fitted], best_k, best_score, model, scaled, clustered)
 

@@ -74,6 +74,15 @@ def run_hourly(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db:
     return rebuild_silver_gold(spark, cfg, db)
 
 
+def run_backfill(spark: SparkSession, landing_path: str, start: str, end: str,
+                 cfg: PipelineConfig, db: str = "") -> dict:
+    """Historical load: landing envelopes whose ingest day lies in the
+    inclusive [start, end] range → quarantine + Bronze append → rebuild."""
+    from meteora.sources.landing import read_envelopes
+    ingest_landing(spark, read_envelopes(spark, landing_path, start, end), cfg, db)
+    return rebuild_silver_gold(spark, cfg, db)
+
+
 def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_dir: str | None = None) -> C.SweepResult:
     daily = spark.table(_t(db, DAILY))
     res = C.kmeans_sweep(C.city_features(daily), cfg)

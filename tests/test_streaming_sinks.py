@@ -83,3 +83,22 @@ def test_upsert_latest_wins(spark, tmpdir_path):
     q.awaitTermination(180)
     got2 = {(r.city, str(r.time)): r.temperature_c for r in spark.table(f"{db}.silver_upsert_s").collect()}
     assert got2[("A", "2025-03-01 00:00:00")] == 9.0 and len(got2) == 4
+
+
+def test_backfill_job(spark, tmpdir_path):
+    import json
+    from meteora.plans.jobs import run_backfill
+    p = os.path.join(tmpdir_path, "land.jsonl")
+    doc = {"hourly": {"time": [f"2025-03-01T{h:02d}:00" for h in range(24)],
+                      "temperature_2m": [float(h) for h in range(24)], "relative_humidity_2m": [50] * 24,
+                      "wind_speed_10m": [5.0] * 24, "precipitation": [0.0] * 24, "weather_code": [3] * 24}}
+    with open(p, "w") as fh:
+        for day, city in [("2025-03-01", "X"), ("2025-03-05", "Y"), ("2025-04-01", "Z")]:
+            fh.write(json.dumps({"city": city, "country": "C", "doc_id": 1, "attempt": 1,
+                                 "ingested_at": f"{day}T12:00:00", "body": json.dumps(doc)}) + "\n")
+    db = "meteora_b"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmpdir_path}/bdb'")
+    cfg = CFG.with_(quality_min_rows=10)
+    gate = run_backfill(spark, p, "2025-03-01", "2025-03-05", cfg, db)
+    assert gate["row_count"]["observed"] == "48"
+    assert {r.city for r in spark.table(f"{db}.weather_silver").collect()} == {"X", "Y"}
