@@ -51,6 +51,31 @@ def quality_report(silver: DataFrame) -> DataFrame:
     )))
 
 
+def gate_metrics():
+    """Aggregates of the gate, for ``DataFrame.observe`` on the Silver write
+    (computed while the table is written: no extra scan)."""
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(F.col("temperature_c").isNull()).alias("nulls"),
+            F.max("time").alias("latest")]
+
+
+def checks_from_metrics(metrics: dict, min_rows: int) -> list[dict]:
+    total, nulls, latest = metrics.get("total", 0), metrics.get("nulls", 0), metrics.get("latest")
+    return [
+        {"check": "row_count", "observed": str(total), "expected": f"> {min_rows}", "passed": total > min_rows},
+        {"check": "null_temperatures", "observed": str(nulls), "expected": "= 0", "passed": nulls == 0},
+        {"check": "latest_time", "observed": None if latest is None else str(latest),
+         "expected": "not null", "passed": latest is not None},
+    ]
+
+
+def enforce_rows(rows: list[dict]) -> None:
+    failed = [r for r in rows if not r["passed"]]
+    if failed:
+        raise QualityGateError("; ".join(f"{r['check']}: observed {r['observed']}, expected {r['expected']}"
+                                         for r in failed))
+
+
 def enforce(checks: DataFrame) -> None:
     """Raise when any gate check failed (reads the three-row table)."""
     failed = [r for r in checks.collect() if not r["passed"]]

@@ -28,3 +28,13 @@ def test_gate_fails_on_empty_and_null(spark):
     assert rows == {"row_count": True, "null_temperatures": False, "latest_time": True}
     ok = to_silver(bronze_rows(spark, [obs("A", "2025-03-01T00:00", 1.0)]), CFG)
     QY.enforce(QY.quality_checks(ok, 0))
+
+
+def test_gate_from_observed_metrics():
+    rows = QY.checks_from_metrics({"total": 5, "nulls": 1, "latest": dt.datetime(2025, 1, 1)}, 3)
+    assert [r["passed"] for r in rows] == [True, False, True]
+    with pytest.raises(QY.QualityGateError):
+        QY.enforce_rows(rows)
+    with pytest.raises(QY.QualityGateError):
+        QY.enforce_rows(QY.checks_from_metrics({"total": 0, "nulls": 0, "latest": None}, 0))
+    QY.enforce_rows(QY.checks_from_metrics({"total": 2, "nulls": 0, "latest": dt.datetime(2025, 1, 1)}, 1))
