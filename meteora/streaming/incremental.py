@@ -92,10 +92,12 @@ def start_silver_and_daily(spark: SparkSession, bronze_path: str, silver_path: s
     q1 = (silver.writeStream.format("parquet").option("path", silver_path)
           .option("checkpointLocation", os.path.join(ck, f"{name}_silver"))
           .outputMode("append").trigger(**trig).start())
+    # The daily stream reads the Silver sink: it may start only once the
+    # Silver query has committed what is available (its sink log exists).
     if available_now:
-        # Catch-up run: the daily stream reads the Silver sink, so let the
-        # Silver query commit its batches first.
         q1.awaitTermination()
+    else:
+        q1.processAllAvailable()
     silver_in = spark.readStream.format("parquet").schema(silver.schema).load(silver_path)
     q2 = (daily_stream(silver_in, watermark).writeStream.format("parquet").option("path", daily_path)
           .option("checkpointLocation", os.path.join(ck, f"{name}_daily"))
