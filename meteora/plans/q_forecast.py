@@ -139,8 +139,9 @@ def forecast_metrics_q(spark, root):
   FROM (SELECT city, count(*) AS training_rows FROM gab GROUP BY city) e
   LEFT JOIN coef c ON e.city = c.city
 )""")
-          + "SELECT count_if(status = 'ok') AS cities_succeeded, count_if(status = 'failed') AS cities_failed, "
-            "count_if(status = 'skipped') AS cities_skipped FROM st")
+          + "SELECT CAST(count_if(status = 'ok') AS BIGINT) AS cities_succeeded, "
+            "CAST(count_if(status = 'failed') AS BIGINT) AS cities_failed, "
+            "CAST(count_if(status = 'skipped') AS BIGINT) AS cities_skipped FROM st")
 def forecast_status_q(spark, root):
     d = I.daily_a(spark, root).unionByName(I.daily_b(spark, root))
     return FC.status_counts(FC.trend_status(d, _CFG))
