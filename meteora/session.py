@@ -62,3 +62,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.3,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Session settings sized for a run over ``input_bytes`` of parquet on
+    ``total_cores`` executor cores.
+
+    * scan splits of 256 MB (compressed) keep a task's decoded batch well
+      inside executor memory;
+    * the initial shuffle partition count covers the expected shuffle volume
+      (``shuffle_ratio`` of the input after pruning and partial aggregation)
+      at ~256 MB per partition, never fewer than 3 waves of cores; AQE then
+      coalesces small partitions and splits skewed ones.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    """Set runtime SQL settings (static ones belong in spark-submit)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

@@ -30,3 +30,11 @@ def test_round_half_up(spark):
         F.when(F.col("d") == 2, round_half_up("x", 2)).otherwise(round_half_up("x", 1))).collect()]
     assert got[0] == 1.01 and got[1] == -2.3 and got[2] == 2.3
     assert math.isnan(got[3]) and got[4] is None
+
+
+def test_scale_conf_sizes_partitions():
+    from meteora.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 122880  # 30 TB / 256 MB
+    assert int(scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 24
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
