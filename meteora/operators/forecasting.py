@@ -165,9 +165,16 @@ YEARLY_ORDER = 10
 YEAR_DAYS = 365.25
 
 
-def make_additive_fn(cfg: PipelineConfig):
-    """Build the per-station function for ``applyInPandas``. Everything it
-    needs is captured in the closure, so executors need no package install."""
+MODEL_SCHEMA = ("city string, country string, training_rows bigint, status string, first_day date, "
+                "span_days double, y_scale double, changepoints array<double>, "
+                "coefficients array<double>, residual_var double")
+
+
+def make_additive_fn(cfg: PipelineConfig, emit: str = "forecast"):
+    """Build the per-station function for ``applyInPandas``: ``emit`` is
+    "forecast" (horizon rows) or "model" (one coefficient row per station,
+    the model artefact). Everything it needs is captured in the closure, so
+    executors need no package install."""
     z = interval_z(cfg.interval_width)
     horizon, min_rows = cfg.forecast_days, cfg.min_training_rows
     prior = cfg.changepoint_prior_scale
@@ -183,65 +190,101 @@ def make_additive_fn(cfg: PipelineConfig):
             cols += [np.sin(ang), np.cos(ang)]
         return np.column_stack(cols)
 
-    def fit_predict(pdf):
+    def fit(pdf):
+        """Ridge-penalised least squares on the scaled series."""
+        import numpy as np
+        import pandas as pd
+
+        ds = pd.to_datetime(pdf["date"]).to_numpy(dtype="datetime64[D]")
+        day = ds.astype("int64").astype(float)
+        y = pdf["y"].to_numpy(dtype=float)
+        n = len(y)
+        t0, span = day[0], max(day[-1] - day[0], 1.0)
+        t = (day - t0) / span
+        scale = max(np.nanmax(np.abs(y)), 1e-9)
+        ys = y / scale
+        ok = ~np.isnan(ys)
+        cps = np.quantile(t[: max(int(np.ceil(n * cp_range)), 2)],
+                          np.linspace(0, 1, n_cp + 2)[1:-1])
+        X = design(t, cps, day)
+        # Ridge on changepoint deltas: Laplace(prior) → Gaussian with
+        # variance 2·prior²; seasonality and the base line: weak prior.
+        lam = np.full(X.shape[1], 1.0 / 100.0)
+        lam[0:2] = 0.0
+        lam[2:2 + len(cps)] = 1.0 / (2.0 * prior * prior)
+        A = X[ok].T @ X[ok] + np.diag(lam)
+        beta = np.linalg.solve(A, X[ok].T @ ys[ok])
+        resid = ys[ok] - X[ok] @ beta
+        dof = max(int(ok.sum()) - X.shape[1], 1)
+        s2 = float(resid @ resid) / dof
+        if not (np.all(np.isfinite(beta)) and np.isfinite(s2)):
+            raise FloatingPointError("non-finite fit")
+        return dict(day=day, t=t, t0=t0, span=span, scale=scale, cps=cps, beta=beta, s2=s2)
+
+    def forecast_rows(pdf, city, country, n, m):
+        import numpy as np
+        import pandas as pd
+
+        day, t, t0, span, cps, beta = m["day"], m["t"], m["t0"], m["span"], m["cps"], m["beta"]
+        fday = day[-1] + np.arange(1, horizon + 1, dtype=float)
+        ft = (fday - t0) / span
+        yhat = design(ft, cps, fday) @ beta
+        # Future trend uncertainty: changepoints keep arriving at the
+        # historical rate with Laplace-scale mean |delta|.
+        rate = len(cps) / max(t[-1] - t[0], 1e-9)
+        mean_abs = float(np.mean(np.abs(beta[2:2 + len(cps)]))) if len(cps) else 0.0
+        h = ft - t[-1]
+        half = z * np.sqrt(m["s2"] + rate * 2.0 * mean_abs ** 2 * h ** 3 / 3.0)
+        scale = m["scale"]
+        return pd.DataFrame({
+            "city": city, "country": country,
+            "forecast_date": pd.to_datetime(fday.astype("int64").astype("datetime64[D]")),
+            "yhat": yhat * scale, "yhat_lower": (yhat - half) * scale,
+            "yhat_upper": (yhat + half) * scale, "status": "ok", "training_rows": n,
+        })
+
+    def run(pdf):
         import numpy as np
         import pandas as pd
 
         pdf = pdf.sort_values("date")
-        city = pdf["city"].iloc[0]
-        country = pdf["country"].iloc[0]
-        n = len(pdf)
-        empty = dict(forecast_date=pd.NaT, yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan)
+        city, country, n = pdf["city"].iloc[0], pdf["country"].iloc[0], len(pdf)
+
+        def status_row(status):
+            if emit == "model":
+                return pd.DataFrame([dict(city=city, country=country, training_rows=n, status=status,
+                                          first_day=None, span_days=np.nan, y_scale=np.nan,
+                                          changepoints=None, coefficients=None, residual_var=np.nan)])
+            return pd.DataFrame([dict(city=city, country=country, status=status, training_rows=n,
+                                      forecast_date=pd.NaT, yhat=np.nan, yhat_lower=np.nan,
+                                      yhat_upper=np.nan)])
+
         if n < min_rows:
-            return pd.DataFrame([dict(city=city, country=country, status="skipped",
-                                      training_rows=n, **empty)])
+            return status_row("skipped")
         try:
-            ds = pd.to_datetime(pdf["date"]).to_numpy(dtype="datetime64[D]")
-            day = ds.astype("int64").astype(float)
-            y = pdf["y"].to_numpy(dtype=float)
-            t0, span = day[0], max(day[-1] - day[0], 1.0)
-            t = (day - t0) / span
-            scale = max(np.nanmax(np.abs(y)), 1e-9)
-            ys = y / scale
-            ok = ~np.isnan(ys)
-            cps = np.quantile(t[: max(int(np.ceil(n * cp_range)), 2)],
-                              np.linspace(0, 1, n_cp + 2)[1:-1])
-            X = design(t, cps, day)
-            # Ridge on changepoint deltas: Laplace(prior) → Gaussian with
-            # variance 2·prior²; seasonality and the base line: weak prior.
-            lam = np.full(X.shape[1], 1.0 / 100.0)
-            lam[0:2] = 0.0
-            lam[2:2 + len(cps)] = 1.0 / (2.0 * prior * prior)
-            A = X[ok].T @ X[ok] + np.diag(lam)
-            beta = np.linalg.solve(A, X[ok].T @ ys[ok])
-            resid = ys[ok] - X[ok] @ beta
-            dof = max(int(ok.sum()) - X.shape[1], 1)
-            s2 = float(resid @ resid) / dof
-            fday = day[-1] + np.arange(1, horizon + 1, dtype=float)
-            ft = (fday - t0) / span
-            Xf = design(ft, cps, fday)
-            yhat = Xf @ beta
-            # Future trend uncertainty: changepoints keep arriving at the
-            # historical rate with Laplace-scale mean |delta|.
-            rate = len(cps) / max(t[-1] - t[0], 1e-9)
-            mean_abs = float(np.mean(np.abs(beta[2:2 + len(cps)]))) if len(cps) else 0.0
-            h = ft - t[-1]
-            trend_var = rate * 2.0 * mean_abs ** 2 * h ** 3 / 3.0
-            half = z * np.sqrt(s2 + trend_var)
-            out = pd.DataFrame({
-                "city": city, "country": country,
-                "forecast_date": pd.to_datetime(fday.astype("int64").astype("datetime64[D]")),
-                "yhat": yhat * scale, "yhat_lower": (yhat - half) * scale,
-                "yhat_upper": (yhat + half) * scale, "status": "ok", "training_rows": n,
-            })
+            m = fit(pdf)
+            if emit == "model":
+                return pd.DataFrame([dict(
+                    city=city, country=country, training_rows=n, status="ok",
+                    first_day=pd.Timestamp(int(m["t0"]), unit="D").date(), span_days=float(m["span"]),
+                    y_scale=float(m["scale"]), changepoints=[float(c) for c in m["cps"]],
+                    coefficients=[float(b) for b in m["beta"]], residual_var=float(m["s2"]))])
+            out = forecast_rows(pdf, city, country, n, m)
             if not np.all(np.isfinite(out[["yhat", "yhat_lower", "yhat_upper"]].to_numpy())):
                 raise FloatingPointError("non-finite forecast")
             return out
         except Exception:  # noqa: BLE001 — one station's failure must not stop the others
-            return pd.DataFrame([dict(city=city, country=country, status="failed",
-                                      training_rows=n, **empty)])
+            return status_row("failed")
 
-    return fit_predict
+    return run
+
+
+def additive_models(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Per-station model artefact: changepoints, coefficients (intercept,
+    slope, changepoint deltas, Fourier pairs), residual variance."""
+    e = eligibility(daily, cfg)
+    s = series(daily).join(e.filter("eligible").select("city"), "city", "left_semi")
+    return s.groupBy("city").applyInPandas(make_additive_fn(cfg, "model"), MODEL_SCHEMA)
 
 
 def additive_model_runs(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:

@@ -124,6 +124,7 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
     forecast = FC._finish(runs.filter(F.col("status") == "ok"), cfg, F.col("yhat"),
                           (F.col("yhat_upper") - F.col("yhat_lower")) / 2)
     write_table(forecast, _t(db, FORECAST))
+    write_table(FC.additive_models(daily, cfg), _t(db, FORECAST + "_models"))
     status = FC.status_counts(runs).withColumn("run", F.lit("forecast_all_cities"))
     log = metrics_long(status, "run", None, "metric")
     write_table(log.withColumn("logged_at", stamp(cfg.now)), _t(db, RUNLOG), mode="append")

@@ -50,3 +50,14 @@ def test_additive_failure_isolated(spark):
     rows = _series("ok", 90) + [("bad", "C", D0 + dt.timedelta(days=i), float("nan"), 5.0, 1.0) for i in range(90)]
     runs = {r.city: r.status for r in FC.additive_model_runs(daily_rows(spark, rows), CFG).collect()}
     assert runs["ok"] == "ok" and runs["bad"] == "failed"
+
+
+def test_additive_model_artefact(spark):
+    rows = _series("m", 120) + _series("short", 10)
+    models = FC.additive_models(daily_rows(spark, rows), CFG).collect()
+    assert [m.city for m in models] == ["m"]
+    m = models[0]
+    assert m.status == "ok" and m.training_rows == 120
+    assert len(m.changepoints) == FC.N_CHANGEPOINTS
+    assert len(m.coefficients) == 2 + FC.N_CHANGEPOINTS + 2 * FC.YEARLY_ORDER
+    assert m.residual_var >= 0
