@@ -268,3 +268,23 @@ def label_clusters(clustered: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return clustered.withColumn(
         "climate_cluster", lookup_label(F.col("prediction"), cfg.cluster_labels)
     ).select(*CLUSTER_COLUMNS)
+
+
+def centre_rule_labels(centers, temp_idx: int = 0, humidity_idx: int = 2) -> dict:
+    """Optional rule (ours) for any k: a centre's scaled temperature and
+    humidity against the overall mean (0 in scaled units) pick one of the
+    published label texts, so no cluster is left unlabelled when k exceeds
+    the hand-written map. Warm+humid → "Warm & Humid", cool+humid →
+    "Humid & Mild", dry otherwise."""
+    out = {}
+    for i, c in enumerate(centers):
+        t, h = float(c[temp_idx]), float(c[humidity_idx])
+        out[i] = "Warm & Humid" if (h >= 0 and t >= 0) else ("Humid & Mild" if h >= 0 else "Dry")
+    return out
+
+
+def label_clusters_by_centres(clustered: DataFrame, model) -> DataFrame:
+    """Labels from ``centre_rule_labels`` of the fitted model's centres."""
+    labels = centre_rule_labels(model.clusterCenters())
+    return clustered.withColumn("climate_cluster", lookup_label(F.col("prediction"), labels)) \
+        .select(*CLUSTER_COLUMNS)

@@ -58,3 +58,9 @@ def test_ml_sweep_is_reproducible(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert a.scores == b.scores and a.best_k == b.best_k
     assert CFG.k_min <= a.best_k <= CFG.k_max
+
+
+def test_centre_rule_labels_cover_every_cluster():
+    labels = C.centre_rule_labels([[1.0, 0, 1.0, 0, 0], [-1.0, 0, 1.0, 0, 0], [0.5, 0, -0.2, 0, 0],
+                                   [-2.0, 0, -1.0, 0, 0]])
+    assert labels == {0: "Warm & Humid", 1: "Humid & Mild", 2: "Dry", 3: "Dry"}
