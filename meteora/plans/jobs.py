@@ -86,10 +86,14 @@ def run_backfill(spark: SparkSession, landing_path: str, start: str, end: str,
     return rebuild_silver_gold(spark, cfg, db)
 
 
-def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_dir: str | None = None) -> C.SweepResult:
+def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_dir: str | None = None,
+                   rule_labels: bool = False) -> C.SweepResult:
+    """Sweep, label (hand map as published, or the centre rule for any k),
+    write, log. ``rule_labels`` is ours and off by default."""
     daily = spark.table(_t(db, DAILY))
     res = C.kmeans_sweep(C.city_features(daily), cfg)
-    final = C.label_clusters(res.clustered, cfg)
+    final = (C.label_clusters_by_centres(res.clustered, res.model) if rule_labels
+             else C.label_clusters(res.clustered, cfg))
     write_table(final, _t(db, CLUSTERS))
     clusters = spark.table(_t(db, CLUSTERS))
     run_id = f"kmeans_k{res.best_k}"
