@@ -43,3 +43,37 @@ def test_global_rank_matches_brute_force(spark, vals, parts):
         else:
             exp = 1 + sum(1 for w in nonnull if w > v)
         assert got[i] == exp
+
+
+daily_rows_st = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["X", "Y"]), st.integers(0, 6),
+              st.integers(-5, 5), st.integers(0, 3), st.integers(0, 2)),
+    min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(daily_rows_st)
+def test_fused_zscores_equal_join_form(spark, data):
+    """A city in two countries: the snapshot is the city's latest day across
+    countries, joined to every (city, country) baseline — as published."""
+    import datetime as dt
+    from meteora.config import PipelineConfig
+    from meteora.operators import anomalies as A
+
+    seen, rows = set(), []
+    for city, country, d, t, w, p in data:
+        if (city, country, d) in seen:  # daily key is unique
+            continue
+        seen.add((city, country, d))
+        rows.append((city, country, dt.datetime(2025, 1, 1) + dt.timedelta(days=d),
+                     float(t), float(t), float(t), float(t), 50.0, float(w), float(p)))
+    schema = ("city string, country string, date timestamp_ntz, avg_temp_c double, min_temp_c double, "
+              "max_temp_c double, avg_feels_like_c double, avg_humidity_pct double, "
+              "avg_wind_speed_kmh double, total_precipitation_mm double")
+    daily = spark.createDataFrame(rows, schema)
+    cfg = PipelineConfig(min_history_days=1)
+    fused = A.zscores(daily, cfg)
+    joined = A.today_snapshot(daily).join(A.baseline(daily, cfg), on="city", how="inner")
+    cols = ["city", "country", "date", "today_temp", "today_wind", "today_precip", "history_days"]
+    r = lambda df: sorted(tuple(x) for x in df.select(*cols).collect())
+    assert r(fused) == r(joined)
