@@ -64,6 +64,9 @@ def zscores(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
     exactly what the join of a per-city snapshot with per-(city, country)
     baselines produces. The daily table is read once.
     """
+    # A NULL day (unparsable times) loses to any real day but is still a
+    # snapshot when it is the only one, as in row_number ordering.
+    day = F.coalesce(F.col("date"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
     per = daily.groupBy("city", "country").agg(
         F.avg("avg_temp_c").alias("hist_mean_temp"),
         F.stddev_samp("avg_temp_c").alias("hist_std_temp"),
@@ -73,9 +76,9 @@ def zscores(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
         F.stddev_samp("total_precipitation_mm").alias("hist_std_precip"),
         F.count(F.lit(1)).alias("history_days"),
         F.max("date").alias("_d"),
-        F.max_by("avg_temp_c", "date").alias("_t"),
-        F.max_by("avg_wind_speed_kmh", "date").alias("_w"),
-        F.max_by("total_precipitation_mm", "date").alias("_p"),
+        F.max_by("avg_temp_c", day).alias("_t"),
+        F.max_by("avg_wind_speed_kmh", day).alias("_w"),
+        F.max_by("total_precipitation_mm", day).alias("_p"),
     )
     latest_first = Window.partitionBy("city").orderBy(
         *[F.col(c).desc_nulls_last() for c in ("_d", "country", "_t", "_w", "_p")]
