@@ -1,11 +1,14 @@
 """Global rank without funnelling all rows through one task.
 
 Spark's ``rank().over(Window.orderBy(...))`` moves every row into a single
-partition. ``global_rank`` instead range-partitions on the ordering value
-(equal values always land in the same partition), ranks inside each
-partition, and adds the row count of all earlier partitions. The offsets
-table has one row per partition, so broadcasting it is bounded by the
-partition count, not by the data.
+partition. ``global_rank`` instead splits the value range into buckets at
+approximate quantiles (n − 1 bounds, read once), so each row's bucket is a
+deterministic function of its value and equal values share a bucket. It
+ranks inside each bucket and adds the row count of all earlier buckets.
+The offsets table has one row per bucket, so broadcasting it is bounded by
+the bucket count, not by the data. Bucket sizes and local ranks are two
+reads of the input that agree by construction; a partition id from a
+sampled range partitioner would not guarantee that.
 """
 
 from __future__ import annotations
@@ -17,24 +20,41 @@ from pyspark.sql import functions as F
 def global_rank(df: DataFrame, order_col: str, out: str = "rank",
                 descending: bool = True, num_partitions: int | None = None,
                 checkpoint_input: bool = True) -> DataFrame:
-    """Rank by ``order_col`` (gaps on ties, NULLs last when descending).
+    """Rank by ``order_col`` (gaps on ties; NULLs last when descending,
+    first when ascending; NaN above every number, as Spark orders).
 
-    The input is read three times (range-bound sampling, the ranked rows,
-    the partition sizes); ``checkpoint_input`` cuts it to files first so the
-    upstream plan runs once."""
+    The input is read more than once (quantiles, local ranks, bucket
+    sizes); ``checkpoint_input`` cuts it to files first so the upstream plan
+    runs once."""
     spark = df.sparkSession
     if checkpoint_input:
         from meteora.operators.materialize import materialize
         df = materialize(df)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
-    ranged = df.repartitionByRange(n, o).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_lr", F.rank().over(Window.partitionBy("_pid").orderBy(o)))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    v = F.col(order_col)
+    bounds = []
+    if n > 1:
+        probs = [i / n for i in range(1, n)]
+        qs = df.select(v.cast("double").alias("_v")).approxQuantile("_v", probs, 0.001)
+        bounds = sorted({b for b in qs if b == b})  # drop NaN, dedupe
+    # a(v) = number of bounds strictly below v: monotone in v, equal values equal.
+    above = F.lit(0)
+    for b in bounds:
+        above = above + F.when(v > F.lit(b), 1).otherwise(0)
+    m = len(bounds)
+    if descending:
+        bucket = F.when(v.isNull(), F.lit(m + 1)).otherwise(F.lit(m) - above)
+        o = v.desc_nulls_last()
+    else:
+        bucket = F.when(v.isNull(), F.lit(-1)).otherwise(above)
+        o = v.asc_nulls_first()
+    b = df.withColumn("_bk", bucket)
+    local = b.withColumn("_lr", F.rank().over(Window.partitionBy("_bk").orderBy(o)))
+    sizes = b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (
-        local.join(F.broadcast(offsets), "_pid")
+        local.join(F.broadcast(offsets), "_bk")
         .withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
-        .drop("_pid", "_lr", "_off")
+        .drop("_bk", "_lr", "_off")
     )
