@@ -80,7 +80,6 @@ def components(edges: DataFrame) -> DataFrame:
     aggregation, so a hub is pre-aggregated in the map tasks. Labels go to a
     scratch table each round. Nodes without an edge are not returned.
     """
-    spark = edges.sparkSession
     both = scratch(
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         .where("a <> b").distinct(), "edges")
@@ -101,4 +100,6 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after
         if not changed:
             drop(both)
-            return spark.read.schema("node long, label long").parquet(after._scratch_path)
+            out = after.select("node", "label")
+            out._scratch_path = after._scratch_path
+            return out

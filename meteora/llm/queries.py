@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from meteora.llm import chat, line_dedup, mixing, quality
+from meteora.llm import chat, line_dedup, mixing, ngram_join, packing, quality
 from meteora.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file that the contract names."""
+    import public_tokenizers
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op1_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_pareto_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -22,5 +36,5 @@ def op10_chat_format(spark, sf_dir):
     return chat.digest(chat.format_chat(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op6_pareto_mix, op8_quality_rules, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op10_chat_format)}
 ORACLES = {"op6_pareto_mix": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
