@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from meteora.llm import chat, line_dedup, mixing, ngram_join, packing, quality
+from pyspark.sql import functions as F
+
+from meteora.llm import ann, chat, line_dedup, mixing, ngram_join, packing, quality
 from meteora.llm.common import table
 
 
@@ -32,9 +34,14 @@ def op8_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_block_matrix_ann(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 def op10_chat_format(spark, sf_dir):
     return chat.digest(chat.format_chat(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op10_chat_format)}
-ORACLES = {"op6_pareto_mix": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op9_block_matrix_ann,
+                               op10_chat_format)}
+ORACLES = {"op9_block_matrix_ann": ann.ORACLE, "op6_pareto_mix": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
