@@ -68,7 +68,8 @@ def removals(docs: DataFrame, roll: int = ROLL, mean: int = MEAN) -> DataFrame:
             .select("doc_id", "text_hash", "c.k", "c.chunk", F.xxhash64("c.chunk").alias("h")))
     often = scratch(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     place = F.struct("doc_id", "text_hash", "k")
-    twice = scratch(each.join(often, "h"), "chunks")
+    # shuffled joins at every size: the plan must not change with the input
+    twice = scratch(each.join(often.hint("shuffle_hash"), "h"), "chunks")
     drop(often)
     first = (twice.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("h", "chunk", "first"))
@@ -86,7 +87,7 @@ def dedup(docs: DataFrame, roll: int = ROLL, mean: int = MEAN) -> DataFrame:
     gone = removals(docs, roll, mean).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("drop").alias("_drop"))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
-    d = rows.join(gone, rows["doc_id"].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_h"]), "left")
+    d = rows.join(gone.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_h"]), "left")
     d = d.withColumn("_all", F.split("text", "\n", -1))
     d = d.withColumn("_ranges", F.when(F.col("_drop").isNotNull(), chunk_ranges(F.col("_all"), roll, mean)))
     d = d.withColumn("_kept", F.filter("_ranges", lambda r, k: ~F.array_contains(F.col("_drop"), k)))
