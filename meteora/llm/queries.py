@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meteora.llm import ann, chat, line_dedup, mixing, ngram_join, packing, quality
+from meteora.llm import ann, chat, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup
 from meteora.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,6 +46,6 @@ def op10_chat_format(spark, sf_dir):
     return chat.digest(chat.format_chat(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op9_block_matrix_ann,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op9_block_matrix_ann,
                                op10_chat_format)}
 ORACLES = {"op9_block_matrix_ann": ann.ORACLE, "op6_pareto_mix": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
