@@ -3,8 +3,11 @@ removal, mixing to target weights, packing."""
 
 from __future__ import annotations
 
-from meteora.llm import line_dedup, mixing, quality
-from meteora.llm.common import SPACE_CLASS, scratch, table
+from pyspark.sql import functions as F
+
+from meteora.llm import line_dedup, mixing, ngram_join, packing, quality
+from meteora.llm.common import SPACE_CLASS, drop, scratch, table
+from meteora.llm.queries import tokenizer_path
 
 
 def rules(spark, docs, sf_dir):
@@ -19,22 +22,39 @@ def lines(spark, docs, sf_dir):
     return out.where(f"_gone = 0 OR text RLIKE '[^{SPACE_CLASS}]'").select(*docs.columns)
 
 
+def near_copies(spark, docs, sf_dir):
+    """One document of each group linked by five-word shingles at a
+    similarity of 0.8 stays: the one with the least id."""
+    return ngram_join.one_of_each(docs, k=5, num=80, den=100)
+
+
 def mixed(spark, docs, sf_dir):
     """Documents stand as often as the mix takes them."""
-    from pyspark.sql import functions as F
     out = mixing.mix(docs, carry=tuple(docs.columns))
     return out.where("copies > 0").select(
         *[F.col(f"in_{c}").alias(c) for c in docs.columns], F.expr("explode(sequence(1, copies))").alias("_copy")
     ).drop("_copy")
 
 
-STAGES = [("quality rules", rules), ("line dedup", lines), ("mixing to target weights", mixed)]
+def packed(spark, docs, sf_dir):
+    """Token pieces with their place in a sequence."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [("quality rules", rules), ("line dedup", lines), ("n-gram jaccard join", near_copies),
+          ("mixing to target weights", mixed), ("best-fit packing", packed)]
 
+#: Tokenization and the packing's search can't be put in SQL.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """Each stage's result is written as Parquet and read by the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    before = None
+    for _, stage in STAGES[:-1]:
         docs = scratch(stage(spark, docs, sf_dir), "stage")
+        if before is not None:
+            drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -350,5 +350,5 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     found = (ngram_join(docs, k, num, den).where("n_shingles = 0 OR doc_id <=> component_id")
              .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
     rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    return (rows.join(found, rows["doc_id"].eqNullSafe(found["_id"]) & (rows["_text_hash"] == found["_hash"]))
+    return (rows.join(found.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(found["_id"]) & (rows["_text_hash"] == found["_hash"]))
             .dropDuplicates(["_id", "_hash"]).select(*docs.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meteora.llm import ann, chat, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup
+from meteora.llm import ann, chat, language_id, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup, token_counts
 from meteora.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.count_edits(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,10 @@ def op6_pareto_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +54,7 @@ def op10_chat_format(spark, sf_dir):
     return chat.digest(chat.format_chat(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pareto_mix, op8_quality_rules, op9_block_matrix_ann,
-                               op10_chat_format)}
-ORACLES = {"op9_block_matrix_ann": ann.ORACLE, "op6_pareto_mix": mixing.ORACLE, "op10_chat_format": chat.ORACLE}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_token_counts, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pareto_mix,
+    op7_language_id, op8_quality_rules, op9_block_matrix_ann, op10_chat_format)}
+ORACLES = {"op6_pareto_mix": mixing.ORACLE, "op9_block_matrix_ann": ann.ORACLE, "op10_chat_format": chat.ORACLE}
