@@ -26,7 +26,9 @@ under those links.
    rare tokens, and after the links of that round only members of different
    components are paired, so a group of many near copies isn't expanded into
    all of its pairs.
-5. Candidates are verified on their whole sets.
+5. Candidates whose parity sketches (a bit for each token, about) differ in
+   more bits than a link allows are dropped; the others are verified on
+   their whole sets.
 
 Cases: null, empty and wordless texts have the empty set and link with
 nothing, not with each other either; fewer than k words make one shingle;
@@ -69,37 +71,60 @@ def prefix_pairs(n: int, r: int, num: int, den: int) -> int:
     return 0 if t == 0 and den * n // num == n else best + 2
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Parities of the counts of a set's tokens in buckets, one bit each, as
+    many as the next power of two from its size on. The bits in which two
+    such sketches differ are at most the tokens that only one set has."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
+    counts = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    while len(sketch) > size:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def _docs_pass(k: int):
+    def run(batches):
+        for batch in batches:
+            keys, ns, sketches = [], [], []
+            for s in shingle_sets(batch.column(1), k):
+                keys.append(set_key(s) if len(s) else None)
+                ns.append(len(s))
+                sketches.append(parity(s) if len(s) else None)
+            yield pa.record_batch({
+                "doc_id": batch.column(0), "text_hash": batch.column(2), "n": pa.array(ns, pa.int64()),
+                "key": pa.array(keys, pa.int64()), "sketch": pa.array(sketches, pa.binary())})
+
+    return run
+
+
 def _tokens_pass(k: int, bits: int):
+    """Tokens of a task by range of hashes: 24 bits behind the range's own,
+    as 256 counts and two bytes each, and how often each occurs."""
     def run(batches):
         held, size = [], 0
 
         def blobs():
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            ranges = (tokens >> np.uint64(64 - bits)).astype(np.int64)
-            low = ((tokens << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-            cuts = np.searchsorted(ranges, np.arange((1 << bits) + 1))
+            tokens, counts = np.unique(np.concatenate(held) >> np.uint64(40 - bits), return_counts=True)
+            cuts = np.searchsorted(tokens >> np.uint64(24), np.arange((1 << bits) + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cuts))
             counts = np.minimum(counts, 255).astype(np.uint8)
-            none = [None] * len(some)
+            high = ((tokens >> np.uint64(16)) & np.uint64(255)).astype(np.int64)
+            low = tokens.astype(np.uint16)
+            part = lambda x: pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())
             return pa.record_batch({
-                "doc_id": pa.array(none, pa.int64()), "text_hash": pa.array(none, pa.int64()),
-                "n": pa.array(none, pa.int64()), "key": pa.array(none, pa.int64()),
                 "r": pa.array(some, pa.int32()),
-                "low": pa.array([low[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()),
-                "counts": pa.array([counts[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())})
+                "high": pa.array([np.bincount(high[cuts[i]:cuts[i + 1]], minlength=256).astype(np.uint32).tobytes()
+                                  for i in some], pa.binary()),
+                "low": part(low), "counts": part(counts)})
 
         for batch in batches:
-            keys, ns = [], []
-            for s in shingle_sets(batch.column(1), k):
-                keys.append(set_key(s) if len(s) else None)
-                ns.append(len(s))
+            for s in shingle_sets(batch.column(0), k):
                 held.append(s)
                 size += len(s)
-            none = [None] * len(keys)
-            yield pa.record_batch({
-                "doc_id": batch.column(0), "text_hash": batch.column(2), "n": pa.array(ns, pa.int64()), "key": pa.array(keys, pa.int64()),
-                "r": pa.array(none, pa.int32()), "low": pa.array(none, pa.binary()),
-                "counts": pa.array(none, pa.binary())})
             if size > HELD:
                 yield blobs()
                 held, size = [], 0
@@ -112,14 +137,16 @@ def _tokens_pass(k: int, bits: int):
 def _count_range(least: int):
     def run(pdf):
         import pandas as pd
-        low = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["low"]])
+        tokens = np.concatenate([
+            (np.repeat(np.arange(256, dtype=np.uint32), np.frombuffer(h, np.uint32)) << np.uint32(16))
+            | np.frombuffer(x, np.uint16) for h, x in zip(pdf["high"], pdf["low"], strict=True)])
         counts = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["counts"]]).astype(np.int64)
-        order = np.argsort(low, kind="stable")
-        low, counts = low[order], counts[order]
-        first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        order = np.argsort(tokens, kind="stable")
+        tokens, counts = tokens[order], counts[order]
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         total = np.add.reduceat(counts, first)
         often = total > least
-        token = (np.int64(pdf["r"].iloc[0]) << 32) | low[first[often]].astype(np.int64)
+        token = (np.int64(pdf["r"].iloc[0]) << 24) | tokens[first[often]].astype(np.int64)
         return pd.DataFrame({"token": token, "df": total[often]})
 
     return run
@@ -128,8 +155,7 @@ def _count_range(least: int):
 def frequent_tokens(counted: DataFrame, least: int = RARE, most: int = FREQUENT) -> np.ndarray:
     """Sorted ids (leading bits of the hash) of the frequent tokens, at most
     ``most``; the driver gets these and a 64-row histogram."""
-    often = scratch(counted.where("r IS NOT NULL").select("r", "low", "counts").groupBy("r")
-                    .applyInPandas(_count_range(least), "token long, df long"), "often")
+    often = scratch(counted.groupBy("r").applyInPandas(_count_range(least), "token long, df long"), "often")
     power = F.floor(F.log2("df")).cast("int")
     sizes = {r["p"]: r["n"] for r in often.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     floor_power, total = 64, 0
@@ -142,11 +168,27 @@ def frequent_tokens(counted: DataFrame, least: int = RARE, most: int = FREQUENT)
     return np.sort(rows["token"].to_numpy(np.int64))
 
 
-def _signature_pass(k: int, bits: int, num: int, den: int, frequent):
+def _signed(batches, k, bits, num, den, often):
+    """(key, set, its rare tokens, frequent tokens of its prefix or None) of
+    each class of a task that can have another one as a partner."""
+    seen: set[int] = set()
+    for batch in batches:
+        for s in shingle_sets(batch.column(0), k):
+            if not len(s) or (key := set_key(s)) in seen:
+                continue
+            seen.add(key)
+            token = (s >> np.uint64(40 - bits)).view(np.int64)
+            at = np.searchsorted(often, token)
+            common = often[np.minimum(at, len(often) - 1)] == token if len(often) else np.zeros(len(s), bool)
+            rare, t = s[~common], misses(len(s), num, den)
+            need = prefix_pairs(len(s), min(len(rare), t), num, den)
+            if need:
+                yield key, len(s), rare, s[common][:need] if len(rare) <= t else None
+
+
+def _rare_pass(k: int, bits: int, num: int, den: int, frequent):
     def run(batches):
-        often = frequent.value
-        seen: set[int] = set()
-        sigs, keys, ns = [], [], []
+        sigs, keys, ns, size = [], [], [], 0
 
         def blobs():
             lens = [len(s) for s in sigs]
@@ -158,50 +200,47 @@ def _signature_pass(k: int, bits: int, num: int, den: int, frequent):
             cuts = np.searchsorted(sig >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cuts))
             part = lambda x: pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())
-            none = [None] * len(some)
-            return pa.record_batch({
-                "r": pa.array(some, pa.int32()), "sig": part(sig), "key": part(key), "n": part(n),
-                "doc": pa.array(none, pa.int64()), "size": pa.array(none, pa.int64()),
-                "rare": pa.array(none, pa.int64()), "pairs": pa.array(none, pa.list_(pa.int64()))})
-
-        for batch in batches:
-            heavy = []
-            for s in shingle_sets(batch.column(1), k):
-                if not len(s) or (key := set_key(s)) in seen:
-                    continue
-                seen.add(key)
-                token = (s >> np.uint64(32 - bits)).view(np.int64)
-                at = np.searchsorted(often, token)
-                common = often[np.minimum(at, len(often) - 1)] == token if len(often) else np.zeros(len(s), bool)
-                rare, t = s[~common], misses(len(s), num, den)
-                need = prefix_pairs(len(s), min(len(rare), t), num, den)
-                if not need:
-                    continue
-                if len(rare):
-                    sigs.append(rare[:t + 1])
-                    keys.append(key)
-                    ns.append(len(s))
-                if len(rare) <= t:
-                    f = s[common][:need]
-                    heavy.append((key, len(s), len(rare), pair_hash(f[:-1], f[1:]).view(np.int64)))
-            if heavy:
-                none = [None] * len(heavy)
-                yield pa.record_batch({
-                    "r": pa.array(none, pa.int32()), "sig": pa.array(none, pa.binary()),
-                    "key": pa.array(none, pa.binary()), "n": pa.array(none, pa.binary()),
-                    "doc": pa.array([h[0] for h in heavy], pa.int64()),
-                    "size": pa.array([h[1] for h in heavy], pa.int64()),
-                    "rare": pa.array([h[2] for h in heavy], pa.int64()),
-                    "pairs": pa.array([h[3] for h in heavy], pa.list_(pa.int64()))})
-            if sum(map(len, sigs)) > HELD:
+            return pa.record_batch({"r": pa.array(some, pa.int32()), "sig": part(sig), "key": part(key), "n": part(n)})
+
+        for key, n, rare, _ in _signed(batches, k, bits, num, den, frequent.value):
+            if len(rare):
+                sigs.append(rare[:misses(n, num, den) + 1])
+                keys.append(key)
+                ns.append(n)
+                size += len(sigs[-1])
+            if size > HELD:
                 yield blobs()
-                sigs, keys, ns = [], [], []
-        if sigs:
+                sigs, keys, ns, size = [], [], [], 0
+        if size:
             yield blobs()
 
     return run
 
 
+def _combination_pass(k: int, bits: int, num: int, den: int, frequent):
+    def run(batches):
+        rows = [], [], [], []
+
+        def out():
+            types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())
+            return pa.record_batch([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
+                                   ["key", "size", "rare", "pairs"])
+
+        for key, n, rare, f in _signed(batches, k, bits, num, den, frequent.value):
+            if f is None:
+                continue
+            pairs = pair_hash(f[:-1], f[1:]).view(np.int64)
+            for column, v in zip(rows, (key, n, len(rare), pairs), strict=True):
+                column.append(v)
+            if len(rows[0]) == 1000:
+                yield out()
+                rows = [], [], [], []
+        if rows[0]:
+            yield out()
+
+    return run
+
+
 def _rare_pairs(num: int, den: int):
     def run(pdf):
         import pandas as pd
@@ -238,18 +277,57 @@ def _may_link(x: str, y: str, num: int, den: int) -> str:
             f"{den} * {x}.size >= {num} * {y}.size AND {den} * {y}.size >= {num} * {x}.size")
 
 
+def _near_pass(num: int, den: int):
+    """Keeps pairs whose sketches differ in no more bits than a link allows."""
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(p), len(q))
+                apart = int(np.bitwise_count(_fold(p, size) ^ _fold(q, size)).sum())
+                both = -(-num * (n + m) // (num + den))
+                keep.append(apart <= n + m - 2 * both)
+            rows = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            if rows.num_rows:
+                yield rows
+
+    return run
+
+
+def near(classes: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows (a, b) of ``pairs`` that their sketches don't rule out."""
+    side = lambda name, n, sketch: classes.select(
+        F.col("key").alias(name), F.col("n").alias(n), F.col("sketch").alias(sketch))
+    both = pairs.join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b")
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(_near_pass(num, den), "a long, b long")
+
+
 def _sets_pass(k: int):
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             keys, sets = [], []
             for s in shingle_sets(batch.column(0), k):
-                keys.append(set_key(s))
-                sets.append(s.tobytes())
+                if (key := set_key(s)) not in seen:
+                    seen.add(key)
+                    keys.append(key)
+                    sets.append(s.tobytes())
             yield pa.record_batch({"key": pa.array(keys, pa.int64()), "tokens": pa.array(sets, pa.binary())})
 
     return run
 
 
+def token_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(key, tokens) of the classes ``wanted``, from one document of each.
+    Repeated rows of a document are in one partition and read once."""
+    ids = wanted.join(classes, "key").select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
+    rows = docs.withColumn("text_hash", F.xxhash64("text"))
+    texts = rows.join(ids.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(ids["_doc"])
+                      & (rows["text_hash"] == ids["_hash"])).select("text")
+    return scratch(texts.mapInArrow(_sets_pass(k), "key long, tokens binary"), "sets")
+
+
 def _verify_pass(num: int, den: int):
     def run(batches):
         for batch in batches:
@@ -266,17 +344,11 @@ def _verify_pass(num: int, den: int):
     return run
 
 
-def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def verify(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The rows (a, b) of ``pairs`` that link, checked on whole sets."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    ids = wanted.join(classes, "key").select(F.col("doc").alias("_doc"))
-    texts = docs.join(ids.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(ids["_doc"])).select("text")
-    sets = scratch(texts.mapInArrow(_sets_pass(k), "key long, tokens binary").dropDuplicates(["key"]), "sets")
     one = pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
     two = one.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
-    links = scratch(two.select("a", "b", "x", "y").mapInArrow(_verify_pass(num, den), "a long, b long"), "links")
-    drop(sets)
-    return links
+    return scratch(two.select("a", "b", "x", "y").mapInArrow(_verify_pass(num, den), "a long, b long"), "links")
 
 
 def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare: int = RARE,
@@ -287,19 +359,21 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     bits = max(6, int(np.ceil(np.log2(max(1, input_bytes(docs) / RANGE_BYTES)))))
-    counted = scratch(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _tokens_pass(k, bits), "doc_id long, text_hash long, n long, key long, r int, low binary, counts binary"), "tokens")
-    sets = counted.where("r IS NULL").select("doc_id", "text_hash", "n", "key")
-    classes = scratch(sets.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc")), "classes")
+    rows = scratch(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _docs_pass(k), "doc_id long, text_hash long, n long, key long, sketch binary"), "docs")
+    sets = rows.select("doc_id", "text_hash", "n", "key")
+    first = F.struct(F.col("doc_id").alias("doc"), "text_hash", "n")
+    classes = scratch(rows.where("key IS NOT NULL").groupBy("key").agg(
+        F.min(first).alias("first"), F.any_value("sketch").alias("sketch")).select("key", "first.*", "sketch"), "classes")
+    texts = docs.select("text")
+    counted = texts.mapInArrow(_tokens_pass(k, bits), "r int, high binary, low binary, counts binary")
     frequent = spark.sparkContext.broadcast(frequent_tokens(counted, rare, most))
+    how = k, bits, num, den, frequent
 
-    signed = scratch(docs.mapInArrow(
-        _signature_pass(k, bits, num, den, frequent),
-        "r int, sig binary, key binary, n binary, doc long, size long, rare long, pairs array<long>"), "signed")
-    by_rare = (signed.where("r IS NOT NULL").select("r", "sig", "key", "n").groupBy("r")
+    by_rare = (texts.mapInArrow(_rare_pass(*how), "r int, sig binary, key binary, n binary").groupBy("r")
                .applyInPandas(_rare_pairs(num, den), "a long, b long"))
-    heavy = (signed.where("doc IS NOT NULL")
-             .select(F.col("doc").alias("key"), "size", "rare", F.explode_outer("pairs").alias("sig"))
+    heavy = (texts.mapInArrow(_combination_pass(*how), "key long, size long, rare long, pairs array<long>")
+             .select("key", "size", "rare", F.explode_outer("pairs").alias("sig"))
              .where("sig IS NOT NULL").distinct())
     least = F.min(F.struct("rare", "key", "size"))
     leads = heavy.groupBy("sig").agg(least.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -307,9 +381,10 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     star = (heavy.select(F.struct("key", "size", "rare").alias("x"), F.col("lead").alias("y"))
             .where("x.key <> y.key AND " + _may_link("x", "y", num, den))
             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")))
-    pairs = scratch(by_rare.union(star).distinct(), "pairs")
-    links = verify(docs, classes, pairs, k, num, den)
-    drop(signed)
+    pairs = scratch(near(classes, by_rare.union(star).distinct(), num, den), "pairs")
+    wanted = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(heavy.select("key")).distinct())
+    tokens = token_sets(docs, classes, wanted, k)
+    links = verify(tokens, pairs, num, den)
 
     labels = components(links)
     placed = scratch(heavy.select("sig", "key", "size", "rare")
@@ -325,10 +400,10 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     cross = (few.join(all_, "sig")
              .where("x.label <> y.label AND (y.label = y.top OR x.key < y.key) AND " + _may_link("x", "y", num, den))
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
-    more = scratch(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
+    more = scratch(near(classes, cross.join(pairs, ["a", "b"], "left_anti"), num, den), "cross")
     drop(pairs, placed)
-    links2 = verify(docs, classes, more, k, num, den)
-    drop(more)
+    links2 = verify(tokens, more, num, den)
+    drop(more, tokens)
     linked = components(links.union(links2))
     drop(links, links2)
 
