@@ -20,7 +20,7 @@ import pyarrow as pa
 from meteora.llm.shingles import _BACK, _BASE, CHUNK, _powers, mix
 
 #: Pre-tokens remembered by a worker, and the longest that is remembered.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 #: The contractions of the pattern, its \s outside of ASCII.
 SHORT = "stmd"
 LONG = ("re", "ve", "ll")
@@ -29,22 +29,19 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 
 
 def _worker_state(path: str):
-    """Tokenizer, class table and memory of this process: functions are sent
+    """Encoder, class table and memory of this process: functions are sent
     by value, so they are kept in a module of their own."""
     holder = sys.modules.setdefault("_meteora_bpe", types.ModuleType("_meteora_bpe"))
     if path not in holder.__dict__:
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         if "classes" not in holder.__dict__:
             kinds = np.array([{"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], OTHER)
                               for i in range(sys.maxunicode + 1)], np.uint8)
             kinds[[*range(9, 14), 32, *SPACES]] = SPACE
             holder.classes = kinds
             holder.table = mix(np.arange(1, sys.maxunicode + 2, dtype=np.uint64)) | np.uint64(1)
-        holder.__dict__[path] = (tokenizer, Memory())
+        holder.__dict__[path] = (PieceEncoder(path), Memory())
     return holder.classes, holder.table, *holder.__dict__[path]
 
 
@@ -107,9 +104,64 @@ def pretoken_starts(points: np.ndarray, heads: np.ndarray, classes: np.ndarray)
     return np.flatnonzero(start)
 
 
+class PieceEncoder:
+    """Ids of single pre-tokens by the vocabulary file of ``tokenizers``.
+
+    In a byte-level BPE file whose merges stand in the order of the ids they
+    make, a merge's rank is its id, and ``tiktoken`` gives the same ids from
+    the same table several times faster; other files go through
+    ``tokenizers``. Joined by line ends, pre-tokens are cut as they stand, so
+    one call encodes all but white space."""
+
+    def __init__(self, path: str):
+        import json
+
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, merges = spec["model"]["vocab"], spec["model"].get("merges", [])
+        extra = {t["content"] for t in spec["added_tokens"]}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        ids = [vocab.get("".join(p), -1) for p in pairs]
+        plain = {t: i for t, i in vocab.items() if t not in extra}
+        self.ranks = None
+        if (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel" and ids == sorted(ids) \
+                and len(plain) == 256 + len(ids) and (not ids or ids[0] >= 256):
+            import tiktoken
+            letters = byte_letters()
+            self.ranks = tiktoken.Encoding("table", pat_str=r"\n|[^\n]+", special_tokens={}, mergeable_ranks={
+                bytes(letters[c] for c in t): i for t, i in plain.items()})
+
+    def __call__(self, pieces: list[str], classes: np.ndarray) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(pieces)
+        rest = range(len(pieces))
+        if self.ranks:
+            plain = [i for i in rest if classes[ord(pieces[i][-1])] != SPACE]
+            ids = np.array(self.ranks.encode_ordinary("\n".join([*(pieces[i] for i in plain), ""])), np.int64)
+            end = np.flatnonzero(ids == self.ranks.encode_single_token("\n"))
+            ids, start = ids.tolist(), np.r_[0, end + 1][:len(end)].tolist()
+            for i, a, b in zip(plain, start, end.tolist(), strict=True):
+                out[i] = ids[a:b]
+            rest = [i for i in rest if classes[ord(pieces[i][-1])] == SPACE]
+        found = self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            out[i] = e.ids
+        return out
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write bytes as: printable
+    ones as themselves, the others as the code points from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 def encode(texts: pa.Array, path: str):
     """The ids of every text, in order; null is empty."""
-    classes, table, tokenizer, memory = _worker_state(path)
+    classes, table, encoder, memory = _worker_state(path)
     texts = texts.to_pylist()
     at = 0
     while at < len(texts):
@@ -118,10 +170,10 @@ def encode(texts: pa.Array, path: str):
             parts.append(texts[at + len(parts)] or "")
             size += len(parts[-1])
         at += len(parts)
-        yield from _encode_chunk(parts, classes, table, tokenizer, memory)
+        yield from _encode_chunk(parts, classes, table, encoder, memory)
 
 
-def _encode_chunk(parts, classes, table, tokenizer, memory):
+def _encode_chunk(parts, classes, table, encoder, memory):
     text = "".join(parts)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(p) for p in parts])
@@ -144,8 +196,8 @@ def _encode_chunk(parts, classes, table, tokenizer, memory):
     missing = [i for i, k in enumerate(known) if get(k) is None]
     if missing:
         a, b = starts[example[missing]].tolist(), stops[example[missing]].tolist()
-        new = tokenizer.encode_batch_fast([text[x:y] for x, y in zip(a, b, strict=True)], add_special_tokens=False)
-        memory.add([known[i] for i in missing], [x.ids for x in new])
+        new = encoder([text[x:y] for x, y in zip(a, b, strict=True)], classes)
+        memory.add([known[i] for i in missing], new)
     slot = np.fromiter(map(get, known), np.int64, len(known))[back]
     lens, at = memory.count[slot], memory.start[slot]
     total = np.cumsum(lens)

@@ -36,7 +36,7 @@ class Encoder:
     """Cuts texts into pre-tokens and counts their tokens; remembers counts."""
 
     def __init__(self, path: str):
-        self.classes, _, self.tokenizer, _ = bpe._worker_state(path)
+        self.classes, _, self.encode, _ = bpe._worker_state(path)
         self.known: dict[str, int] = {}
         self.encoded = 0
 
@@ -54,8 +54,8 @@ class Encoder:
             self.known.clear()
             new = list(set(pieces))
         if new:
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[p] = len(e.ids)
+            for p, ids in zip(new, self.encode(new, self.classes), strict=True):
+                self.known[p] = len(ids)
         return [self.known[p] for p in pieces]
 
 
