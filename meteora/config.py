@@ -34,10 +34,8 @@ class PipelineConfig:
     # Wall-clock stamp for ingested_at / detected_at / generated_at. None
     # means current_timestamp(); tests pass a constant.
     now: _dt.datetime | None = None
-    # Upper bound on partitions of one-row-per-station frames (features);
-    # the actual count follows the station count. Hash layout on the key
-    # keeps K-Means input identical across runs.
-    station_partitions: int = 64
+    # Rows to a partition of one-row-per-station frames (features). Hash
+    # layout on the key keeps K-Means input identical across runs.
     stations_per_partition: int = 200_000
     # Reporting precision of unrounded statistics (means, sigmas, z).
     stat_digits: int = 6

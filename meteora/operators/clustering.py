@@ -50,9 +50,8 @@ def stable_layout(df: DataFrame, partitions: int, keys=("city", "country")) -> D
 
 def station_partitions(n_rows: int, cfg: PipelineConfig) -> int:
     """Partitions for a one-row-per-station frame: proportional to the
-    station count, capped by the config (a data property, so the layout
-    stays deterministic)."""
-    return max(1, min(cfg.station_partitions, -(-n_rows // cfg.stations_per_partition)))
+    station count (a data property, so the layout stays deterministic)."""
+    return max(1, -(-n_rows // cfg.stations_per_partition))
 
 
 def scaled_name(c: str) -> str:
@@ -247,11 +246,10 @@ def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | No
 
     def fit(k):
         model = KMeans(featuresCol="features", k=k, seed=cfg.kmeans_seed).fit(scaled)
-        try:
-            score = evaluator.evaluate(model.transform(scaled))
-        except Exception:  # noqa: BLE001 — e.g. fewer distinct stations than k: one cluster
-            return k, float("-inf"), model
-        return k, round(score, cfg.silhouette_digits), model
+        assigned = model.transform(scaled)
+        if assigned.select("prediction").distinct().count() < 2:
+            return k, float("-inf"), model  # the silhouette needs two clusters
+        return k, round(evaluator.evaluate(assigned), cfg.silhouette_digits), model
 
     ks = list(range(cfg.k_min, cfg.k_max + 1))
     with ThreadPoolExecutor(max_workers=max(1, parallelism or len(ks))) as ex:
@@ -259,6 +257,7 @@ def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | No
     best_k, best_score, model = max(fitted, key=lambda t: (t[1], -t[0]))
     if best_score == float("-inf"):
         raise ValueError("no k in the sweep could be scored (too few stations)")
+    scaled.unpersist()
     clustered = model.transform(scaled)
     return SweepResult([(k, s) for k, s, _ in fitted], best_k, best_score, model, scaled, clustered)
 

@@ -41,11 +41,11 @@ def latest_per_city(silver: DataFrame) -> DataFrame:
     return latest_by(silver, ["city"], order)
 
 
-def city_ranking(silver: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def city_ranking(silver: DataFrame) -> DataFrame:
     """Latest reading per city, ranked by temperature (desc, gaps on ties).
     No sort before the write: readers order by temp_rank."""
     from meteora.operators.ranking import global_rank
     from meteora.schemas import RANKING_COLUMNS
 
     latest = latest_per_city(silver)
-    return global_rank(latest, "temperature_c", "temp_rank", True, num_partitions).select(*RANKING_COLUMNS)
+    return global_rank(latest, "temperature_c", "temp_rank").select(*RANKING_COLUMNS)

@@ -1,60 +1,66 @@
 """Global rank without funnelling all rows through one task.
 
 Spark's ``rank().over(Window.orderBy(...))`` moves every row into a single
-partition. ``global_rank`` instead splits the value range into buckets at
-approximate quantiles (n − 1 bounds, read once), so each row's bucket is a
-deterministic function of its value and equal values share a bucket. It
-ranks inside each bucket and adds the row count of all earlier buckets.
-The offsets table has one row per bucket, so broadcasting it is bounded by
-the bucket count, not by the data. Bucket sizes and local ranks are two
-reads of the input that agree by construction; a partition id from a
-sampled range partitioner would not guarantee that.
+partition. ``global_rank`` counts the rows of each distinct value first, so
+ties collapse in the map tasks, and ranks the values:
+
+* at most ``BUCKETS`` buckets, cut at quantiles of the distinct values. The
+  bounds are read once and stand in the plan as one literal array, searched
+  by halving, so the expression's size and the shuffle width don't matter;
+* running counts inside a bucket (a window over its values), plus the counts
+  of all earlier buckets (one row a bucket, so broadcasting it is bounded);
+* the rank returns to the rows by a join on the value.
+
+Rows with NULL, or NaN, are one distinct value each and have buckets of
+their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 256
+
+
+def value_bounds(values: DataFrame, buckets: int) -> list[float]:
+    """At most ``buckets`` - 1 increasing bounds of the column ``v``."""
+    probs = [i / buckets for i in range(1, buckets)]
+    numbers = values.select(F.col("v").cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    return sorted(set(numbers.approxQuantile("v", probs, 1 / (4 * buckets)))) if probs else []
+
+
+def bucket_of(v: Column, bounds: list[float]) -> Column:
+    """How many bounds lie below ``v``, found by halving."""
+    if not bounds:
+        return F.lit(0)
+    table = F.lit(bounds)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def halve(at: Column, step: Column) -> Column:
+        fits = (at + step <= len(bounds)) & (F.get(table, at + step - 1) < v)
+        return F.when(fits, at + step).otherwise(at)
+
+    return F.aggregate(F.lit(steps), F.lit(0), halve)
+
 
 def global_rank(df: DataFrame, order_col: str, out: str = "rank",
-                descending: bool = True, num_partitions: int | None = None,
-                checkpoint_input: bool = True) -> DataFrame:
+                descending: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """Rank by ``order_col`` (gaps on ties; NULLs last when descending,
-    first when ascending; NaN above every number, as Spark orders).
-
-    The input is read more than once (quantiles, local ranks, bucket
-    sizes); ``checkpoint_input`` cuts it to files first so the upstream plan
-    runs once."""
-    spark = df.sparkSession
-    if checkpoint_input:
-        from meteora.operators.materialize import materialize
-        df = materialize(df)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(order_col)
-    bounds = []
-    if n > 1:
-        probs = [i / n for i in range(1, n)]
-        qs = df.select(v.cast("double").alias("_v")).approxQuantile("_v", probs, 0.001)
-        bounds = sorted({b for b in qs if b == b})  # drop NaN, dedupe
-    # a(v) = number of bounds strictly below v: monotone in v, equal values equal.
-    above = F.lit(0)
-    for b in bounds:
-        above = above + F.when(v > F.lit(b), 1).otherwise(0)
-    m = len(bounds)
-    if descending:
-        bucket = F.when(v.isNull(), F.lit(m + 1)).otherwise(F.lit(m) - above)
-        o = v.desc_nulls_last()
-    else:
-        bucket = F.when(v.isNull(), F.lit(-1)).otherwise(above)
-        o = v.asc_nulls_first()
-    b = df.withColumn("_bk", bucket)
-    local = b.withColumn("_lr", F.rank().over(Window.partitionBy("_bk").orderBy(o)))
-    sizes = b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (
-        local.join(F.broadcast(offsets), "_bk")
-        .withColumn(out, (F.col("_off") + F.col("_lr")).cast("int"))
-        .drop("_bk", "_lr", "_off")
-    )
+    first when ascending; NaN above every number, as Spark orders)."""
+    v = F.col("v")
+    values = df.groupBy(F.col(order_col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    bounds = value_bounds(values, buckets)
+    number = v.cast("double")
+    above = (F.when(v.isNull(), -1).when(F.isnan(number), len(bounds) + 1)
+             .otherwise(bucket_of(number, bounds)))
+    values = values.withColumn("bucket", -above if descending else above)
+    order = v.desc_nulls_last() if descending else v.asc_nulls_first()
+    inside = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = values.groupBy("bucket").agg(F.sum("n").alias("in_bucket"))
+    offsets = sizes.select("bucket", (F.sum("in_bucket").over(before) - F.col("in_bucket")).alias("offset"))
+    ranks = (values.withColumn("upto", F.sum("n").over(inside) - F.col("n"))
+             .join(F.broadcast(offsets), "bucket")
+             .select(v.alias("_v"), (F.col("offset") + F.col("upto") + 1).cast("int").alias(out)))
+    return df.join(ranks, df[order_col].eqNullSafe(ranks["_v"])).drop("_v")

@@ -54,19 +54,22 @@ def cluster_summary(spark: SparkSession, clusters: DataFrame) -> DataFrame:
             ORDER BY avg_temp DESC""", clusters=clusters)
 
 
-def city_list(ranking: DataFrame) -> DataFrame:
-    return ranking.select("city").distinct().orderBy("city")
-
-
-def kpi_tiles(ranking: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """Hottest = first row by rank, coldest = last row by rank (city name
-    breaks ties), anomaly count, city count — one row."""
-    first = F.struct(F.col("temp_rank"), F.col("city"))
-    tiles = ranking.agg(
-        F.min_by("city", first).alias("hottest_city"),
-        F.min_by("temperature_c", first).alias("hottest_temp_c"),
-        F.max_by("city", first).alias("coldest_city"),
-        F.max_by("temperature_c", first).alias("coldest_temp_c"),
+def city_list(latest: DataFrame) -> DataFrame:
+    return latest.select("city").distinct().orderBy("city")
+
+
+def kpi_tiles(latest: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """Hottest and coldest station (the first and last by rank: a missing
+    temperature counts as coldest, city names break ties as the rank's order
+    does), anomaly count, city count — one row. Needs the latest readings
+    only, no rank."""
+    t = F.col("temperature_c")
+    coldness = F.struct(t.isNull().alias("missing"), F.when(F.isnan(t), float("-inf")).otherwise(-t).alias("cold"), F.col("city"))
+    tiles = latest.agg(
+        F.min_by("city", coldness).alias("hottest_city"),
+        F.min_by("temperature_c", coldness).alias("hottest_temp_c"),
+        F.max_by("city", coldness).alias("coldest_city"),
+        F.max_by("temperature_c", coldness).alias("coldest_temp_c"),
         F.count(F.lit(1)).alias("cities_tracked"),
     )
     n_anom = anomalies.select(F.count(F.lit(1))).scalar()
@@ -82,18 +85,18 @@ def forecast_axis_range(forecast: DataFrame, city: str | None = None) -> DataFra
     )
 
 
-def country_map(ranking: DataFrame) -> DataFrame:
+def country_map(latest: DataFrame) -> DataFrame:
     """Map feed: mean current temperature and city count per country."""
     from meteora.functions.numerics import round_half_up as rh
-    return ranking.groupBy("country").agg(
+    return latest.groupBy("country").agg(
         rh(F.avg("temperature_c"), 1).alias("mean_temp_c"),
         F.count(F.lit(1)).alias("cities"),
     )
 
 
-def condition_mix(ranking: DataFrame) -> DataFrame:
+def condition_mix(latest: DataFrame) -> DataFrame:
     """Bar / pie feed: cities per current condition."""
-    return ranking.groupBy("weather_description").agg(F.count(F.lit(1)).alias("cities"))
+    return latest.groupBy("weather_description").agg(F.count(F.lit(1)).alias("cities"))
 
 
 def drilldown(spark: SparkSession, ranking: DataFrame, country: str | None = None,

@@ -6,6 +6,8 @@ condition text are computed once per surviving row.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,15 @@ def parse_time(df: DataFrame, cfg: PipelineConfig) -> Column:
     return F.try_to_timestamp(t, F.lit(cfg.time_format)).cast("timestamp_ntz")
 
 
+def observed_between(time: Column, start: str, end: str) -> Column:
+    """Inclusive day range [start, end] on the observation time, a plain
+    range predicate so it reaches the scan as pushed filters."""
+    lo = _dt.date.fromisoformat(start).isoformat()
+    hi = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
+    # string → TIMESTAMP_NTZ casts do not depend on the session time zone
+    return (time >= F.lit(lo).cast("timestamp_ntz")) & (time < F.lit(hi).cast("timestamp_ntz"))
+
+
 def dedup_observations(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
     """One row per (city, parsed time): the latest ingest wins, then the
     landing sequence, then the measures (total order, reproducible)."""
@@ -52,12 +63,21 @@ def dedup_observations(bronze: DataFrame, cfg: PipelineConfig | None = None) ->
     return latest_by(slim, ["city", "time"], DEDUP_ORDER)
 
 
-def to_silver(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
-    d = dedup_observations(bronze, cfg)
-    return d.select(
+#: What a mergeable Silver table keeps besides Silver's columns, so that a
+#: later merge decides by the same order as the batch rule.
+STATE_COLUMNS = SILVER_COLUMNS + ["weather_code", "ingest_seq"]
+
+
+def silver_state(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+    """Silver rows with the columns that ``DEDUP_ORDER`` needs."""
+    return dedup_observations(bronze, cfg).select(
         "city", "country", "time", "temperature_c",
         feels_like("temperature_c", "wind_speed_kmh").alias("feels_like_c"),
         "humidity_pct", "wind_speed_kmh", "precipitation_mm",
         condition_label("weather_code").alias("weather_description"),
-        "ingested_at",
-    ).select(*SILVER_COLUMNS)
+        "ingested_at", "weather_code", "ingest_seq",
+    ).select(*STATE_COLUMNS)
+
+
+def to_silver(bronze: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
+    return silver_state(bronze, cfg).select(*SILVER_COLUMNS)

@@ -16,10 +16,15 @@ from meteora.operators import clustering as C
 from meteora.operators import forecasting as FC
 from meteora.operators import quality as QY
 from meteora.operators.gold import city_ranking, gold_daily
+from meteora.operators.dedup import latest_by
+from meteora.operators.materialize import materialize
+from meteora.operators.ranking import global_rank
 from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, metrics_long
-from meteora.operators.silver import to_silver
+from meteora.operators.silver import DEDUP_ORDER, observed_between, parse_time, silver_state, to_silver
+from meteora.schemas import RANKING_COLUMNS
 from meteora.sinks import export_csv, write_table
 from meteora.sources.payload import first_valid, flatten, parse_landing, quarantine
+from meteora.streaming.incremental import overwrite_partitions, upsert_silver_batch
 
 BRONZE = "weather_bronze"
 SILVER = "weather_silver"
@@ -42,15 +47,20 @@ def append_bronze(spark: SparkSession, bronze: DataFrame, db: str = "") -> None:
     write_table(out, _t(db, BRONZE), mode="append", partition_by=["ingest_date"])
 
 
-def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "") -> None:
-    """Landing documents → quarantine table + Bronze append."""
-    parsed = parse_landing(landing).cache()
-    try:
-        write_table(quarantine(parsed), _t(db, QUARANTINE), mode="append")
-        bronze = flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt")
-        append_bronze(spark, bronze, db)
-    finally:
-        parsed.unpersist()
+def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "",
+                   observed: tuple[str, str] | None = None) -> DataFrame:
+    """Landing documents → quarantine table + Bronze append; returns the
+    Bronze batch, one row per (city, time). ``observed`` bounds the days of
+    observation (inclusive); rows without a readable time stay."""
+    parsed = parse_landing(landing)
+    write_table(quarantine(parsed, cfg.retry_attempts), _t(db, QUARANTINE), mode="append")
+    bronze = flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt")
+    if observed:
+        time = parse_time(bronze, cfg)
+        bronze = bronze.filter(time.isNull() | observed_between(time, *observed))
+    bronze = materialize(latest_by(bronze, ["city", "time"], DEDUP_ORDER))
+    append_bronze(spark, bronze, db)
+    return bronze
 
 
 def rebuild_silver_gold(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> dict:
@@ -79,10 +89,11 @@ def run_hourly(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db:
 
 def run_backfill(spark: SparkSession, landing_path: str, start: str, end: str,
                  cfg: PipelineConfig, db: str = "") -> dict:
-    """Historical load: landing envelopes whose ingest day lies in the
-    inclusive [start, end] range → quarantine + Bronze append → rebuild."""
+    """Historical load: the observations of the inclusive days [start, end],
+    whenever they were ingested → quarantine + Bronze append → rebuild. A
+    landing folder partitioned by ``observed_date`` is pruned to those days."""
     from meteora.sources.landing import read_envelopes
-    ingest_landing(spark, read_envelopes(spark, landing_path, start, end), cfg, db)
+    ingest_landing(spark, read_envelopes(spark, landing_path, observed=(start, end)), cfg, db, (start, end))
     return rebuild_silver_gold(spark, cfg, db)
 
 
@@ -139,64 +150,47 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
 
 SILVER_INC = "weather_silver_by_day"
 DAILY_INC = "weather_gold_daily_by_day"
-LATEST_INC = "weather_latest_by_city"
-
-
-def _overwrite_partitions(spark: SparkSession, df: DataFrame, table: str, part: str) -> None:
-    if not spark.catalog.tableExists(table):
-        df.write.format("parquet").partitionBy(part).saveAsTable(table)
-        return
-    key = "spark.sql.sources.partitionOverwriteMode"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(key, prev)
+LATEST_INC = "weather_latest_state"
+GATE_INC = "weather_gate_by_day"
 
 
 def run_hourly_incremental(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig,
                            db: str = "") -> dict:
-    """Hourly run whose cost follows the batch, not the history.
+    """Hourly run that merges a batch instead of rebuilding Silver.
 
     Bronze batch → append; Silver (partitioned by day) gets the batch merged
-    into the touched days only (latest ingest wins); the daily table is
-    recomputed for those days only; the latest-reading-per-station table is
-    updated from itself plus the batch; ranking and anomalies then read
-    station- and day-sized tables. Results equal the full rebuild."""
-    from meteora.operators.dedup import latest_by
-    from meteora.operators.materialize import materialize
-    from meteora.streaming.incremental import SILVER_MERGE_ORDER, upsert_silver_batch
-
-    parsed = parse_landing(landing)
-    write_table(quarantine(parsed), _t(db, QUARANTINE), mode="append")
-    batch = materialize(flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt"))
-    append_bronze(spark, batch, db)
-
-    silver_t = _t(db, SILVER_INC)
+    into the touched days only; the daily table is recomputed for those days
+    only; the latest reading of each station is updated from itself plus the
+    batch; ranking and anomalies read station- and day-sized tables. The
+    gate adds the counts that each day's table keeps. Results equal the full
+    rebuild. Anomaly baselines still read the whole daily table."""
+    batch = ingest_landing(spark, landing, cfg, db)
+    silver_t, daily_t = _t(db, SILVER_INC), _t(db, DAILY_INC)
     upsert_silver_batch(spark, batch, silver_t, cfg)
-    new_silver = to_silver(batch, cfg).filter(F.col("time").isNotNull())
-    days = [r["day"] for r in new_silver.select(F.col("time").cast("date").alias("day")).distinct().collect()]
-    touched = spark.table(silver_t).filter(F.col("day").isin(days)).drop("day")
-    _overwrite_partitions(spark, materialize(gold_daily(touched).withColumn("day", F.col("date").cast("date"))),
-                          _t(db, DAILY_INC), "day")
+    new = materialize(silver_state(batch, cfg))
+    days = new.select(F.col("time").cast("date").alias("_day")).distinct()
+    silver = spark.table(silver_t)
+    touched = silver.join(days, silver["day"].eqNullSafe(days["_day"]), "left_semi")
+    overwrite_partitions(materialize(gold_daily(touched.drop("day")).withColumn("day", F.col("date").cast("date"))),
+                         daily_t, "day")
+    overwrite_partitions(materialize(touched.groupBy("day").agg(*QY.gate_metrics())), _t(db, GATE_INC), "day")
 
     latest_t = _t(db, LATEST_INC)
-    cols = [c for c in new_silver.columns]
-    order = ["time"] + [c for c in SILVER_MERGE_ORDER if c != "time"]
-    cand = new_silver if not spark.catalog.tableExists(latest_t) else \
-        spark.table(latest_t).select(*cols).unionByName(new_silver)
-    latest = materialize(latest_by(cand.select(*cols), ["city"], order))
-    write_table(latest, latest_t)
-
-    from meteora.operators.ranking import global_rank
-    from meteora.schemas import RANKING_COLUMNS
+    known = spark.catalog.tableExists(latest_t)
+    state = spark.table(latest_t).drop("generation").unionByName(new) if known else new
+    latest = materialize(latest_by(state, ["city"], ["time", *DEDUP_ORDER]))
+    # the state is written beside the old one, which goes only afterwards
+    generation = (spark.table(latest_t).agg(F.max("generation")).first()[0] or 0) + 1 if known else 1
+    overwrite_partitions(latest.withColumn("generation", F.lit(generation)), latest_t, "generation")
+    if known:
+        spark.sql(f"ALTER TABLE {latest_t} DROP IF EXISTS PARTITION (generation = {generation - 1})")
+
     ranking = global_rank(spark.table(latest_t), "temperature_c", "temp_rank").select(*RANKING_COLUMNS)
     write_table(ranking, _t(db, RANKING))
-    daily = spark.table(_t(db, DAILY_INC)).drop("day")
+    daily = spark.table(daily_t).drop("day")
     write_table(A.anomalies(daily, cfg), _t(db, ANOMALIES))
-
-    rows = {r["check"]: r.asDict() for r in
-            QY.quality_checks(spark.table(silver_t), cfg.quality_min_rows).collect()}
-    QY.enforce_rows(list(rows.values()))
-    return rows
+    gate = spark.table(_t(db, GATE_INC)).agg(F.sum("total").alias("total"), F.sum("nulls").alias("nulls"),
+                                             F.max("latest").alias("latest")).first().asDict()
+    rows = QY.checks_from_metrics(gate, cfg.quality_min_rows)
+    QY.enforce_rows(rows)
+    return {r["check"]: r for r in rows}

@@ -7,7 +7,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from meteora.operators.silver import to_silver
+from meteora.operators.silver import observed_between, to_silver
 from meteora.plans import inputs as I
 from meteora.plans import sql_fragments as Q
 from meteora.plans.catalog import register
@@ -89,11 +89,11 @@ _FLAT_COLS = ["city", "country", "latitude", "longitude", "timezone", "time", "t
 
 
 @register("payload_flatten", Q.with_(_DOCS_SQL) + """
-SELECT o.city, o.country, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+SELECT o.city, o.country, CAST(o.user_id % 90 AS DOUBLE) AS latitude, CAST(o.user_id % 180 AS DOUBLE) AS longitude,
        'UTC' AS timezone, strftime(e.ts, '%Y-%m-%dT%H:%M') AS time,
-       e.value AS temperature_c, CAST(100 - e.k AS BIGINT) AS humidity_pct,
+       e.value AS temperature_c, CAST(100 - e.k AS DOUBLE) AS humidity_pct,
        CAST(e.k AS DOUBLE) AS wind_speed_kmh, e.value / 10 AS precipitation_mm,
-       e.k AS weather_code, CAST(o.doc_id * 10 + o.attempt_used AS BIGINT) AS ingest_seq,
+       CAST(e.k AS DOUBLE) AS weather_code, CAST(o.doc_id * 10 + o.attempt_used AS BIGINT) AS ingest_seq,
        o.doc_id, o.attempt_used AS attempt
 FROM ev e JOIN outcome o ON e.user_id = o.user_id AND e.doc_id = o.doc_id
 WHERE o.attempt_used IS NOT NULL""")
@@ -106,23 +106,13 @@ def payload_flatten_q(spark, root):
 _BACKFILL_START, _BACKFILL_END = "2024-01-05", "2024-01-20"
 
 
-def backfill_window(df, start: str, end: str):
-    """Inclusive day range [start, end] on the observation time; written as
-    a plain range predicate so it reaches the scan as pushed filters."""
-    lo = _dt.date.fromisoformat(start).isoformat()
-    hi = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
-    # string → TIMESTAMP_NTZ casts do not depend on the session time zone
-    return df.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
-                     & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
-
-
 @register("backfill_range", Q.with_(Q.OBS_A.replace(
     "FROM events)", f"FROM events WHERE ts >= TIMESTAMP '{_BACKFILL_START}' "
                     f"AND ts < TIMESTAMP '{_BACKFILL_END}' + INTERVAL 1 DAY)"),
     Q.silver("obs_a", "s")) + f"SELECT {', '.join(_SILVER_OUT)} FROM s")
 def backfill_range_q(spark, root):
     """Historical batch bounded by inclusive start / end dates."""
-    ev = backfill_window(I.table(spark, root, "events"), _BACKFILL_START, _BACKFILL_END)
+    ev = I.table(spark, root, "events").filter(observed_between(F.col("ts"), _BACKFILL_START, _BACKFILL_END))
     return to_silver(events_observations(ev, I.QCFG), I.QCFG).select(*_SILVER_OUT)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from meteora.operators import anomalies as A
 from meteora.operators import forecasting as FC
 from meteora.operators import serving as S
-from meteora.operators.gold import city_ranking
+from meteora.operators.gold import city_ranking, latest_per_city
 from meteora.plans import inputs as I
 from meteora.plans import q_clustering as QC
 from meteora.plans import q_forecast as QF
@@ -24,6 +24,10 @@ def _ranking_a(spark, root):
     return city_ranking(I.silver_a(spark, root))
 
 
+def _latest_a(spark, root):
+    return latest_per_city(I.silver_a(spark, root))
+
+
 def _anomalies_a(spark, root):
     return A.anomalies(I.daily_a(spark, root, _CFG_A), _CFG_A)
 
@@ -59,7 +63,7 @@ def serve_clusters_q(spark, root):
 
 @register("city_list", Q.with_(*_RANK_A) + "SELECT DISTINCT city FROM r ORDER BY city")
 def city_list_q(spark, root):
-    return S.city_list(_ranking_a(spark, root))
+    return S.city_list(_latest_a(spark, root))
 
 
 @register("kpi_tiles", Q.with_(*_RANK_A, *_ANOM_A) + """SELECT
@@ -71,7 +75,7 @@ def city_list_q(spark, root):
   (SELECT count(*) FROM a) AS anomalies_today
 FROM r""")
 def kpi_tiles_q(spark, root):
-    return S.kpi_tiles(_ranking_a(spark, root), _anomalies_a(spark, root))
+    return S.kpi_tiles(_latest_a(spark, root), _anomalies_a(spark, root))
 
 
 @register("forecast_axis_range", Q.with_(*QF._TREND_SQL, "fc AS (" + QF._TREND_FINAL + ")")
@@ -85,13 +89,13 @@ def forecast_axis_range_q(spark, root):
           + f"SELECT country, {Q.rh('avg(temperature_c)', 1)} AS mean_temp_c, count(*) AS cities "
             "FROM r GROUP BY country")
 def country_map_q(spark, root):
-    return S.country_map(_ranking_a(spark, root))
+    return S.country_map(_latest_a(spark, root))
 
 
 @register("condition_mix", Q.with_(*_RANK_A)
           + "SELECT weather_description, count(*) AS cities FROM r GROUP BY weather_description")
 def condition_mix_q(spark, root):
-    return S.condition_mix(_ranking_a(spark, root))
+    return S.condition_mix(_latest_a(spark, root))
 
 
 @register("drilldown", Q.with_(*_RANK_A)

@@ -14,10 +14,10 @@ def _f(name, dtype, nullable=True):
 HOURLY = T.StructType([
     _f("time", T.ArrayType(S)),
     _f("temperature_2m", T.ArrayType(D)),
-    _f("relative_humidity_2m", T.ArrayType(L)),
+    _f("relative_humidity_2m", T.ArrayType(D)),
     _f("wind_speed_10m", T.ArrayType(D)),
     _f("precipitation", T.ArrayType(D)),
-    _f("weather_code", T.ArrayType(L)),
+    _f("weather_code", T.ArrayType(D)),
 ])
 CORRUPT_COL = "_corrupt_record"
 PAYLOAD = T.StructType([
@@ -39,11 +39,10 @@ LANDING = T.StructType([
 # sequence that breaks ties between re-fetches with the same ingested_at.
 BRONZE = T.StructType([
     _f("city", S), _f("country", S), _f("latitude", D), _f("longitude", D),
-    _f("timezone", S), _f("time", S), _f("temperature_c", D), _f("humidity_pct", L),
-    _f("wind_speed_kmh", D), _f("precipitation_mm", D), _f("weather_code", L),
+    _f("timezone", S), _f("time", S), _f("temperature_c", D), _f("humidity_pct", D),
+    _f("wind_speed_kmh", D), _f("precipitation_mm", D), _f("weather_code", D),
     _f("ingested_at", TS), _f("ingest_seq", L),
 ])
-MEASURES = ["temperature_c", "humidity_pct", "wind_speed_kmh", "precipitation_mm", "weather_code"]
 
 SILVER_COLUMNS = [
     "city", "country", "time", "temperature_c", "feels_like_c", "humidity_pct",

@@ -9,20 +9,11 @@ from pyspark.sql import DataFrame
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by=None,
                 fmt: str = "parquet") -> None:
     w = df.write.format(fmt).mode(mode)
-    if mode == "overwrite":
-        w = w.option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
 
 
-def write_path(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV with header, written by the executors (no driver collect)."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -21,36 +21,51 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meteora.schemas import LANDING
+from meteora.schemas import CORRUPT_COL, LANDING
 
 
 def _date_bounds(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows without a date (unreadable ones) stay, for quarantine."""
     if start:
-        df = df.filter(F.col(col) >= F.lit(_dt.date.fromisoformat(start).isoformat()).cast("timestamp"))
+        lo = F.lit(_dt.date.fromisoformat(start).isoformat()).cast("timestamp")
+        df = df.filter(F.col(col).isNull() | (F.col(col) >= lo))
     if end:
-        nxt = (_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()
-        df = df.filter(F.col(col) < F.lit(nxt).cast("timestamp"))
+        hi = F.lit((_dt.date.fromisoformat(end) + _dt.timedelta(days=1)).isoformat()).cast("timestamp")
+        df = df.filter(F.col(col).isNull() | (F.col(col) < hi))
     return df
 
 
-def read_envelopes(spark: SparkSession, path: str, start: str | None = None,
-                   end: str | None = None) -> DataFrame:
-    df = spark.read.schema(LANDING).option("mode", "PERMISSIVE").json(path)
+def read_envelopes(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
+                   observed: tuple[str, str] | None = None) -> DataFrame:
+    """Envelopes, bounded by inclusive days of ingest (``start``, ``end``);
+    ``observed`` prunes the folders of a layout partitioned by
+    ``observed_date`` (rows without it stay). A line that is no envelope becomes a row with its text as ``body``
+    and nothing else, which the parser sends to quarantine."""
+    raw = T.StructField(CORRUPT_COL, T.StringType())
+    df = (spark.read.schema(T.StructType([*LANDING.fields, raw])).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path)
+          .withColumn("body", F.coalesce(CORRUPT_COL, "body")))
+    if observed and "observed_date" in df.columns:
+        day = F.col("observed_date").cast("date")
+        df = df.filter(day.isNull() | day.between(*(F.lit(d).cast("date") for d in observed)))
     return _date_bounds(df, "ingested_at", start, end).select(*[f.name for f in LANDING.fields])
 
 
 def read_documents(spark: SparkSession, path: str, start: str | None = None,
                    end: str | None = None) -> DataFrame:
+    """A file whose name is not ``<doc_id>.<attempt>.json`` has NULL for
+    both and is quarantined by the parser."""
     raw = spark.read.option("wholetext", True).option("basePath", path).text(path)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.(\d+)\.json$", 0)
+    part = lambda i: F.nullif(F.regexp_extract(
+        F.col("_metadata.file_name"), r"^(\d+)\.(\d+)\.json$", i), F.lit(""))
     df = raw.select(
         F.col("city").cast("string").alias("city"),
         F.col("country").cast("string").alias("country"),
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.(\d+)\.json$", 1).cast("bigint").alias("doc_id"),
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.(\d+)\.json$", 2).cast("int").alias("attempt"),
+        part(1).cast("bigint").alias("doc_id"),
+        part(2).cast("int").alias("attempt"),
         F.col("_metadata.file_modification_time").alias("ingested_at"),
         F.col("value").alias("body"),
-        name.alias("_n"),
-    ).filter(F.col("_n") != "").drop("_n")
+    )
     return _date_bounds(df, "ingested_at", start, end)

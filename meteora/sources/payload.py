@@ -7,8 +7,11 @@ retry rule ("first valid attempt wins, else still failed") is one
 aggregation per document key.
 
 A document is invalid when its JSON is malformed, ``hourly`` or
-``hourly.time`` is missing, or any hourly array is missing or shorter
-than ``time`` (longer arrays are cut to ``time``'s length).
+``hourly.time`` is missing, any hourly array is missing or shorter than
+``time`` (longer arrays are cut to ``time``'s length), or latitude,
+longitude or timezone is missing. Landing rows without a city, document or
+attempt number (unreadable lines or file names) and valid attempts beyond
+the retry limit go to quarantine too, with their text.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from meteora.schemas import CORRUPT_COL, HOURLY_FIELDS, PAYLOAD
 # fixed field map: payload hourly array → Bronze column
 HOURLY_TO_BRONZE = [
     ("temperature_2m", "temperature_c", "double"),
-    ("relative_humidity_2m", "humidity_pct", "bigint"),
+    ("relative_humidity_2m", "humidity_pct", "double"),
     ("wind_speed_10m", "wind_speed_kmh", "double"),
     ("precipitation", "precipitation_mm", "double"),
-    ("weather_code", "weather_code", "bigint"),
+    ("weather_code", "weather_code", "double"),
 ]
 
 
@@ -42,16 +45,20 @@ def parse_landing(landing: DataFrame) -> DataFrame:
         cond = arr.isNull() | (F.size(arr) < n)
         short = cond if short is None else (short | cond)
     reason = (
-        F.when(F.col("body").isNull() | F.col(f"p.{CORRUPT_COL}").isNotNull(), "malformed_json")
+        F.when(F.col("city").isNull() | F.col("doc_id").isNull() | F.col("attempt").isNull(), "unreadable_landing")
+        .when(F.col("body").isNull() | F.col(f"p.{CORRUPT_COL}").isNotNull(), "malformed_json")
         .when(F.col("p.hourly").isNull(), "missing_hourly")
         .when(F.col("p.hourly.time").isNull(), "missing_time")
         .when(short, "length_mismatch")
+        .when(F.col("p.latitude").isNull() | F.col("p.longitude").isNull() | F.col("p.timezone").isNull(),
+              "missing_scalar")
     )
     return df.withColumn("reason", reason)
 
 
-def quarantine(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reason").isNotNull()).select(
+def quarantine(parsed: DataFrame, max_attempts: int = 2) -> DataFrame:
+    late = F.when(F.col("attempt") > max_attempts, "late_attempt")
+    return parsed.withColumn("reason", F.coalesce("reason", late)).filter(F.col("reason").isNotNull()).select(
         "city", "country", "doc_id", "attempt", "reason", "ingested_at", "body")
 
 
@@ -139,8 +146,8 @@ def events_landing(events: DataFrame, cfg: PipelineConfig | None = None) -> Data
         F.transform(r, lambda x: x["k"]).alias("weather_code"),
     )
     short_hourly = hourly.withField("temperature_2m", F.slice(temps, 1, F.size(temps) - 1))
-    scal = [F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
-            F.lit("UTC").alias("timezone")]
+    scal = [(F.col("user_id") % 90).cast("double").alias("latitude"),
+            (F.col("user_id") % 180).cast("double").alias("longitude"), F.lit("UTC").alias("timezone")]
     good = F.to_json(F.struct(*scal, hourly.alias("hourly")))
     shape = F.col("doc_id") % 3
     bad = (F.when(shape == 0, F.substring(good, 1, F.floor(F.length(good) / 2).cast("int")))

@@ -3,32 +3,13 @@ left to Catalyst so they reach the scan (ReadSchema / PushedFilters)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-_READS: dict = {}
-
-
 def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``root`` is a directory of ``<name>.parquet`` files, or ``catalog:``
-    followed by a database name for managed tables.
-
-    Local parquet reads are memoised per session and file version (path +
-    modification time), which saves repeated footer reads and listings when
-    one query reads a table several times; a rewritten file is re-read."""
+    """``root`` is a directory of ``<name>.parquet`` files, local or remote, or
+    ``catalog:`` followed by a database name for managed tables."""
     if root.startswith("catalog:"):
         db = root.split(":", 1)[1]
         return spark.table(f"{db}.{name}" if db else name)
-    path = os.path.join(root, f"{name}.parquet")
-    try:
-        version = os.stat(path).st_mtime_ns
-    except OSError:
-        return spark.read.parquet(path)
-    key = (id(spark), path, version)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")

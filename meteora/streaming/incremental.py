@@ -1,5 +1,8 @@
 """Structured Streaming jobs replacing the hourly full rebuild.
 
+Rows without a readable time and rows later than the watermark are not part
+of the append-only streams; ``start_silver_upsert`` keeps both.
+
 D1 ``silver_stream``: file stream of Bronze rows → parse time → watermark on
     ``time`` → ``dropDuplicatesWithinWatermark(city, time)`` → Silver
     columns. State holds only keys inside the watermark delay. Unlike the
@@ -17,6 +20,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
@@ -46,8 +50,10 @@ def bronze_file_stream(spark: SparkSession, path: str, fmt: str = "parquet", sch
     if schema is None:
         try:
             schema = spark.read.format(fmt).load(path).schema
-        except Exception:  # noqa: BLE001 — empty landing directory
-            schema = BRONZE
+        except AnalysisException as e:
+            if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+            schema = BRONZE  # nothing has landed yet
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -107,14 +113,28 @@ def start_silver_and_daily(spark: SparkSession, bronze_path: str, silver_path: s
 
 # ---- latest-wins upsert (foreachBatch) --------------------------------------
 
-SILVER_MERGE_ORDER = ["ingested_at", "country", "temperature_c", "feels_like_c", "humidity_pct",
-                      "wind_speed_kmh", "precipitation_mm", "weather_description"]
+def overwrite_partitions(df: DataFrame, table: str, part: str) -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows of. Rows of
+    one partition meet in one task, so each gets one file."""
+    spark = df.sparkSession
+    laid = df.repartition(part)
+    if not spark.catalog.tableExists(table):
+        laid.write.format("parquet").partitionBy(part).saveAsTable(table)
+        return
+    key = "spark.sql.sources.partitionOverwriteMode"  # insertInto reads no write option for it
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        laid.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, before)
 
 
 def upsert_silver_batch(spark: SparkSession, batch: DataFrame, table: str,
                         cfg: PipelineConfig | None = None) -> None:
-    """Merge one Bronze micro-batch into a Silver table partitioned by day,
-    latest ingest winning (the batch rebuild's rule).
+    """Merge one Bronze micro-batch into a Silver table partitioned by day
+    by the batch rebuild's rule (``DEDUP_ORDER``; rows without a time have
+    the NULL day).
 
     Only the day partitions the batch touches are read, merged with
     ``latest_by`` and rewritten (dynamic partition overwrite). The merged
@@ -122,27 +142,17 @@ def upsert_silver_batch(spark: SparkSession, batch: DataFrame, table: str,
     replaces."""
     from meteora.operators.dedup import latest_by
     from meteora.operators.materialize import materialize
-    from meteora.operators.silver import to_silver
+    from meteora.operators.silver import DEDUP_ORDER, silver_state
 
     cfg = cfg or PipelineConfig()
-    new = to_silver(batch, cfg).filter(F.col("time").isNotNull()) \
-        .withColumn("day", F.col("time").cast("date"))
-    if not spark.catalog.tableExists(table):
-        new.write.format("parquet").partitionBy("day").saveAsTable(table)
-        return
-    days = [r["day"] for r in new.select("day").distinct().collect()]  # days in one micro-batch
-    if not days:
-        return
-    existing = spark.table(table).filter(F.col("day").isin(days))
-    merged = latest_by(existing.unionByName(new), ["city", "time"], SILVER_MERGE_ORDER)
-    merged = materialize(merged.select(*spark.table(table).columns))
-    key = "spark.sql.sources.partitionOverwriteMode"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        merged.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(key, prev)
+    new = silver_state(batch, cfg).withColumn("day", F.col("time").cast("date"))
+    if spark.catalog.tableExists(table):
+        new = materialize(new)
+        days = new.select(F.col("day").alias("_day")).distinct()
+        old = spark.table(table)
+        existing = old.join(days, old["day"].eqNullSafe(days["_day"]), "left_semi")
+        new = materialize(latest_by(existing.unionByName(new), ["city", "time"], DEDUP_ORDER))
+    overwrite_partitions(new, table, "day")
 
 
 def start_silver_upsert(spark: SparkSession, bronze_path: str, table: str,

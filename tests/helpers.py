@@ -8,7 +8,8 @@ NOW = dt.datetime(2026, 1, 1)
 def bronze_rows(spark, rows):
     """rows: dicts with any BRONZE fields; the rest default to NULL."""
     names = [f.name for f in BRONZE.fields]
-    data = [tuple(r.get(n) for n in names) for r in rows]
+    number = {f.name for f in BRONZE.fields if f.dataType.typeName() == "double"}
+    data = [tuple(float(r[n]) if n in number and r.get(n) is not None else r.get(n) for n in names) for r in rows]
     return spark.createDataFrame(data, BRONZE)
 
 

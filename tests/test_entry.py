@@ -6,7 +6,7 @@ from tests.conftest import SF001
 def test_entry_and_registry(spark):
     E = importlib.import_module("__spark_entry__")
     df = E.entry(spark)
-    assert df.count() >= 0 and len(df.columns) == 12
+    assert df.count() > 0 and len(df.columns) == 12
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50

@@ -46,3 +46,21 @@ def test_quarantine_and_retry(spark):
     bronze = P.landing_to_bronze(landing, CFG)
     counts = {r.city: r["count"] for r in bronze.groupBy("city").count().collect()}
     assert counts == {"good": 3, "recover": 4, "stillbad": 2}
+
+
+def test_every_rejected_shape_keeps_its_text(spark):
+    whole = json.loads(_doc())
+    rows = [("late", "C", 1, 3, NOW, _doc()),
+            ("noscalar", "C", 2, 1, NOW, json.dumps({"hourly": whole["hourly"]})),
+            (None, None, None, None, None, "{broken line")]
+    parsed = P.parse_landing(spark.createDataFrame(rows, SCHEMA))
+    got = {r.body: r.reason for r in P.quarantine(parsed, 2).collect()}
+    assert got == {rows[0][5]: "late_attempt", rows[1][5]: "missing_scalar", rows[2][5]: "unreadable_landing"}
+
+
+def test_decimal_numbers_are_kept(spark):
+    d = json.loads(_doc())
+    d["hourly"]["relative_humidity_2m"] = [55.5, 50, 49.25]
+    d["hourly"]["weather_code"] = [3.0, 1, 2]
+    b = P.landing_to_bronze(spark.createDataFrame([("a", "C", 1, 1, NOW, json.dumps(d))], SCHEMA), CFG)
+    assert sorted((r.humidity_pct, r.weather_code) for r in b.collect()) == [(49.25, 2.0), (50.0, 1.0), (55.5, 3.0)]

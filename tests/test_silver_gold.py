@@ -53,7 +53,7 @@ def test_global_rank_matches_window_rank(spark):
     rnd = random.Random(7)
     data = [(i, float(rnd.randint(0, 40)) if rnd.random() > 0.05 else None) for i in range(2000)]
     df = spark.createDataFrame(data, "id int, v double").repartition(5)
-    ours = {r.id: r.rk for r in global_rank(df, "v", "rk", True, 6).collect()}
+    ours = {r.id: r.rk for r in global_rank(df, "v", "rk").collect()}
     ref = {r.id: r.rk for r in df.withColumn(
         "rk", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last()))).collect()}
     assert ours == ref

@@ -49,3 +49,32 @@ def test_read_envelopes(spark, tmpdir_path):
     assert env.count() == 2
     assert landing_to_bronze(env, CFG).count() == 2
     assert read_envelopes(spark, p, start="2025-03-02").count() == 0
+
+
+def test_landing_readers_lose_no_input(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "mixed.jsonl")
+    with open(p, "w") as fh:
+        fh.write(json.dumps({"city": "Oslo", "country": "NO", "doc_id": 1, "attempt": 1,
+                             "ingested_at": "2025-03-01T10:00:00", "body": _doc(2)}) + "\nno envelope\n")
+    for bounds in ({}, {"start": "2025-03-01", "end": "2025-03-01"}):
+        env = read_envelopes(spark, p, **bounds)
+        assert env.count() == 2
+        assert [(r.reason, r.body) for r in quarantine(parse_landing(env)).collect()] == [
+            ("unreadable_landing", "no envelope")]
+    d = os.path.join(tmpdir_path, "docs", "country=XX", "city=Rome")
+    os.makedirs(d)
+    for name in ("7.1.json", "latest.json"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(_doc(2))
+    landing = read_documents(spark, os.path.join(tmpdir_path, "docs"))
+    assert landing.count() == 2
+    assert [r.reason for r in quarantine(parse_landing(landing)).collect()] == ["unreadable_landing"]
+
+
+def test_table_read_sees_new_files(spark, tmpdir_path):
+    from meteora.sources.tables import load_table
+    path = os.path.join(tmpdir_path, "t.parquet", "day=1")
+    spark.range(2).write.parquet(path)
+    assert load_table(spark, tmpdir_path, "t").count() == 2
+    spark.range(3).write.mode("append").parquet(path)
+    assert load_table(spark, tmpdir_path, "t").count() == 5

@@ -85,23 +85,64 @@ def test_upsert_latest_wins(spark, tmpdir_path):
     assert got2[("A", "2025-03-01 00:00:00")] == 9.0 and len(got2) == 4
 
 
-def test_backfill_job(spark, tmpdir_path):
+def _body(times, temp=1.0, **hourly):
+    import json
+    n = len(times)
+    h = {"time": times, "temperature_2m": [temp + i for i in range(n)], "relative_humidity_2m": [55.5] * n,
+         "wind_speed_10m": [5.0] * n, "precipitation": [0.0] * n, "weather_code": [3.0] * n} | hourly
+    return json.dumps({"latitude": 1.0, "longitude": 2.0, "timezone": "UTC", "hourly": h})
+
+
+def test_backfill_bounds_the_observed_days(spark, tmpdir_path):
     import json
     from meteora.plans.jobs import run_backfill
-    p = os.path.join(tmpdir_path, "land.jsonl")
-    doc = {"hourly": {"time": [f"2025-03-01T{h:02d}:00" for h in range(24)],
-                      "temperature_2m": [float(h) for h in range(24)], "relative_humidity_2m": [50] * 24,
-                      "wind_speed_10m": [5.0] * 24, "precipitation": [0.0] * 24, "weather_code": [3] * 24}}
-    with open(p, "w") as fh:
-        for day, city in [("2025-03-01", "X"), ("2025-03-05", "Y"), ("2025-04-01", "Z")]:
+    hours = lambda day: [f"{day}T{h:02d}:00" for h in range(24)]
+    land = os.path.join(tmpdir_path, "land")
+    rows = [("X", "2025-03-01", "2025-03-01"), ("Y", "2025-03-05", "2025-03-05"),
+            ("Z", "2025-04-01", "2025-03-02"),  # observed inside, ingested later
+            ("W", "2025-03-02", "2025-02-20")]  # ingested inside, observed before
+    for city, ingested, observed in rows:
+        folder = os.path.join(land, f"observed_date={observed}")
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, f"{city}.jsonl"), "w") as fh:
             fh.write(json.dumps({"city": city, "country": "C", "doc_id": 1, "attempt": 1,
-                                 "ingested_at": f"{day}T12:00:00", "body": json.dumps(doc)}) + "\n")
+                                 "ingested_at": f"{ingested}T12:00:00", "body": _body(hours(observed))}) + "\n")
     db = "meteora_b"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmpdir_path}/bdb'")
-    cfg = CFG.with_(quality_min_rows=10)
-    gate = run_backfill(spark, p, "2025-03-01", "2025-03-05", cfg, db)
-    assert gate["row_count"]["observed"] == "48"
-    assert {r.city for r in spark.table(f"{db}.weather_silver").collect()} == {"X", "Y"}
+    gate = run_backfill(spark, land, "2025-03-01", "2025-03-05", CFG.with_(quality_min_rows=10), db)
+    assert gate["row_count"]["observed"] == "72"
+    assert {r.city for r in spark.table(f"{db}.weather_silver").collect()} == {"X", "Y", "Z"}
+    assert {r.humidity_pct for r in spark.table(f"{db}.weather_silver").collect()} == {55.5}
+    from meteora.sources.landing import read_envelopes
+    p = read_envelopes(spark, land, observed=("2025-03-01", "2025-03-05"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in p and "observed_date" in p.split("PartitionFilters: [")[1][:300]
+
+
+def test_incremental_equals_full_with_ties_bad_times_and_late_batches(spark, tmpdir_path):
+    from meteora.sources.payload import landing_to_bronze
+    schema = "city string, country string, doc_id long, attempt int, ingested_at timestamp, body string"
+    t = ["2025-03-02T00:00", "2025-03-02T01:00"]
+    batches = [
+        [("A", "C", 5, 1, NOW, _body(t, 9.0)), ("B", "C", 1, 1, NOW, _body(["soon", "2025-03-01T03:00"], 4.0))],
+        [("A", "C", 2, 1, NOW, _body(t, 1.0)),  # same stamp, lower sequence
+         ("B", "C", 2, 1, NOW, _body(["never"], 8.0))],
+        [("A", "C", 9, 1, NOW, _body(["2025-03-01T00:00"], 7.0))],  # a day before
+    ]
+    cfg = CFG.with_(quality_min_rows=1, min_history_days=1)
+    db = "meteora_eq"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmpdir_path}/eqdb'")
+    for b in batches:
+        gate = jobs.run_hourly_incremental(spark, spark.createDataFrame(b, schema), cfg, db)
+    every = spark.createDataFrame([r for b in batches for r in b], schema)
+    full = to_silver(landing_to_bronze(every, cfg), cfg)
+    cols = [c for c in full.columns]
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.select(*cols).collect()))
+    got = spark.table(f"{db}.{jobs.SILVER_INC}")
+    assert rows(got) == rows(full)
+    assert got.filter("time IS NULL").count() == 1
+    assert gate["row_count"]["observed"] == str(full.count())
+    first = spark.table(f"{db}.{jobs.LATEST_INC}").filter("city = 'A'").collect()
+    assert [(r.temperature_c, str(r.time)) for r in first] == [(10.0, "2025-03-02 01:00:00")]
 
 
 def test_incremental_hourly_equals_full_rebuild(spark, tmpdir_path):
@@ -116,7 +157,7 @@ def test_incremental_hourly_equals_full_rebuild(spark, tmpdir_path):
     jobs.run_hourly_incremental(spark, events_landing(ev.filter(F.col("ts") >= cut), later), later, db)
     full = events_landing(ev, cfg)
     from meteora.sources.payload import landing_to_bronze
-    silver = to_silver(landing_to_bronze(full, cfg).drop("doc_id", "attempt"), cfg).filter(F.col("time").isNotNull())
+    silver = to_silver(landing_to_bronze(full, cfg).drop("doc_id", "attempt"), cfg)
     daily = gold_daily(silver)
     rows = lambda df, cols: sorted(tuple(r) for r in df.select(*cols).collect())
     assert rows(spark.table(f"{db}.{jobs.DAILY_INC}"), DAILY_COLUMNS) == rows(daily, DAILY_COLUMNS)
