@@ -20,6 +20,10 @@ from meteora.session import checkpoint_dir
 #: Fixed by contract: the six white-space characters that part words.
 SPACE_CLASS = r"\x20\x09-\x0D"
 
+#: Rows that a Python worker gets at once: texts can be long.
+BATCH_ROWS = 1000
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _LEFT: list[str] = []
 
 
@@ -43,8 +47,13 @@ def scratch(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     _LEFT.append(path)
+    before = spark.conf.get(_ROWS_KEY)
+    spark.conf.set(_ROWS_KEY, str(min(int(before), BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS_KEY, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out

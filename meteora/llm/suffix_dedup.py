@@ -48,10 +48,10 @@ from meteora.llm.shingles import _BACK, _BASE, CHUNK, _powers, mix
 LENGTH = 200
 GRAM = 32
 #: Anchors or strip bytes held by a task before they go out.
-HELD_ANCHORS = 2_000_000
-HELD_BYTES = 48 << 20
+HELD_ANCHORS = 500_000
+HELD_BYTES = 12 << 20
 #: Strips sorted together.
-COLLECTION = 20_000
+COLLECTION = 10_000
 
 _BYTES = mix(np.arange(1000, 1256, dtype=np.uint64)) | np.uint64(1)
 
@@ -86,7 +86,9 @@ def anchors(data: np.ndarray, cuts: np.ndarray, length: int, gram: int) -> tuple
     return at, h[at]
 
 
-def _anchor_pass(bits: int, length: int, gram: int):
+def _anchor_pass(bits: int, length: int, gram: int, local: bool):
+    """``local``: the anchors that a task finds more than once; otherwise one
+    row of packed columns for each range of hashes."""
     def run(batches):
         seen: set[int] = set()
         held, size = [], 0
@@ -98,16 +100,14 @@ def _anchor_pass(bits: int, length: int, gram: int):
             first = np.r_[True, h[1:] != h[:-1]]
             count = np.diff(np.r_[np.flatnonzero(first), len(h)])
             many = np.repeat(count > 1, count)
+            if local:
+                return _by_node(node[many], pos[many])
             fh, fn, fp, fm = h[first], node[first], pos[first], (count > 1).astype(np.uint8)
             cuts = np.searchsorted(fh >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cuts))
             part = lambda x: pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())
-            none = [None] * len(some)
-            yield pa.record_batch({
-                "r": pa.array(some, pa.int32()), "h": part(fh), "node_of": part(fn), "pos_of": part(fp),
-                "many": part(fm), "node": pa.array(none, pa.int64()), "at": pa.array(none, pa.list_(pa.int32()))})
-            if many.any():
-                yield _by_node(node[many], pos[many])
+            return pa.record_batch({"r": pa.array(some, pa.int32()), "h": part(fh), "node_of": part(fn),
+                                    "pos_of": part(fp), "many": part(fm)})
 
         for batch in batches:
             nodes = batch.column(0).to_numpy()
@@ -124,10 +124,10 @@ def _anchor_pass(bits: int, length: int, gram: int):
                 held.append((h, nodes[lo:hi][d], (at - cuts[d]).astype(np.int32)))
                 size += len(at)
             if size > HELD_ANCHORS:
-                yield from out()
+                yield out()
                 held, size = [], 0
         if size:
-            yield from out()
+            yield out()
 
     return run
 
@@ -135,14 +135,10 @@ def _anchor_pass(bits: int, length: int, gram: int):
 def _by_node(node, pos):
     order = np.lexsort((pos, node))
     node, pos = node[order], pos[order]
-    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
     offsets = np.r_[first, len(node)].astype(np.int32)
-    n = [None] * len(first)
-    return pa.record_batch({
-        "r": pa.array(n, pa.int32()), "h": pa.array(n, pa.binary()), "node_of": pa.array(n, pa.binary()),
-        "pos_of": pa.array(n, pa.binary()), "many": pa.array(n, pa.binary()),
-        "node": pa.array(node[first], pa.int64()),
-        "at": pa.ListArray.from_arrays(pa.array(offsets), pa.array(pos, pa.int32()))})
+    return pa.record_batch({"node": pa.array(node[first], pa.int64()),
+                            "at": pa.ListArray.from_arrays(pa.array(offsets), pa.array(pos, pa.int32()))})
 
 
 def _chunks(texts: pa.Array):
@@ -172,14 +168,24 @@ def _repeated_anchors(pdf):
     return pd.DataFrame({"node": node[ok], "pos": pos[ok]})
 
 
+def _first_rows(batches):
+    """One row for each text; repeated rows of one are in one partition."""
+    seen: set[int] = set()
+    for batch in batches:
+        keep = []
+        for node in batch.column(0).to_pylist():
+            keep.append(node not in seen)
+            seen.add(node)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def _strip_pass(bits: int, length: int, gram: int):
-    """Strips as (r, hash, node, position, left, bytes) in packed columns,
-    and the texts they come from."""
+    """Strips as (r, hash, node, position, twice, bytes, cover) in packed
+    columns, a row for each range of hashes."""
     wide = 2 * length - gram
 
     def run(batches):
         held = {"h": [], "node": [], "pos": [], "twice": [], "strip": [], "cover": []}
-        seen: set[int] = set()
         size = 0
 
         def out():
@@ -189,20 +195,11 @@ def _strip_pass(bits: int, length: int, gram: int):
             cols = {c: np.concatenate(held[c])[order] for c in held}
             some = np.flatnonzero(np.diff(cuts))
             part = lambda x: pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())
-            none = [None] * len(some)
-            return pa.record_batch({
-                "r": pa.array(some, pa.int32()), **{c: part(v) for c, v in cols.items()},
-                "id": pa.array(none, pa.int64()), "text": pa.array(none, pa.binary())})
+            return pa.record_batch({"r": pa.array(some, pa.int32()), **{c: part(v) for c, v in cols.items()}})
 
         for batch in batches:
-            ids, texts = [], []
             for node, at, twice, text in zip(*(batch.column(i) for i in range(4)), strict=True):
                 node = node.as_py()
-                if node in seen:
-                    continue
-                seen.add(node)
-                ids.append(node)
-                texts.append(text)
                 data = np.frombuffer(text.as_buffer(), np.uint8)
                 pos = np.unique(at.values.to_numpy()).astype(np.int64)
                 h = np.concatenate([gram_hashes(data[p:p + gram], gram) for p in pos])
@@ -222,11 +219,6 @@ def _strip_pass(bits: int, length: int, gram: int):
                     for c in held:
                         held[c] = []
                     size = 0
-            if ids:
-                none = [None] * len(ids)
-                yield pa.record_batch({
-                    "r": pa.array(none, pa.int32()), **{c: pa.array(none, pa.binary()) for c in held},
-                    "id": pa.array(ids, pa.int64()), "text": pa.array([t.as_py() for t in texts], pa.binary())})
         if size:
             yield out()
 
@@ -335,35 +327,31 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
                   (F.count(F.lit(1)) > 1).alias("twice"), F.max("n_bytes").alias("n_bytes")))
     texts = scratch(texts, "texts")
     long_ = docs.where(F.octet_length("text") >= length)
-    found = scratch(long_.select("node", "text").mapInArrow(
-        _anchor_pass(bits, length, gram),
-        "r int, h binary, node_of binary, pos_of binary, many binary, node long, at array<int>"), "anchors")
-    singles = (found.where("r IS NOT NULL").select("r", "h", "node_of", "pos_of", "many").groupBy("r")
-               .applyInPandas(_repeated_anchors, "node long, pos int")
+    texts_in = long_.select("node", "text")
+    singles = (texts_in.mapInArrow(_anchor_pass(bits, length, gram, False),
+                                   "r int, h binary, node_of binary, pos_of binary, many binary")
+               .groupBy("r").applyInPandas(_repeated_anchors, "node long, pos int")
                .groupBy("node").agg(F.collect_list("pos").alias("at")))
-    at = (found.where("node IS NOT NULL").select("node", "at").union(singles)
-          .groupBy("node").agg(F.flatten(F.collect_list("at")).alias("at")))
+    local = texts_in.mapInArrow(_anchor_pass(bits, length, gram, True), "node long, at array<int>")
+    at = local.union(singles).groupBy("node").agg(F.flatten(F.collect_list("at")).alias("at"))
     wanted = scratch(at.join(texts, "node").select(F.col("node").alias("_node"), "rep", "twice", "at"), "wanted")
-    drop(found)
     read = (long_.join(wanted.hint("shuffle_hash"), (long_["node"] == wanted["_node"])
                        & long_["doc_id"].eqNullSafe(wanted["rep"]))
             .select("node", "at", "twice", "text"))
-    strips = scratch(read.mapInArrow(
-        _strip_pass(bits, length, gram),
-        "r int, h binary, node binary, pos binary, twice binary, strip binary, cover binary, id long, text binary"),
-        "strips")
+    read = scratch(read.mapInArrow(_first_rows, "node long, at array<int>, twice boolean, text binary"), "read")
     drop(wanted)
-    spans = (strips.where("r IS NOT NULL").select("r", "h", "node", "pos", "twice", "strip", "cover").groupBy("r")
-             .applyInPandas(_sort_strips(length, gram), "node long, lo long, hi long"))
-    spans = scratch(spans.groupBy("node").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    strips = read.mapInArrow(_strip_pass(bits, length, gram),
+                             "r int, h binary, node binary, pos binary, twice binary, strip binary, cover binary")
+    spans = strips.groupBy("r").applyInPandas(_sort_strips(length, gram), "node long, lo long, hi long")
     once = texts.where("NOT twice").select("node")
-    cut = (strips.where("id IS NOT NULL").select(F.col("id").alias("node"), "text")
-           .join(spans, "node").join(once, "node").select("node", "text", "spans")
+    spans = scratch(spans.groupBy("node").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+                    .join(once, "node"), "spans")
+    cut = (read.select("node", "text").join(spans.hint("shuffle_hash"), "node").select("node", "text", "spans")
            .mapInArrow(_cut_pass, "node long, n_removed long, n_spans long, kept_sha256 string"))
     whole = texts.where("twice").select("node", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
                                         F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"))
     cut = scratch(cut.union(whole), "cut")
-    drop(strips, spans, texts)
+    drop(read, spans, texts)
     none = F.lit(0).cast("long")
     return rows.join(cut, "node", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
