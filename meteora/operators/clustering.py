@@ -58,22 +58,6 @@ def scaled_name(c: str) -> str:
     return f"s_{c}"
 
 
-def standardize(feats: DataFrame, cols=FEATURE_COLUMNS) -> DataFrame:
-    """(x - mean) / sample std per column, 0 where std is 0 (the scaler's
-    rule). Means and stds are one aggregate row over ``feats``, attached
-    once as a scalar-subquery column."""
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
-    st = feats.agg(F.struct(*aggs).alias("st")).select("st").scalar()
-    withst = feats.withColumn("_st", st)
-    out = []
-    for i, c in enumerate(cols):
-        m, sd = F.col(f"_st.m{i}"), F.col(f"_st.s{i}")
-        out.append(F.when(sd == 0, F.lit(0.0)).otherwise((F.col(c) - m) / sd).alias(scaled_name(c)))
-    return withst.select("city", "country", *out)
-
-
 def _sqdist(xs: list[Column], center) -> Column:
     acc = None
     for x, c in zip(xs, center):
@@ -99,96 +83,6 @@ def assign_nearest(scaled: DataFrame, centers: list[list[float]], cols=FEATURE_C
     return scaled.withColumn("prediction", pred).withColumn("sq_distance", best)
 
 
-def _stat_aggs(k: int, pred: str, tag: str, names: list[str]) -> list[Column]:
-    p = F.col(pred)
-    xq = sum(F.col(c) * F.col(c) for c in names)
-    aggs = []
-    for j in range(k):
-        inj = p == j
-        aggs.append(F.count_if(inj).cast("double").alias(f"{tag}n{j}"))
-        aggs += [F.sum(F.when(inj, F.col(c))).alias(f"{tag}t{j}_{i}") for i, c in enumerate(names)]
-        aggs.append(F.sum(F.when(inj, xq)).alias(f"{tag}q{j}"))
-    return aggs
-
-
-def _silhouette_stages(k: int, pred: str, tag: str, names: list[str], out: str) -> list[dict]:
-    """Column stages (each a dict for one ``withColumns``) computing the
-    per-point silhouette ``out`` from the cluster sums in the struct column
-    ``_st`` (fields prefixed by ``tag``) and the squared norm ``_xq``.
-    Staging keeps each analysed plan small and lets later stages refer to
-    earlier columns instead of repeating their expressions."""
-    p = F.col(pred)
-    st = lambda f: F.col(f"_st.{tag}{f}")
-    d = {}
-    for j in range(k):
-        n = st(f"n{j}")
-        dot = sum(F.col(c) * st(f"t{j}_{i}") for i, c in enumerate(names))
-        d[f"_{tag}d{j}"] = F.when(n > 0, F.col("_xq") + st(f"q{j}") / n - F.lit(2.0) * dot / n)
-    own_n, own_d = None, None
-    for j in range(k):
-        own_n = F.when(p == j, st(f"n{j}")) if own_n is None else own_n.when(p == j, st(f"n{j}"))
-        own_d = F.when(p == j, F.col(f"_{tag}d{j}")) if own_d is None else own_d.when(p == j, F.col(f"_{tag}d{j}"))
-    others = [F.when(p != j, F.col(f"_{tag}d{j}")) for j in range(k)]
-    own = {f"_{tag}on": own_n, f"_{tag}od": own_d,
-           f"_{tag}b": F.least(*others) if len(others) > 1 else others[0]}
-    a_stage = {f"_{tag}a": F.try_divide(F.col(f"_{tag}od") * F.col(f"_{tag}on"),
-                                        F.col(f"_{tag}on") - F.lit(1.0))}
-    a, b, on = F.col(f"_{tag}a"), F.col(f"_{tag}b"), F.col(f"_{tag}on")
-    sil = (F.when(on == 1, F.lit(0.0))
-           .when(a < b, F.lit(1.0) - F.try_divide(a, b))
-           .when(a > b, F.try_divide(b, a) - F.lit(1.0))
-           .otherwise(F.lit(0.0)))
-    return [d, own, a_stage, {out: sil}]
-
-
-def _apply_stages(df: DataFrame, stage_lists: list[list[dict]]) -> DataFrame:
-    temps = []
-    for i in range(max(len(s) for s in stage_lists)):
-        merged = {}
-        for stages in stage_lists:
-            if i < len(stages):
-                merged.update(stages[i])
-        df = df.withColumns(merged)
-        if i < max(len(s) for s in stage_lists) - 1:
-            temps += list(merged)
-    return df.drop(*temps)
-
-
-def silhouette_points(assigned: DataFrame, k: int, cols=FEATURE_COLUMNS,
-                      pred: str = "prediction") -> DataFrame:
-    """Per-point silhouette with squared Euclidean distance, the formulation
-    of Spark's ClusteringEvaluator: a = mean distance to the own cluster
-    (others only), b = smallest mean distance to another cluster,
-    singletons score 0. Cluster ids are 0..k-1.
-
-    Per-cluster sums (count, feature sums, squared-norm sum) are one
-    aggregate row, attached once as a scalar-subquery column."""
-    names = [scaled_name(c) for c in cols]
-    st = assigned.agg(F.struct(*_stat_aggs(k, pred, "", names)).alias("s")).select("s").scalar()
-    df = assigned.withColumns({"_st": st, "_xq": sum(F.col(c) * F.col(c) for c in names)})
-    return _apply_stages(df, [_silhouette_stages(k, pred, "", names, "silhouette")]).drop("_st", "_xq")
-
-
-def silhouette_sweep(scaled: DataFrame, centers_by_k: dict, cols=FEATURE_COLUMNS) -> DataFrame:
-    """(k, silhouette) for several literal-centre assignments in one pass:
-    every k's assignment is a column, all cluster sums are one aggregate row
-    (one scalar subquery), and one final aggregation averages every k."""
-    names = [scaled_name(c) for c in cols]
-    xs = [F.col(c) for c in names]
-    df = scaled.withColumns({f"p{k}": _nearest(xs, ctrs)[0] for k, ctrs in centers_by_k.items()})
-    aggs = [a for k in centers_by_k for a in _stat_aggs(k, f"p{k}", f"k{k}_", names)]
-    st = df.agg(F.struct(*aggs).alias("s")).select("s").scalar()
-    df = df.withColumns({"_st": st, "_xq": sum(F.col(c) * F.col(c) for c in names)})
-    df = _apply_stages(df, [_silhouette_stages(k, f"p{k}", f"k{k}_", names, f"sil{k}") for k in centers_by_k])
-    wide = df.agg(*[F.avg(f"sil{k}").alias(str(k)) for k in centers_by_k])
-    return wide.unpivot([], [str(k) for k in centers_by_k], "k", "silhouette") \
-        .select(F.col("k").cast("int").alias("k"), "silhouette")
-
-
-def silhouette(assigned: DataFrame, k: int, cols=FEATURE_COLUMNS, pred: str = "prediction") -> DataFrame:
-    return silhouette_points(assigned, k, cols, pred).agg(F.avg("silhouette").alias("silhouette"))
-
-
 def centers(assigned: DataFrame, cols=FEATURE_COLUMNS, pred: str = "prediction") -> DataFrame:
     """Cluster centres in scaled units plus sizes."""
     return assigned.groupBy(pred).agg(
@@ -197,13 +91,9 @@ def centers(assigned: DataFrame, cols=FEATURE_COLUMNS, pred: str = "prediction")
     )
 
 
-def argmax_k(scores: DataFrame, digits: int = 4) -> DataFrame:
-    """Best k by score rounded to ``digits``; ties go to the lowest k."""
-    r = scores.withColumn("score_rounded", rh("silhouette", digits))
-    return r.agg(
-        F.max_by(F.col("k"), F.struct(F.col("score_rounded"), -F.col("k"))).alias("best_k"),
-        F.max("score_rounded").alias("best_silhouette"),
-    )
+def best_of(scores: list[tuple]) -> tuple:
+    """The (k, score) with the best rounded score, the lowest k on ties."""
+    return max(scores, key=lambda s: (s[1], -s[0]))
 
 
 # ---- Spark ML sweep ---------------------------------------------------------
@@ -232,29 +122,40 @@ def ml_scaled(features: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return scaler.fit(assembled).transform(assembled)
 
 
+def scaled_columns(scaled: DataFrame) -> DataFrame:
+    """The scaler's output as one column a feature, beside the vector."""
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array(F.col("features"))
+    return scaled.select("*", *[F.get(v, F.lit(i)).alias(scaled_name(c)) for i, c in enumerate(FEATURE_COLUMNS)])
+
+
+def silhouette_score(assigned: DataFrame) -> float:
+    """Mean silhouette of an assignment by the sweep's evaluator."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    return ClusteringEvaluator(featuresCol="features").evaluate(assigned)
+
+
 def kmeans_sweep(features: DataFrame, cfg: PipelineConfig, parallelism: int | None = None) -> SweepResult:
     """Fit K-Means for k in [k_min, k_max] on the cached scaled features,
     score each with the silhouette evaluator, keep the best rounded score
     (lowest k on ties). Fits run from a small thread pool; each fit is itself
     distributed. The chosen model is reused, not refitted."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
 
     scaled = ml_scaled(features, cfg).cache()
     scaled.count()  # materialise before the fits run concurrently
-    evaluator = ClusteringEvaluator(featuresCol="features")
-
     def fit(k):
         model = KMeans(featuresCol="features", k=k, seed=cfg.kmeans_seed).fit(scaled)
         assigned = model.transform(scaled)
         if assigned.select("prediction").distinct().count() < 2:
             return k, float("-inf"), model  # the silhouette needs two clusters
-        return k, round(evaluator.evaluate(assigned), cfg.silhouette_digits), model
+        return k, round(silhouette_score(assigned), cfg.silhouette_digits), model
 
     ks = list(range(cfg.k_min, cfg.k_max + 1))
     with ThreadPoolExecutor(max_workers=max(1, parallelism or len(ks))) as ex:
         fitted = list(ex.map(fit, ks))
-    best_k, best_score, model = max(fitted, key=lambda t: (t[1], -t[0]))
+    best_k, best_score = best_of([(k, s) for k, s, _ in fitted])
+    model = next(m for k, _, m in fitted if k == best_k)
     if best_score == float("-inf"):
         raise ValueError("no k in the sweep could be scored (too few stations)")
     scaled.unpersist()

@@ -110,11 +110,18 @@ def _finish(df: DataFrame, cfg: PipelineConfig, yhat: Column, half: Column) -> D
     ).select(*FORECAST_COLUMNS)
 
 
-def trend_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def trend_points(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """city, country, forecast_date with the unrounded ``yhat`` and half
+    interval ``half``."""
     coef = trend_coefficients(daily, cfg).filter(F.col("slope").isNotNull())
-    h = _horizon(coef, cfg)
     yhat = F.col("mean_y") + F.col("slope") * (_x("forecast_date") - F.col("mean_x"))
-    return _finish(h, cfg, yhat, F.lit(interval_z(cfg.interval_width)) * F.col("sigma"))
+    return _horizon(coef, cfg).select(
+        "city", "country", "forecast_date", yhat.alias("yhat"),
+        (F.lit(interval_z(cfg.interval_width)) * F.col("sigma")).alias("half"))
+
+
+def trend_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return _finish(trend_points(daily, cfg), cfg, F.col("yhat"), F.col("half"))
 
 
 def seasonal_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -138,14 +145,15 @@ def seasonal_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return _finish(j, cfg, yhat, F.lit(interval_z(cfg.interval_width)) * F.col("sigma"))
 
 
-def forecast_metrics(daily: DataFrame, forecast: DataFrame) -> DataFrame:
+def forecast_metrics(daily: DataFrame, points: DataFrame) -> DataFrame:
     """Per station: last actual value, first forecast value, mean interval
-    width over the horizon (each rounded to 2 dp)."""
+    width over the horizon, each from unrounded ``points`` (city, country,
+    forecast_date, yhat, half) and rounded to 2 dp."""
     last = daily.groupBy("city").agg(F.max_by("avg_temp_c", "date").alias("last_actual_temp"),
                                      F.count(F.lit(1)).alias("training_rows"))
-    fm = forecast.groupBy("city", "country").agg(
-        F.min_by("predicted_temp_c", "forecast_date").alias("first_forecast_temp"),
-        F.avg(F.col("predicted_high_c") - F.col("predicted_low_c")).alias("avg_uncertainty_c"),
+    fm = points.groupBy("city", "country").agg(
+        F.min_by("yhat", "forecast_date").alias("first_forecast_temp"),
+        F.avg(2 * F.col("half")).alias("avg_uncertainty_c"),
     )
     return fm.join(last, "city").select(
         "city", "country", "training_rows",
@@ -158,23 +166,22 @@ def forecast_metrics(daily: DataFrame, forecast: DataFrame) -> DataFrame:
 # ---- additive model (applyInPandas) ----------------------------------------
 
 ADDITIVE_SCHEMA = ("city string, country string, forecast_date timestamp_ntz, yhat double, "
-                   "yhat_lower double, yhat_upper double, status string, training_rows bigint")
+                   "yhat_lower double, yhat_upper double, status string, training_rows bigint, error string, "
+                   "first_day date, span_days double, y_scale double, changepoints array<double>, "
+                   "coefficients array<double>, residual_var double")
+MODEL_COLUMNS = ["city", "country", "training_rows", "status", "first_day", "span_days", "y_scale",
+                 "changepoints", "coefficients", "residual_var"]
 N_CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
 YEARLY_ORDER = 10
 YEAR_DAYS = 365.25
 
 
-MODEL_SCHEMA = ("city string, country string, training_rows bigint, status string, first_day date, "
-                "span_days double, y_scale double, changepoints array<double>, "
-                "coefficients array<double>, residual_var double")
-
-
-def make_additive_fn(cfg: PipelineConfig, emit: str = "forecast"):
-    """Build the per-station function for ``applyInPandas``: ``emit`` is
-    "forecast" (horizon rows) or "model" (one coefficient row per station,
-    the model artefact). Everything it needs is captured in the closure, so
-    executors need no package install."""
+def make_additive_fn(cfg: PipelineConfig):
+    """Build the per-station function for ``applyInPandas``: the horizon's
+    rows of one fit, the first of them with the model artefact, or one row
+    with the reason of the failure. Everything it needs is captured in the
+    closure, so executors need no package install."""
     z = interval_z(cfg.interval_width)
     horizon, min_rows = cfg.forecast_days, cfg.min_training_rows
     prior = cfg.changepoint_prior_scale
@@ -250,41 +257,41 @@ def make_additive_fn(cfg: PipelineConfig, emit: str = "forecast"):
         pdf = pdf.sort_values("date")
         city, country, n = pdf["city"].iloc[0], pdf["country"].iloc[0], len(pdf)
 
-        def status_row(status):
-            if emit == "model":
-                return pd.DataFrame([dict(city=city, country=country, training_rows=n, status=status,
-                                          first_day=None, span_days=np.nan, y_scale=np.nan,
-                                          changepoints=None, coefficients=None, residual_var=np.nan)])
-            return pd.DataFrame([dict(city=city, country=country, status=status, training_rows=n,
-                                      forecast_date=pd.NaT, yhat=np.nan, yhat_lower=np.nan,
-                                      yhat_upper=np.nan)])
+        def status_row(status, error=None):
+            return pd.DataFrame([dict(city=city, country=country, status=status, training_rows=n, error=error,
+                                      forecast_date=pd.NaT, yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan,
+                                      first_day=None, span_days=np.nan, y_scale=np.nan, changepoints=None,
+                                      coefficients=None, residual_var=np.nan)])
 
         if n < min_rows:
             return status_row("skipped")
         try:
             m = fit(pdf)
-            if emit == "model":
-                return pd.DataFrame([dict(
-                    city=city, country=country, training_rows=n, status="ok",
-                    first_day=pd.Timestamp(int(m["t0"]), unit="D").date(), span_days=float(m["span"]),
-                    y_scale=float(m["scale"]), changepoints=[float(c) for c in m["cps"]],
-                    coefficients=[float(b) for b in m["beta"]], residual_var=float(m["s2"]))])
             out = forecast_rows(pdf, city, country, n, m)
             if not np.all(np.isfinite(out[["yhat", "yhat_lower", "yhat_upper"]].to_numpy())):
                 raise FloatingPointError("non-finite forecast")
-            return out
-        except Exception:  # noqa: BLE001 — one station's failure must not stop the others
-            return status_row("failed")
+        except (ArithmeticError, ValueError, np.linalg.LinAlgError) as e:
+            # one station's data must not stop the others; its reason is kept
+            return status_row("failed", f"{type(e).__name__}: {e}")
+        first = lambda value, none: [value] + [none] * (len(out) - 1)
+        return out.assign(
+            error=None, first_day=first(pd.Timestamp(int(m["t0"]), unit="D").date(), None),
+            span_days=first(float(m["span"]), np.nan), y_scale=first(float(m["scale"]), np.nan),
+            changepoints=first([float(c) for c in m["cps"]], None),
+            coefficients=first([float(b) for b in m["beta"]], None), residual_var=first(float(m["s2"]), np.nan))
 
     return run
 
 
+def models_of(runs: DataFrame) -> DataFrame:
+    """Per-station model artefact out of ``additive_model_runs``:
+    changepoints, coefficients (intercept, slope, changepoint deltas, Fourier
+    pairs), residual variance."""
+    return runs.filter(F.col("first_day").isNotNull()).select(*MODEL_COLUMNS)
+
+
 def additive_models(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Per-station model artefact: changepoints, coefficients (intercept,
-    slope, changepoint deltas, Fourier pairs), residual variance."""
-    e = eligibility(daily, cfg)
-    s = series(daily).join(e.filter("eligible").select("city"), "city", "left_semi")
-    return s.groupBy("city").applyInPandas(make_additive_fn(cfg, "model"), MODEL_SCHEMA)
+    return models_of(additive_model_runs(daily, cfg))
 
 
 def additive_model_runs(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -303,12 +310,15 @@ def additive_model_runs(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
         F.lit(None).cast("double").alias("yhat"), F.lit(None).cast("double").alias("yhat_lower"),
         F.lit(None).cast("double").alias("yhat_upper"), F.lit("skipped").alias("status"),
         F.col("training_rows").cast("bigint").alias("training_rows"))
-    return fitted.unionByName(skipped)
+    return fitted.unionByName(skipped, allowMissingColumns=True)
+
+
+def run_points(runs: DataFrame) -> DataFrame:
+    return runs.filter(F.col("status") == "ok").withColumn("half", (F.col("yhat_upper") - F.col("yhat_lower")) / 2)
 
 
 def additive_forecast(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    runs = additive_model_runs(daily, cfg).filter(F.col("status") == "ok")
-    return _finish(runs, cfg, F.col("yhat"), (F.col("yhat_upper") - F.col("yhat_lower")) / 2)
+    return _finish(run_points(additive_model_runs(daily, cfg)), cfg, F.col("yhat"), F.col("half"))
 
 
 def status_counts(runs: DataFrame) -> DataFrame:

@@ -19,9 +19,9 @@ from meteora.operators.gold import city_ranking, gold_daily
 from meteora.operators.dedup import latest_by
 from meteora.operators.materialize import materialize
 from meteora.operators.ranking import global_rank
-from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, metrics_long
+from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, forecast_run_log, metrics_long
 from meteora.operators.silver import DEDUP_ORDER, observed_between, parse_time, silver_state, to_silver
-from meteora.schemas import RANKING_COLUMNS
+from meteora.schemas import FEATURE_COLUMNS, RANKING_COLUMNS
 from meteora.sinks import export_csv, write_table
 from meteora.sources.payload import first_valid, flatten, parse_landing, quarantine
 from meteora.streaming.incremental import overwrite_partitions, upsert_silver_batch
@@ -121,7 +121,11 @@ def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_d
          for i, c in enumerate(res.model.clusterCenters())
          for n, j in (("temp", 0), ("humidity", 2), ("precip", 4))],
         RUNLOG_SCHEMA)
-    log = metrics_long(params, "run", None, "metric").unionByName(sizes).unionByName(center_rows)
+    setup = clusters.agg(F.count(F.lit(1)).alias("cities_count")).select(
+        F.lit(run_id).alias("run"), F.lit(",".join(FEATURE_COLUMNS)).alias("features"),
+        F.lit("StandardScaler").alias("scaler"), "cities_count")
+    log = metrics_long(setup, "run", None, "param").unionByName(metrics_long(params, "run", None, "metric")) \
+        .unionByName(sizes).unionByName(center_rows)
     write_table(log.withColumn("logged_at", stamp(cfg.now)), _t(db, RUNLOG), mode="append")
     if csv_dir:
         export_csv(clusters, csv_dir)
@@ -136,12 +140,16 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
     runs_t = _t(db, FORECAST + "_runs")
     write_table(runs, runs_t)
     runs = spark.table(runs_t)
-    forecast = FC._finish(runs.filter(F.col("status") == "ok"), cfg, F.col("yhat"),
-                          (F.col("yhat_upper") - F.col("yhat_lower")) / 2)
-    write_table(forecast, _t(db, FORECAST))
-    write_table(FC.additive_models(daily, cfg), _t(db, FORECAST + "_models"))
-    status = FC.status_counts(runs).withColumn("run", F.lit("forecast_all_cities"))
-    log = metrics_long(status, "run", None, "metric")
+    points = FC.run_points(runs)
+    write_table(FC._finish(points, cfg, F.col("yhat"), F.col("half")), _t(db, FORECAST))
+    write_table(FC.models_of(runs), _t(db, FORECAST + "_models"))
+    run = "forecast_all_cities"
+    log = forecast_run_log(run, cfg, daily, FC.forecast_metrics(daily, points))
+    log = log.unionByName(metrics_long(FC.status_counts(runs).withColumn("run", F.lit(run)), "run", None, "metric"))
+    errors = runs.filter(F.col("error").isNotNull()).select(
+        F.concat(F.lit("forecast_"), F.col("city")).alias("run_id"), F.lit(run).alias("parent_run"),
+        F.lit("error").alias("kind"), F.lit("error").alias("name"), F.col("error").alias("value"))
+    log = log.unionByName(errors)
     write_table(log.withColumn("logged_at", stamp(cfg.now)), _t(db, RUNLOG), mode="append")
     return spark.table(_t(db, FORECAST))
 

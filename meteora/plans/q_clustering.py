@@ -39,15 +39,9 @@ def _features(spark, root):
     return C.city_features(I.daily_a(spark, root))
 
 
-def _features_m(spark, root):
-    """Features checkpointed once: the relational steps below read them
-    from the main plan and from scalar subqueries."""
-    from meteora.operators.materialize import materialize
-    return materialize(_features(spark, root))
-
-
 def _scaled(spark, root):
-    return C.standardize(_features_m(spark, root))
+    """What the job's scaler makes of the features, a column each."""
+    return C.scaled_columns(C.ml_scaled(_features(spark, root), I.QCFG))
 
 
 # ---- SQL -------------------------------------------------------------------
@@ -139,8 +133,9 @@ def nearest_center_q(spark, root):
                                       _sql_silhouette("sil", "asg"))
           + f"SELECT {Q.rh('avg(silhouette)', _D)} AS silhouette, count(*) AS points FROM sil")
 def silhouette_fixed_q(spark, root):
-    p = C.silhouette_points(C.assign_nearest(_scaled(spark, root), FIXED), len(FIXED))
-    return p.agg(rh(F.avg("silhouette"), _D).alias("silhouette"), F.count(F.lit(1)).alias("points"))
+    a = C.assign_nearest(_scaled(spark, root), FIXED)
+    score = rh(F.lit(C.silhouette_score(a)), _D)
+    return a.agg(score.alias("silhouette"), F.count(F.lit(1)).alias("points"))
 
 
 @register("cluster_centers", Q.with_(*_A_DAILY, _FEATS, _STATS, _SCALED, _sql_assign("asg", "scaled", FIXED))
@@ -164,10 +159,8 @@ _LABELLED_SQL = [*_A_DAILY, _FEATS, _STATS, _SCALED, _sql_assign("asg4", "scaled
 
 
 def _labelled(spark, root):
-    feats = _features_m(spark, root)
-    a = C.assign_nearest(C.standardize(feats), LABEL_CENTERS).select("city", "country", "prediction")
-    return (feats.join(a, ["city", "country"])
-            .withColumn("climate_cluster", lookup_label(F.col("prediction"), I.QCFG.cluster_labels))
+    a = C.assign_nearest(_scaled(spark, root), LABEL_CENTERS)
+    return (a.withColumn("climate_cluster", lookup_label(F.col("prediction"), I.QCFG.cluster_labels))
             .select(*CLUSTER_COLUMNS))
 
 
@@ -180,8 +173,6 @@ def cluster_labels_q(spark, root):
 _SUMMARY_SQL = """SELECT climate_cluster, count(*) AS city_count,
        {t} AS avg_temp, {h} AS avg_humidity, {p} AS avg_precip
 FROM {{clusters}} GROUP BY climate_cluster ORDER BY avg_temp DESC"""
-_SUMMARY = _SUMMARY_SQL.format(t="round(avg(mean_temp_c), 1)", h="round(avg(mean_humidity), 1)",
-                               p="round(avg(mean_precip_mm), 1)")
 
 
 @register("cluster_summary", Q.with_(*_LABELLED_SQL) + _SUMMARY_SQL.format(
@@ -221,10 +212,13 @@ _SW_PARTS, _SW_UNION = _sweep_sql()
 def argmax_tiebreak_q(spark, root):
     """Sweep k = 3..8 over literal-centre assignments; best rounded
     silhouette, lowest k on ties."""
-    scaled = _scaled(spark, root)
-    ks = range(I.QCFG.k_min, I.QCFG.k_max + 1)
-    scores = C.silhouette_sweep(scaled, {k: CENTERS[:k] for k in ks})
-    return C.argmax_k(scores, I.QCFG.silhouette_digits)
+    scaled = _scaled(spark, root).cache()
+    try:
+        scores = [(k, round(C.silhouette_score(C.assign_nearest(scaled, CENTERS[:k])), I.QCFG.silhouette_digits))
+                  for k in range(I.QCFG.k_min, I.QCFG.k_max + 1)]
+    finally:
+        scaled.unpersist()
+    return spark.createDataFrame([C.best_of(scores)], "best_k int, best_silhouette double")
 
 
 @register("kmeans_sweep")
@@ -240,3 +234,33 @@ def city_clusters_q(spark, root):
     """Gold cluster table from the best Spark ML model — rows only."""
     res = C.kmeans_sweep(_features(spark, root), I.QCFG)
     return C.label_clusters(res.clustered, I.QCFG)
+
+
+_KS = range(I.QCFG.k_min, I.QCFG.k_max + 1)
+
+
+@register("kmeans_sweep_facts", Q.with_(*_A_DAILY, _FEATS)
+          + "SELECT k, (SELECT count(*) FROM feats) AS points, true AS scored, 1::BIGINT AS chosen_in_all "
+            f"FROM (VALUES {', '.join(f'({k})' for k in _KS)}) v(k)")
+def kmeans_sweep_facts_q(spark, root):
+    """What holds for any fit: every k is scored in [-1, 1] over all points,
+    one k is chosen and none scores higher."""
+    feats = _features(spark, root)
+    res = C.kmeans_sweep(feats, I.QCFG)
+    top = max(s for _, s in res.scores)
+    rows = [(k, -1 <= s <= 1, sum(1 for q, t in res.scores if q == res.best_k and t == top)) for k, s in res.scores]
+    points = res.clustered.select(F.count(F.lit(1))).first()[0]
+    return (spark.createDataFrame(rows, "k int, scored boolean, chosen_in_all long")
+            .select("k", F.lit(points).alias("points"), "scored", "chosen_in_all"))
+
+
+@register("city_clusters_facts", Q.with_(*_A_DAILY, _FEATS)
+          + "SELECT city, country, mean_temp_c, true AS id_in_range, true AS nearest FROM feats")
+def city_clusters_facts_q(spark, root):
+    """Every station has one cluster id of the chosen model, that of its
+    nearest centre."""
+    res = C.kmeans_sweep(_features(spark, root), I.QCFG)
+    centres = [[float(x) for x in c] for c in res.model.clusterCenters()]
+    d = C.assign_nearest(C.scaled_columns(res.clustered.withColumnRenamed("prediction", "fitted")), centres)
+    return d.select("city", "country", "mean_temp_c", F.col("fitted").between(0, res.best_k - 1).alias("id_in_range"),
+                    (F.col("fitted") == F.col("prediction")).alias("nearest"))

@@ -117,19 +117,21 @@ def forecast_coefficients_q(spark, root):
     return c.select("city", "country", "n", *[rh(x, _D).alias(x) for x in _COEF_COLS], "last_date")
 
 
-@register("forecast_metrics", Q.with_(*_TREND_SQL, "fc AS (" + _TREND_FINAL + ")")
-          + f"""SELECT f.city, f.country, l.training_rows,
+_METRICS_SQL = f"""SELECT f.city, f.country, l.training_rows,
        {Q.rh('l.last_actual_temp', 2)} AS last_actual_temp,
        {Q.rh('f.first_forecast_temp', 2)} AS first_forecast_temp,
        {Q.rh('f.avg_uncertainty_c', 2)} AS avg_uncertainty_c
-FROM (SELECT city, country, arg_min(predicted_temp_c, forecast_date) AS first_forecast_temp,
-             avg(predicted_high_c - predicted_low_c) AS avg_uncertainty_c
-      FROM fc GROUP BY city, country) f
+FROM (SELECT city, country, arg_min({_TREND_YHAT}, forecast_date) AS first_forecast_temp,
+             avg(2 * ({_Z} * sigma)) AS avg_uncertainty_c
+      FROM hz GROUP BY city, country) f
 JOIN (SELECT city, arg_max(avg_temp_c, date) AS last_actual_temp, count(*) AS training_rows
-      FROM g GROUP BY city) l ON f.city = l.city""")
+      FROM g GROUP BY city) l ON f.city = l.city"""
+
+
+@register("forecast_metrics", Q.with_(*_TREND_SQL) + _METRICS_SQL)
 def forecast_metrics_q(spark, root):
     d = I.daily_b(spark, root)
-    return FC.forecast_metrics(d, FC.trend_forecast(d, _CFG))
+    return FC.forecast_metrics(d, FC.trend_points(d, _CFG))
 
 
 @register("forecast_status", Q.with_(*_AB_DAILY, _coef_sql("gab", "coef", _CFG.min_training_rows),
@@ -159,3 +161,21 @@ def forecast_additive_q(spark, root):
     """Trend + changepoints + yearly seasonality per station — rows only."""
     d = I.daily_a(spark, root).unionByName(I.daily_b(spark, root))
     return FC.additive_forecast(d, _CFG).select(*_OUT)
+
+
+@register("forecast_additive_facts", Q.with_(*_AB_DAILY) + f"""
+SELECT city, {_CFG.forecast_days}::BIGINT AS days,
+       CAST(CAST(max(date) AS DATE) + 1 AS VARCHAR) AS first_day,
+       CAST(CAST(max(date) AS DATE) + {_CFG.forecast_days} AS VARCHAR) AS last_day,
+       true AS ordered
+FROM gab GROUP BY city HAVING count(*) >= {_CFG.min_training_rows}""")
+def forecast_additive_facts_q(spark, root):
+    """What holds for any fit of the additive form: the eligible stations,
+    their seven days, low ≤ predicted ≤ high."""
+    d = I.daily_a(spark, root).unionByName(I.daily_b(spark, root))
+    f = FC.additive_forecast(d, _CFG)
+    p = F.col("predicted_temp_c")
+    return f.groupBy("city").agg(
+        F.count_distinct("forecast_date").alias("days"), F.min(F.col("forecast_date").cast("date")).cast("string").alias("first_day"),
+        F.max(F.col("forecast_date").cast("date")).cast("string").alias("last_day"),
+        F.bool_and((F.col("predicted_low_c") <= p) & (p <= F.col("predicted_high_c"))).alias("ordered"))

@@ -14,6 +14,7 @@ from meteora.plans.catalog import register
 from meteora.schemas import SILVER_COLUMNS
 from meteora.sources import payload as P
 from meteora.sources.adapters import events_observations, station_dim
+from meteora.sources.cities import absent_stations
 
 _SILVER_OUT = [c for c in SILVER_COLUMNS if c != "ingested_at"]
 
@@ -126,3 +127,19 @@ def backfill_union_q(spark, root):
     cur_cfg = I.QCFG.with_(now=I.QCFG.now + _dt.timedelta(hours=1))
     cur = events_observations(ev.filter(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")), cur_cfg)
     return to_silver(hist.unionByName(cur), I.QCFG).select(*_SILVER_OUT)
+
+
+@register("stations_without_data", """SELECT d.city, d.country FROM (
+  SELECT n.n_nationkey AS nationkey, n.n_name AS city, r.r_name AS country
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey) d
+WHERE NOT EXISTS (
+  SELECT 1 FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey
+  WHERE c.c_nationkey = d.nationkey AND o.o_orderdate < DATE '1992-01-08')""")
+def stations_without_data_q(spark, root):
+    """Stations of the dimension that a batch (the first days' orders) has
+    no document for: the fetch report's left-anti join."""
+    t = lambda n: I.table(spark, root, n)
+    batch = (t("orders").filter(F.col("o_orderdate") < F.lit("1992-01-08").cast("date"))
+             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+             .select(F.col("c_nationkey").alias("nationkey")))
+    return absent_stations(station_dim(t("nation"), t("region")), batch, "nationkey").select("city", "country")

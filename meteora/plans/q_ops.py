@@ -8,8 +8,9 @@ from meteora.operators import anomalies as A
 from meteora.operators import forecasting as FC
 from meteora.operators import quality as QY
 from meteora.operators.gold import city_ranking
-from meteora.operators.runlog import metrics_long
+from meteora.operators.runlog import forecast_run_log
 from meteora.plans import inputs as I
+from meteora.plans import q_forecast as QF
 from meteora.plans import sql_fragments as Q
 from meteora.plans.catalog import register
 
@@ -53,36 +54,24 @@ def table_counts_q(spark, root):
                            ranking=city_ranking(silver), anomalies=A.anomalies(daily, cfg))
 
 
-_RUN_METRICS = ["training_rows", "last_actual_temp", "first_forecast_temp", "avg_uncertainty_c"]
+_RUN = "forecast_all_cities"
 
 
-@register("run_metrics", Q.with_(*_B_SILVER, Q.daily("s", "g")) + f"""
-, coef AS (SELECT city, count(*) AS n FROM g GROUP BY city HAVING count(*) >= {I.QCFG.min_training_rows})
-SELECT 'forecast' AS run_id, CAST(NULL AS VARCHAR) AS parent_run, 'param' AS kind, name, value
+@register("run_metrics", Q.with_(*QF._TREND_SQL, f"m AS ({QF._METRICS_SQL})") + f"""
+SELECT '{_RUN}' AS run_id, CAST(NULL AS VARCHAR) AS parent_run, 'param' AS kind, name, value
 FROM (VALUES ('forecast_days', {float(I.QCFG.forecast_days)}), ('min_training_rows', {float(I.QCFG.min_training_rows)}),
              ('changepoint_prior_scale', {I.QCFG.changepoint_prior_scale}), ('interval_width', {I.QCFG.interval_width})) v(name, value)
 UNION ALL
-SELECT 'forecast', NULL, 'param', 'cities_count', CAST(count(DISTINCT city) AS DOUBLE) FROM g
+SELECT '{_RUN}', NULL, 'param', 'cities_count', CAST(count(DISTINCT city) AS DOUBLE) FROM g
 UNION ALL
-SELECT 'forecast_' || city, 'forecast', 'param', 'training_rows', CAST(n AS DOUBLE) FROM coef""")
+SELECT 'forecast_' || city, '{_RUN}', 'param', 'training_rows', CAST(training_rows AS DOUBLE) FROM m
+UNION ALL SELECT 'forecast_' || city, '{_RUN}', 'metric', 'last_actual_temp', last_actual_temp FROM m
+UNION ALL SELECT 'forecast_' || city, '{_RUN}', 'metric', 'first_forecast_temp', first_forecast_temp FROM m
+UNION ALL SELECT 'forecast_' || city, '{_RUN}', 'metric', 'avg_uncertainty_c', avg_uncertainty_c FROM m""")
 def run_metrics_q(spark, root):
-    """Run log of a forecast run in long form: parent parameters plus one
-    child run per station (its training rows)."""
-    cfg = I.QCFG
+    """The numbers of a forecast run's log: parent parameters, one child run
+    per station with its training rows and three metrics."""
     daily = I.daily_b(spark, root)
-    params = spark.range(1).select(
-        F.lit("forecast").alias("run"),
-        F.lit(float(cfg.forecast_days)).alias("forecast_days"),
-        F.lit(float(cfg.min_training_rows)).alias("min_training_rows"),
-        F.lit(cfg.changepoint_prior_scale).alias("changepoint_prior_scale"),
-        F.lit(cfg.interval_width).alias("interval_width"),
-        daily.select(F.count_distinct("city")).scalar().cast("double").alias("cities_count"))
-    parent = metrics_long(params, "run", None, "param")
-    child = FC.trend_coefficients(daily, cfg).select(
-        F.concat(F.lit("forecast_"), F.col("city")).alias("run"),
-        F.col("n").cast("double").alias("training_rows"))
-    children = metrics_long(child, "run", "forecast", "param")
-    out = parent.unionByName(children)
-    return out.withColumn("value", F.col("value").cast("double"))
-
-
+    metrics = FC.forecast_metrics(daily, FC.trend_points(daily, I.QCFG))
+    log = forecast_run_log(_RUN, I.QCFG, daily, metrics).filter(~F.col("name").isin("city", "country"))
+    return log.withColumn("value", F.col("value").cast("double"))

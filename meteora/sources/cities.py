@@ -118,3 +118,8 @@ CITY_ROWS = [
 
 def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITY_ROWS, CITY_SCHEMA)
+
+
+def absent_stations(dim, batch, key: str = "city"):
+    """Stations of the dimension without any document in a batch."""
+    return dim.join(batch.select(key).distinct(), key, "left_anti")

@@ -26,25 +26,21 @@ def test_label_missing_key_is_null(spark):
     assert got == {0: "Humid & Mild", 5: None}
 
 
-def test_argmax_tie_lowest_k(spark):
-    df = spark.createDataFrame([(4, 0.41231), (3, 0.41234), (5, 0.4), (6, 0.41229)], "k int, silhouette double")
-    r = C.argmax_k(df, 4).first()
-    assert r.best_k == 3 and r.best_silhouette == 0.4123
+def test_best_score_ties_go_to_the_lowest_k():
+    assert C.best_of([(4, 0.4123), (3, 0.4123), (5, 0.4), (6, 0.4122)]) == (3, 0.4123)
 
 
-def test_relational_silhouette_equals_evaluator(spark):
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.feature import VectorAssembler
+def test_scoring_errors_surface(spark, monkeypatch):
+    import pytest
+
     from meteora.plans import inputs as I
-    from meteora.plans.q_clustering import FIXED
-
-    scaled = C.standardize(C.city_features(I.daily_a(spark, SF01)))
-    asg = C.assign_nearest(scaled, FIXED).cache()
-    ours = C.silhouette(asg, len(FIXED)).first()[0]
-    vec = VectorAssembler(inputCols=[C.scaled_name(c) for c in C.FEATURE_COLUMNS], outputCol="features").transform(asg)
-    ref = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(vec)
-    assert abs(ours - ref) < 1e-9
-    asg.unpersist()
+
+    def broken(assigned):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(C, "silhouette_score", broken)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        C.kmeans_sweep(C.city_features(I.daily_a(spark, SF01)), CFG)
 
 
 def test_ml_sweep_is_reproducible(spark):
