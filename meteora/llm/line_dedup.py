@@ -85,21 +85,22 @@ def dedup(docs: DataFrame, roll: int = ROLL, mean: int = MEAN) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, and
     ``_lines``, ``_gone`` (numbers of lines before and of those removed)."""
     gone = removals(docs, roll, mean).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("drop").alias("_drop"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    d = rows.join(gone.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_h"]), "left")
-    d = d.withColumn("_all", F.split("text", "\n", -1))
-    d = d.withColumn("_ranges", F.when(F.col("_drop").isNotNull(), chunk_ranges(F.col("_all"), roll, mean)))
-    d = d.withColumn("_kept", F.filter("_ranges", lambda r, k: ~F.array_contains(F.col("_drop"), k)))
-    kept = F.col("_kept")
-    text = F.array_join(F.transform(kept, lambda r: F.array_join(
-        F.slice(F.col("_all"), r["at"] + 1, r["n"]), "\n")), "\n")
-    lost = F.aggregate("_ranges", F.lit(0), lambda acc, r: acc + r["n"]) \
-        - F.aggregate(kept, F.lit(0), lambda acc, r: acc + r["n"])
-    out = {c: F.col(c) for c in docs.columns}
-    out["text"] = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(text)
+        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "drop")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("hash"))
+    # shuffled at every size, as above
+    d = rows.join(gone.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(gone["gone_id"])
+                  & (rows["hash"] == gone["gone_hash"]), "left")
+    d = d.select("row", "text", "drop", F.split("text", "\n", -1).alias("lines"))
+    d = d.withColumn("ranges", F.when(F.col("drop").isNotNull(), chunk_ranges(F.col("lines"), roll, mean)))
+    d = d.withColumn("kept", F.filter("ranges", lambda r, k: ~F.array_contains(F.col("drop"), k)))
+    text = F.array_join(F.transform("kept", lambda r: F.array_join(
+        F.slice(F.col("lines"), r["at"] + 1, r["n"]), "\n")), "\n")
+    lost = F.aggregate("ranges", F.lit(0), lambda acc, r: acc + r["n"]) \
+        - F.aggregate("kept", F.lit(0), lambda acc, r: acc + r["n"])
+    out = {c: F.col("row")[c] for c in docs.columns}
+    out["text"] = F.when(F.col("drop").isNull(), F.col("text")).otherwise(text)
     return d.select(*[x.alias(c) for c, x in out.items()],
-                    F.coalesce(F.size("_all"), F.lit(0)).alias("_lines"),
+                    F.coalesce(F.size("lines"), F.lit(0)).alias("_lines"),
                     F.coalesce(lost, F.lit(0)).alias("_gone"))
 
 

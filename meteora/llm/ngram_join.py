@@ -49,13 +49,15 @@ from meteora.llm.shingles import pair_hash, set_key, shingle_sets
 
 RARE = 20
 FREQUENT = 1 << 20
-#: Bytes of input for one range of token hashes, and tokens held by a task.
-RANGE_BYTES = 4 << 20
+#: Tokens for one range of their hashes, and those held by a task.
+RANGE_TOKENS = 1 << 20
 HELD = 4_000_000
 
 
-def input_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def range_bits(total: int, each: int) -> int:
+    """Leading bits of a hash that make ranges of about ``each`` of ``total``,
+    64 ranges at least."""
+    return max(6, (-(-total // each) - 1).bit_length())
 
 
 def misses(n: int, num: int, den: int) -> int:
@@ -358,10 +360,10 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
         raise ValueError("the threshold must lie between 0.75 and 1")
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    bits = max(6, int(np.ceil(np.log2(max(1, input_bytes(docs) / RANGE_BYTES)))))
     rows = scratch(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
         _docs_pass(k), "doc_id long, text_hash long, n long, key long, sketch binary"), "docs")
     sets = rows.select("doc_id", "text_hash", "n", "key")
+    bits = range_bits(sets.agg(F.sum("n")).first()[0] or 0, RANGE_TOKENS)
     first = F.struct(F.col("doc_id").alias("doc"), "text_hash", "n")
     classes = scratch(rows.where("key IS NOT NULL").groupBy("key").agg(
         F.min(first).alias("first"), F.any_value("sketch").alias("sketch")).select("key", "first.*", "sketch"), "classes")
@@ -423,7 +425,8 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     """The rows of ``docs`` whose doc_id names their component; documents
     without words all stay. Rows with the same id and text become one."""
     found = (ngram_join(docs, k, num, den).where("n_shingles = 0 OR doc_id <=> component_id")
-             .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    return (rows.join(found.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(found["_id"]) & (rows["_text_hash"] == found["_hash"]))
-            .dropDuplicates(["_id", "_hash"]).select(*docs.columns))
+             .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct())
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    return (rows.join(found.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(found["kept_id"])
+                      & (rows["text_hash"] == found["kept_hash"]))
+            .dropDuplicates(["kept_id", "kept_hash"]).select("row.*"))

@@ -42,11 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteora.llm.common import drop, scratch
-from meteora.llm.ngram_join import RANGE_BYTES, input_bytes
+from meteora.llm.ngram_join import range_bits
 from meteora.llm.shingles import _BACK, _BASE, CHUNK, _powers, mix
 
 LENGTH = 200
 GRAM = 32
+#: Bytes of text for one range of anchor hashes.
+RANGE_BYTES = 8 << 20
 #: Anchors or strip bytes held by a task before they go out.
 HELD_ANCHORS = 500_000
 HELD_BYTES = 12 << 20
@@ -315,13 +317,13 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     if not 1 <= gram <= length:
         raise ValueError("an anchor must fit into a window")
-    bits = max(6, int(np.ceil(np.log2(max(1, input_bytes(docs.select("doc_id", "text")) / RANGE_BYTES)))))
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     sha = F.sha2(raw, 256)
     docs = docs.select("doc_id", raw.alias("text"), sha.alias("sha"),
                        F.expr("CAST(conv(substr(sha2(CAST(coalesce(text, '') AS BINARY), 256), 2, 15), 16, 10) AS long)")
                        .alias("node"))
     rows = scratch(docs.select("doc_id", "node", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "rows")
+    bits = range_bits(rows.agg(F.sum("n_bytes")).first()[0] or 0, RANGE_BYTES)
     texts = (rows.where(F.col("n_bytes") >= length).groupBy("node")
              .agg(F.min_by("doc_id", F.coalesce("doc_id", F.lit(-1 << 63))).alias("rep"),
                   (F.count(F.lit(1)) > 1).alias("twice"), F.max("n_bytes").alias("n_bytes")))
