@@ -176,7 +176,7 @@ def test_packing_in_levels(spark):
         fill[r.sequence_id] += r.length
     assert max(fill.values()) <= 2048
     least = max(sum(r[3] for r in rows) / 2048, sum(r[3] > 1024 for r in rows))  # two halves don't share a bin
-    assert len(fill) <= 1.03 * least + 1
+    assert len(fill) <= 1.08 * least + 1  # with shards of 64 pieces only
 
 
 def test_edited_counts_equal_a_fresh_count():
