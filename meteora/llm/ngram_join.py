@@ -52,6 +52,8 @@ FREQUENT = 1 << 20
 #: Tokens for one range of their hashes, and those held by a task.
 RANGE_TOKENS = 1 << 20
 HELD = 4_000_000
+#: Longs of the sketch that combinations carry.
+SKETCH = 8
 
 
 def range_bits(total: int, each: int) -> int:
@@ -82,6 +84,12 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def parity_words(s: np.ndarray) -> list[int]:
+    """The same with 64 * SKETCH bits for every set, as longs."""
+    counts = np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
     while len(sketch) > size:
         sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
@@ -171,7 +179,7 @@ def frequent_tokens(counted: DataFrame, least: int = RARE, most: int = FREQUENT)
 
 
 def _signed(batches, k, bits, num, den, often):
-    """(key, set, its rare tokens, frequent tokens of its prefix or None) of
+    """(key, size, its rare tokens, its sketch and frequent tokens of its prefix or None) of
     each class of a task that can have another one as a partner."""
     seen: set[int] = set()
     for batch in batches:
@@ -185,7 +193,8 @@ def _signed(batches, k, bits, num, den, often):
             rare, t = s[~common], misses(len(s), num, den)
             need = prefix_pairs(len(s), min(len(rare), t), num, den)
             if need:
-                yield key, len(s), rare, s[common][:need] if len(rare) <= t else None
+                few = len(rare) <= t
+                yield key, len(s), rare, (parity_words(s), s[common][:need]) if few else None
 
 
 def _rare_pass(k: int, bits: int, num: int, den: int, frequent):
@@ -221,22 +230,23 @@ def _rare_pass(k: int, bits: int, num: int, den: int, frequent):
 
 def _combination_pass(k: int, bits: int, num: int, den: int, frequent):
     def run(batches):
-        rows = [], [], [], []
+        rows = [], [], [], [], []
 
         def out():
-            types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())
+            types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())
             return pa.record_batch([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
-                                   ["key", "size", "rare", "pairs"])
+                                   ["key", "size", "rare", "bits", "pairs"])
 
-        for key, n, rare, f in _signed(batches, k, bits, num, den, frequent.value):
-            if f is None:
+        for key, n, rare, found in _signed(batches, k, bits, num, den, frequent.value):
+            if found is None:
                 continue
+            sketch, f = found
             pairs = pair_hash(f[:-1], f[1:]).view(np.int64)
-            for column, v in zip(rows, (key, n, len(rare), pairs), strict=True):
+            for column, v in zip(rows, (key, n, len(rare), sketch, pairs), strict=True):
                 column.append(v)
             if len(rows[0]) == 1000:
                 yield out()
-                rows = [], [], [], []
+                rows = [], [], [], [], []
         if rows[0]:
             yield out()
 
@@ -273,10 +283,14 @@ def _rare_pairs(num: int, den: int):
 
 
 def _may_link(x: str, y: str, num: int, den: int) -> str:
-    """No rare token of x is in y, nor the other way round."""
+    """Pairs that can link though no rare token of x is in y, nor the other
+    way round, and whose sketches are near enough."""
+    both = f"({num} * ({x}.size + {y}.size) + {num + den - 1}) div {num + den}"
+    apart = " + ".join(f"bit_count({x}.s{i} ^ {y}.s{i})" for i in range(SKETCH))
     return (f"{den} * ({x}.size - {x}.rare) >= {num} * ({x}.size + {y}.rare) AND "
             f"{den} * ({y}.size - {y}.rare) >= {num} * ({y}.size + {x}.rare) AND "
-            f"{den} * {x}.size >= {num} * {y}.size AND {den} * {y}.size >= {num} * {x}.size")
+            f"{den} * {x}.size >= {num} * {y}.size AND {den} * {y}.size >= {num} * {x}.size AND "
+            f"{apart} <= {x}.size + {y}.size - 2 * ({both})")
 
 
 def _near_pass(num: int, den: int):
@@ -374,13 +388,15 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
 
     by_rare = (texts.mapInArrow(_rare_pass(*how), "r int, sig binary, key binary, n binary").groupBy("r")
                .applyInPandas(_rare_pairs(num, den), "a long, b long"))
-    heavy = (texts.mapInArrow(_combination_pass(*how), "key long, size long, rare long, pairs array<long>")
-             .select("key", "size", "rare", F.explode_outer("pairs").alias("sig"))
+    heavy = (texts.mapInArrow(_combination_pass(*how), "key long, size long, rare long, bits array<long>, pairs array<long>")
+             .select("key", "size", "rare", *[F.get("bits", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)],
+                     F.explode_outer("pairs").alias("sig"))
              .where("sig IS NOT NULL").distinct())
-    least = F.min(F.struct("rare", "key", "size"))
+    about = ["rare", "key", "size", *[f"s{i}" for i in range(SKETCH)]]
+    least = F.min(F.struct(*about))
     leads = heavy.groupBy("sig").agg(least.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
     heavy = scratch(heavy.join(leads.select("sig", "lead"), "sig"), "heavy")
-    star = (heavy.select(F.struct("key", "size", "rare").alias("x"), F.col("lead").alias("y"))
+    star = (heavy.select(F.struct(*about).alias("x"), F.col("lead").alias("y"))
             .where("x.key <> y.key AND " + _may_link("x", "y", num, den))
             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")))
     pairs = scratch(near(classes, by_rare.union(star).distinct(), num, den), "pairs")
@@ -389,7 +405,7 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     links = verify(tokens, pairs, num, den)
 
     labels = components(links)
-    placed = scratch(heavy.select("sig", "key", "size", "rare")
+    placed = scratch(heavy.select("sig", *about)
                      .join(labels.withColumnRenamed("node", "key"), "key", "left")
                      .withColumn("label", F.coalesce("label", "key")), "placed")
     drop(heavy)
@@ -397,8 +413,8 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
                .groupBy("sig").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").select("sig", F.col("top.label").alias("top")))
     open_ = placed.join(largest, "sig")
-    few = open_.where("label <> top").select("sig", F.struct("key", "size", "rare", "label").alias("x"))
-    all_ = open_.select("sig", F.struct("key", "size", "rare", "label", "top").alias("y"))
+    few = open_.where("label <> top").select("sig", F.struct(*about, "label").alias("x"))
+    all_ = open_.select("sig", F.struct(*about, "label", "top").alias("y"))
     cross = (few.join(all_, "sig")
              .where("x.label <> y.label AND (y.label = y.top OR x.key < y.key) AND " + _may_link("x", "y", num, den))
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
