@@ -11,6 +11,7 @@ from meteora.operators.silver import observed_between, to_silver
 from meteora.plans import inputs as I
 from meteora.plans import sql_fragments as Q
 from meteora.plans.catalog import register
+from meteora.plans.landing_fixture import events_landing
 from meteora.schemas import SILVER_COLUMNS
 from meteora.sources import payload as P
 from meteora.sources.adapters import events_observations, station_dim
@@ -43,7 +44,7 @@ outcome AS (
 
 
 def _landing(spark, root):
-    return P.events_landing(I.table(spark, root, "events"), I.QCFG)
+    return events_landing(I.table(spark, root, "events"), I.QCFG)
 
 
 @register("dim_lookup", """SELECT d.city, d.country, coalesce(c.readings, 0) AS readings

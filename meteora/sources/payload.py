@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
-from meteora.functions.numerics import stamp
 from meteora.operators.dedup import latest_by
 from meteora.schemas import CORRUPT_COL, HOURLY_FIELDS, PAYLOAD
 
@@ -112,59 +111,3 @@ def flatten(valid_docs: DataFrame) -> DataFrame:
 def landing_to_bronze(landing: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
     cfg = cfg or PipelineConfig()
     return flatten(first_valid(parse_landing(landing), cfg.retry_attempts))
-
-
-# ---- test landing built from the events table ------------------------------
-
-DOC_BLOCK = 64  # event ids per document: bounds every document's size
-
-
-def events_landing(events: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
-    """Landing rows derived from ``events``: one document per (user, block of
-    64 event ids), with simulated outages decided by the document's first
-    event: type 'error' fails attempt 1 (and attempt 2 too when its k < 20);
-    the failure shape cycles by doc_id % 3 through truncated JSON, missing
-    ``hourly``, and a temperature array one element short."""
-    cfg = cfg or PipelineConfig()
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    rows = events.select(
-        "user_id", "event_id", "event_type", k.alias("k"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("t"),
-        F.col("value").cast("double").alias("v"),
-        F.floor(F.col("event_id") / DOC_BLOCK).cast("bigint").alias("doc_id"),
-    )
-    docs = rows.groupBy("user_id", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("event_id", "t", "v", "k", "event_type"))).alias("r"))
-    r = F.col("r")
-    temps = F.transform(r, lambda x: x["v"])
-    hourly = F.struct(
-        F.transform(r, lambda x: x["t"]).alias("time"),
-        temps.alias("temperature_2m"),
-        F.transform(r, lambda x: F.lit(100) - x["k"]).alias("relative_humidity_2m"),
-        F.transform(r, lambda x: x["k"].cast("double")).alias("wind_speed_10m"),
-        F.transform(r, lambda x: x["v"] / 10).alias("precipitation"),
-        F.transform(r, lambda x: x["k"]).alias("weather_code"),
-    )
-    short_hourly = hourly.withField("temperature_2m", F.slice(temps, 1, F.size(temps) - 1))
-    scal = [(F.col("user_id") % 90).cast("double").alias("latitude"),
-            (F.col("user_id") % 180).cast("double").alias("longitude"), F.lit("UTC").alias("timezone")]
-    good = F.to_json(F.struct(*scal, hourly.alias("hourly")))
-    shape = F.col("doc_id") % 3
-    bad = (F.when(shape == 0, F.substring(good, 1, F.floor(F.length(good) / 2).cast("int")))
-           .when(shape == 1, F.to_json(F.struct(*scal)))
-           .otherwise(F.to_json(F.struct(*scal, short_hourly.alias("hourly")))))
-    first = r[0]
-    fail1 = first["event_type"] == "error"
-    fail2 = fail1 & (first["k"] < 20)
-    base = docs.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("city"),
-        F.concat(F.lit("g"), (F.col("user_id") % 5).cast("string")).alias("country"),
-        "doc_id", fail1.alias("f1"), fail2.alias("f2"), good.alias("good"), bad.alias("bad"))
-    # One pass: attempt 1 for every document, attempt 2 only after a failure.
-    tries = F.when(F.col("f1"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    x = base.select("*", F.explode(tries).alias("attempt"))
-    failed = F.when(F.col("attempt") == 1, F.col("f1")).otherwise(F.col("f2"))
-    return x.select(
-        "city", "country", "doc_id", F.col("attempt").cast("int").alias("attempt"),
-        (stamp(cfg.now) + F.make_dt_interval(mins=F.col("attempt") - 1)).alias("ingested_at"),
-        F.when(failed, F.col("bad")).otherwise(F.col("good")).alias("body"))

@@ -7,7 +7,7 @@ from meteora.operators.gold import gold_daily
 from meteora.operators.silver import to_silver
 from meteora.plans import jobs
 from meteora.sources.adapters import events_observations
-from meteora.sources.payload import events_landing
+from meteora.plans.landing_fixture import events_landing
 from meteora.streaming.incremental import start_silver_and_daily
 from tests.conftest import SF001
 from tests.helpers import NOW
