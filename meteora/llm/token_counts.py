@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from meteora.llm import bpe
+from meteora.llm.common import scratch
 
 LEAF = 64
 LOOK_AHEAD = 2
@@ -209,5 +210,5 @@ def count_edits(docs: DataFrame, path: str, edits: str | None = None) -> DataFra
     """Token counts before and after edits. ``edits`` names a column of type
     ``EDITS``; without it the edits are ``redactions`` of each text."""
     given = f"CAST({edits or 'NULL'} AS {EDITS}) AS edits"
-    return docs.selectExpr("doc_id", "text", given).mapInArrow(
-        _count_pass(path, None if edits else redactions), SCHEMA)
+    return scratch(docs.selectExpr("doc_id", "text", given).mapInArrow(
+        _count_pass(path, None if edits else redactions), SCHEMA), "counts")
