@@ -24,8 +24,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
-from meteora.functions.numerics import round_half_up as rh
 from meteora.functions.weather import condition_label, feels_like
+from meteora.operators.gold import daily_stats
 from meteora.operators.silver import parse_time
 from meteora.schemas import BRONZE, DAILY_COLUMNS, SILVER_COLUMNS
 from meteora.session import checkpoint_dir
@@ -74,15 +74,7 @@ def silver_stream(bronze: DataFrame, cfg: PipelineConfig, watermark: str = "2 da
 
 def daily_stream(silver: DataFrame, watermark: str = "2 days") -> DataFrame:
     w = silver.withColumn("_et", _event_time("time")).withWatermark("_et", watermark)
-    agg = w.groupBy(F.window("_et", "1 day").alias("w"), "city", "country").agg(
-        rh(F.avg("temperature_c"), 1).alias("avg_temp_c"),
-        rh(F.min("temperature_c"), 1).alias("min_temp_c"),
-        rh(F.max("temperature_c"), 1).alias("max_temp_c"),
-        rh(F.avg("feels_like_c"), 1).alias("avg_feels_like_c"),
-        rh(F.avg("humidity_pct"), 1).alias("avg_humidity_pct"),
-        rh(F.avg("wind_speed_kmh"), 1).alias("avg_wind_speed_kmh"),
-        rh(F.sum("precipitation_mm"), 1).alias("total_precipitation_mm"),
-    )
+    agg = w.groupBy(F.window("_et", "1 day").alias("w"), "city", "country").agg(*daily_stats())
     return agg.withColumn("date", F.col("w.start").cast("timestamp_ntz")).select(*DAILY_COLUMNS)
 
 
