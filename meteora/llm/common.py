@@ -80,6 +80,21 @@ def _remove(spark: SparkSession, path: str) -> None:
         _LEFT.remove(path)
 
 
+def release() -> None:
+    """Give a Python worker's free memory back: workers live on, and several
+    share an executor's memory."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a long, b long): (node, label), the
     label being the smallest node of the component.

@@ -41,19 +41,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import drop, scratch
+from meteora.llm.common import drop, release, scratch
 from meteora.llm.ngram_join import range_bits
 from meteora.llm.shingles import _BACK, _BASE, CHUNK, _powers, mix
 
 LENGTH = 200
 GRAM = 32
 #: Bytes of text for one range of anchor hashes.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 2 << 20
 #: Anchors or strip bytes held by a task before they go out.
 HELD_ANCHORS = 500_000
 HELD_BYTES = 12 << 20
 #: Strips sorted together.
-COLLECTION = 10_000
+COLLECTION = 5_000
 
 _BYTES = mix(np.arange(1000, 1256, dtype=np.uint64)) | np.uint64(1)
 
@@ -130,6 +130,8 @@ def _anchor_pass(bits: int, length: int, gram: int, local: bool):
                 held, size = [], 0
         if size:
             yield out()
+        held = None
+        release()
 
     return run
 
@@ -223,6 +225,8 @@ def _strip_pass(bits: int, length: int, gram: int):
                     size = 0
         if size:
             yield out()
+        held = None
+        release()
 
     return run
 
@@ -288,6 +292,8 @@ def _sort_strips(length: int, gram: int):
         if not runs:
             return pd.DataFrame({"node": [], "lo": [], "hi": []}).astype("int64")
         node, lo, hi = (np.concatenate([x[i] for x in runs]) for i in range(3))
+        del strip, cover, h, pos, twice, runs
+        release()
         return pd.DataFrame({"node": node, "lo": lo, "hi": hi})
 
     return run
