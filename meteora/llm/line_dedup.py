@@ -1,22 +1,25 @@
-"""Line dedup by content-defined chunks of lines. Spark expressions only.
-
-A text is split at ``\\n`` and every line hashed. A rolling hash over the
-last ``ROLL`` line hashes ends a chunk wherever it is 0 modulo ``MEAN``, so
-boundaries depend on nearby lines alone and a passage that moved in its text
-is cut at the same places again. The hashes of chunks with two lines or more
-are counted over the whole corpus (two occurrences in one text count too).
-Chunks with a hash seen twice are then compared by their bytes: rows are
-grouped by the chunk's text itself, the first by (doc_id, chunk number)
-stays and the others are removed from their documents.
-
-The text travels twice: once as chunks, for the comparison, and once to have
-its chunks removed. Groups of equal chunks are aggregated in the map tasks
-before they meet; what returns to the documents is one list of chunk numbers
+"""Line dedup by pairs of neighbouring lines and long lines. Spark
+expressions only.
+
+A text is split at ``\\n``. Its chunks are all pairs of neighbouring lines,
+the finest cut of a passage, and the single lines of ``LONG`` characters or
+more. Every line of a repeated passage of two lines or more is in a
+repeated pair, so no repeat is missed for its place, and passages are found
+to their first and last line. The hashes of chunks are counted over the whole
+corpus (two occurrences in one text count too). Chunks with a hash seen twice
+are then compared by their bytes: rows are grouped by the chunk's text
+itself, the first by (doc_id, line number) stays and the lines of the others
+are removed from their documents. The first place of a line never goes, as no
+chunk there can have an earlier one.
+
+Only hashes travel for all chunks; the texts of chunks travel when their hash
+was seen twice. Groups of equal chunks are aggregated in the map tasks
+before they meet; what returns to the documents is one list of line numbers
 each.
 
 Cases: null text stays null and an empty one empty, both have no chunk; rows
 with one doc_id and one text are repeated rows and treated alike, of rows
-with one doc_id and different texts each is treated by itself; a chunk of
+with one doc_id and different texts each is treated by itself; a pair of
 blank lines counts as any other; ties on the first place cannot occur
 between different (doc_id, text, number); an empty table gives no rows;
 further columns are kept by ``dedup``.
@@ -29,79 +32,94 @@ from pyspark.sql import functions as F
 
 from meteora.llm.common import drop, let, scratch
 
-ROLL = 2
-MEAN = 4
+#: Characters from which a line counts as a passage by itself.
+LONG = 200
 
 
-def chunk_ranges(lines: Column, roll: int = ROLL, mean: int = MEAN) -> Column:
-    """Ranges (at, n) of the chunks of an array of lines."""
-    def ends(hashes: Column) -> Column:
-        return F.filter(F.transform(hashes, lambda h, i: F.when((F.pmod(F.xxhash64(
-            h, *[F.coalesce(F.when(i >= k, F.get(hashes, i - k)), F.lit(0).cast("long")) for k in range(1, roll)]
-        ), F.lit(mean)) == 0) | (i == F.size(hashes) - 1), i)), lambda i: i.isNotNull())
+def _chunks(lines: Column, long: int) -> Column:
+    """(at, n, h) of the chunks of an array of lines."""
+    def chunk(i: Column, n: int, h: Column) -> Column:
+        return F.struct(i.cast("int").alias("at"), F.lit(n).alias("n"), h.alias("h"))
 
-    def ranges(stops: Column) -> Column:
-        before = lambda k: F.coalesce(F.when(k > 0, F.get(stops, k - 1)), F.lit(-1))
-        return F.transform(stops, lambda e, k: F.struct((before(k) + 1).alias("at"), (e - before(k)).alias("n")))
+    def every(v: Column) -> Column:
+        pairs = F.transform(v, lambda x, i: F.when(i + 1 < F.size(v), chunk(i, 2, F.xxhash64(x, F.get(v, i + 1)))))
+        lone = F.transform(v, lambda x, i: F.when(F.length(x) >= long, chunk(i, 1, F.xxhash64(x))))
+        return F.filter(F.concat(pairs, lone), lambda c: c.isNotNull())
 
-    return let(let(F.transform(lines, lambda x: F.xxhash64(x)), ends), ranges)
+    return let(lines, every)
 
 
-def _chunked(docs: DataFrame, roll: int, mean: int) -> DataFrame:
-    d = docs.select("doc_id", "text").where(F.instr("text", "\n") > 0)
-    d = d.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines"))
-    return d.withColumn("ranges", chunk_ranges(F.col("lines"), roll, mean))
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text").where("text <> ''").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
 
 
-def removals(docs: DataFrame, roll: int = ROLL, mean: int = MEAN) -> DataFrame:
-    """(doc_id, text_hash, drop array<int>): the chunk numbers to remove."""
-    cut = _chunked(docs, roll, mean)
-
-    def chunks(lines: Column, ranges: Column) -> Column:
-        every = F.transform(ranges, lambda r, k: F.struct(
-            k.alias("k"), r["n"].alias("n"), F.array_join(F.slice(lines, r["at"] + 1, r["n"]), "\n").alias("chunk")))
-        return F.filter(every, lambda c: c["n"] > 1)
-
+def _repeated(docs: DataFrame, long: int) -> DataFrame:
+    """(doc_id, text_hash, found array<(at, n)>): the chunks with a hash seen twice."""
     # outer: Spark puts a filter with the whole array expression before a plain explode
-    each = (cut.select("doc_id", "text_hash", F.explode_outer(chunks(F.col("lines"), F.col("ranges"))).alias("c"))
-            .where("c IS NOT NULL")
-            .select("doc_id", "text_hash", "c.k", "c.chunk", F.xxhash64("c.chunk").alias("h")))
+    each = (_texts(docs)
+            .select("doc_id", "text_hash", F.explode_outer(_chunks(F.split("text", "\n", -1), long)).alias("c"))
+            .where("c IS NOT NULL").select("doc_id", "text_hash", "c.*"))
     often = scratch(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
-    place = F.struct("doc_id", "text_hash", "k")
     # shuffled joins at every size: the plan must not change with the input
-    twice = scratch(each.join(often.hint("shuffle_hash"), "h"), "chunks")
+    found = scratch(each.join(often.hint("shuffle_hash"), "h")
+                    .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "n")).alias("found")), "found")
     drop(often)
-    first = (twice.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("h", "chunk", "first"))
+    return found
+
+
+def removals(docs: DataFrame, long: int = LONG) -> DataFrame:
+    """(doc_id, text_hash, drop array<int>): the line numbers to remove, in order."""
+    found = _repeated(docs, long)
+    hits = found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "found")
+    texts = _texts(docs)
+    cut = texts.join(hits.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(hits["found_id"])
+                     & (texts["text_hash"] == hits["found_hash"]))
+    chunks = let(F.struct(F.split("text", "\n", -1).alias("lines"), "found"), lambda v: F.transform(
+        v["found"], lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"), F.array_join(
+            F.slice(v["lines"], c["at"] + 1, c["n"]), "\n").alias("chunk"))))
+    twice = scratch(cut.select("doc_id", "text_hash", F.explode_outer(chunks).alias("c"))
+                    .select("doc_id", "text_hash", "c.*", F.xxhash64("c.chunk").alias("h")), "chunks")
+    drop(found)
+    place = F.struct("doc_id", "text_hash", "at")
+    first = (twice.groupBy("h", "chunk").agg(F.min(place).alias("first"),
+                                             F.count(F.lit(1)).alias("times"))
+             .where("times > 1").select("h", "chunk", "first"))
     gone = (twice.join(first, ["h", "chunk"])
             .where(~place.eqNullSafe(F.col("first")))
-            .groupBy("doc_id", "text_hash").agg(F.collect_set("k").alias("drop")))
+            .groupBy("doc_id", "text_hash")
+            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.expr("at + n - 1"))))))
+                 .alias("drop")))
     out = scratch(gone, "removals")
     drop(twice)
     return out
 
 
-def dedup(docs: DataFrame, roll: int = ROLL, mean: int = MEAN) -> DataFrame:
+def _without(lines: Column, gone: Column) -> Column:
+    """``lines`` without the numbers of ``gone`` (in order): the runs between them."""
+    def runs(v: Column) -> Column:
+        return F.flatten(F.transform(v["stops"], lambda e, k: F.slice(
+            v["lines"], F.get(v["starts"], k) + 2, e - F.get(v["starts"], k) - 1)))
+
+    return let(F.struct(lines.alias("lines"), F.concat(F.array(F.lit(-1)), gone).alias("starts"),
+                        F.concat(gone, F.array(F.size(lines))).alias("stops")), runs)
+
+
+def dedup(docs: DataFrame, long: int = LONG) -> DataFrame:
     """``docs`` with the repeated chunks taken out of ``text``, and
     ``_lines``, ``_gone`` (numbers of lines before and of those removed)."""
-    gone = removals(docs, roll, mean).select(
+    gone = removals(docs, long).select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "drop")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("hash"))
     # shuffled at every size, as above
     d = rows.join(gone.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(gone["gone_id"])
                   & (rows["hash"] == gone["gone_hash"]), "left")
     d = d.select("row", "text", "drop", F.split("text", "\n", -1).alias("lines"))
-    d = d.withColumn("ranges", F.when(F.col("drop").isNotNull(), chunk_ranges(F.col("lines"), roll, mean)))
-    d = d.withColumn("kept", F.filter("ranges", lambda r, k: ~F.array_contains(F.col("drop"), k)))
-    text = F.array_join(F.transform("kept", lambda r: F.array_join(
-        F.slice(F.col("lines"), r["at"] + 1, r["n"]), "\n")), "\n")
-    lost = F.aggregate("ranges", F.lit(0), lambda acc, r: acc + r["n"]) \
-        - F.aggregate("kept", F.lit(0), lambda acc, r: acc + r["n"])
     out = {c: F.col("row")[c] for c in docs.columns}
-    out["text"] = F.when(F.col("drop").isNull(), F.col("text")).otherwise(text)
+    out["text"] = F.when(F.col("drop").isNull(), F.col("text")).otherwise(
+        F.array_join(_without(F.col("lines"), F.col("drop")), "\n"))
     return d.select(*[x.alias(c) for c, x in out.items()],
                     F.coalesce(F.size("lines"), F.lit(0)).alias("_lines"),
-                    F.coalesce(lost, F.lit(0)).alias("_gone"))
+                    F.coalesce(F.size("drop"), F.lit(0)).alias("_gone"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

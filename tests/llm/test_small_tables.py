@@ -143,6 +143,45 @@ def test_line_dedup_keeps_first_of_each_chunk(spark):
     assert line_dedup.dedup(R.empty(spark)).count() == 0
 
 
+def without_repeats(data, long=line_dedup.LONG):
+    """Texts without the lines of chunks that have an earlier place."""
+    where = {}
+    order = sorted({(d[0], d[1]) for d in data if d[1]})
+    for k, (_, text) in enumerate(order):
+        lines = text.split("\n")
+        for i, x in enumerate(lines):
+            for chunk in ([tuple(lines[i:i + 2])] if i + 1 < len(lines) else []) + ([(x,)] if len(x) >= long else []):
+                where.setdefault(chunk, []).append((k, i))
+    gone = {(k, i + j) for chunk, places in where.items() for k, i in places[1:] for j in range(len(chunk))}
+    return {d: "\n".join(x for i, x in enumerate(d[1].split("\n")) if (k, i) not in gone) for k, d in enumerate(order)}
+
+
+@pytest.mark.parametrize("n", range(2, 9))
+def test_line_dedup_finds_every_short_passage(spark, n):
+    data = []
+    for p in range(20):  # each passage inside three documents, at other places
+        passage = [f"passage {n} {p} line {j}" for j in range(n)]
+        data += [(3 * p + c, "\n".join([f"head {p} {c} {j}" for j in range(1 + (p + c) % 4)] + passage + [f"tail {p} {c}"]),
+                  "en", "a", 1) for c in range(3)]
+    got = {r.doc_id: r for r in line_dedup.dedup(R.docs(spark, data)).collect()}
+    for d in data:
+        r = got[d[0]]
+        assert r._gone == (n if d[0] % 3 else 0)
+        assert r.text == "\n".join(x for x in d[1].split("\n") if not d[0] % 3 or not x.startswith("passage"))
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    lines = [f"line {i}" for i in range(12)] + ["", "long " * 50]
+    data = [(i, "\n".join(lines[k] for k in rng.integers(0, len(lines), rng.integers(1, 14))), "en", "a", 1)
+            for i in range(60)] + [(100, "a\na\na\na\nb", "en", "a", 1), (101, "b\n" + "long " * 50 + "\nc", "en", "a", 1)]
+    want = without_repeats(data)
+    for r in line_dedup.dedup(R.docs(spark, data)).collect():
+        text = next(d[1] for d in data if d[0] == r.doc_id)
+        assert r.text == want.get((r.doc_id, text), text)
+        assert r._gone == 0 or r._lines - r._gone == (len(r.text.split("\n")) if r._lines > r._gone else 0)
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path())
