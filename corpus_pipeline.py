@@ -24,8 +24,10 @@ def lines(spark, docs, sf_dir):
 
 def near_copies(spark, docs, sf_dir):
     """One document of each group linked by five-word shingles at a
-    similarity of 0.8 stays: the one with the least id."""
-    return ngram_join.one_of_each(docs, k=5, num=80, den=100)
+    similarity of 0.8 stays: the one with the least id. Texts are compared as
+    they were read too: what line dedup left of a near copy is no longer like
+    its original."""
+    return ngram_join.one_of_each(docs, k=5, num=80, den=100, read=table(spark, sf_dir, "documents"))
 
 
 def mixed(spark, docs, sf_dir):

@@ -3,7 +3,7 @@ expressions only.
 
 A text is split at ``\\n``. Its chunks are all pairs of neighbouring lines,
 the finest cut of a passage, and the single lines of ``LONG`` characters or
-more. Every line of a repeated passage of two lines or more is in a
+more or that are the whole text. So a copy of an earlier text goes whole. Every line of a repeated passage of two lines or more is in a
 repeated pair, so no repeat is missed for its place, and passages are found
 to their first and last line. The hashes of chunks are counted over the whole
 corpus (two occurrences in one text count too). Chunks with a hash seen twice
@@ -20,7 +20,7 @@ each.
 Cases: null text stays null and an empty one empty, both have no chunk; rows
 with one doc_id and one text are repeated rows and treated alike, of rows
 with one doc_id and different texts each is treated by itself; a pair of
-blank lines counts as any other; ties on the first place cannot occur
+blank lines counts as any other, a text of one blank line has no chunk; ties on the first place cannot occur
 between different (doc_id, text, number); an empty table gives no rows;
 further columns are kept by ``dedup``.
 """
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import drop, let, scratch
+from meteora.llm.common import SPACE_CLASS, drop, let, scratch
 
 #: Characters from which a line counts as a passage by itself.
 LONG = 200
@@ -43,7 +43,8 @@ def _chunks(lines: Column, long: int) -> Column:
 
     def every(v: Column) -> Column:
         pairs = F.transform(v, lambda x, i: F.when(i + 1 < F.size(v), chunk(i, 2, F.xxhash64(x, F.get(v, i + 1)))))
-        lone = F.transform(v, lambda x, i: F.when(F.length(x) >= long, chunk(i, 1, F.xxhash64(x))))
+        lone = F.transform(v, lambda x, i: F.when(
+            (F.length(x) >= long) | ((F.size(v) == 1) & x.rlike(f"[^{SPACE_CLASS}]")), chunk(i, 1, F.xxhash64(x))))
         return F.filter(F.concat(pairs, lone), lambda c: c.isNotNull())
 
     return let(lines, every)

@@ -437,12 +437,37 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     return out
 
 
-def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def _as_read(docs: DataFrame, read: DataFrame) -> DataFrame:
+    """(doc_id, text) of ``read`` for the ids in ``docs`` whose text differs
+    there. An id with several texts has no row: which was whose is not known."""
+    one = (read.where("doc_id IS NOT NULL").groupBy("doc_id")
+           .agg(F.min(F.xxhash64("text")).alias("h"), F.max(F.xxhash64("text")).alias("h2")).where("h = h2"))
+    # shuffled joins at every size: the plan must not change with the input
+    changed = (docs.select("doc_id", F.xxhash64("text").alias("now")).join(one.hint("shuffle_hash"), "doc_id")
+               .where("now <> h").select("doc_id").distinct())
+    return (read.select("doc_id", "text").join(changed.hint("shuffle_hash"), "doc_id", "left_semi")
+            .dropDuplicates(["doc_id"]))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, read: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component; documents
-    without words all stay. Rows with the same id and text become one."""
-    found = (ngram_join(docs, k, num, den).where("n_shingles = 0 OR doc_id <=> component_id")
+    without words all stay. Rows with the same id and text become one. With
+    ``read``, the texts before they were cut, a document goes also when its
+    text there is in the component of a lower id."""
+    judged = docs.select("doc_id", "text")
+    if read is not None:
+        before = scratch(_as_read(docs, read), "read")
+        judged = judged.union(before)
+    every = ngram_join(judged, k, num, den)
+    lead = "(n_shingles = 0 OR doc_id <=> component_id)"
+    found = (every.where(lead)
              .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct())
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    if read is not None:
+        lost = (every.where(f"NOT {lead} AND doc_id IS NOT NULL").select("doc_id", "text_hash")
+                .join(before.select("doc_id", F.xxhash64("text").alias("text_hash")).hint("shuffle_hash"),
+                      ["doc_id", "text_hash"], "left_semi").select("doc_id").distinct())
+        rows = rows.join(lost.hint("shuffle_hash"), "doc_id", "left_anti").select("row", "doc_id", "text_hash")
     return (rows.join(found.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(found["kept_id"])
                       & (rows["text_hash"] == found["kept_hash"]))
             .dropDuplicates(["kept_id", "kept_hash"]).select("row.*"))

@@ -52,6 +52,21 @@ def test_pipeline_stages(spark):
     common.drop_scratch(spark)
 
 
+def test_pipeline_drops_what_line_dedup_left_of_near_copies(spark, tmp_path):
+    lines = [R.prose(40 + i, 30).replace("\n", "") for i in range(10)]
+    edited = [*lines[:4], lines[4].replace(lines[4].split()[5], "edited"), *lines[5:]]
+    twice = [(7, "one text of an id", "en", "a", 1), (7, "\n".join(lines[:6] + ["another text of it"]), "en", "a", 1)]
+    data = [(1, "\n".join(lines), "en", "a", 1), (2, "\n".join(edited), "en", "a", 1), (3, R.prose(99, 60), "en", "a", 1),
+            (None, R.prose(98, 40), "en", "a", 1), *twice]
+    R.docs(spark, data, extra=False).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    cut = common.scratch(corpus_pipeline.lines(spark, docs, str(tmp_path)), "test")
+    assert cut.count() == len(data)  # a line of document 2 is its own
+    kept = corpus_pipeline.near_copies(spark, cut, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 3, 7, 7]
+    common.drop_scratch(spark)
+
+
 def test_pipeline_takes_awkward_rows(spark, tmp_path):
     R.docs(spark, extra=False).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))

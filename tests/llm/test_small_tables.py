@@ -150,7 +150,7 @@ def without_repeats(data, long=line_dedup.LONG):
     for k, (_, text) in enumerate(order):
         lines = text.split("\n")
         for i, x in enumerate(lines):
-            for chunk in ([tuple(lines[i:i + 2])] if i + 1 < len(lines) else []) + ([(x,)] if len(x) >= long else []):
+            for chunk in ([tuple(lines[i:i + 2])] if i + 1 < len(lines) else []) + ([(x,)] if len(x) >= long or lines == [x] and x.strip() else []):
                 where.setdefault(chunk, []).append((k, i))
     gone = {(k, i + j) for chunk, places in where.items() for k, i in places[1:] for j in range(len(chunk))}
     return {d: "\n".join(x for i, x in enumerate(d[1].split("\n")) if (k, i) not in gone) for k, d in enumerate(order)}
@@ -182,6 +182,15 @@ def test_line_dedup_equals_brute_force(spark):
         assert r._gone == 0 or r._lines - r._gone == (len(r.text.split("\n")) if r._lines > r._gone else 0)
 
 
+def test_line_dedup_takes_whole_copies(spark):
+    texts = ["\n".join(f"text {t} line {j}" for j in range(1 + t % 9)) for t in range(30)] + ["  "]
+    data = [(100 * c + t, x, "en", "a", 1) for c in range(3) for t, x in enumerate(texts)]
+    for r in line_dedup.dedup(R.docs(spark, data)).collect():
+        blank = r.doc_id % 100 == 30
+        assert r.text == (texts[r.doc_id % 100] if r.doc_id < 100 or blank else "")
+        assert r._gone == (0 if r.doc_id < 100 or blank else r._lines)
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path())
