@@ -227,6 +227,33 @@ def test_packing_in_levels(spark):
     assert len(fill) <= 1.08 * least + 1  # with shards of 64 pieces only
 
 
+@pytest.mark.parametrize("lengths", [
+    [1100 + (i * 7919) % 800 for i in range(600)],  # no two share a bin, none is filled well
+    [1100 + (i * 7919) % 800 for i in range(400)] + [1 + i % 40 for i in range(200)],
+    [1] * 600])
+def test_packing_holds_no_more_than_a_shard(spark, monkeypatch, lengths):
+    # a row of the search is a shard: its size is written to the islands table
+    seen, write = [], packing.scratch
+
+    def watched(df, what):
+        out = write(df, what)
+        if what == "islands":
+            seen.append(out.selectExpr("max(size(lengths))").first()[0])
+        return out
+
+    monkeypatch.setattr(packing, "scratch", watched)
+    pieces = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing.PIECES)
+    got = packing.pack(pieces, shard=64).collect()
+    assert sorted((r.doc_id, r.length) for r in got) == list(enumerate(lengths))
+    fill = Counter()
+    for r in got:
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 2048
+    assert max(seen) <= 128
+    halves = sum(n > 1024 for n in lengths)
+    assert len(fill) <= max(halves, sum(lengths) / 2048) + len(lengths) / 64 + 1  # one open bin a shard
+
+
 def test_edited_counts_equal_a_fresh_count():
     import random
 
