@@ -5,10 +5,16 @@ pattern of the public byte-level vocabularies), every distinct pre-token of
 a stretch of text is encoded once by ``tokenizers``, and ids are gathered.
 Pre-tokens never merge with each other, so the ids are those of the text.
 Encoded pre-tokens are remembered by the worker process, up to a bound.
+
+The strings of a vocabulary's added tokens are tokens of their own, as an
+untouched ``Tokenizer`` has it, or ordinary text with ``plain``. A ``.model``
+file is read by ``sentencepiece``: its pieces have white space only in front,
+so texts may be cut before a blank that follows something else.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import unicodedata
@@ -28,21 +34,32 @@ SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 
 
-def _worker_state(path: str):
-    """Encoder, class table and memory of this process: functions are sent
-    by value, so they are kept in a module of their own."""
+def _holder():
+    """What this process keeps: functions are sent by value, so it is in a
+    module of its own."""
     holder = sys.modules.setdefault("_meteora_bpe", types.ModuleType("_meteora_bpe"))
-    if path not in holder.__dict__:
+    if "classes" not in holder.__dict__:
+        kinds = np.array([{"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], OTHER)
+                          for i in range(sys.maxunicode + 1)], np.uint8)
+        kinds[[*range(9, 14), 32, *SPACES]] = SPACE
+        holder.table = mix(np.arange(1, sys.maxunicode + 2, dtype=np.uint64)) | np.uint64(1)
+        holder.classes = kinds
+    return holder
+
+
+def _worker_state(path: str, plain: bool = True):
+    """Class table, code point table, encoder and memory of this process."""
+    holder, key = _holder(), f"{path} {plain}"
+    if key not in holder.__dict__:
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        if "classes" not in holder.__dict__:
-            kinds = np.array([{"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(i))[0], OTHER)
-                              for i in range(sys.maxunicode + 1)], np.uint8)
-            kinds[[*range(9, 14), 32, *SPACES]] = SPACE
-            holder.classes = kinds
-            holder.table = mix(np.arange(1, sys.maxunicode + 2, dtype=np.uint64)) | np.uint64(1)
-        holder.__dict__[path] = (PieceEncoder(path), Memory())
-    return holder.classes, holder.table, *holder.__dict__[path]
+        encoder = ModelEncoder(path) if path.endswith(".model") else PieceEncoder(path, plain)
+        holder.__dict__[key] = (encoder, Memory())
+    return holder.classes, holder.table, *holder.__dict__[key]
+
+
+def char_classes() -> np.ndarray:
+    return _holder().classes
 
 
 class Memory:
@@ -113,7 +130,7 @@ class PieceEncoder:
     ``tokenizers``. Joined by line ends, pre-tokens are cut as they stand, so
     one call encodes all but white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = True):
         import json
 
         from tokenizers import Tokenizer
@@ -123,6 +140,11 @@ class PieceEncoder:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], spec["model"].get("merges", [])
         extra = {t["content"] for t in spec["added_tokens"]}
+        self.added = {} if plain else {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")) and self.added:
+            raise ValueError("added tokens that take their surroundings along are not supported")
+        longest = sorted(self.added, key=len, reverse=True)
+        self.literal = re.compile("|".join(map(re.escape, longest))) if longest else None
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         ids = [vocab.get("".join(p), -1) for p in pairs]
         plain = {t: i for t, i in vocab.items() if t not in extra}
@@ -134,7 +156,28 @@ class PieceEncoder:
             self.ranks = tiktoken.Encoding("table", pat_str=r"\n|[^\n]+", special_tokens={}, mergeable_ranks={
                 bytes(letters[c] for c in t): i for t, i in plain.items()})
 
+    def starts(self, text: str, points: np.ndarray, heads: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        spans = [m.span() for m in self.literal.finditer(text)] if self.literal else []
+        if spans:  # a literal that runs over the end of a text is none
+            ends = np.searchsorted(heads, [a for a, _ in spans], "right") < np.searchsorted(heads, [b for _, b in spans])
+            if ends.any():
+                spans, cuts = [], [*heads.tolist(), len(points)]
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    spans += [m.span() for m in self.literal.finditer(text, a, b)]
+        if not spans:
+            return pretoken_starts(points, heads, classes)
+        first, behind = (np.array(x) for x in zip(*spans, strict=True))
+        found = pretoken_starts(points, np.unique(np.concatenate([heads, first, behind[behind < len(points)]])), classes)
+        at = np.searchsorted(first, found, "right") - 1
+        return found[(at < 0) | (found <= first[at]) | (found >= behind[at])]
+
     def __call__(self, pieces: list[str], classes: np.ndarray) -> list[list[int]]:
+        if any(p in self.added for p in pieces):
+            rest = iter(self._plain([p for p in pieces if p not in self.added], classes))
+            return [[self.added[p]] if p in self.added else next(rest) for p in pieces]
+        return self._plain(pieces, classes)
+
+    def _plain(self, pieces: list[str], classes: np.ndarray) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(pieces)
         rest = range(len(pieces))
         if self.ranks:
@@ -151,6 +194,41 @@ class PieceEncoder:
         return out
 
 
+#: Stands for a piece of text that its tokens don't spell.
+BAD = (1 << 32) - 1
+
+
+class ModelEncoder:
+    """Ids of stretches of text that begin with a blank, by a model file of
+    ``sentencepiece`` that puts a blank in front itself."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = self.model.get_piece_size()
+        self.pieces = model_bytes(self.model)
+        if any(" " in p.lstrip(" ") for p in (self.model.id_to_piece(i).replace("\u2581", " ") for i in range(n))):
+            raise ValueError("pieces with white space behind other text are not supported")
+
+    def starts(self, text, points, heads, classes) -> np.ndarray:
+        new = points == 32
+        new[1:] &= points[:-1] != 32
+        new[heads] = True
+        return np.flatnonzero(new)
+
+    def __call__(self, pieces: list[str], classes: np.ndarray) -> list[list[int]]:
+        found = self.model.encode([p[1:] for p in pieces], num_threads=1)
+        blank, spell = self.model.piece_to_id("\u2581"), self.pieces.__getitem__
+        found = [[blank] if p == " " else ids for p, ids in zip(pieces, found, strict=True)]
+        return [ids if b"".join(map(spell, ids)) == p.encode() else [BAD] for p, ids in zip(pieces, found, strict=True)]
+
+
+def model_bytes(model) -> list[bytes]:
+    """The bytes of every piece of a ``sentencepiece`` model."""
+    return [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("\u2581", " ").encode()
+            for i, p in ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))]
+
+
 def byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write bytes as: printable
     ones as themselves, the others as the code points from 256 on."""
@@ -159,10 +237,11 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def encode(texts: pa.Array, path: str):
-    """The ids of every text, in order; null is empty."""
-    classes, table, encoder, memory = _worker_state(path)
-    texts = texts.to_pylist()
+def encode(texts: pa.Array | list, path: str, plain: bool = True, remembered: int = REMEMBERED):
+    """The ids of every text, in order; null is empty. With ``plain``, the
+    strings of added tokens are ordinary text."""
+    classes, table, encoder, memory = _worker_state(path, plain)
+    texts = texts if isinstance(texts, list) else texts.to_pylist()
     at = 0
     while at < len(texts):
         parts, size = [], 0
@@ -170,10 +249,10 @@ def encode(texts: pa.Array, path: str):
             parts.append(texts[at + len(parts)] or "")
             size += len(parts[-1])
         at += len(parts)
-        yield from _encode_chunk(parts, classes, table, encoder, memory)
+        yield from _encode_chunk(parts, classes, table, encoder, memory, remembered)
 
 
-def _encode_chunk(parts, classes, table, encoder, memory):
+def _encode_chunk(parts, classes, table, encoder, memory, remembered):
     text = "".join(parts)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(p) for p in parts])
@@ -181,7 +260,7 @@ def _encode_chunk(parts, classes, table, encoder, memory):
         yield from (np.zeros(0, np.uint32) for _ in parts)
         return
     heads = np.concatenate([[0], ends[:-1]])
-    starts = pretoken_starts(points, heads[heads < len(points)], classes)
+    starts = encoder.starts(text, points, np.unique(heads[heads < len(points)]), classes)
     sums = np.zeros(len(points) + 1, np.uint64)
     np.cumsum(table[points] * _powers(_BASE, len(points)), out=sums[1:])
     stops = np.append(starts[1:], len(points))
@@ -189,7 +268,7 @@ def _encode_chunk(parts, classes, table, encoder, memory):
     back, distinct = pd.factorize(keys)
     example = np.empty(len(distinct), np.int64)
     example[back[::-1]] = np.arange(len(keys) - 1, -1, -1)
-    if len(memory.at) + len(distinct) > REMEMBERED:
+    if len(memory.at) + len(distinct) > remembered:
         memory.clear()
     known = distinct.tolist()
     get = memory.at.get

@@ -80,6 +80,25 @@ def _remove(spark: SparkSession, path: str) -> None:
         _LEFT.remove(path)
 
 
+#: Join partners that hold a larger share of the rows than one in HOT are
+#: broadcast; there are fewer than HOT of them.
+HOT = 1000
+
+
+def join_spread(rows: DataFrame, found: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``found``, which has one row for each
+    value of ``key`` (null too) and in ``count`` how many rows bear it. Both
+    are scratch tables. Values that more than one row in ``HOT`` bears are
+    joined by broadcast, so no task gets all rows of a hot value."""
+    total = found.agg(F.sum(count)).first()[0] or 0
+    other = found.withColumnRenamed(key, "_key")
+    hot, cold = (other.where(w).drop(count) for w in (f"{count} * {HOT} > {total}", f"{count} * {HOT} <= {total}"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    return (rows.join(F.broadcast(hot), same).drop("_key")
+            .unionByName(rows.join(F.broadcast(hot.select("_key")), same, "left_anti")
+                         .join(cold.hint("shuffle_hash"), same).drop("_key")))
+
+
 def release() -> None:
     """Give a Python worker's free memory back: workers live on, and several
     share an executor's memory."""
