@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meteora.llm import alignment, ann, chat, language_id, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup, token_counts, vector_codes
+from meteora.llm import alignment, ann, chat, language_id, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup, token_counts, vector_codes, warc
 from meteora.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op11_vector_codes(spark, sf_dir):
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_warc(spark, sf_dir):
+    return warc.digest(warc.archive_and_read(table(spark, sf_dir, "pages")))
+
+
 def op13_token_alignment(spark, sf_dir):
     import public_tokenizers
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(),
@@ -66,6 +70,7 @@ def op13_token_alignment(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_token_counts, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pareto_mix,
-    op7_language_id, op8_quality_rules, op9_block_matrix_ann, op10_chat_format, op11_vector_codes, op13_token_alignment)}
+    op7_language_id, op8_quality_rules, op9_block_matrix_ann, op10_chat_format, op11_vector_codes, op12_warc,
+    op13_token_alignment)}
 ORACLES = {"op6_pareto_mix": mixing.ORACLE, "op9_block_matrix_ann": ann.ORACLE, "op10_chat_format": chat.ORACLE,
-           "op11_vector_codes": vector_codes.ORACLE}
+           "op11_vector_codes": vector_codes.ORACLE, "op12_warc": warc.ORACLE}
