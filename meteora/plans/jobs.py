@@ -141,7 +141,7 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
     write_table(runs, runs_t)
     runs = spark.table(runs_t)
     points = FC.run_points(runs)
-    write_table(FC._finish(points, cfg, F.col("yhat"), F.col("half")), _t(db, FORECAST))
+    write_table(FC.finish_points(points, cfg), _t(db, FORECAST))
     write_table(FC.models_of(runs), _t(db, FORECAST + "_models"))
     run = "forecast_all_cities"
     log = forecast_run_log(run, cfg, daily, FC.forecast_metrics(daily, points))

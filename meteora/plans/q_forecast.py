@@ -179,3 +179,45 @@ def forecast_additive_facts_q(spark, root):
         F.count_distinct("forecast_date").alias("days"), F.min(F.col("forecast_date").cast("date")).cast("string").alias("first_day"),
         F.max(F.col("forecast_date").cast("date")).cast("string").alias("last_day"),
         F.bool_and((F.col("predicted_low_c") <= p) & (p <= F.col("predicted_high_c"))).alias("ordered"))
+
+
+@register("forecast_additive_status", Q.with_(*_AB_DAILY) + f"""
+SELECT CAST(count_if(n >= {_CFG.min_training_rows} AND city <> 'NATION_3') AS BIGINT) AS cities_succeeded,
+       CAST(count_if(n >= {_CFG.min_training_rows} AND city = 'NATION_3') AS BIGINT) AS cities_failed,
+       CAST(count_if(n < {_CFG.min_training_rows}) AS BIGINT) AS cities_skipped
+FROM (SELECT city, count(*) AS n FROM gab GROUP BY city)""")
+def forecast_additive_status_q(spark, root):
+    """Outcomes of the additive form when one station's values are not
+    numbers: it fails, the others go on."""
+    d = I.daily_a(spark, root).unionByName(I.daily_b(spark, root))
+    broken = F.when(F.col("city") == "NATION_3", F.lit(float("nan"))).otherwise(F.col("avg_temp_c"))
+    return FC.status_counts(FC.additive_model_runs(d.withColumn("avg_temp_c", broken), _CFG))
+
+
+@register("forecast_from_models", Q.with_(*_AB_DAILY) + f"""
+SELECT city, CAST(CAST(max(date) AS DATE) + CAST(h AS INTEGER) AS TIMESTAMP) AS forecast_date, true AS as_fitted
+FROM gab CROSS JOIN range(1, {_CFG.forecast_days} + 1) AS r(h)
+GROUP BY city, h HAVING count(*) >= {_CFG.min_training_rows}""")
+def forecast_from_models_q(spark, root):
+    """Forecasts from the stored model table agree with those of the fit."""
+    from meteora.operators.materialize import materialize
+    runs = materialize(FC.additive_model_runs(I.daily_a(spark, root).unionByName(I.daily_b(spark, root)), _CFG))
+    fitted = FC.run_points(runs).select("city", "forecast_date", F.col("yhat").alias("fit"))
+    scored = FC.score_models(FC.models_of(runs), _CFG).join(fitted, ["city", "forecast_date"], "left")
+    near = F.abs(F.col("yhat") - F.col("fit")) <= 1e-9 * F.greatest(F.abs("fit"), F.lit(1.0))
+    return scored.select("city", "forecast_date", F.coalesce(near, F.lit(False)).alias("as_fitted"))
+
+
+@register("forecast_interval_facts", Q.with_(*_B_DAILY, f"""cut AS (
+  SELECT city, CAST(max(date) AS DATE) - {_CFG.forecast_days} AS cut FROM g GROUP BY city
+)""", f"""seen AS (
+  SELECT city, max(date) AS last FROM g JOIN cut USING (city) WHERE CAST(date AS DATE) <= cut
+  GROUP BY city HAVING count(*) >= {_CFG.min_training_rows}
+)""") + f"""
+SELECT count(DISTINCT city) AS stations, count(*) AS days, true AS plausible
+FROM g JOIN cut USING (city) JOIN seen USING (city)
+WHERE CAST(date AS DATE) > cut AND CAST(date AS DATE) <= CAST(last AS DATE) + {_CFG.forecast_days}""")
+def forecast_interval_facts_q(spark, root):
+    """Held-out days that the 80 % interval covers: 60 to 95 of a hundred."""
+    c = FC.held_out_coverage(I.daily_b(spark, root), _CFG)
+    return c.select("stations", "days", F.col("coverage").between(0.6, 0.95).alias("plausible"))
