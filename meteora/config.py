@@ -37,6 +37,9 @@ class PipelineConfig:
     # Rows to a partition of one-row-per-station frames (features). Hash
     # layout on the key keeps K-Means input identical across runs.
     stations_per_partition: int = 200_000
+    # Hash buckets of the stations in a day of a state table (fixed when the
+    # table is made).
+    state_buckets: int = 32
     # Reporting precision of unrounded statistics (means, sigmas, z).
     stat_digits: int = 6
     cluster_labels: dict = field(

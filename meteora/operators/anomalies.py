@@ -18,26 +18,27 @@ from meteora.config import PipelineConfig
 from meteora.functions.numerics import round_half_up as rh
 from meteora.functions.numerics import stamp
 from meteora.functions.weather import anomaly_type, severity, zscore
+from meteora.operators.baselines import MEASURES, merge_states, statistics
 from meteora.operators.dedup import latest_by
 from meteora.schemas import ANOMALY_COLUMNS
 
 
+def history_stats() -> list:
+    """Mean and sample deviation of each measure's (already rounded) daily
+    values, and how many days there are."""
+    of = lambda name, f: [f(column).alias(f"hist_{name}_{m}") for m, column in MEASURES]
+    return [*of("mean", F.avg), *of("std", F.stddev_samp), F.count(F.lit(1)).alias("history_days")]
+
+
+_STATS = [f"hist_{x}_{m}" for m, _ in MEASURES for x in ("mean", "std")]
+
+
 def baseline(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Mean and sample stddev of the (already rounded) daily values; the
-    latest day is part of its own baseline. HAVING history_days >= floor."""
-    return (
-        daily.groupBy("city", "country")
-        .agg(
-            F.avg("avg_temp_c").alias("hist_mean_temp"),
-            F.stddev_samp("avg_temp_c").alias("hist_std_temp"),
-            F.avg("avg_wind_speed_kmh").alias("hist_mean_wind"),
-            F.stddev_samp("avg_wind_speed_kmh").alias("hist_std_wind"),
-            F.avg("total_precipitation_mm").alias("hist_mean_precip"),
-            F.stddev_samp("total_precipitation_mm").alias("hist_std_precip"),
-            F.count(F.lit(1)).alias("history_days"),
-        )
-        .filter(F.col("history_days") >= cfg.min_history_days)
-    )
+    """History of each (city, country); the latest day is part of its own
+    baseline. HAVING history_days >= floor."""
+    per = daily.groupBy("city", "country").agg(*history_stats())
+    return (per.filter(F.col("history_days") >= cfg.min_history_days)
+            .select("city", "country", *_STATS, "history_days"))
 
 
 def today_snapshot(daily: DataFrame) -> DataFrame:
@@ -67,19 +68,14 @@ def zscores(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
     # A NULL day (unparsable times) loses to any real day but is still a
     # snapshot when it is the only one, as in row_number ordering.
     day = F.coalesce(F.col("date"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
-    per = daily.groupBy("city", "country").agg(
-        F.avg("avg_temp_c").alias("hist_mean_temp"),
-        F.stddev_samp("avg_temp_c").alias("hist_std_temp"),
-        F.avg("avg_wind_speed_kmh").alias("hist_mean_wind"),
-        F.stddev_samp("avg_wind_speed_kmh").alias("hist_std_wind"),
-        F.avg("total_precipitation_mm").alias("hist_mean_precip"),
-        F.stddev_samp("total_precipitation_mm").alias("hist_std_precip"),
-        F.count(F.lit(1)).alias("history_days"),
-        F.max("date").alias("_d"),
-        F.max_by("avg_temp_c", day).alias("_t"),
-        F.max_by("avg_wind_speed_kmh", day).alias("_w"),
-        F.max_by("total_precipitation_mm", day).alias("_p"),
-    )
+    return zscores_of(daily.groupBy("city", "country").agg(
+        *history_stats(), F.max("date").alias("_d"),
+        *[F.max_by(c, day).alias(f"_{x}") for x, (_, c) in zip("twp", MEASURES, strict=True)]), cfg)
+
+
+def zscores_of(per: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Z-scores from one row per (city, country): its history and latest day
+    (``_d``, ``_t``, ``_w``, ``_p``)."""
     latest_first = Window.partitionBy("city").orderBy(
         *[F.col(c).desc_nulls_last() for c in ("_d", "country", "_t", "_w", "_p")]
     ).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -111,7 +107,16 @@ def anomaly_flags(z: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 def anomalies(daily: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Gold anomalies table. No sort before the write (readers order)."""
-    f = anomaly_flags(zscores(daily, cfg), cfg)
+    return anomalies_of(zscores(daily, cfg), cfg)
+
+
+def anomalies_from_states(states: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The same from stored history states: no daily row is read."""
+    return anomalies_of(zscores_of(statistics(merge_states(states)), cfg), cfg)
+
+
+def anomalies_of(z: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    f = anomaly_flags(z, cfg)
     return (
         f.filter(F.col("is_anomaly"))
         .select(

@@ -15,6 +15,7 @@ from meteora.operators import anomalies as A
 from meteora.operators import clustering as C
 from meteora.operators import forecasting as FC
 from meteora.operators import quality as QY
+from meteora.operators.baselines import history_states, month_of
 from meteora.operators.gold import city_ranking, gold_daily
 from meteora.operators.dedup import latest_by
 from meteora.operators.materialize import materialize
@@ -22,9 +23,9 @@ from meteora.operators.ranking import global_rank
 from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, forecast_run_log, metrics_long
 from meteora.operators.silver import DEDUP_ORDER, observed_between, parse_time, silver_state, to_silver
 from meteora.schemas import FEATURE_COLUMNS, RANKING_COLUMNS
-from meteora.sinks import export_csv, write_table
+from meteora.sinks import bucket_of, buckets_of, export_csv, overwrite_partitions, publish, touched_rows, write_table
 from meteora.sources.payload import first_valid, flatten, parse_landing, quarantine
-from meteora.streaming.incremental import overwrite_partitions, upsert_silver_batch
+from meteora.streaming.incremental import upsert_silver_batch
 
 BRONZE = "weather_bronze"
 SILVER = "weather_silver"
@@ -41,26 +42,39 @@ def _t(db: str, name: str) -> str:
     return f"{db}.{name}" if db else name
 
 
-def append_bronze(spark: SparkSession, bronze: DataFrame, db: str = "") -> None:
-    """Append a Bronze batch, partitioned by ingest day (prunable)."""
-    out = bronze.withColumn("ingest_date", F.to_date("ingested_at"))
-    write_table(out, _t(db, BRONZE), mode="append", partition_by=["ingest_date"])
+def batch_id(landing: DataFrame) -> str:
+    """A name for the content of a landing batch, whatever its order."""
+    h = F.xxhash64(*landing.columns)
+    r = landing.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).first()
+    return "-".join(f"{(v or 0) & (1 << 64) - 1:x}" for v in r)
+
+
+def write_batch(df: DataFrame, name: str, batch: str, parts: tuple = ()) -> None:
+    """Make ``df`` all that the table has of ``batch``: writing a batch again
+    leaves one copy."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch = '{batch}')")
+    overwrite_partitions(df.withColumn("batch", F.lit(batch)), name, ["batch", *parts], gather=False)
 
 
 def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "",
-                   observed: tuple[str, str] | None = None) -> DataFrame:
-    """Landing documents → quarantine table + Bronze append; returns the
-    Bronze batch, one row per (city, time). ``observed`` bounds the days of
-    observation (inclusive); rows without a readable time stay."""
+                   observed: tuple[str, str] | None = None, batch: str | None = None) -> DataFrame:
+    """Landing documents → quarantine and Bronze tables; returns the Bronze
+    batch, one row per (city, time). ``observed`` bounds the days of
+    observation (inclusive); rows without a readable time stay. Both tables
+    are partitioned by ``batch`` (by default a name made from the content),
+    Bronze by ingest day too; a batch that comes again replaces itself."""
+    batch = batch or batch_id(landing)
     parsed = parse_landing(landing)
-    write_table(quarantine(parsed, cfg.retry_attempts), _t(db, QUARANTINE), mode="append")
+    write_batch(quarantine(parsed, cfg.retry_attempts), _t(db, QUARANTINE), batch)
     bronze = flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt")
     if observed:
         time = parse_time(bronze, cfg)
         bronze = bronze.filter(time.isNull() | observed_between(time, *observed))
-    bronze = materialize(latest_by(bronze, ["city", "time"], DEDUP_ORDER))
-    append_bronze(spark, bronze, db)
-    return bronze
+    bronze = latest_by(bronze, ["city", "time"], DEDUP_ORDER).withColumn("ingest_date", F.to_date("ingested_at"))
+    write_batch(bronze, _t(db, BRONZE), batch, ("ingest_date",))
+    return spark.table(_t(db, BRONZE)).filter(F.col("batch") == batch).drop("batch", "ingest_date")
 
 
 def rebuild_silver_gold(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> dict:
@@ -70,12 +84,12 @@ def rebuild_silver_gold(spark: SparkSession, cfg: PipelineConfig, db: str = "")
 
     bronze = spark.table(_t(db, BRONZE))
     gate = Observation("silver_gate")
-    write_table(to_silver(bronze, cfg).observe(gate, *QY.gate_metrics()), _t(db, SILVER))
+    publish(to_silver(bronze, cfg).observe(gate, *QY.gate_metrics()), _t(db, SILVER))
     silver = spark.table(_t(db, SILVER))
-    write_table(gold_daily(silver), _t(db, DAILY))
-    write_table(city_ranking(silver), _t(db, RANKING))
+    publish(gold_daily(silver), _t(db, DAILY))
+    publish(city_ranking(silver), _t(db, RANKING))
     daily = spark.table(_t(db, DAILY))
-    write_table(A.anomalies(daily, cfg), _t(db, ANOMALIES))
+    publish(A.anomalies(daily, cfg), _t(db, ANOMALIES))
     # Gate metrics were observed while Silver was written.
     rows = QY.checks_from_metrics(gate.get, cfg.quality_min_rows)
     QY.enforce_rows(rows)
@@ -105,7 +119,7 @@ def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_d
     res = C.kmeans_sweep(C.city_features(daily), cfg)
     final = (C.label_clusters_by_centres(res.clustered, res.model) if rule_labels
              else C.label_clusters(res.clustered, cfg))
-    write_table(final, _t(db, CLUSTERS))
+    publish(final, _t(db, CLUSTERS))
     clusters = spark.table(_t(db, CLUSTERS))
     run_id = f"kmeans_k{res.best_k}"
     params = spark.createDataFrame(
@@ -138,11 +152,11 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
     daily = spark.table(_t(db, DAILY))
     runs = FC.additive_model_runs(daily, cfg)
     runs_t = _t(db, FORECAST + "_runs")
-    write_table(runs, runs_t)
+    publish(runs, runs_t)
     runs = spark.table(runs_t)
     points = FC.run_points(runs)
-    write_table(FC.finish_points(points, cfg), _t(db, FORECAST))
-    write_table(FC.models_of(runs), _t(db, FORECAST + "_models"))
+    publish(FC.finish_points(points, cfg), _t(db, FORECAST))
+    publish(FC.models_of(runs), _t(db, FORECAST + "_models"))
     run = "forecast_all_cities"
     log = forecast_run_log(run, cfg, daily, FC.forecast_metrics(daily, points))
     log = log.unionByName(metrics_long(FC.status_counts(runs).withColumn("run", F.lit(run)), "run", None, "metric"))
@@ -158,47 +172,71 @@ def run_forecasting(spark: SparkSession, cfg: PipelineConfig, db: str = "") -> D
 
 SILVER_INC = "weather_silver_by_day"
 DAILY_INC = "weather_gold_daily_by_day"
-LATEST_INC = "weather_latest_state"
+LATEST_INC = "weather_latest_by_bucket"
 GATE_INC = "weather_gate_by_day"
+HISTORY_INC = "weather_history_states"
 
 
 def run_hourly_incremental(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig,
-                           db: str = "") -> dict:
+                           db: str = "", batch: str | None = None) -> dict:
     """Hourly run that merges a batch instead of rebuilding Silver.
 
-    Bronze batch → append; Silver (partitioned by day) gets the batch merged
-    into the touched days only; the daily table is recomputed for those days
-    only; the latest reading of each station is updated from itself plus the
-    batch; ranking and anomalies read station- and day-sized tables. The
-    gate adds the counts that each day's table keeps. Results equal the full
-    rebuild. Anomaly baselines still read the whole daily table."""
-    batch = ingest_landing(spark, landing, cfg, db)
+    Bronze batch → Bronze; Silver gets the batch merged into the (day,
+    bucket) partitions it touches; daily rows and the gate's counts are
+    recomputed for those, the history states for their (month, bucket), and
+    the latest readings for their buckets. Ranking reads the latest readings,
+    anomalies read the history states. Results equal the full rebuild."""
+    rows = ingest_landing(spark, landing, cfg, db, batch=batch)
     silver_t, daily_t = _t(db, SILVER_INC), _t(db, DAILY_INC)
-    upsert_silver_batch(spark, batch, silver_t, cfg)
-    new = materialize(silver_state(batch, cfg))
-    days = new.select(F.col("time").cast("date").alias("_day")).distinct()
-    silver = spark.table(silver_t)
-    touched = silver.join(days, silver["day"].eqNullSafe(days["_day"]), "left_semi")
-    overwrite_partitions(materialize(gold_daily(touched.drop("day")).withColumn("day", F.col("date").cast("date"))),
-                         daily_t, "day")
-    overwrite_partitions(materialize(touched.groupBy("day").agg(*QY.gate_metrics())), _t(db, GATE_INC), "day")
+    touched = upsert_silver_batch(spark, rows, silver_t, cfg)
+    n = buckets_of(spark, silver_t, cfg.state_buckets)
+    here = bucket_of("city", n)
+    silver = touched_rows(spark.table(silver_t), touched, "day")
+    daily = gold_daily(silver.drop("day", "bucket")).withColumn("day", F.col("date").cast("date"))
+    overwrite_partitions(materialize(daily.withColumn("bucket", here)), daily_t, ["day", "bucket"], n)
+    gate = silver.groupBy("day", "bucket").agg(*QY.gate_metrics())
+    overwrite_partitions(materialize(gate), _t(db, GATE_INC), ["day", "bucket"], n)
+
+    history_t = _t(db, HISTORY_INC)
+    months = touched.select(month_of("day").alias("month"), "bucket").distinct()
+    known = spark.table(daily_t).withColumn("month", month_of("day"))
+    states = history_states(touched_rows(known, months, "month"), ["city", "country", "month", "bucket"])
+    overwrite_partitions(materialize(states), history_t, ["month", "bucket"], n)
 
     latest_t = _t(db, LATEST_INC)
-    known = spark.catalog.tableExists(latest_t)
-    state = spark.table(latest_t).drop("generation").unionByName(new) if known else new
-    latest = materialize(latest_by(state, ["city"], ["time", *DEDUP_ORDER]))
-    # the state is written beside the old one, which goes only afterwards
-    generation = (spark.table(latest_t).agg(F.max("generation")).first()[0] or 0) + 1 if known else 1
-    overwrite_partitions(latest.withColumn("generation", F.lit(generation)), latest_t, "generation")
-    if known:
-        spark.sql(f"ALTER TABLE {latest_t} DROP IF EXISTS PARTITION (generation = {generation - 1})")
-
-    ranking = global_rank(spark.table(latest_t), "temperature_c", "temp_rank").select(*RANKING_COLUMNS)
-    write_table(ranking, _t(db, RANKING))
-    daily = spark.table(daily_t).drop("day")
-    write_table(A.anomalies(daily, cfg), _t(db, ANOMALIES))
+    new = silver_state(rows, cfg).withColumn("bucket", here)
+    if spark.catalog.tableExists(latest_t):
+        new = materialize(new)
+        old = spark.table(latest_t).join(new.select("bucket").distinct(), "bucket", "left_semi")
+        new = old.unionByName(new)
+    latest = materialize(latest_by(new, ["city"], ["time", *DEDUP_ORDER]))
+    overwrite_partitions(latest, latest_t, ["bucket"], n)
+
+    ranking = global_rank(spark.table(latest_t).drop("bucket"), "temperature_c", "temp_rank").select(*RANKING_COLUMNS)
+    publish(ranking, _t(db, RANKING))
+    publish(A.anomalies_from_states(spark.table(history_t), cfg), _t(db, ANOMALIES))
     gate = spark.table(_t(db, GATE_INC)).agg(F.sum("total").alias("total"), F.sum("nulls").alias("nulls"),
                                              F.max("latest").alias("latest")).first().asDict()
-    rows = QY.checks_from_metrics(gate, cfg.quality_min_rows)
-    QY.enforce_rows(rows)
-    return {r["check"]: r for r in rows}
+    checks = QY.checks_from_metrics(gate, cfg.quality_min_rows)
+    QY.enforce_rows(checks)
+    return {r["check"]: r for r in checks}
+
+
+def start_landing(spark: SparkSession, path: str, cfg: PipelineConfig, db: str = "", name: str = "landing",
+                  available_now: bool = True):
+    """File stream over a landing folder of envelopes. Every micro-batch is
+    ingested under its own batch name, so one that is run again after a
+    failure replaces itself: each file's documents land exactly once."""
+    import os
+
+    from meteora.session import checkpoint_dir
+    from meteora.sources.landing import stream_envelopes
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
+
+    def ingest(df: DataFrame, epoch: int) -> None:
+        ingest_landing(df.sparkSession, df, cfg, db, batch=f"{name}-{epoch}")
+
+    return (stream_envelopes(spark, path).writeStream.foreachBatch(ingest)
+            .option("checkpointLocation", os.path.join(checkpoint_dir(spark), f"{name}_ingest"))
+            .trigger(**trigger).start())

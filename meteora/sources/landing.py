@@ -37,16 +37,28 @@ def _date_bounds(df: DataFrame, col: str, start: str | None, end: str | None) ->
     return df
 
 
+def _envelope_reader(reader):
+    raw = T.StructField(CORRUPT_COL, T.StringType())
+    return (reader.schema(T.StructType([*LANDING.fields, raw])).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL))
+
+
+def _with_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("body", F.coalesce(CORRUPT_COL, "body"))
+
+
+def stream_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """The same as a file stream, without bounds."""
+    return _with_text(_envelope_reader(spark.readStream).json(path)).select(*[f.name for f in LANDING.fields])
+
+
 def read_envelopes(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
                    observed: tuple[str, str] | None = None) -> DataFrame:
     """Envelopes, bounded by inclusive days of ingest (``start``, ``end``);
     ``observed`` prunes the folders of a layout partitioned by
     ``observed_date`` (rows without it stay). A line that is no envelope becomes a row with its text as ``body``
     and nothing else, which the parser sends to quarantine."""
-    raw = T.StructField(CORRUPT_COL, T.StringType())
-    df = (spark.read.schema(T.StructType([*LANDING.fields, raw])).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path)
-          .withColumn("body", F.coalesce(CORRUPT_COL, "body")))
+    df = _with_text(_envelope_reader(spark.read).json(path))
     if observed and "observed_date" in df.columns:
         day = F.col("observed_date").cast("date")
         df = df.filter(day.isNull() | day.between(*(F.lit(d).cast("date") for d in observed)))

@@ -1,7 +1,8 @@
 """Structured Streaming jobs replacing the hourly full rebuild.
 
 Rows without a readable time and rows later than the watermark are not part
-of the append-only streams; ``start_silver_upsert`` keeps both.
+of the append-only streams; ``start_silver_upsert`` keeps both, and
+``corrections`` counts every row.
 
 D1 ``silver_stream``: file stream of Bronze rows → parse time → watermark on
     ``time`` → ``dropDuplicatesWithinWatermark(city, time)`` → Silver
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 
 from meteora.config import PipelineConfig
 from meteora.functions.weather import condition_label, feels_like
+from meteora.operators.dedup import latest_by
 from meteora.operators.gold import daily_stats
-from meteora.operators.silver import parse_time
+from meteora.operators.materialize import materialize
+from meteora.operators.silver import DEDUP_ORDER, parse_time, silver_state
 from meteora.schemas import BRONZE, DAILY_COLUMNS, SILVER_COLUMNS
 from meteora.session import checkpoint_dir
+from meteora.sinks import bucket_of, buckets_of, overwrite_partitions, touched_rows
 
 
 def _require_utc(spark: SparkSession) -> None:
@@ -105,53 +109,32 @@ def start_silver_and_daily(spark: SparkSession, bronze_path: str, silver_path: s
 
 # ---- latest-wins upsert (foreachBatch) --------------------------------------
 
-def overwrite_partitions(df: DataFrame, table: str, part: str) -> None:
-    """Replace the partitions of ``table`` that ``df`` has rows of. Rows of
-    one partition meet in one task, so each gets one file."""
-    spark = df.sparkSession
-    laid = df.repartition(part)
-    if not spark.catalog.tableExists(table):
-        laid.write.format("parquet").partitionBy(part).saveAsTable(table)
-        return
-    key = "spark.sql.sources.partitionOverwriteMode"  # insertInto reads no write option for it
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        laid.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(key, before)
-
-
 def upsert_silver_batch(spark: SparkSession, batch: DataFrame, table: str,
-                        cfg: PipelineConfig | None = None) -> None:
-    """Merge one Bronze micro-batch into a Silver table partitioned by day
-    by the batch rebuild's rule (``DEDUP_ORDER``; rows without a time have
-    the NULL day).
-
-    Only the day partitions the batch touches are read, merged with
-    ``latest_by`` and rewritten (dynamic partition overwrite). The merged
-    rows are checkpointed first, so the overwrite never reads the files it
-    replaces."""
-    from meteora.operators.dedup import latest_by
-    from meteora.operators.materialize import materialize
-    from meteora.operators.silver import DEDUP_ORDER, silver_state
-
+                        cfg: PipelineConfig | None = None) -> DataFrame:
+    """Merge one Bronze micro-batch into a Silver table partitioned by day and
+    station bucket by the batch rebuild's rule (``DEDUP_ORDER``; rows without
+    a time have the NULL day); returns the (day, bucket) pairs it touches.
+
+    Only those partitions are read, merged with ``latest_by`` and rewritten
+    (dynamic partition overwrite). The merged rows are checkpointed first, so
+    the overwrite never reads the files it replaces."""
     cfg = cfg or PipelineConfig()
-    new = silver_state(batch, cfg).withColumn("day", F.col("time").cast("date"))
+    n = buckets_of(spark, table, cfg.state_buckets)
+    new = materialize(silver_state(batch, cfg).withColumn("day", F.col("time").cast("date"))
+                      .withColumn("bucket", bucket_of("city", n)))
+    touched = new.select("day", "bucket").distinct()
     if spark.catalog.tableExists(table):
-        new = materialize(new)
-        days = new.select(F.col("day").alias("_day")).distinct()
-        old = spark.table(table)
-        existing = old.join(days, old["day"].eqNullSafe(days["_day"]), "left_semi")
+        existing = touched_rows(spark.table(table), touched, "day")
         new = materialize(latest_by(existing.unionByName(new), ["city", "time"], DEDUP_ORDER))
-    overwrite_partitions(new, table, "day")
+    overwrite_partitions(new, table, ["day", "bucket"], n)
+    return touched
 
 
 def start_silver_upsert(spark: SparkSession, bronze_path: str, table: str,
                         cfg: PipelineConfig | None = None, available_now: bool = True,
                         name: str = "meteora_upsert"):
     """D1 with latest-wins semantics: file stream of Bronze → foreachBatch
-    upsert into a day-partitioned Silver table."""
+    upsert into a Silver table partitioned by day and bucket."""
     cfg = cfg or PipelineConfig()
     ck = checkpoint_dir(spark)
     trig = {"availableNow": True} if available_now else {"processingTime": "1 hour"}
