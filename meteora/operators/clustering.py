@@ -188,3 +188,8 @@ def label_clusters_by_centres(clustered: DataFrame, model) -> DataFrame:
     labels = centre_rule_labels(model.clusterCenters())
     return clustered.withColumn("climate_cluster", lookup_label(F.col("prediction"), labels)) \
         .select(*CLUSTER_COLUMNS)
+
+
+def sorted_table(clusters: DataFrame) -> DataFrame:
+    """The cluster table in its published order: label, then temperature."""
+    return clusters.orderBy("climate_cluster", "mean_temp_c", "city", "country")

@@ -24,6 +24,7 @@ from meteora.operators.runlog import RUNLOG_SCHEMA, cluster_size_metrics, foreca
 from meteora.operators.silver import DEDUP_ORDER, observed_between, parse_time, silver_state, to_silver
 from meteora.schemas import FEATURE_COLUMNS, RANKING_COLUMNS
 from meteora.sinks import bucket_of, buckets_of, export_csv, overwrite_partitions, publish, touched_rows, write_table
+from meteora.sources.cities import absent_stations, city_dim
 from meteora.sources.payload import first_valid, flatten, parse_landing, quarantine
 from meteora.streaming.incremental import upsert_silver_batch
 
@@ -35,6 +36,7 @@ ANOMALIES = "weather_gold_anomalies"
 CLUSTERS = "weather_gold_city_clusters"
 FORECAST = "weather_gold_forecast"
 QUARANTINE = "weather_quarantine"
+ABSENT = "weather_absent_stations"
 RUNLOG = "weather_run_log"
 
 
@@ -59,8 +61,11 @@ def write_batch(df: DataFrame, name: str, batch: str, parts: tuple = ()) -> None
 
 
 def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "",
-                   observed: tuple[str, str] | None = None, batch: str | None = None) -> DataFrame:
-    """Landing documents → quarantine and Bronze tables; returns the Bronze
+                   observed: tuple[str, str] | None = None, batch: str | None = None,
+                   stations: DataFrame | None = None) -> DataFrame:
+    """Landing documents → quarantine and Bronze tables, and the stations of
+    the list (``stations``, by default the published one) that the batch has
+    no valid document of → the table of absent stations; returns the Bronze
     batch, one row per (city, time). ``observed`` bounds the days of
     observation (inclusive); rows without a readable time stay. Both tables
     are partitioned by ``batch`` (by default a name made from the content),
@@ -68,7 +73,10 @@ def ingest_landing(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig,
     batch = batch or batch_id(landing)
     parsed = parse_landing(landing)
     write_batch(quarantine(parsed, cfg.retry_attempts), _t(db, QUARANTINE), batch)
-    bronze = flatten(first_valid(parsed, cfg.retry_attempts)).drop("doc_id", "attempt")
+    valid = first_valid(parsed, cfg.retry_attempts)
+    dim = city_dim(spark) if stations is None else stations
+    write_batch(absent_stations(dim, valid, ["city", "country"]).select("city", "country"), _t(db, ABSENT), batch)
+    bronze = flatten(valid).drop("doc_id", "attempt")
     if observed:
         time = parse_time(bronze, cfg)
         bronze = bronze.filter(time.isNull() | observed_between(time, *observed))
@@ -96,8 +104,9 @@ def rebuild_silver_gold(spark: SparkSession, cfg: PipelineConfig, db: str = "")
     return {r["check"]: r for r in rows}
 
 
-def run_hourly(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "") -> dict:
-    ingest_landing(spark, landing, cfg, db)
+def run_hourly(spark: SparkSession, landing: DataFrame, cfg: PipelineConfig, db: str = "",
+               batch: str | None = None, stations: DataFrame | None = None) -> dict:
+    ingest_landing(spark, landing, cfg, db, batch=batch, stations=stations)
     return rebuild_silver_gold(spark, cfg, db)
 
 
@@ -119,7 +128,7 @@ def run_clustering(spark: SparkSession, cfg: PipelineConfig, db: str = "", csv_d
     res = C.kmeans_sweep(C.city_features(daily), cfg)
     final = (C.label_clusters_by_centres(res.clustered, res.model) if rule_labels
              else C.label_clusters(res.clustered, cfg))
-    publish(final, _t(db, CLUSTERS))
+    publish(C.sorted_table(final), _t(db, CLUSTERS))
     clusters = spark.table(_t(db, CLUSTERS))
     run_id = f"kmeans_k{res.best_k}"
     params = spark.createDataFrame(

@@ -264,3 +264,19 @@ def city_clusters_facts_q(spark, root):
     d = C.assign_nearest(C.scaled_columns(res.clustered.withColumnRenamed("prediction", "fitted")), centres)
     return d.select("city", "country", "mean_temp_c", F.col("fitted").between(0, res.best_k - 1).alias("id_in_range"),
                     (F.col("fitted") == F.col("prediction")).alias("nearest"))
+
+
+@register("cluster_table_sorted", Q.with_(*_LABELLED_SQL) + """SELECT city, climate_cluster, mean_temp_c,
+  row_number() OVER (PARTITION BY climate_cluster ORDER BY mean_temp_c, city, country)::BIGINT AS nth,
+  dense_rank() OVER (ORDER BY climate_cluster NULLS FIRST)::BIGINT AS nth_cluster FROM lab""")
+def cluster_table_sorted_q(spark, root):
+    """The published two-key order, read off the rows as they come: the place
+    of a row in its cluster and of the cluster in the table."""
+    from pyspark.sql import Window
+    came = C.sorted_table(_labelled(spark, root)).withColumn("_at", F.monotonically_increasing_id())
+    heads = came.groupBy("climate_cluster").agg(F.min("_at").alias("_head"))  # a row for each label
+    heads = heads.select(F.col("climate_cluster").alias("_label"), F.row_number().over(Window.orderBy("_head"))
+                         .cast("long").alias("nth_cluster"))
+    nth = F.row_number().over(Window.partitionBy("climate_cluster").orderBy("_at")).cast("long")
+    return (came.join(F.broadcast(heads), F.col("climate_cluster").eqNullSafe(F.col("_label")))
+            .select("city", "climate_cluster", "mean_temp_c", nth.alias("nth"), "nth_cluster"))

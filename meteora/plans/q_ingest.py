@@ -15,7 +15,7 @@ from meteora.plans.landing_fixture import events_landing
 from meteora.schemas import SILVER_COLUMNS
 from meteora.sources import payload as P
 from meteora.sources.adapters import events_observations, station_dim
-from meteora.sources.cities import absent_stations
+from meteora.sources.cities import CITY_ROWS, absent_stations, city_dim
 
 _SILVER_OUT = [c for c in SILVER_COLUMNS if c != "ingested_at"]
 
@@ -144,3 +144,56 @@ def stations_without_data_q(spark, root):
              .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
              .select(F.col("c_nationkey").alias("nationkey")))
     return absent_stations(station_dim(t("nation"), t("region")), batch, "nationkey").select("city", "country")
+
+
+_AWKWARD_SQL = _DOCS_SQL.replace("""CASE doc_id % 3 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing_hourly'
+              ELSE 'length_mismatch' END""", """CASE doc_id % 7 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'missing_hourly'
+              WHEN 2 THEN 'length_mismatch' WHEN 3 THEN 'missing_time' WHEN 4 THEN 'missing_scalar'
+              WHEN 5 THEN 'malformed_json' ELSE 'unreadable_landing' END""")
+_TEXT_SQL = """obs_t AS (
+  SELECT o.city, o.country,
+         TRY_CAST(CASE WHEN e.k % 10 <> 7 THEN strftime(e.ts, '%Y-%m-%d %H:%M:00') END AS TIMESTAMP) AS time,
+         e.value AS temperature_c, CAST(100 - e.k AS DOUBLE) AS humidity_pct, CAST(e.k AS DOUBLE) AS wind_speed_kmh,
+         e.value / 10 AS precipitation_mm, CAST(e.k AS DOUBLE) AS weather_code,
+         -- the second attempt came later
+         CAST(o.attempt_used AS BIGINT) * 1000000000000 + o.doc_id * 10 + o.attempt_used AS ingest_seq
+  FROM ev e JOIN outcome o ON e.user_id = o.user_id AND e.doc_id = o.doc_id
+  WHERE o.attempt_used IS NOT NULL
+)"""
+
+
+def _awkward(spark, root):
+    return events_landing(I.table(spark, root, "events"), I.QCFG, awkward=True)
+
+
+@register("payload_to_silver", Q.with_(_AWKWARD_SQL, _TEXT_SQL, Q.silver("obs_t", "s"))
+          + f"SELECT {', '.join(_SILVER_OUT)} FROM s")
+def payload_to_silver_q(spark, root):
+    """JSON documents to Silver, times as text: unreadable times become NULL
+    and one reading a station stays of them."""
+    return to_silver(P.landing_to_bronze(_awkward(spark, root), I.QCFG), I.QCFG).select(*_SILVER_OUT)
+
+
+@register("payload_quarantine_shapes", Q.with_(_AWKWARD_SQL) + """
+SELECT reason, count(*) AS documents FROM (
+  SELECT bad_reason AS reason FROM outcome WHERE f1 UNION ALL SELECT bad_reason FROM outcome WHERE f2
+  UNION ALL SELECT 'late_attempt' FROM outcome WHERE f2) GROUP BY reason""")
+def payload_quarantine_shapes_q(spark, root):
+    """Every reason for quarantine, and how many landing rows have it."""
+    q = P.quarantine(P.parse_landing(_awkward(spark, root)), I.QCFG.retry_attempts)
+    return q.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+_LISTED = ", ".join("({}, '{}', '{}')".format(i, c.replace("'", "''"), k) for i, (c, k, *_) in enumerate(CITY_ROWS))
+
+
+@register("absent_listed_stations", f"""SELECT city, country FROM (VALUES {_LISTED}) v(i, city, country)
+WHERE i NOT IN (SELECT user_id // 2 FROM events WHERE user_id % 2 = 0)""")
+def absent_listed_stations_q(spark, root):
+    """Stations of the published list without a document in a batch, here
+    one in which every second user is the station of half the number."""
+    dim = city_dim(spark)
+    listed = spark.createDataFrame([(2 * i, c, k) for i, (c, k, *_) in enumerate(CITY_ROWS)],
+                                   "user_id long, city string, country string")
+    batch = I.table(spark, root, "events").select("user_id").join(F.broadcast(listed), "user_id")
+    return absent_stations(dim, batch, ["city", "country"]).select("city", "country")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meteora.operators import anomalies as A
 from meteora.operators import forecasting as FC
 from meteora.operators import quality as QY
-from meteora.operators.gold import city_ranking
+from meteora.operators.gold import latest_per_city
 from meteora.operators.runlog import forecast_run_log
 from meteora.plans import inputs as I
 from meteora.plans import q_forecast as QF
@@ -51,7 +51,7 @@ def table_counts_q(spark, root):
     silver = I.silver_b(spark, root)
     daily = I.daily_b(spark, root)
     return QY.table_counts(bronze=bronze, silver=silver, daily=daily,
-                           ranking=city_ranking(silver), anomalies=A.anomalies(daily, cfg))
+                           ranking=latest_per_city(silver), anomalies=A.anomalies(daily, cfg))
 
 
 _RUN = "forecast_all_cities"

@@ -120,6 +120,6 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CITY_ROWS, CITY_SCHEMA)
 
 
-def absent_stations(dim, batch, key: str = "city"):
+def absent_stations(dim: DataFrame, batch: DataFrame, key: str | list[str] = "city") -> DataFrame:
     """Stations of the dimension without any document in a batch."""
     return dim.join(batch.select(key).distinct(), key, "left_anti")

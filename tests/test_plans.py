@@ -81,3 +81,21 @@ def test_global_rank_at_any_shuffle_width(spark, width, tmp_path):
         first.setdefault(k, i + 1)
     assert got == {i: first[k] for i, k in enumerate(keys)}
     assert sum(len(f) for _, _, f in os.walk(spark.conf.get("spark.checkpoint.dir"))) == before
+
+
+def test_global_rank_with_ten_thousand_buckets(spark):
+    from meteora.operators.ranking import global_rank, value_bounds
+    n = 30_000
+    data = spark.range(n).select("id", F.when(F.col("id") < n // 3, 5.0).otherwise(F.col("id").cast("double") % 20_001).alias("v"))
+    values = data.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    bounds, hot, total = value_bounds(values, 100, 2)
+    assert 8_000 < len(bounds) < 12_000 and hot == [5.0] and total == n
+    ranked = global_rank(data, "v", "rk", buckets=100, each=2)
+    plan = _plan(ranked)
+    assert "_salt" in plan and len(plan) < 2_000_000
+    rows = ranked.collect()
+    order = sorted((r.v for r in data.collect()), reverse=True)
+    first = {}
+    for i, v in enumerate(order):
+        first.setdefault(v, i + 1)
+    assert len(rows) == n and all(r.rk == first[r.v] for r in rows)

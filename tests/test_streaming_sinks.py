@@ -52,6 +52,7 @@ def test_jobs_round_trip(spark, tmpdir_path):
     assert gate["row_count"]["passed"]
     assert spark.table(f"{db}.{jobs.SILVER}").count() > 0
     assert spark.table(f"{db}.{jobs.QUARANTINE}").count() > 0
+    assert spark.table(f"{db}.{jobs.ABSENT}").count() == 100  # none of the list is among the events' users
     res = jobs.run_clustering(spark, cfg, db, csv_dir=os.path.join(tmpdir_path, "csv"))
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "csv")).count() == \
         spark.table(f"{db}.{jobs.CLUSTERS}").count()
