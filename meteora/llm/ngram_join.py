@@ -7,25 +7,27 @@ under those links.
 
 1. Documents with one set are one class, known by a key of the set.
 2. Tokens (shingles) are counted over all documents. Tokens in more than
-   ``RARE`` documents are frequent; if there are more than ``FREQUENT`` of
-   them, the least frequent become rare, so their list (at most 8 MB) may be
-   broadcast. Any division into classes gives the same result.
+   ``RARE`` documents are frequent; their list is broadcast, at most
+   ``FREQUENT`` of them (8 MB), the most frequent ones. The others count as
+   rare: any division into classes gives the same result.
 3. Signatures. x can miss at most t = floor(|x| (den - num) / den) of its
    tokens in a partner. A document with more than t rare tokens indexes its
    first t + 1 rare tokens in hash order: a partner has one of them among its
    own. A document with r <= t rare tokens indexes them all and extends its
-   prefix into the frequent class, where it indexes combinations of two
-   tokens that follow each other in hash order. With u tokens of x missing in
-   y and v of y missing in x, at most (u - r) + v tokens break the sequence,
-   so the first 2 (u - r) + v + 2 frequent tokens hold a common pair, for the
-   largest 2u + v that the threshold allows.
+   prefix into the frequent class, where it indexes combinations of k tokens
+   that follow each other in hash order. With u tokens of x missing in y and
+   v of y missing in x, at most b = (u - r) + v tokens break the sequence, so
+   the first (u - r) + (k - 1)(b + 1) + 1 frequent tokens hold a common run
+   of k, for the largest that the threshold allows. k is 2 for sets of under
+   ``LARGE`` tokens and 3 or 4 for larger ones, which would share many pairs
+   by chance; sets that may have partners on the other side index both.
 4. Classes that share a rare token are candidates when their sizes allow a
-   link. Pairs in common combinations need their rare tokens to be missing
-   on the other side, which rules out most of them; in the first round every
-   member of a combination is paired with the member that has the fewest
-   rare tokens, and after the links of that round only members of different
-   components are paired, so a group of many near copies isn't expanded into
-   all of its pairs.
+   link. Where more than ``RARE`` classes share one signature, be it a
+   combination or a token that the list had no room for, every member is
+   paired with one lead first, and after the links of that round only members
+   of different components are paired, so a group of many near copies isn't
+   expanded into all of its pairs. Pairs in common combinations need their
+   rare tokens to be missing on the other side, which rules out most of them.
 5. Candidates whose parity sketches (a bit for each token, about) differ in
    more bits than a link allows are dropped; the others are verified on
    their whole sets.
@@ -54,6 +56,8 @@ RANGE_TOKENS = 1 << 20
 HELD = 4_000_000
 #: Longs of the sketch that combinations carry.
 SKETCH = 8
+#: Sets from this size on index longer combinations.
+LARGE = 64
 
 
 def range_bits(total: int, each: int) -> int:
@@ -67,12 +71,30 @@ def misses(n: int, num: int, den: int) -> int:
     return n * (den - num) // den
 
 
-def prefix_pairs(n: int, r: int, num: int, den: int) -> int:
+def prefix_length(n: int, r: int, num: int, den: int, k: int) -> int:
     """Frequent tokens needed when all r rare ones are missing; 0 if only
     an equal set can be a partner."""
     t = misses(n, num, den)
-    best = max(2 * (u - r) + (den * (n - u)) // num - n for u in range(max(r, t - 2), t + 1))
-    return 0 if t == 0 and den * n // num == n else best + 2
+    if t == 0 and den * n // num == n:
+        return 0
+    return 1 + max(u - r + (k - 1) * (u - r + den * (n - u) // num - n + 1) for u in range(max(r, t - den // num - 2), t + 1))
+
+
+def combination_lengths(n: int, num: int, den: int) -> list[int]:
+    """The k of a set of n tokens: that of its partners' sizes as well."""
+    long = 3 if 100 * num < 85 * den else 4
+    sizes = n * num // den, -(-n * den // num)
+    return [k for k, fits in ((2, sizes[0] < LARGE), (long, sizes[1] >= LARGE)) if fits]
+
+
+def runs(tokens: np.ndarray, k: int) -> np.ndarray:
+    """A hash for every k neighbouring tokens."""
+    if len(tokens) < k:
+        return tokens[:0]
+    h = tokens[: len(tokens) - k + 1]
+    for i in range(1, k):
+        h = pair_hash(h, tokens[i: len(tokens) - k + 1 + i])
+    return h
 
 
 def parity(s: np.ndarray) -> bytes:
@@ -99,14 +121,16 @@ def _fold(sketch: np.ndarray, size: int) -> np.ndarray:
 def _docs_pass(k: int):
     def run(batches):
         for batch in batches:
-            keys, ns, sketches = [], [], []
+            keys, ns, sketches, words = [], [], [], []
             for s in shingle_sets(batch.column(1), k):
                 keys.append(set_key(s) if len(s) else None)
                 ns.append(len(s))
                 sketches.append(parity(s) if len(s) else None)
+                words.append(parity_words(s) if len(s) else None)
             yield pa.record_batch({
                 "doc_id": batch.column(0), "text_hash": batch.column(2), "n": pa.array(ns, pa.int64()),
-                "key": pa.array(keys, pa.int64()), "sketch": pa.array(sketches, pa.binary())})
+                "key": pa.array(keys, pa.int64()), "sketch": pa.array(sketches, pa.binary()),
+                "bits": pa.array(words, pa.list_(pa.int64()))})
 
     return run
 
@@ -179,8 +203,8 @@ def frequent_tokens(counted: DataFrame, least: int = RARE, most: int = FREQUENT)
 
 
 def _signed(batches, k, bits, num, den, often):
-    """(key, size, its rare tokens, its sketch and frequent tokens of its prefix or None) of
-    each class of a task that can have another one as a partner."""
+    """(key, size, its rare tokens, its combinations or None) of each class
+    of a task that can have another one as a partner."""
     seen: set[int] = set()
     for batch in batches:
         for s in shingle_sets(batch.column(0), k):
@@ -191,10 +215,13 @@ def _signed(batches, k, bits, num, den, often):
             at = np.searchsorted(often, token)
             common = often[np.minimum(at, len(often) - 1)] == token if len(often) else np.zeros(len(s), bool)
             rare, t = s[~common], misses(len(s), num, den)
-            need = prefix_pairs(len(s), min(len(rare), t), num, den)
-            if need:
-                few = len(rare) <= t
-                yield key, len(s), rare, (parity_words(s), s[common][:need]) if few else None
+            if t == 0 and den * len(s) // num == len(s):
+                continue
+            found = None
+            if len(rare) <= t:
+                found = [runs(s[common][:prefix_length(len(s), len(rare), num, den, c)], c)
+                         for c in combination_lengths(len(s), num, den)]
+            yield key, len(s), rare, found
 
 
 def _rare_pass(k: int, bits: int, num: int, den: int, frequent):
@@ -230,30 +257,30 @@ def _rare_pass(k: int, bits: int, num: int, den: int, frequent):
 
 def _combination_pass(k: int, bits: int, num: int, den: int, frequent):
     def run(batches):
-        rows = [], [], [], [], []
+        rows = [], [], [], []
 
         def out():
-            types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())
+            types = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())
             return pa.record_batch([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
-                                   ["key", "size", "rare", "bits", "pairs"])
+                                   ["key", "size", "rare", "sigs"])
 
         for key, n, rare, found in _signed(batches, k, bits, num, den, frequent.value):
             if found is None:
                 continue
-            sketch, f = found
-            pairs = pair_hash(f[:-1], f[1:]).view(np.int64)
-            for column, v in zip(rows, (key, n, len(rare), sketch, pairs), strict=True):
+            for column, v in zip(rows, (key, n, len(rare), np.concatenate(found).view(np.int64)), strict=True):
                 column.append(v)
             if len(rows[0]) == 1000:
                 yield out()
-                rows = [], [], [], [], []
+                rows = [], [], [], []
         if rows[0]:
             yield out()
 
     return run
 
 
-def _rare_pairs(num: int, den: int):
+def _rare_pairs(num: int, den: int, most: int):
+    """Pairs (a, b) of classes that share a token; a token that more than
+    ``most`` share gives a row (a, null, token) for each of them instead."""
     def run(pdf):
         import pandas as pd
         col = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
@@ -265,6 +292,11 @@ def _rare_pairs(num: int, den: int):
         sig, key, n = col("sig", np.uint64)[shared], key[shared], n[shared]
         order = np.lexsort((key, n, sig))
         sig, key, n = sig[order], key[order], n[order]
+        first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, int)
+        many = np.repeat(np.diff(np.r_[first, len(sig)]) > most, np.diff(np.r_[first, len(sig)])) if len(sig) else \
+            np.zeros(0, bool)
+        open_ = pd.DataFrame({"a": key[many], "b": pd.NA, "sig": sig[many].view(np.int64)})
+        sig, key, n = sig[~many], key[~many], n[~many]
         found = []
         live = np.arange(len(sig))
         step = 1
@@ -277,7 +309,8 @@ def _rare_pairs(num: int, den: int):
                 found.append(np.unique(np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]], 1), axis=0))
             step += 1
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        out = pd.concat([pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "sig": 0}), open_])
+        return out.astype({"a": "Int64", "b": "Int64", "sig": "Int64"})
 
     return run
 
@@ -375,23 +408,31 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     rows = scratch(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _docs_pass(k), "doc_id long, text_hash long, n long, key long, sketch binary"), "docs")
+        _docs_pass(k), "doc_id long, text_hash long, n long, key long, sketch binary, bits array<long>"), "docs")
     sets = rows.select("doc_id", "text_hash", "n", "key")
     bits = range_bits(sets.agg(F.sum("n")).first()[0] or 0, RANGE_TOKENS)
     first = F.struct(F.col("doc_id").alias("doc"), "text_hash", "n")
     classes = scratch(rows.where("key IS NOT NULL").groupBy("key").agg(
-        F.min(first).alias("first"), F.any_value("sketch").alias("sketch")).select("key", "first.*", "sketch"), "classes")
+        F.min(first).alias("first"), F.any_value("sketch").alias("sketch"),
+        F.any_value("bits").alias("bits")).select("key", "first.*", "sketch", "bits"), "classes")
     texts = docs.select("text")
     counted = texts.mapInArrow(_tokens_pass(k, bits), "r int, high binary, low binary, counts binary")
     frequent = spark.sparkContext.broadcast(frequent_tokens(counted, rare, most))
     how = k, bits, num, den, frequent
 
-    by_rare = (texts.mapInArrow(_rare_pass(*how), "r int, sig binary, key binary, n binary").groupBy("r")
-               .applyInPandas(_rare_pairs(num, den), "a long, b long"))
-    heavy = (texts.mapInArrow(_combination_pass(*how), "key long, size long, rare long, bits array<long>, pairs array<long>")
-             .select("key", "size", "rare", *[F.get("bits", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)],
-                     F.explode_outer("pairs").alias("sig"))
-             .where("sig IS NOT NULL").distinct())
+    single = scratch(texts.mapInArrow(_rare_pass(*how), "r int, sig binary, key binary, n binary").groupBy("r")
+                     .applyInPandas(_rare_pairs(num, den, rare), "a long, b long, sig long"), "single")
+    by_rare = single.where("b IS NOT NULL").select("a", "b")
+    combined = (texts.mapInArrow(_combination_pass(*how), "key long, size long, rare long, sigs array<long>")
+                .select("key", "size", "rare", F.explode_outer("sigs").alias("sig")).where("sig IS NOT NULL").distinct())
+    words = [F.get("bits", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]
+    # of a token that many share, rare tokens may be common: they rule out nothing
+    crowded = (single.where("b IS NULL").select(F.col("a").alias("key"), "sig").distinct()
+               .join(classes.select("key", F.col("n").alias("size")), "key")
+               .select("key", "size", F.lit(0).cast("long").alias("rare"), "sig"))
+    often = combined.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
+    heavy = (combined.join(often, "sig", "left_semi").select("key", "size", "rare", "sig").unionByName(crowded)
+             .join(classes.select("key", *words), "key"))
     about = ["rare", "key", "size", *[f"s{i}" for i in range(SKETCH)]]
     least = F.min(F.struct(*about))
     leads = heavy.groupBy("sig").agg(least.alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -419,7 +460,7 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
              .where("x.label <> y.label AND (y.label = y.top OR x.key < y.key) AND " + _may_link("x", "y", num, den))
              .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
     more = scratch(near(classes, cross.join(pairs, ["a", "b"], "left_anti"), num, den), "cross")
-    drop(pairs, placed)
+    drop(pairs, placed, single)
     links2 = verify(tokens, more, num, den)
     drop(more, tokens)
     linked = components(links.union(links2))

@@ -75,6 +75,45 @@ def test_ngram_join_raises_rare_class_when_the_list_is_full(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == linked(data, 3, 90, 100)
 
 
+def test_ngram_join_does_not_pair_all_copies_when_the_list_is_full(spark, monkeypatch):
+    rng, core = np.random.default_rng(7), R.prose(5, 150).split()
+    data = []
+    for i in range(300):  # near copies with an edit of their own
+        w = list(core)
+        w[int(rng.integers(0, 150))] = f"own{i}"
+        data.append((i, " ".join(w), "en", "a", 1))
+    seen, write = Counter(), ngram_join.scratch
+
+    def counted(df, what):
+        out = write(df, what)
+        if what in ("pairs", "cross"):
+            seen[what] += out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "scratch", counted)
+    for most in (1 << 20, 5):
+        seen.clear()
+        got = ngram_join.ngram_join(R.docs(spark, data), 3, 90, 100, most=most).collect()
+        assert {r.component_id for r in got} == {0}
+        assert sum(seen.values()) < 3000, seen  # of 44,850
+
+
+@pytest.mark.parametrize("num,n", [(80, 63), (80, 64), (80, 70), (80, 400), (90, 66), (90, 300)])
+def test_combinations_hold_a_common_run(num, n):
+    """Every pair that may link and shares no rare token shares a run."""
+    rng = np.random.default_rng(n)
+    for _ in range(60):
+        t = ngram_join.misses(n, num, 100)
+        u = int(rng.integers(0, t + 1))
+        v = int(rng.integers(0, 100 * (n - u) // num - n + 1))
+        both = rng.integers(0, 1 << 63, n - u, dtype=np.uint64)
+        x, y = (np.unique(np.r_[both, rng.integers(0, 1 << 63, m, dtype=np.uint64)]) for m in (u, v))
+        found = [{(k, h) for k in ngram_join.combination_lengths(len(s), num, 100)
+                  for h in ngram_join.runs(s[:ngram_join.prefix_length(len(s), 0, num, 100, k)], k).tolist()}
+                 for s in (x, y)]
+        assert found[0] & found[1]
+
+
 def test_ngram_join_empty_and_one_of_each(spark):
     assert ngram_join.ngram_join(R.empty(spark)).count() == 0
     kept = ngram_join.one_of_each(R.docs(spark), 5, 80, 100)
