@@ -3,14 +3,16 @@ expressions only.
 
 A text is split at ``\\n``. Its chunks are all pairs of neighbouring lines,
 the finest cut of a passage, and the single lines of ``LONG`` characters or
-more or that are the whole text. So a copy of an earlier text goes whole. Every line of a repeated passage of two lines or more is in a
-repeated pair, so no repeat is missed for its place, and passages are found
-to their first and last line. The hashes of chunks are counted over the whole
-corpus (two occurrences in one text count too). Chunks with a hash seen twice
-are then compared by their bytes: rows are grouped by the chunk's text
-itself, the first by (doc_id, line number) stays and the lines of the others
-are removed from their documents. The first place of a line never goes, as no
-chunk there can have an earlier one.
+more or that are the whole text. Every line of a repeated passage of two
+lines or more is in a repeated pair, so no repeat is missed for its place,
+and passages are found to their first and last line. The hashes of chunks are
+counted over the whole corpus (two occurrences in one text count too). Chunks
+with a hash seen twice are then compared by their bytes: rows are grouped by
+the chunk's text itself, the first by (doc_id, line number) stays and the
+lines of the others are marked. Marked lines that follow each other are a
+passage; it is removed if it has ``LEAST`` words or is the whole text, so
+blank lines, brackets and closing tags that texts have in common stay. The
+first place of a line never goes, as no chunk there can have an earlier one.
 
 Only hashes travel for all chunks; the texts of chunks travel when their hash
 was seen twice. Groups of equal chunks are aggregated in the map tasks
@@ -19,10 +21,10 @@ each.
 
 Cases: null text stays null and an empty one empty, both have no chunk; rows
 with one doc_id and one text are repeated rows and treated alike, of rows
-with one doc_id and different texts each is treated by itself; a pair of
-blank lines counts as any other, a text of one blank line has no chunk; ties on the first place cannot occur
-between different (doc_id, text, number); an empty table gives no rows;
-further columns are kept by ``dedup``.
+with one doc_id and different texts each is treated by itself; a text of one
+blank line has no chunk; ties on the first place cannot occur between
+different (doc_id, text, number); an empty table gives no rows; further
+columns, whatever their names, are kept by ``dedup``.
 """
 
 from __future__ import annotations
@@ -30,10 +32,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import SPACE_CLASS, drop, let, scratch
+from meteora.llm.common import SPACE_CLASS, drop, let, scratch, words
 
 #: Characters from which a line counts as a passage by itself.
 LONG = 200
+#: Words of a passage that is removed from a longer text.
+LEAST = 20
 
 
 def _chunks(lines: Column, long: int) -> Column:
@@ -105,26 +109,47 @@ def _without(lines: Column, gone: Column) -> Column:
                         F.concat(gone, F.array(F.size(lines))).alias("stops")), runs)
 
 
-def dedup(docs: DataFrame, long: int = LONG) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, and
-    ``_lines``, ``_gone`` (numbers of lines before and of those removed)."""
-    gone = removals(docs, long).select(
+def passages(lines: Column, marked: Column, least: int) -> Column:
+    """The numbers of ``marked`` (in order) that lie in a passage of at least
+    ``least`` words, or all if every line is marked."""
+    def whole(v: Column) -> Column:
+        g = v["marked"]
+        first = F.filter(g, lambda x, k: (k == 0) | (x - F.get(g, k - 1) > 1))
+        last = F.filter(g, lambda x, k: (k == F.size(g) - 1) | (F.get(g, k + 1) - x > 1))
+        runs = F.filter(F.arrays_zip(first.alias("a"), last.alias("b")), lambda r: F.size(words(F.array_join(
+            F.slice(v["lines"], r["a"] + 1, r["b"] - r["a"] + 1), "\n"))) >= least)
+        return F.when(F.size(g) == F.size(v["lines"]), g).otherwise(
+            F.flatten(F.transform(runs, lambda r: F.sequence(r["a"], r["b"]))))
+
+    return let(F.struct(lines.alias("lines"), marked.alias("marked")), whole)
+
+
+def judged(docs: DataFrame, long: int = LONG, least: int = LEAST) -> DataFrame:
+    """``row`` (a row of ``docs``), the ``text`` left, and how many ``lines``
+    the text had and how many are ``gone``."""
+    marked = removals(docs, long).select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "drop")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("hash"))
     # shuffled at every size, as above
-    d = rows.join(gone.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(gone["gone_id"])
-                  & (rows["hash"] == gone["gone_hash"]), "left")
-    d = d.select("row", "text", "drop", F.split("text", "\n", -1).alias("lines"))
-    out = {c: F.col("row")[c] for c in docs.columns}
-    out["text"] = F.when(F.col("drop").isNull(), F.col("text")).otherwise(
-        F.array_join(_without(F.col("lines"), F.col("drop")), "\n"))
-    return d.select(*[x.alias(c) for c, x in out.items()],
-                    F.coalesce(F.size("lines"), F.lit(0)).alias("_lines"),
-                    F.coalesce(F.size("drop"), F.lit(0)).alias("_gone"))
+    d = rows.join(marked.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(marked["gone_id"])
+                  & (rows["hash"] == marked["gone_hash"]), "left")
+    d = d.select("row", "text", "drop", F.split("text", "\n", -1).alias("cut"))
+    d = d.withColumn("gone", F.when(F.col("drop").isNotNull(), passages(F.col("cut"), F.col("drop"), least)))
+    some = F.coalesce(F.size("gone") > 0, F.lit(False))
+    left = F.when(some, F.array_join(_without(F.col("cut"), F.col("gone")), "\n")).otherwise(F.col("text"))
+    return d.select("row", left.alias("text"), F.when(F.col("text").isNotNull(), F.size("cut")).otherwise(0).alias("lines"),
+                    F.when(some, F.size("gone")).otherwise(0).alias("gone"))
+
+
+def dedup(docs: DataFrame, long: int = LONG, least: int = LEAST) -> DataFrame:
+    """``docs`` with the repeated passages taken out of ``text``; a document
+    goes only when that took every word it had."""
+    d = judged(docs, long, least).where(f"gone = 0 OR text RLIKE '[^{SPACE_CLASS}]'")
+    return d.select(*[(F.col("text") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    d = dedup(docs.select("doc_id", "text"))
-    return d.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("_lines")).cast("long").alias("n_lines"),
-                    F.col("_gone").cast("long").alias("n_removed"),
-                    F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return judged(docs.select("doc_id", "text")).select(
+        F.col("row")["doc_id"].alias("doc_id"), F.col("lines").cast("long").alias("n_lines"),
+        F.col("gone").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
