@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product with a block matrix join.
 
-Vectors are cut into blocks by a hash of their id. Every query travels to
-every block; a task holds one block at a time and streams the queries past
+Vectors are cut into blocks by a hash of their id. Queries travel in
+tiles to every block; a task holds one block at a time and streams the queries past
 it. Block and queries are quantised to int8 with a scale per vector, one
 matrix product of the int8 values gives approximate scores, and the norms of
 the rounding errors bound how far each can be off:
@@ -13,7 +13,9 @@ recomputed in double precision on the original components, summed in their
 order; a query's best k of each block then meet and are merged by a heap. No
 neighbour is lost, so recall is 1.
 
-Cases: null, empty and zero vectors and those with a null or non-finite
+Cases: where a product or bound is beyond a double, the pair is computed
+exactly (an inner product without a value is ranked last); null, empty and
+zero vectors and those with a null or non-finite
 component take no part; vectors only meet vectors of their own length; a
 query doesn't meet rows with its own vec_id; rows with equal vec_id and
 vector count once; ties go to the smaller vec_id; with fewer than k
@@ -48,21 +50,23 @@ def usable(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 def quantise(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 values (as floats that hold their products exactly), scales,
-    norms of the quantised vectors and norms of the errors."""
+    norms of the quantised vectors and norms of the errors. Norms are taken
+    in units of the scale, so no square leaves the range of a double."""
     scale = np.abs(m).max(1) / 127
-    scale[scale == 0] = np.finfo(float).tiny
-    q = np.rint(m / scale[:, None])
-    back = q * scale[:, None]
+    scale[scale < np.finfo(float).tiny] = np.finfo(float).tiny
+    parts = m / scale[:, None]
+    q = np.rint(parts)
     exact = np.float32 if m.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    return q.astype(exact), scale, np.sqrt((back ** 2).sum(1)), np.sqrt(((m - back) ** 2).sum(1))
+    return q.astype(exact), scale, np.sqrt((q ** 2).sum(1)) * scale, np.sqrt(((parts - q) ** 2).sum(1)) * scale * (1 + 1e-9)
 
 
 def dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Row-wise inner products, components added in order."""
     total = np.zeros(len(x))
-    for d in range(x.shape[1]):
-        total += x[:, d] * y[:, d]
-    return total
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(x.shape[1]):
+            total += x[:, d] * y[:, d]
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 def block_best(queries, qids, block, ids, quantised, k):
@@ -72,8 +76,12 @@ def block_best(queries, qids, block, ids, quantised, k):
     for lo in range(0, len(qids), TILE):
         x, own = queries[lo:lo + TILE], qids[lo:lo + TILE]
         q, s, n, e = quantise(x)
-        near = (q @ cq.T).astype(np.float64) * s[:, None] * cs
-        slack = (e[:, None] * cn + n[:, None] * ce + e[:, None] * ce) * (1 + 1e-9) + 1e-12 * np.abs(near)
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = (q @ cq.T).astype(np.float64) * s[:, None] * cs
+            slack = (e[:, None] * cn + n[:, None] * ce + e[:, None] * ce) * (1 + 1e-9) + 1e-12 * np.abs(near)
+        slack += 1e-300  # products below the smallest normal number
+        wild = ~(np.isfinite(near) & np.isfinite(slack))  # bounds that say nothing: to the exact path
+        near[wild], slack[wild] = 0.0, np.inf
         same = own[:, None] == ids
         low = np.where(same, -np.inf, near - slack)
         high = np.where(same, -np.inf, near + slack)
@@ -110,7 +118,7 @@ def _tile_pass(k: int):
                 if tuple(key[i]) == at:
                     part = batch.slice(i, j - i)
                     qids = part.column(3).flatten().to_numpy()
-                    queries = part.column(4).flatten().to_numpy().reshape(j - i, at[0])
+                    queries = part.column(4).flatten().to_numpy().reshape(len(qids), at[0])
                     q, c, s = block_best(queries, qids, block, ids, quantised, k)
                     yield pa.record_batch({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()),
                                            "score": pa.array(s, pa.float64())})
@@ -138,13 +146,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK
         drop(good)
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     blocks = -(-n * dim // block)
-    one = F.array(F.col("vec_id"))
     dealt = good.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     kept = (dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
             .select("dim", "block", F.lit(0).alias("role"), F.col("rows.vec_id").alias("ids"),
                     F.flatten("rows.v").alias("vs")))
-    sent = (good.where(is_query).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(int(blocks - 1)))))
-            .select("dim", "block", F.lit(1).alias("role"), one.alias("ids"), F.col("v").alias("vs")))
+    tiles = -(-n // TILE)
+    tile = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(tiles))
+    asked = good.where(is_query).groupBy("dim", tile.alias("tile")).agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
+    sent = (asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(int(blocks - 1)))))
+            .select("dim", "block", F.lit(1).alias("role"), F.col("rows.vec_id").alias("ids"),
+                    F.flatten("rows.v").alias("vs")))
     best = scratch(kept.union(sent).repartition("dim", "block").sortWithinPartitions("dim", "block", "role")
                    .mapInArrow(_tile_pass(k), "query_id long, vec_id long, score double"), "best")
     drop(good)
