@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from meteora.llm.common import drop, scratch
 
 PER_LANGUAGE = 2000
-LANGUAGES = 64
+#: Tasks that a language's labelled documents are dealt to before its sample is drawn.
+DEAL = 64
 BUCKETS = 1 << 13
 TEMPER = 40.0
 SMOOTH = 5.0
@@ -71,15 +72,15 @@ def _gram_pass(batches):
                                "n": pa.array(c[some], pa.int64())})
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES):
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE):
     """(languages, log probabilities [language, bucket])."""
     from pyspark.sql import Window
     named = labelled.where("lang IS NOT NULL AND doc_id IS NOT NULL")
-    common = [r["lang"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    names = sorted(common, key=lambda x: x.encode())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (named.where(F.col("lang").isin(names)).select("doc_id", "lang")
+    names = sorted((r["lang"] for r in named.select("lang").distinct().collect()), key=lambda x: x.encode())
+    h = F.xxhash64("doc_id")
+    near = Window.partitionBy("lang", F.pmod(h, F.lit(DEAL))).orderBy(h, "doc_id")
+    order = Window.partitionBy("lang").orderBy(h, "doc_id")
+    picked = (named.select("doc_id", "lang").withColumn("k", F.row_number().over(near)).where(F.col("k") <= per_language)
               .withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language)
               .select("doc_id", "lang").distinct())
     grams = (named.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")
