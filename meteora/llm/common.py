@@ -43,7 +43,7 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def scratch(df: DataFrame, what: str) -> DataFrame:
+def scratch(df: DataFrame, what: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
@@ -51,7 +51,7 @@ def scratch(df: DataFrame, what: str) -> DataFrame:
     before = spark.conf.get(_ROWS_KEY)
     spark.conf.set(_ROWS_KEY, str(min(int(before), BATCH_ROWS)))
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         spark.conf.set(_ROWS_KEY, before)
     out = spark.read.schema(df.schema).parquet(path)

@@ -76,7 +76,7 @@ def captures(pages: DataFrame, date: str | None = None) -> DataFrame:
     return scratch(pages.select(
         F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), "url",
         (F.col(date) if date else _date(F.col("page_id"))).alias("date"), payload.alias("payload"),
-        F.octet_length(payload).cast("long").alias("bytes"), F.sha2(payload, 256).alias("digest")), "captures")
+        F.octet_length(payload).cast("long").alias("bytes"), F.sha2(payload, 256).alias("digest")), "captures", "zstd")
 
 
 def revisits(found: DataFrame, least: int = LEAST) -> DataFrame:
