@@ -53,7 +53,7 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_drops_what_line_dedup_left_of_near_copies(spark, tmp_path):
-    lines = [R.prose(40 + i, 30).replace("\n", "") for i in range(10)]
+    lines = [R.prose(40 + i, 30).replace("\n", "") for i in range(10)]  # 30 words each
     edited = [*lines[:4], lines[4].replace(lines[4].split()[5], "edited"), *lines[5:]]
     twice = [(7, "one text of an id", "en", "a", 1), (7, "\n".join(lines[:6] + ["another text of it"]), "en", "a", 1)]
     data = [(1, "\n".join(lines), "en", "a", 1), (2, "\n".join(edited), "en", "a", 1), (3, R.prose(99, 60), "en", "a", 1),
@@ -68,9 +68,12 @@ def test_pipeline_drops_what_line_dedup_left_of_near_copies(spark, tmp_path):
 
 
 def test_pipeline_takes_awkward_rows(spark, tmp_path):
-    R.docs(spark, extra=False).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = R.docs(spark).selectExpr("*", "1 AS _gone", "2 AS _lines", "3 AS _copy", "4 AS row", "5 AS lines", "6 AS gone")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     R.empty(spark).write.parquet(str(tmp_path / "none/documents.parquet"))
     spark.read.parquet(f"{SF001}/labels.parquet").write.parquet(str(tmp_path / "none/labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0

@@ -161,80 +161,103 @@ def test_suffix_dedup_equals_every_window(spark, length, gram):
         assert suffix_dedup.suffix_dedup(R.empty(spark)).count() == 0
 
 
+def lines_left(df, *how):
+    """doc_id, text left, lines, lines gone."""
+    return [(r.row.doc_id, r.text, r.lines, r.gone, r.row) for r in line_dedup.judged(df, *how).collect()]
+
+
 def test_line_dedup_keeps_first_of_each_chunk(spark):
     shared = [f"shared line {i} of a passage" for i in range(16)]
     data = R.awkward() + [(20 + i, "\n".join([f"own {i} {j}" for j in range(i)] + shared + [f"tail {i}"]), "en", "a", 1)
                           for i in range(4)]
-    got = line_dedup.dedup(R.docs(spark, data)).collect()
+    got = lines_left(R.docs(spark, data))
     assert len(got) == len(data)
-    by = {}
+    by, texts = {}, {d[0]: d[1] for d in data}
     for r in got:
-        by.setdefault(r.doc_id, r)
-    texts = {d[0]: d[1] for d in data}
-    assert by[20].text == texts[20]  # the first keeps all
+        by.setdefault(r[0], r)
+    assert by[20][1] == texts[20]  # the first keeps all
     for i in range(21, 24):
-        lines = by[i].text.split("\n")
-        assert by[i]._gone >= 8 and len(lines) == len(texts[i].split("\n")) - by[i]._gone
-        assert set(texts[i].split("\n")) - set(lines) <= set(shared)
-        assert [x for x in texts[i].split("\n") if x.startswith("own")] == [x for x in lines if x.startswith("own")]
-    assert all(r._hash == 1 for r in got)  # a column of the table, not an inner one
-    assert by[3].text is None and by[4].text == "" and by[9]._gone == 0
+        assert by[i][3] == 16 and by[i][1] == "\n".join(x for x in texts[i].split("\n") if not x.startswith("shared"))
+    assert all(r[4]._hash == 1 for r in got)  # a column of the table, not an inner one
+    assert by[3][1] is None and by[4][1] == "" and by[9][3] == 0
     assert line_dedup.dedup(R.empty(spark)).count() == 0
+    kept = line_dedup.dedup(R.docs(spark, data))
+    assert kept.columns == R.docs(spark, data).columns
+    assert {r.doc_id for r in kept.collect()} == set(texts) - {1, 12}  # whole copies go
 
 
-def without_repeats(data, long=line_dedup.LONG):
-    """Texts without the lines of chunks that have an earlier place."""
+def without_repeats(data, long=line_dedup.LONG, least=line_dedup.LEAST):
+    """Texts without the passages that have an earlier place."""
     where = {}
     order = sorted({(d[0], d[1]) for d in data if d[1]})
     for k, (_, text) in enumerate(order):
         lines = text.split("\n")
         for i, x in enumerate(lines):
-            for chunk in ([tuple(lines[i:i + 2])] if i + 1 < len(lines) else []) + ([(x,)] if len(x) >= long or lines == [x] and x.strip() else []):
+            for chunk in ([tuple(lines[i:i + 2])] if i + 1 < len(lines) else []) + (
+                    [(x,)] if len(x) >= long or lines == [x] and x.strip() else []):
                 where.setdefault(chunk, []).append((k, i))
-    gone = {(k, i + j) for chunk, places in where.items() for k, i in places[1:] for j in range(len(chunk))}
-    return {d: "\n".join(x for i, x in enumerate(d[1].split("\n")) if (k, i) not in gone) for k, d in enumerate(order)}
+    marked = {(k, i + j) for chunk, places in where.items() for k, i in places[1:] for j in range(len(chunk))}
+    out = {}
+    for k, d in enumerate(order):
+        lines, gone, i = d[1].split("\n"), set(), 0
+        while i < len(lines):
+            j = i
+            while j < len(lines) and (k, j) in marked:
+                j += 1
+            if j > i and (j - i == len(lines) or len(WORD.findall("\n".join(lines[i:j]))) >= least):
+                gone |= set(range(i, j))
+            i = max(j, i + 1)
+        out[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
 
 
 @pytest.mark.parametrize("n", range(2, 9))
 def test_line_dedup_finds_every_short_passage(spark, n):
     data = []
     for p in range(20):  # each passage inside three documents, at other places
-        passage = [f"passage {n} {p} line {j}" for j in range(n)]
+        passage = [f"passage {n} {p} line {j} with words enough for prose to be" for j in range(n)]
         data += [(3 * p + c, "\n".join([f"head {p} {c} {j}" for j in range(1 + (p + c) % 4)] + passage + [f"tail {p} {c}"]),
                   "en", "a", 1) for c in range(3)]
-    got = {r.doc_id: r for r in line_dedup.dedup(R.docs(spark, data)).collect()}
+    got = {r[0]: r for r in lines_left(R.docs(spark, data))}
     for d in data:
-        r = got[d[0]]
-        assert r._gone == (n if d[0] % 3 else 0)
-        assert r.text == "\n".join(x for x in d[1].split("\n") if not d[0] % 3 or not x.startswith("passage"))
+        assert got[d[0]][3] == (n if d[0] % 3 else 0)
+        assert got[d[0]][1] == "\n".join(x for x in d[1].split("\n") if not d[0] % 3 or not x.startswith("passage"))
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("least", [0, 5, 20])
+def test_line_dedup_equals_brute_force(spark, least):
     rng = np.random.default_rng(8)
     lines = [f"line {i}" for i in range(12)] + ["", "long " * 50]
     data = [(i, "\n".join(lines[k] for k in rng.integers(0, len(lines), rng.integers(1, 14))), "en", "a", 1)
             for i in range(60)] + [(100, "a\na\na\na\nb", "en", "a", 1), (101, "b\n" + "long " * 50 + "\nc", "en", "a", 1)]
-    want = without_repeats(data)
-    for r in line_dedup.dedup(R.docs(spark, data)).collect():
-        text = next(d[1] for d in data if d[0] == r.doc_id)
-        assert r.text == want.get((r.doc_id, text), text)
-        assert r._gone == 0 or r._lines - r._gone == (len(r.text.split("\n")) if r._lines > r._gone else 0)
+    want = without_repeats(data, least=least)
+    for doc, left, n, gone, row in lines_left(R.docs(spark, data), line_dedup.LONG, least):
+        assert left == want.get((doc, row.text), row.text)
+        assert gone == 0 or n - gone == (len(left.split("\n")) if n > gone else 0)
+
+
+def test_line_dedup_leaves_blank_lines_and_markup(spark):
+    code = ["import os\n\n\ndef f(x):\n    return x\n\n\nprint(f(1))\n", "import re\n\n\nclass A:\n    pass\n\n\nA()\n"]
+    lists = [f"<div>\n<ul>\n<li>{x}</li>\n</ul>\n</div>\n<p>own {x}</p>" for x in "ab"]
+    data = [(i, t, "en", "a", 1) for i, t in enumerate(code + lists)]
+    assert [(d, left) for d, left, *_ in sorted(lines_left(R.docs(spark, data)))] == [d[:2] for d in data]
 
 
 def test_line_dedup_takes_whole_copies(spark):
     texts = ["\n".join(f"text {t} line {j}" for j in range(1 + t % 9)) for t in range(30)] + ["  "]
     data = [(100 * c + t, x, "en", "a", 1) for c in range(3) for t, x in enumerate(texts)]
-    for r in line_dedup.dedup(R.docs(spark, data)).collect():
-        blank = r.doc_id % 100 == 30
-        assert r.text == (texts[r.doc_id % 100] if r.doc_id < 100 or blank else "")
-        assert r._gone == (0 if r.doc_id < 100 or blank else r._lines)
+    for doc, left, n, gone, _ in lines_left(R.docs(spark, data)):
+        blank = doc % 100 == 30
+        assert left == (texts[doc % 100] if doc < 100 or blank else "")
+        assert gone == (0 if doc < 100 or blank else n)
 
 
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
-    data = R.awkward() + [(200 + i, R.prose(60 + i, 30 + 37 * i % 500), "en", "a", 1) for i in range(60)]
+    tok = Tokenizer.from_file(tokenizer_path())  # untouched
+    data = [(190 + i, t, "en", "a", 1) for i, t in enumerate([
+        "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> \n", "<|endo", "ftext|>", "it's<|endoftext|>'s"])]
+    data += R.awkward() + [(200 + i, R.prose(60 + i, 30 + 37 * i % 500), "en", "a", 1) for i in range(60)]
     got = packing.pack_documents(R.docs(spark, data), tokenizer_path()).collect()
     want = Counter()
     for d in data:
@@ -429,3 +452,70 @@ def test_nearest_neighbours_are_exact(spark, block):
         assert sorted(got[q]) == [(i + 1, c, -s) for i, (s, c) in enumerate(sorted(best)[:20])]
     assert set(got) == {x for x in good if x % 20 == 0}
     assert ann.search(df.limit(0), ann.F.lit(True)).count() == 0
+
+
+def test_quality_score_equals_brute_force(spark, monkeypatch):
+    """The score from counts, written again; hashes are read from Spark."""
+    import math
+    F, rng = quality.F, np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    junk = [(1000 + i, " ".join("".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(60)) + ".", "en", "a", 1)
+            for i in range(50)]
+    good = [(i, R.prose(i, 80), "en", "a", 1) for i in range(300)]
+    data = R.awkward()[2:] + good + junk
+    df = R.docs(spark, data)
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 300, 2)] + [(0, 1), (1000, 0), (None, 1), (5, None)],
+                                   "doc_id long, quality int")
+    weights, low = quality.fit(df, labels)
+    half = {r.doc_id for r in quality.labelled(labels, 0, quality.TRUSTED).collect()}
+    other = {r.doc_id for r in quality.labelled(labels, 1, quality.HELD_OUT).collect()}
+    assert half | other == set(range(0, 300, 2)) and not half & other
+    flat = lambda t: t.lower().translate(str.maketrans("123456789", "0" * 9, '.,;:!?"()'))
+    grams = {}
+    for r in df.select("doc_id", "text", quality.ngram_buckets(quality.word_hashes(F.col("text"))).alias("b")).collect():
+        w = WORD.findall(flat(r.text or ""))
+        assert len(r.b) == max(2 * len(w) - 1, 0)
+        grams.setdefault((r.doc_id, r.text), []).append(list(r.b))
+    raw, trust = Counter(), Counter()
+    for (doc, _), many in grams.items():
+        for b in many:
+            raw.update(b)
+            trust.update(b if doc in half else ())
+    R_, G = raw.total(), trust.total()
+    mean = lambda b: sum(math.log((trust[x] * R_ / G + 0.1) / (raw[x] + 0.1)) for x in b) / len(b) if b else 0.0
+    held = sorted(mean(b) for (doc, t), many in grams.items() for b in many if doc in other and len(WORD.findall(t)) >= 10)
+    at = 0.01 * (len(held) - 1)
+    want = held[int(at)] + (at - int(at)) * (held[int(at) + 1] - held[int(at)])
+    assert abs(low - want) < 1e-9
+    got = quality.quality(df, labels).collect()
+    assert len(got) == len(data)
+    for r in got:
+        texts = [t for d, t in grams if d == r.doc_id]
+        if len(texts) == 1:
+            assert abs(r.llr - mean(grams[r.doc_id, texts[0]][0])) < 1e-9
+            assert r.kept == (not r.base_failed and r.llr >= low)
+    kept = {r.doc_id for r in got if r.kept}
+    assert not kept & {d[0] for d in junk}  # random letters go
+    assert len(kept & set(range(300))) >= 290
+    assert quality.keep_good(df, labels).count() == sum(r.kept for r in got)
+    assert quality.quality(df, labels.limit(0)).where("NOT base_failed AND NOT kept").count() == 0
+
+
+def test_search_keeps_huge_and_tiny_components(spark):
+    big = [(0, [1e200, 1.0]), (20, [1.0, 1e-200]), (1, [2.0, 1.0]), (2, [1e200, 0.0]), (3, [-1e200, 5.0]), (4, [1e-310, 0.0]),
+           (5, [1e308, 1e308])]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, ann.F.pmod("vec_id", ann.F.lit(20)) == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in (0, 20):
+        x = dict(big)[q]
+        rest = sorted(((-(x[0] * v[0] + x[1] * v[1]), i) for i, v in big if i != q))
+        assert [(i, -s) for s, i in rest] == [(i, s) for _, i, s in sorted(got[q])]
+
+
+def test_many_languages_are_all_kept(spark):
+    from meteora.llm import language_id
+    data = [(i, f"wort{i % 90:02d} " * 8 + chr(97 + i % 26) * 30, f"l{i % 90:02d}", "s", 1) for i in range(270)]
+    names, logs = language_id.fit(R.docs(spark, data), 2)
+    assert len(names) == 90 and logs.shape[0] == 90
