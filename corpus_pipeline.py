@@ -1,12 +1,17 @@
 """Corpus pipeline over ``documents``: quality rules, line dedup, near-copy
-removal, mixing to target weights, packing."""
+removal, mixing to target weights, packing.
+
+Cases: null and empty texts and those without enough words fail the quality
+rules and go; ids may be null or repeated and rows may repeat, each is judged
+as it stands; an empty table gives no rows; further columns, whatever their
+names, are kept by all stages but the last, which returns pieces."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from meteora.llm import line_dedup, mixing, ngram_join, packing, quality
-from meteora.llm.common import SPACE_CLASS, drop, scratch, table
+from meteora.llm.common import drop, scratch, table
 from meteora.llm.queries import tokenizer_path
 
 
@@ -18,8 +23,7 @@ def rules(spark, docs, sf_dir):
 def lines(spark, docs, sf_dir):
     """Repeated chunks of lines go from the texts; a document goes only when
     that took every word it had."""
-    out = line_dedup.dedup(docs)
-    return out.where(f"_gone = 0 OR text RLIKE '[^{SPACE_CLASS}]'").select(*docs.columns)
+    return line_dedup.dedup(docs)
 
 
 def near_copies(spark, docs, sf_dir):
@@ -32,10 +36,9 @@ def near_copies(spark, docs, sf_dir):
 
 def mixed(spark, docs, sf_dir):
     """Documents stand as often as the mix takes them."""
-    out = mixing.mix(docs, carry=tuple(docs.columns))
-    return out.where("copies > 0").select(
-        *[F.col(f"in_{c}").alias(c) for c in docs.columns], F.expr("explode(sequence(1, copies))").alias("_copy")
-    ).drop("_copy")
+    out = mixing.mix(docs, carry=tuple(docs.columns)).where("copies > 0")
+    row = F.struct(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
+    return out.select(F.explode(F.array_repeat(row, F.col("copies").cast("int"))).alias("row")).select("row.*")
 
 
 def packed(spark, docs, sf_dir):
