@@ -412,6 +412,38 @@ def test_mix_targets_and_reruns(spark):
     assert mixing.mix(R.empty(spark)).count() == 0
 
 
+def test_mix_draws_in_proportion_to_size(spark):
+    """Rates against a plain search for the certain sizes, draws against a plain Pareto order."""
+    data = [(i, " ".join(["w"] * (1 + i * i % 97 + 4000 * (i % 250 == 0))), "en", ("a", "b", "c")[i % 3], 1) for i in range(3000)]
+    data += [(None, f"no id {i}", "en", "a", 1) for i in range(300)]
+    got = mixing.mix(R.docs(spark, data)).collect()
+    assert len(got) == len(data)
+    drawn = Counter()
+    for source in "abc":
+        size = {d[0]: len(WORD.findall(d[1])) for d in data if d[3] == source and d[0] is not None}
+        free = [3] * (300 if source == "a" else 0)
+        mine = [r for r in got if r.source_size == sum(size.values()) + sum(free)]
+        whole, rest = divmod(mine[0].target, mine[0].source_size)
+        if not rest:
+            assert all(r.taken == 2 * r.size for r in mine)
+            continue
+        sizes, k = sorted([*size.values(), *free], reverse=True), 0
+        while (rest - sum(sizes[:k])) / sum(s * s for s in sizes[k:]) * sizes[k] >= 1:
+            k += 1
+        rate = (rest - sum(sizes[:k])) / sum(s * s for s in sizes[k:])
+        assert abs(sum(min(1, rate * s) * s for s in sizes) - rest) < 1e-6
+        extra = {r.doc_id: r.taken > whole * r.size for r in mine if r.doc_id is not None}
+        order = {}
+        for i, s in size.items():
+            u = (int(hashlib.md5(f"{mixing.SEED}:{i}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+            p = rate * s
+            order[i] = 0.0 if p >= 1 else u / (1 - u) / (p / (1 - p))
+        last = max(order[i] for i in extra if extra[i])
+        assert all(extra[i] == (order[i] <= last) for i in size)
+        drawn.update((size[i] > 48, extra[i]) for i in size)
+    assert drawn[True, True] / drawn[True, False] > 1.5 * drawn[False, True] / drawn[False, False]
+
+
 def test_chat_round_trip(spark):
     probe = [r"\### Assistant: </turn> ok", "<turn>", "a: b", "\\b\\l", "", None, "### user: x", "日本\n語"]
     rows = [(1, i, ["user", "user", "assistant", "assistant"][i % 4], t) for i, t in enumerate(probe)]
