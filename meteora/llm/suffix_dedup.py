@@ -28,8 +28,9 @@ sequential files: a task holds the strips of one range of anchor hashes.
 
 Cases: null text has 0 bytes like an empty one; texts shorter than
 ``LENGTH`` lose nothing; repeated rows are equal texts; texts are told apart
-by 64 bits of SHA-256; an empty table gives no rows; other columns are not
-read.
+by the whole SHA-256 (a text goes by ``NODE_BITS`` of it, and by a number of
+its own where another text has the same bits); an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ HELD_ANCHORS = 500_000
 HELD_BYTES = 12 << 20
 #: Strips sorted together.
 COLLECTION = 5_000
+#: Bits of the digest that name a text, 60 at most.
+NODE_BITS = 60
 
 _BYTES = mix(np.arange(1000, 1256, dtype=np.uint64)) | np.uint64(1)
 
@@ -319,22 +322,34 @@ def _cut_pass(batches):
                                "kept_sha256": pa.array(rows["kept_sha256"], pa.string())})
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _clashes(texts: DataFrame, short) -> DataFrame:
+    """(_sha, _node): numbers below 0 for the texts whose bits another text has too."""
+    nodes = texts.groupBy(short.alias("node")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
+    return scratch(texts.withColumn("node", short).join(nodes, "node")
+                   .select(F.col("sha").alias("_sha"), (-1 - F.monotonically_increasing_id()).alias("_node")), "clashes")
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, node_bits: int = NODE_BITS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     if not 1 <= gram <= length:
         raise ValueError("an anchor must fit into a window")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    sha = F.sha2(raw, 256)
-    docs = docs.select("doc_id", raw.alias("text"), sha.alias("sha"),
-                       F.expr("CAST(conv(substr(sha2(CAST(coalesce(text, '') AS BINARY), 256), 2, 15), 16, 10) AS long)")
-                       .alias("node"))
-    rows = scratch(docs.select("doc_id", "node", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "rows")
+    docs = docs.select("doc_id", raw.alias("text"), F.sha2(raw, 256).alias("sha"))
+    short = F.shiftright(F.conv(F.substring("sha", 2, 15), 16, 10).cast("long"), 60 - node_bits)
+    rows = scratch(docs.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "rows")
     bits = range_bits(rows.agg(F.sum("n_bytes")).first()[0] or 0, RANGE_BYTES)
-    texts = (rows.where(F.col("n_bytes") >= length).groupBy("node")
+    texts = (rows.where(F.col("n_bytes") >= length).groupBy("sha")
              .agg(F.min_by("doc_id", F.coalesce("doc_id", F.lit(-1 << 63))).alias("rep"),
                   (F.count(F.lit(1)) > 1).alias("twice"), F.max("n_bytes").alias("n_bytes")))
-    texts = scratch(texts, "texts")
-    long_ = docs.where(F.octet_length("text") >= length)
+    stored = scratch(texts, "texts")
+    clashes = _clashes(stored, short)
+
+    def noded(df):
+        return (df.join(clashes, df["sha"] == clashes["_sha"], "left")
+                .withColumn("node", F.coalesce("_node", short)).drop("_sha", "_node"))
+
+    texts = noded(stored)
+    long_ = noded(docs.where(F.octet_length("text") >= length))
     texts_in = long_.select("node", "text")
     singles = (texts_in.mapInArrow(_anchor_pass(bits, length, gram, False),
                                    "r int, h binary, node_of binary, pos_of binary, many binary")
@@ -342,8 +357,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
                .groupBy("node").agg(F.collect_list("pos").alias("at")))
     local = texts_in.mapInArrow(_anchor_pass(bits, length, gram, True), "node long, at array<int>")
     at = local.union(singles).groupBy("node").agg(F.flatten(F.collect_list("at")).alias("at"))
-    wanted = scratch(at.join(texts, "node").select(F.col("node").alias("_node"), "rep", "twice", "at"), "wanted")
-    read = (long_.join(wanted.hint("shuffle_hash"), (long_["node"] == wanted["_node"])
+    wanted = scratch(at.join(texts, "node").select(F.col("node").alias("of"), "rep", "twice", "at"), "wanted")
+    read = (long_.join(wanted.hint("shuffle_hash"), (long_["node"] == wanted["of"])
                        & long_["doc_id"].eqNullSafe(wanted["rep"]))
             .select("node", "at", "twice", "text"))
     read = scratch(read.mapInArrow(_first_rows, "node long, at array<int>, twice boolean, text binary"), "read")
@@ -359,8 +374,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     whole = texts.where("twice").select("node", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
                                         F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"))
     cut = scratch(cut.union(whole), "cut")
-    drop(read, spans, texts)
+    drop(read, spans, stored)
     none = F.lit(0).cast("long")
-    return rows.join(cut, "node", "left").select(
+    return noded(rows).join(cut, "node", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"),
         F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))

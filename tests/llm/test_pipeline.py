@@ -1,5 +1,9 @@
 """Language identification, components, the pipeline and the registry."""
 
+import math
+from collections import Counter, defaultdict
+from urllib.parse import urlsplit
+
 import corpus_pipeline
 from meteora.llm import common, language_id, queries
 from tests.conftest import SF001
@@ -35,6 +39,72 @@ def test_language_awkward_rows(spark):
     assert {r.lang for r in language_id.identify(df, labelled.limit(0)).collect()} == {None}
 
 
+def plain_languages(pages, labelled):
+    """(page_id, language, probability) by dictionaries and loops."""
+    def grams(text):
+        b = " ".join(text.lower().split()).encode()
+        for x, y, z in zip(b, b[1:], b[2:], strict=False):
+            code = (x * 65599 * 65599 + y * 65599 + z) % (1 << 32)
+            yield (((code ^ code >> 15) * 2654435761) % (1 << 32)) >> 19
+
+    names = sorted({r.lang for r in labelled if r.lang is not None and r.doc_id is not None})
+    seen = {x: Counter(g for r in labelled if r.lang == x and r.doc_id is not None for g in grams(r.text or "")) for x in names}
+    room = {x: sum(seen[x].values()) + language_id.BUCKETS for x in names}
+    rows, by_host, by_domain, world = [], defaultdict(Counter), defaultdict(Counter), Counter()
+    facts = {"declared": defaultdict(Counter), "suffix": defaultdict(Counter)}
+    for r in pages:
+        g = list(grams(language_id.visible_text(r.html)))
+        score = {x: sum(math.log((seen[x][k] + 1) / room[x]) for k in g) / len(g) * min(len(g), language_id.TEMPER) if g else 0.0
+                 for x in names}
+        best = max(names, key=score.get) if g else None
+        host = urlsplit(r.url or "").hostname
+        mark = (r.html or "").lower().partition("<html lang=")[2].lstrip("'\"")
+        declared = "".join(c if c.isalpha() else " " for c in mark[:20]).split(" ")[0] or None
+        suffix = host and host.split(".")[-1]
+        domain = host and ".".join(host.split(".")[-2:])
+        rows.append((r.page_id, score, host, domain, {"declared": declared, "suffix": suffix}))
+        world[best] += 1
+        if host:
+            by_host[host][best] += 1
+            by_domain[domain][best] += 1
+        for f, v in (("declared", declared), ("suffix", suffix)):
+            if v:
+                facts[f][v][best] += 1
+    del world[None]
+    everywhere = {x: (world[x] + 1) / (sum(world.values()) + len(names)) for x in names}
+
+    def smooth(counts, x, prior):
+        return (counts[x] + language_id.SMOOTH * prior) / (sum(counts[y] for y in names) + language_id.SMOOTH)
+
+    for page, score, host, domain, values in rows:
+        total = {}
+        for x in names:
+            prior = smooth(by_host[host], x, smooth(by_domain[domain], x, everywhere[x])) if host else everywhere[x]
+            total[x] = score[x] + math.log(prior)
+            for f, v in values.items():
+                if v:
+                    whole = sum(c[x] for c in facts[f].values())
+                    total[x] += math.log((facts[f][v][x] + 1) / (whole + len(facts[f])))
+        lang = max(names, key=total.get)
+        yield page, lang, 1 / sum(math.exp(v - total[lang]) for v in total.values())
+
+
+def test_language_equals_plain_fusion(spark):
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    labelled = spark.read.parquet(f"{SF001}/documents.parquet")
+    want = {p: (lang, prob) for p, lang, prob in plain_languages(pages.collect(), labelled.collect())}
+    got = language_id.identify(pages, labelled).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert r.lang == want[r.page_id][0] and abs(r.probability - want[r.page_id][1]) < 1e-6
+
+
+def test_language_ties_go_to_the_first_name(spark):
+    labelled = spark.createDataFrame([(1, "same words here", "b"), (2, "same words here", "a")], "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(1, "http://x.example", "same words"), (2, None, "other")], "page_id long, url string, html string")
+    assert {r.lang for r in language_id.identify(pages, labelled).collect()} == {"a"}
+
+
 def test_pipeline_stages(spark):
     d = SF001
     docs = spark.read.parquet(f"{d}/documents.parquet")

@@ -159,6 +159,9 @@ def test_suffix_dedup_equals_every_window(spark, length, gram):
     assert sorted((tuple(r) for r in got.collect()), key=key) == repeats(data, length)
     if length == 200:
         assert suffix_dedup.suffix_dedup(R.empty(spark)).count() == 0
+    if length == 40:  # texts that share their bits stay apart
+        got = suffix_dedup.suffix_dedup(R.docs(spark, data), length, gram, node_bits=2)
+        assert sorted((tuple(r) for r in got.collect()), key=key) == repeats(data, length)
 
 
 def lines_left(df, *how):
