@@ -1,23 +1,36 @@
-"""Line dedup by pairs of neighbouring lines and long lines. Spark
-expressions only.
-
-A text is split at ``\\n``. Its chunks are all pairs of neighbouring lines,
-the finest cut of a passage, and the single lines of ``LONG`` characters or
-more or that are the whole text. Every line of a repeated passage of two
-lines or more is in a repeated pair, so no repeat is missed for its place,
-and passages are found to their first and last line. The hashes of chunks are
-counted over the whole corpus (two occurrences in one text count too). Chunks
-with a hash seen twice are then compared by their bytes: rows are grouped by
-the chunk's text itself, the first by (doc_id, line number) stays and the
-lines of the others are marked. Marked lines that follow each other are a
-passage; it is removed if it has ``LEAST`` words or is the whole text, so
-blank lines, brackets and closing tags that texts have in common stay. The
-first place of a line never goes, as no chunk there can have an earlier one.
+"""Line dedup by content-defined chunks of lines. Spark expressions only.
+
+A text is split at ``\\n`` and cut into chunks at several levels. At the
+coarse levels a cyclic rolling hash over the hashes of the last ``ROLL`` lines
+sets the boundaries: a chunk ends behind a line whose rolling hash is
+divisible by the level's mean length (``MEANS``), so boundaries move with the
+lines when text is put in before them. Chunks of three lines or more count.
+The finest level has a boundary at every line: its chunks are all pairs of
+neighbouring lines, and the single lines of ``LONG`` characters or more or
+that are the whole text. So every line of a repeated passage of two lines or
+more is in a repeated chunk, and passages are found to their first and last
+line.
+
+The hashes of chunks are counted over the whole corpus (two occurrences in one
+text count too). Chunks with a hash seen twice are compared by their bytes:
+rows are grouped by the chunk's text itself, the first by (doc_id, line
+number) stays and the lines of the others are marked. The coarse levels go
+first. What lies inside a chunk marked there is not compared again at the
+finest level: the chunk's first place holds the same pairs at an earlier
+place, so they are later places in any case, and the result is that of the
+finest level alone. A copy of a long text thus sends its text once, not every
+line twice.
+
+Marked lines that follow each other are a passage; it is removed if it has
+``LEAST`` words or is the whole text, so blank lines, brackets and closing
+tags that texts have in common stay. The first place of a line never goes, as
+no chunk there can have an earlier one.
 
 Only hashes travel for all chunks; the texts of chunks travel when their hash
 was seen twice. Groups of equal chunks are aggregated in the map tasks
-before they meet; what returns to the documents is one list of line numbers
-each.
+before they meet; hashes and chunks that over a thousandth of the rows bear
+are not joined by their own value, so none fills a task. What returns to the
+documents is one list of line numbers each.
 
 Cases: null text stays null and an empty one empty, both have no chunk; rows
 with one doc_id and one text are repeated rows and treated alike, of rows
@@ -32,23 +45,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import SPACE_CLASS, drop, let, scratch, words
+from meteora.llm.common import HOT, SPACE_CLASS, drop, join_spread, let, scratch, words
 
 #: Characters from which a line counts as a passage by itself.
 LONG = 200
 #: Words of a passage that is removed from a longer text.
 LEAST = 20
-
-
-def _chunks(lines: Column, long: int) -> Column:
-    """(at, n, h) of the chunks of an array of lines."""
-    def chunk(i: Column, n: int, h: Column) -> Column:
-        return F.struct(i.cast("int").alias("at"), F.lit(n).alias("n"), h.alias("h"))
-
+#: Lines under the rolling hash.
+ROLL = 3
+#: Mean lines of a chunk at the coarse levels.
+MEANS = (4, 16)
+
+
+def _code(at: Column, n) -> Column:
+    """A chunk's place as one long: its first line and its lines."""
+    return F.shiftleft(at.cast("long"), 32).bitwiseOR(n.cast("long") if isinstance(n, Column) else F.lit(n).cast("long"))
+
+
+def _rolling(hashes: Column, roll: int) -> Column:
+    """At every line the exclusive or of the last ``roll`` hashes, the hash
+    ``k`` lines back turned by ``k`` bits."""
+    def at(h: Column, i: Column) -> Column:
+        out = h
+        for k in range(1, roll):
+            back = F.coalesce(F.get(hashes, i - k), F.lit(0).cast("long"))
+            out = out.bitwiseXOR(F.shiftleft(back, k).bitwiseOR(F.shiftrightunsigned(back, 64 - k)))
+        return out
+
+    return F.transform(hashes, at)
+
+
+def coarse(lines: Column, means: tuple = MEANS, roll: int = ROLL) -> Column:
+    """(code, h) of the chunks between boundaries of the rolling hash."""
+    def level(v: Column, mean: int) -> Column:
+        last = F.size(v["roll"]) - 1
+        ends = F.filter(F.transform(v["roll"], lambda r, i: F.when((i == last) | (F.pmod(r, F.lit(mean)) == 0), i)),
+                        lambda i: i.isNotNull())
+        cuts = F.concat(F.array(F.lit(-1)), ends)
+        return let(F.struct(v["h"].alias("h"), cuts.alias("cuts")), lambda w: F.filter(F.transform(
+            w["cuts"], lambda e, k: F.when((k > 0) & (e - F.get(w["cuts"], k - 1) > 2), F.struct(
+                _code(F.get(w["cuts"], k - 1) + 1, e - F.get(w["cuts"], k - 1)).alias("code"),
+                F.xxhash64(F.slice(w["h"], F.get(w["cuts"], k - 1) + 2, e - F.get(w["cuts"], k - 1))).alias("h")))),
+            lambda c: c.isNotNull()))
+
+    hashed = F.transform(lines, lambda x: F.xxhash64(x))
+    rolled = let(hashed, lambda h: F.struct(h.alias("h"), _rolling(h, roll).alias("roll")))
+    # a chunk of two levels is one
+    return let(rolled, lambda v: F.array_distinct(F.concat(*[level(v, m) for m in means])))
+
+
+def finest(lines: Column, long: int = LONG) -> Column:
+    """(code, h) of the pairs of neighbouring lines and the long single ones."""
     def every(v: Column) -> Column:
-        pairs = F.transform(v, lambda x, i: F.when(i + 1 < F.size(v), chunk(i, 2, F.xxhash64(x, F.get(v, i + 1)))))
+        pairs = F.transform(v, lambda x, i: F.when(i + 1 < F.size(v), F.struct(
+            _code(i, 2).alias("code"), F.xxhash64(x, F.get(v, i + 1)).alias("h"))))
         lone = F.transform(v, lambda x, i: F.when(
-            (F.length(x) >= long) | ((F.size(v) == 1) & x.rlike(f"[^{SPACE_CLASS}]")), chunk(i, 1, F.xxhash64(x))))
+            (F.length(x) >= long) | ((F.size(v) == 1) & x.rlike(f"[^{SPACE_CLASS}]")),
+            F.struct(_code(i, 1).alias("code"), F.xxhash64(x).alias("h"))))
         return F.filter(F.concat(pairs, lone), lambda c: c.isNotNull())
 
     return let(lines, every)
@@ -58,44 +111,80 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").where("text <> ''").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
 
 
-def _repeated(docs: DataFrame, long: int) -> DataFrame:
-    """(doc_id, text_hash, found array<(at, n)>): the chunks with a hash seen twice."""
+def _repeated(docs: DataFrame, chunks) -> DataFrame:
+    """(doc_id, text_hash, found array<code>): the chunks with a hash seen twice."""
     # outer: Spark puts a filter with the whole array expression before a plain explode
     each = (_texts(docs)
-            .select("doc_id", "text_hash", F.explode_outer(_chunks(F.split("text", "\n", -1), long)).alias("c"))
+            .select("doc_id", "text_hash", F.explode_outer(chunks(F.split("text", "\n", -1))).alias("c"))
             .where("c IS NOT NULL").select("doc_id", "text_hash", "c.*"))
-    often = scratch(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
+    often = scratch(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    # fewer than HOT hashes; rows that bear one need no partner and go anywhere
+    total = often.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("h").isin([r.h for r in often.where(f"n * {HOT} > {total}").select("h").collect()])
+    spread = each.withColumn("often_h", F.when(hot, F.xxhash64("doc_id", "text_hash", "code")).otherwise(F.col("h")))
+    partner = often.select(F.col("h").alias("often_h"), F.lit(True).alias("twice"))
     # shuffled joins at every size: the plan must not change with the input
-    found = scratch(each.join(often.hint("shuffle_hash"), "h")
-                    .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "n")).alias("found")), "found")
+    found = scratch(spread.join(partner.hint("shuffle_hash"), "often_h", "left").where(F.col("twice") | hot)
+                    .groupBy("doc_id", "text_hash").agg(F.collect_set("code").alias("found")), "found")
     drop(often)
     return found
 
 
-def removals(docs: DataFrame, long: int = LONG) -> DataFrame:
-    """(doc_id, text_hash, drop array<int>): the line numbers to remove, in order."""
-    found = _repeated(docs, long)
+def _later(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, gone array<code>): the chunks of ``found`` whose
+    text has an earlier place."""
     hits = found.select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "found")
     texts = _texts(docs)
     cut = texts.join(hits.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(hits["found_id"])
                      & (texts["text_hash"] == hits["found_hash"]))
     chunks = let(F.struct(F.split("text", "\n", -1).alias("lines"), "found"), lambda v: F.transform(
-        v["found"], lambda c: F.struct(c["at"].alias("at"), c["n"].alias("n"), F.array_join(
-            F.slice(v["lines"], c["at"] + 1, c["n"]), "\n").alias("chunk"))))
+        v["found"], lambda c: F.struct(c.alias("code"), F.array_join(F.slice(
+            v["lines"], F.shiftright(c, 32).cast("int") + 1, c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")), "\n")
+            .alias("chunk"))))
     twice = scratch(cut.select("doc_id", "text_hash", F.explode_outer(chunks).alias("c"))
-                    .select("doc_id", "text_hash", "c.*", F.xxhash64("c.chunk").alias("h")), "chunks")
+                    .select("doc_id", "text_hash", "c.*", F.sha2("c.chunk", 256).alias("digest")), "chunks")
+    place = F.struct("doc_id", "text_hash", "code")
+    # grouped by their bytes; the whole digest then stands for them
+    first = scratch(twice.groupBy("digest", "chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+                    .where("times > 1").select("digest", "first", "times"), "first")
+    out = scratch(join_spread(twice.select("doc_id", "text_hash", "code", "digest"), first, "digest", "times")
+                  .where(~place.eqNullSafe(F.col("first")))
+                  .groupBy("doc_id", "text_hash").agg(F.collect_set("code").alias("gone")), "gone")
+    drop(twice, first)
+    return out
+
+
+def _inside(codes: Column) -> Column:
+    """Codes of the pairs and single lines inside chunks."""
+    return F.flatten(F.transform(codes, lambda c: let(
+        F.struct(F.shiftright(c, 32).alias("at"), c.bitwiseAND(F.lit(0xFFFFFFFF)).alias("n")), lambda v: F.concat(
+            F.transform(F.sequence(v["at"], v["at"] + v["n"] - 2), lambda i: _code(i, 2)),
+            F.transform(F.sequence(v["at"], v["at"] + v["n"] - 1), lambda i: _code(i, 1))))))
+
+
+def removals(docs: DataFrame, long: int = LONG, means: tuple = MEANS) -> DataFrame:
+    """(doc_id, text_hash, drop array<int>): the line numbers to remove, in order."""
+    found = _repeated(docs, lambda v: coarse(v, means))
+    large = _later(docs, found)
+    drop(found)
+    found = _repeated(docs, lambda v: finest(v, long))
+    known = large.select(F.col("doc_id").alias("known_id"), F.col("text_hash").alias("known_hash"),
+                         F.col("gone").alias("known"))
+    left = scratch(found.join(known.hint("shuffle_hash"), found["doc_id"].eqNullSafe(known["known_id"])
+                              & (found["text_hash"] == known["known_hash"]), "left")
+                   .select("doc_id", "text_hash", F.when(F.col("known").isNull(), F.col("found")).otherwise(
+                       F.array_except("found", _inside(F.col("known")))).alias("found"))
+                   .where("size(found) > 0"), "left")
     drop(found)
-    place = F.struct("doc_id", "text_hash", "at")
-    first = (twice.groupBy("h", "chunk").agg(F.min(place).alias("first"),
-                                             F.count(F.lit(1)).alias("times"))
-             .where("times > 1").select("h", "chunk", "first"))
-    gone = (twice.join(first, ["h", "chunk"])
-            .where(~place.eqNullSafe(F.col("first")))
-            .groupBy("doc_id", "text_hash")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.expr("at + n - 1"))))))
-                 .alias("drop")))
-    out = scratch(gone, "removals")
-    drop(twice)
+    small = _later(docs, left)
+    drop(left)
+    out = scratch(large.unionByName(small).groupBy("doc_id", "text_hash")
+                  .agg(F.array_sort(F.array_distinct(F.flatten(F.transform(
+                      F.flatten(F.collect_list("gone")), lambda c: F.sequence(
+                          F.shiftright(c, 32).cast("int"),
+                          F.shiftright(c, 32).cast("int") + c.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - 1)))))
+                       .alias("drop")), "removals")
+    drop(large, small)
     return out
 
 

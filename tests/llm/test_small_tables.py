@@ -239,6 +239,47 @@ def test_line_dedup_equals_brute_force(spark, least):
         assert gone == 0 or n - gone == (len(left.split("\n")) if n > gone else 0)
 
 
+def test_line_dedup_of_long_passages_equals_brute_force(spark):
+    rng = np.random.default_rng(18)
+    base = [f"line {i} of the base" for i in range(90)]
+    data = []
+    for i in range(40):  # stretches of the base at other places, own lines between
+        lines = []
+        for j in range(rng.integers(1, 4)):
+            at = rng.integers(0, 80)
+            lines += [f"own {i} {j}"] * int(rng.integers(0, 3)) + base[at:at + rng.integers(1, 60)]
+        data.append((i, "\n".join(lines), "en", "a", 1))
+    data += [(50, "\n".join(base), "en", "a", 1), (51, "\n".join(base * 3), "en", "a", 1)]
+    want = without_repeats(data)
+    for doc, left, _, _, row in lines_left(R.docs(spark, data)):
+        assert left == want.get((doc, row.text), row.text)
+
+
+def test_line_dedup_boundaries_move_with_the_lines(spark):
+    from pyspark.sql import functions as F
+    base = [f"line {i} of the base" for i in range(400)]
+    texts = {"as it is": base, "shifted": ["new"] * 7 + base, "cut": base[11:]}
+    rows = spark.createDataFrame([(k, v) for k, v in texts.items()], "name string, lines array<string>")
+    for mean in (4, 16):
+        found = {}
+        for r in rows.select("name", line_dedup.coarse(F.col("lines"), (mean,)).alias("c")).collect():
+            spans = sorted((c.code >> 32, c.code & 0xFFFFFFFF) for c in r.c)
+            assert all(a + n <= b for (a, n), (b, _) in zip(spans, spans[1:])) and all(n > 2 for _, n in spans)
+            found[r.name] = {"\n".join(texts[r.name][a:a + n]) for a, n in spans}
+        assert 400 / mean / 4 < len(found["as it is"]) < 400 / mean * 2
+        for other in ("shifted", "cut"):  # all but those at the changed place
+            assert len(found["as it is"] ^ found[other]) <= 2 + (11 // 3 if other == "cut" else 3)
+
+
+def test_line_dedup_sends_a_long_copy_once(spark):
+    lines = [f"line {i} of the base" for i in range(300)]
+    data = R.docs(spark, [(i, "\n".join(lines), "en", "a", 1) for i in (1, 2)])
+    large = line_dedup._later(data, line_dedup._repeated(data, line_dedup.coarse)).collect()
+    assert [r.doc_id for r in large] == [2]
+    covered = {k for c in large[0].gone for k in range(c >> 32, (c >> 32) + (c & 0xFFFFFFFF))}
+    assert len(covered) > 280 and len(large[0].gone) < 120
+
+
 def test_line_dedup_leaves_blank_lines_and_markup(spark):
     code = ["import os\n\n\ndef f(x):\n    return x\n\n\nprint(f(1))\n", "import re\n\n\nclass A:\n    pass\n\n\nA()\n"]
     lists = [f"<div>\n<ul>\n<li>{x}</li>\n</ul>\n</div>\n<p>own {x}</p>" for x in "ab"]
