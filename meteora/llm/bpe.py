@@ -237,9 +237,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def encode(texts: pa.Array | list, path: str, plain: bool = True, remembered: int = REMEMBERED):
+def encode(texts: pa.Array | list, path: str, plain: bool = True, remembered: int = REMEMBERED, counts: bool = False):
     """The ids of every text, in order; null is empty. With ``plain``, the
-    strings of added tokens are ordinary text."""
+    strings of added tokens are ordinary text. With ``counts``, not the ids
+    but for every pre-token how many characters and tokens it has."""
     classes, table, encoder, memory = _worker_state(path, plain)
     texts = texts if isinstance(texts, list) else texts.to_pylist()
     at = 0
@@ -249,15 +250,16 @@ def encode(texts: pa.Array | list, path: str, plain: bool = True, remembered: in
             parts.append(texts[at + len(parts)] or "")
             size += len(parts[-1])
         at += len(parts)
-        yield from _encode_chunk(parts, classes, table, encoder, memory, remembered)
+        yield from _encode_chunk(parts, classes, table, encoder, memory, remembered, counts)
 
 
-def _encode_chunk(parts, classes, table, encoder, memory, remembered):
+def _encode_chunk(parts, classes, table, encoder, memory, remembered, counts=False):
     text = "".join(parts)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(p) for p in parts])
     if not len(points):
-        yield from (np.zeros(0, np.uint32) for _ in parts)
+        none = np.zeros(0, np.uint32)
+        yield from ((none, none) if counts else none for _ in parts)
         return
     heads = np.concatenate([[0], ends[:-1]])
     starts = encoder.starts(text, points, np.unique(heads[heads < len(points)]), classes)
@@ -279,9 +281,14 @@ def _encode_chunk(parts, classes, table, encoder, memory, remembered):
         memory.add([known[i] for i in missing], new)
     slot = np.fromiter(map(get, known), np.int64, len(known))[back]
     lens, at = memory.count[slot], memory.start[slot]
+    first = np.searchsorted(starts, np.concatenate([[0], ends]))
+    if counts:
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            yield stops[a:b] - starts[a:b], lens[a:b]
+        return
     total = np.cumsum(lens)
     ids = memory.pool[np.repeat(at - (total - lens), lens) + np.arange(total[-1])]
     upto = np.concatenate([[0], total])
-    cut = upto[np.searchsorted(starts, np.concatenate([[0], ends]))]
+    cut = upto[first]
     for d in range(len(parts)):
         yield ids[cut[d]:cut[d + 1]]

@@ -392,6 +392,54 @@ def test_token_counts_table(spark):
     assert token_counts.count_edits(R.empty(spark), tokenizer_path()).count() == 0
 
 
+def test_token_trees_are_kept_and_edited_in_batches(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.encode_special_tokens = True
+    n = lambda t: len(tok.encode(t or "", add_special_tokens=False).ids)
+    folder, rng = str(tmp_path / "trees"), random.Random(11)
+    data = R.awkward() + [(9, "another text of an id", "en", "a", 1)]
+    token_counts.store(token_counts.trees(R.docs(spark, data), tokenizer_path()), folder, 8)
+    texts = Counter((d[0], d[1]) for d in data)
+    for batch in range(3):
+        kept = spark.read.parquet(folder).select("doc_id", "text", "text_hash").collect()
+        chosen = {(r.doc_id, r.text): r.text_hash for r in kept if r.doc_id in (0, 4, 9, None) and batch < 2 or r.doc_id == 9}
+        rows, want = [], {}
+        for (doc, text), code in chosen.items():
+            text, after, at, last = text or "", "", 0, 0
+            for _ in range(3):
+                a = rng.randint(last, len(text))
+                b = min(len(text), a + rng.choice([0, 3, 200]))
+                if a < b or a > last or not rows:
+                    new = rng.choice(["", "new words ", "'s é\n"])
+                    rows.append((doc, code, a, b, new))
+                    after, at, last = after + text[at:a] + new, b, b + 1
+                if last > len(text):
+                    break
+            want[doc, text] = after + text[at:]
+        edits = spark.createDataFrame(rows + rows[:1], "doc_id long, text_hash long, start long, stop long, text string")
+        before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "trees").rglob("*.parquet")}
+        got = token_counts.edit_table(edits, folder, tokenizer_path(), 8).collect()
+        texts = Counter({(d, want.get((d, t), t)): 0 for d, t in texts}) + Counter(
+            x for (d, t), k in texts.items() for x in [(d, want.get((d, t), t))] * k)
+        after = spark.read.parquet(folder).collect()
+        assert Counter((r.doc_id, r.text) for r in after) == texts
+        for r in after:
+            assert r.tokens[1] == n(r.text) == sum(r.counts) and sum(r.lens) == len(r.text or "") == r.chars[1]
+        for r in got:
+            assert r.n_edits > 0 and any(n(t) == r.n_tokens_after and n(old) == r.n_tokens
+                                         for (d, old), t in want.items() if d == r.doc_id)
+        if batch == 2:  # one id: one bucket is written anew, and little of the long text is encoded
+            now = {str(f) for f in (tmp_path / "trees").rglob("*.parquet")}
+            assert len({f.split("bucket=")[1].split("/")[0] for f in now - set(before)}) == 1
+        again = token_counts.edit_table(edits.where(F.col("start") < F.col("stop")), folder, tokenizer_path(), 8)
+        assert again.count() == 0  # the texts that it means are gone
+    assert max(r.n_reencoded for r in got) < 1500 < max(len(r.lens) for r in after)
+
+
 def test_quality_counts_equal_brute_force(spark):
     data = R.awkward() + [(80, "a b c d e f\na b c d e f\n## $5 | x", "en", "a", 1)]
     labels = spark.createDataFrame([(0, 1, 0), (9, 1, 0), (9, 1, 0), (None, 1, 0), (1, None, None)],
