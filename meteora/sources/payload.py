@@ -36,7 +36,8 @@ HOURLY_TO_BRONZE = [
 def parse_landing(landing: DataFrame) -> DataFrame:
     """Adds ``p`` (parsed document) and ``reason`` (NULL when valid)."""
     p = F.from_json("body", PAYLOAD, {"columnNameOfCorruptRecord": CORRUPT_COL, "mode": "PERMISSIVE"})
-    df = landing.withColumn("p", p)
+    # explode: a filter on ``reason`` pushed below a plain column parses once for each mention of ``p``
+    df = landing.select("*", F.explode(F.array(p)).alias("p"))
     n = F.size("p.hourly.time")
     short = None
     for f in HOURLY_FIELDS[1:]:

@@ -64,3 +64,10 @@ def test_decimal_numbers_are_kept(spark):
     d["hourly"]["weather_code"] = [3.0, 1, 2]
     b = P.landing_to_bronze(spark.createDataFrame([("a", "C", 1, 1, NOW, json.dumps(d))], SCHEMA), CFG)
     assert sorted((r.humidity_pct, r.weather_code) for r in b.collect()) == [(49.25, 2.0), (50.0, 1.0), (55.5, 3.0)]
+
+
+def test_each_document_is_parsed_once(spark):
+    parsed = P.parse_landing(spark.createDataFrame([("a", "C", 1, 1, NOW, _doc()), ("b", "C", 2, 1, NOW, None)], SCHEMA))
+    for df in (P.quarantine(parsed), P.flatten(P.first_valid(parsed))):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r.city, r.reason) for r in P.quarantine(parsed).collect()] == [("b", "malformed_json")]
