@@ -59,7 +59,7 @@ def events_landing(events: DataFrame, cfg: PipelineConfig | None = None, awkward
     base = docs.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("city"),
         F.concat(F.lit("g"), (F.col("user_id") % 5).cast("string")).alias("country"),
-        "doc_id", shape.alias("shape"), fail1.alias("f1"), fail2.alias("f2"), good.alias("good"), bad.alias("bad"))
+        "doc_id", shape.alias("shape"), fail1.alias("f1"), fail2.alias("f2"), good.alias("good"), F.when(fail1, bad).alias("bad"))
     # One pass: attempt 1 for every document, attempt 2 only after a failure.
     tries = F.when(F.col("f1"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     if awkward:
