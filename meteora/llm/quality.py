@@ -4,9 +4,8 @@ ratio between a trusted target and the raw corpus. Spark expressions only.
 The n-grams are lower-cased words and pairs of neighbouring ones, each kind
 hashed into half of ``BUCKETS`` counters. The raw multinomial counts every document. The trusted one counts
 documents that ``labels`` calls good; labelled documents are split by a hash
-of their id, at most ``TRUSTED`` of one half are counted and at most
-``HELD_OUT`` of the other set the threshold (bounded samples of labelled rows,
-so their ids can be broadcast). With r and g the counts of a bucket, R and G
+of their id: all of one half are counted and all of the other set the
+threshold, which must come from documents that the counts have not seen. With r and g the counts of a bucket, R and G
 their totals, a bucket weighs log((g R / G + ALPHA) / (r + ALPHA)): what the
 corpus has and the trusted side hasn't counts against a document; weights have
 three decimals, which keeps their literal in the plan small. The score
@@ -30,8 +29,9 @@ from pyspark.sql import functions as F
 from meteora.llm.common import SPACE_CLASS, let, words
 
 BUCKETS = 1 << 16
-TRUSTED = 20_000
-HELD_OUT = 10_000
+#: The most labelled documents of each half; None: all.
+TRUSTED = None
+HELD_OUT = None
 ALPHA = 0.1
 KEPT = 0.99
 WINDOW = 5
@@ -94,12 +94,14 @@ def base_counts(docs: DataFrame, text: str = "text", keep: tuple = ("doc_id",))
                         | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def labelled(labels: DataFrame, half: int, most: int) -> DataFrame:
-    """doc_id and good of at most ``most`` labelled documents of one half."""
+def labelled(labels: DataFrame, half: int, most: int | None = None) -> DataFrame:
+    """doc_id of the documents labelled good in one half, of at most ``most``
+    if that is given."""
     h = F.xxhash64("doc_id")
     judged = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
         (F.max("quality") >= 1).alias("good"))
-    return judged.where(F.col("good") & (F.pmod(h, F.lit(2)) == half)).select("doc_id").orderBy(h, "doc_id").limit(most)
+    found = judged.where(F.col("good") & (F.pmod(h, F.lit(2)) == half)).select("doc_id")
+    return found if most is None else found.orderBy(h, "doc_id").limit(most)
 
 
 def weight(r: int, g: int, raw: int, good: int) -> float:
@@ -111,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
     number reach the driver."""
     good = labelled(labels, 0, TRUSTED).select("doc_id", F.lit(True).alias("_good"))
     grams = (docs.select("doc_id", word_hashes(F.col("text")).alias("_h"))
-             .join(F.broadcast(good), "doc_id", "left")
+             .join(good, "doc_id", "left")
              .select(F.coalesce("_good", F.lit(False)).alias("good"), ngram_buckets(F.col("_h")).alias("_b"))
              .select("good", F.explode_outer("_b").alias("bucket")).where("bucket IS NOT NULL"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"),
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
     if not good:
         return [0.0] * BUCKETS, -math.inf
     weights = [weight(*found.get(b, (0, 0)), raw, good) for b in range(BUCKETS)]
-    held = docs.select("doc_id", "text").join(F.broadcast(labelled(labels, 1, HELD_OUT)), "doc_id", "left_semi")
+    held = docs.select("doc_id", "text").join(labelled(labels, 1, HELD_OUT), "doc_id", "left_semi")
     enough = F.size(words(F.col("text"))) >= LEAST_WORDS
     low = held.where(enough).select(score(F.col("text"), weights).alias("s")).agg(
         F.percentile("s", F.lit(1 - KEPT)).alias("low")).first()["low"]

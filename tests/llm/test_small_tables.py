@@ -643,3 +643,10 @@ def test_many_languages_are_all_kept(spark):
     data = [(i, f"wort{i % 90:02d} " * 8 + chr(97 + i % 26) * 30, f"l{i % 90:02d}", "s", 1) for i in range(270)]
     names, logs = language_id.fit(R.docs(spark, data), 2)
     assert len(names) == 90 and logs.shape[0] == 90
+
+
+def test_labels_are_all_used(spark):
+    labels = spark.range(70_000).selectExpr("id AS doc_id", "1 AS quality")
+    halves = [quality.labelled(labels, half, most) for half, most in ((0, quality.TRUSTED), (1, quality.HELD_OUT))]
+    assert sum(x.count() for x in halves) == 70_000
+    assert halves[0].join(halves[1], "doc_id").count() == 0
