@@ -28,6 +28,8 @@ under those links.
    of different components are paired, so a group of many near copies isn't
    expanded into all of its pairs. Pairs in common combinations need their
    rare tokens to be missing on the other side, which rules out most of them.
+   Such pairs share hundreds of signatures and are made in the first of them,
+   not in each.
 5. Candidates whose parity sketches (a bit for each token, about) differ in
    more bits than a link allows are dropped; the others are verified on
    their whole sets.
@@ -43,7 +45,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meteora.llm.common import components, drop, scratch
@@ -56,6 +58,8 @@ RANGE_TOKENS = 1 << 20
 HELD = 4_000_000
 #: Longs of the sketch that combinations carry.
 SKETCH = 8
+#: Signatures of a class that are looked back on for one its partner shares.
+BEFORE = 16
 #: Sets from this size on index longer combinations.
 LARGE = 64
 
@@ -400,6 +404,26 @@ def verify(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     return scratch(two.select("a", "b", "x", "y").mapInArrow(_verify_pass(num, den), "a long, b long"), "links")
 
 
+def _cross(placed: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of classes with different labels that share a signature
+    and may link. The members of a signature's largest label aren't paired
+    with each other. A pair is left out where the BEFORE signatures before
+    this one, by value, have one that both bear: it is made there or before,
+    at the latest in the first that both bear."""
+    about = ["rare", "key", "size", *[f"s{i}" for i in range(SKETCH)], "label", "before"]
+    largest = (placed.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("sig").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
+               .where("parts > 1").select("sig", F.col("top.label").alias("top")))
+    back = Window.partitionBy("key").orderBy("sig").rowsBetween(-BEFORE, -1)
+    open_ = placed.join(largest, "sig").withColumn("before", F.collect_list("sig").over(back))
+    few = open_.where("label <> top").select("sig", F.struct(*about).alias("x"))
+    all_ = open_.select("sig", F.struct(*about, "top").alias("y"))
+    return (few.join(all_, "sig")
+            .where("x.label <> y.label AND (y.label = y.top OR x.key < y.key) AND " + _may_link("x", "y", num, den)
+                   + " AND NOT arrays_overlap(x.before, y.before)")
+            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")))
+
+
 def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare: int = RARE,
                most: int = FREQUENT) -> DataFrame:
     """doc_id, n_shingles, component_id, text_hash (xxhash64 of the text)."""
@@ -450,15 +474,7 @@ def ngram_join(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, rare:
                      .join(labels.withColumnRenamed("node", "key"), "key", "left")
                      .withColumn("label", F.coalesce("label", "key")), "placed")
     drop(heavy)
-    largest = (placed.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("sig").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
-               .where("parts > 1").select("sig", F.col("top.label").alias("top")))
-    open_ = placed.join(largest, "sig")
-    few = open_.where("label <> top").select("sig", F.struct(*about, "label").alias("x"))
-    all_ = open_.select("sig", F.struct(*about, "label", "top").alias("y"))
-    cross = (few.join(all_, "sig")
-             .where("x.label <> y.label AND (y.label = y.top OR x.key < y.key) AND " + _may_link("x", "y", num, den))
-             .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
+    cross = _cross(placed, num, den).distinct()
     more = scratch(near(classes, cross.join(pairs, ["a", "b"], "left_anti"), num, den), "cross")
     drop(pairs, placed, single)
     links2 = verify(tokens, more, num, den)

@@ -650,3 +650,13 @@ def test_labels_are_all_used(spark):
     halves = [quality.labelled(labels, half, most) for half, most in ((0, quality.TRUSTED), (1, quality.HELD_OUT))]
     assert sum(x.count() for x in halves) == 70_000
     assert halves[0].join(halves[1], "doc_id").count() == 0
+
+
+def test_pairs_of_a_family_are_made_once(spark):
+    words = [f"0L AS s{i}" for i in range(ngram_join.SKETCH)]
+    member = spark.range(6).crossJoin(spark.range(200).withColumnRenamed("id", "sig"))
+    # 6 classes of 100 tokens in 200 signatures; the last shares its first one alone
+    placed = (member.where("id < 5 OR sig = 0").selectExpr(
+        "sig", "0L AS rare", "id AS key", "100L AS size", *words, "IF(id < 2, 0L, id) AS label"))
+    got = [(r.a, r.b) for r in ngram_join._cross(placed, 80, 100).collect()]
+    assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6) if b > 1]
