@@ -17,8 +17,8 @@ and after that all bins. So no task ever holds more than a shard, and the
 count of shards, not their size, grows with the corpus. Pieces with one id,
 number and checksum are the exception: they share a shard.
 
-A shard whose best packing reaches the least number of bins that its tokens
-allow stops searching. Random choices are seeded by (shard, island, round): reruns agree.
+A shard whose best packing reaches a lower bound of its number of bins
+(``least_bins``) stops searching: no packing has fewer. Random choices are seeded by (shard, island, round): reruns agree.
 
 Cases: null and empty texts have the closing id 0 alone, length 1; repeated
 rows are pieces of their own; equal lengths are ordered by id, piece and
@@ -40,9 +40,10 @@ from meteora.llm.common import drop, scratch
 CAPACITY = 2048
 SHARD = 2048
 ISLANDS = 2
-POPULATION = 3
+POPULATION = 10
 ROUNDS = 2
-GENERATIONS = 3
+#: Children of an island in a round, unless it proves a packing the least.
+GENERATIONS = 60
 #: Bins filled less than this go on to the next level.
 GOOD_FILL = 0.985
 #: The fills that close a bin: the next one holds after a level that placed
@@ -131,6 +132,23 @@ def fitness(bins, lengths, capacity) -> tuple:
     return -len(bins), sum((f / capacity) ** 2 for f in _fill(bins, lengths))
 
 
+def least_bins(lengths, capacity) -> int:
+    """A lower bound of the bins: that of all tokens, and for every k that of
+    the pieces from k on, where those over half a bin have one each and what
+    these leave takes no more than its space (Martello and Toth's L2)."""
+    if not len(lengths):
+        return 0
+    x = np.sort(np.asarray(lengths, np.int64))
+    total = np.r_[0, np.cumsum(x)]
+    half = int(np.searchsorted(x, capacity // 2, "right"))
+    k = np.unique(np.r_[0, x[:half]])
+    low = np.searchsorted(x, k)
+    high = np.maximum(np.searchsorted(x, capacity - k, "right"), half)
+    space = (high - half) * capacity - (total[high] - total[half])
+    more = np.maximum(0, -((space - (total[half] - total[low])) // capacity))
+    return int(np.max(len(x) - half + more))
+
+
 def crossover(a, b, lengths, capacity, rng):
     """Well-filled bins of ``a`` injected into ``b``."""
     fill = _fill(a, lengths)
@@ -174,7 +192,7 @@ def _evolve_pass(step: int, capacity: int, population: int, generations: int):
     def one(shard, island, lengths, packings, guest):
         rng = np.random.default_rng([shard, island, step])
         n = len(lengths)
-        least = -(-sum(lengths) // capacity)
+        least = least_bins(lengths, capacity)
         if packings:
             group = [_from_bytes(x) for x in packings]
             if guest is not None:
@@ -186,17 +204,17 @@ def _evolve_pass(step: int, capacity: int, population: int, generations: int):
                     break
                 noise = np.array(lengths) * (1 + (0 if k == 0 and island == 0 else 0.15) * rng.random(n))
                 group.append(_pack(lengths, np.argsort(-noise, kind="stable").tolist(), capacity))
-        rank = lambda g: fitness(g, lengths, capacity)
-        group.sort(key=rank, reverse=True)
+        ranked = sorted(((fitness(g, lengths, capacity), g) for g in group), key=lambda x: x[0], reverse=True)
         for _ in range(generations):
-            if len(group[0]) == least or len(group) < 2:
+            if len(ranked[0][1]) == least or len(ranked) < 2:
                 break
-            a, b = rng.choice(len(group), 2, replace=False)
-            child = crossover(group[min(a, b)], group[max(a, b)], lengths, capacity, rng)
-            group.append(mutate(child, lengths, capacity, rng))
-            group = sorted(group, key=rank, reverse=True)[:population]
-        group = group[:population]
-        return [_to_bytes(g, n) for g in group], rank(group[0])
+            a, b = rng.choice(len(ranked), 2, replace=False)
+            child = crossover(ranked[min(a, b)][1], ranked[max(a, b)][1], lengths, capacity, rng)
+            child = mutate(child, lengths, capacity, rng)
+            ranked.append((fitness(child, lengths, capacity), child))
+            ranked = sorted(ranked, key=lambda x: x[0], reverse=True)[:population]
+        ranked = ranked[:population]
+        return [_to_bytes(g, n) for _, g in ranked], ranked[0][0]
 
     def run(batches):
         for batch in batches:

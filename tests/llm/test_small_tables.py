@@ -660,3 +660,18 @@ def test_pairs_of_a_family_are_made_once(spark):
         "sig", "0L AS rare", "id AS key", "100L AS size", *words, "IF(id < 2, 0L, id) AS label"))
     got = [(r.a, r.b) for r in ngram_join._cross(placed, 80, 100).collect()]
     assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6) if b > 1]
+
+
+def test_packing_searches_on():
+    import pyarrow as pa
+    rng, lengths = np.random.default_rng(1), []
+    for _ in range(20):  # three pieces fill a bin
+        a, b = int(rng.integers(520, 760)), int(rng.integers(520, 760))
+        lengths += [a, b, 2048 - a - b]
+    rows = pa.RecordBatch.from_pylist([{"shard": 0, "island": i, "lengths": sorted(lengths, reverse=True), "packings": None,
+                                        "guest": None} for i in range(2)])
+    found = packing._evolve_pass(0, 2048, packing.POPULATION, packing.GENERATIONS)([rows])
+    assert min(r["bins"] for x in found for r in x.to_pylist()) <= 21  # 22 after three children
+    assert packing.least_bins(lengths, 2048) == 20
+    assert packing.least_bins([1100 + (i * 7919) % 800 for i in range(600)], 2048) == 600
+    assert [packing.least_bins(x, 10) for x in ([], [10], [6, 6, 5, 5], [7, 7, 7, 3, 3, 4])] == [0, 1, 3, 4]
