@@ -80,56 +80,51 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(_tokenize_pass(path, capacity), PIECES)
 
 
-class Bins:
-    """Bins under best fit: the open space of each, and which bins have a
-    given space, so the tightest fit is found by one bit scan."""
-
-    def __init__(self, capacity: int):
-        self.capacity = capacity
-        self.items: list[list[int]] = []
-        self.space: list[int] = []
-        self.by_space: dict[int, list[int]] = {}
-        self.mask = 0
-
-    def put(self, items: list[int], space: int) -> None:
-        self._open(len(self.items), space)
-        self.items.append(items)
-        self.space.append(space)
-
-    def _open(self, b: int, space: int) -> None:
-        self.by_space.setdefault(space, []).append(b)
-        self.mask |= 1 << space
-
-    def best_fit(self, item: int, length: int) -> None:
-        fit = self.mask >> length
-        if not fit:
-            return self.put([item], self.capacity - length)
-        space = length + (fit & -fit).bit_length() - 1
-        same = self.by_space[space]
-        b = same.pop()
-        if not same:
-            self.mask &= ~(1 << space)
-        self.items[b].append(item)
-        self.space[b] = space - length
-        self._open(b, space - length)
-
-
-def _pack(lengths, order, capacity, start=()) -> list[list[int]]:
-    bins = Bins(capacity)
-    for items in start:
-        bins.put(items, capacity - sum(lengths[i] for i in items))
-    for i in order:
-        bins.best_fit(i, lengths[i])
-    return bins.items
-
-
-def _fill(bins, lengths):
-    return [sum(lengths[i] for i in b) for b in bins]
-
-
-def fitness(bins, lengths, capacity) -> tuple:
-    """Fewer bins first, then fuller full ones."""
-    return -len(bins), sum((f / capacity) ** 2 for f in _fill(bins, lengths))
+class Packing:
+    """A packing: the bin of every piece and the fill of every bin."""
+
+    def __init__(self, at: np.ndarray, fill: np.ndarray, capacity: int):
+        self.at, self.fill = at, fill
+        #: Fewer bins first, then fuller full ones.
+        self.fitness = (-len(fill), float(np.square(fill / capacity).sum()))
+
+
+def _best_fit(at: np.ndarray, fill: np.ndarray, items: np.ndarray, lengths, capacity) -> Packing:
+    """``items`` put into bins of ``fill`` by best fit, in their order. Bins
+    are kept by their open space, and bits mark the spaces that some bin has,
+    so the tightest fit is found by one bit scan."""
+    space = (capacity - fill).tolist()
+    by_space: list[list[int]] = [[] for _ in range(capacity + 1)]
+    for b, s in enumerate(space):
+        by_space[s].append(b)
+    mask = sum(1 << s for s in set(space))
+    where = []
+    for n in lengths[items].tolist():
+        fit = mask >> n
+        if fit:
+            s = n + (fit & -fit).bit_length() - 1
+            same = by_space[s]
+            b = same.pop()
+            if not same:
+                mask ^= 1 << s
+            s -= n
+            space[b] = s
+        else:
+            b, s = len(space), capacity - n
+            space.append(s)
+        by_space[s].append(b)
+        mask |= 1 << s
+        where.append(b)
+    at[items] = where
+    return Packing(at, capacity - np.array(space, np.int64), capacity)
+
+
+def _pack(lengths: np.ndarray, order: np.ndarray, capacity: int) -> Packing:
+    return _best_fit(np.empty(len(lengths), np.int32), np.zeros(0, np.int64), order, lengths, capacity)
+
+
+def _fill(at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.bincount(at, lengths).astype(np.int64)
 
 
 def least_bins(lengths, capacity) -> int:
@@ -149,72 +144,60 @@ def least_bins(lengths, capacity) -> int:
     return int(np.max(len(x) - half + more))
 
 
-def crossover(a, b, lengths, capacity, rng):
-    """Well-filled bins of ``a`` injected into ``b``."""
-    fill = _fill(a, lengths)
-    order = sorted(range(len(a)), key=lambda i: -fill[i])
-    share = int(len(a) * rng.uniform(0.2, 0.7))
-    given = [list(a[i]) for i in order[:share]]
-    inside = {i for g in given for i in g}
-    kept, displaced = [], []
-    for g in b:
-        if inside.isdisjoint(g):
-            kept.append(list(g))
-        else:
-            displaced.extend(i for i in g if i not in inside)
-    displaced.sort(key=lambda i: -lengths[i])
-    return _pack(lengths, displaced, capacity, given + kept)
-
-
-def mutate(bins, lengths, capacity, rng):
-    fill = _fill(bins, lengths)
-    order = sorted(range(len(bins)), key=lambda i: fill[i])
-    n = max(2, len(bins) // 20)
-    out = set(order[:n]) | {int(i) for i in rng.integers(0, len(bins), n)}
-    displaced = sorted((i for k in out for i in bins[k]), key=lambda i: -lengths[i])
-    return _pack(lengths, displaced, capacity, [list(b) for k, b in enumerate(bins) if k not in out])
-
-
-def _to_bytes(bins, n) -> bytes:
-    at = np.empty(n, np.int32)
-    for k, b in enumerate(bins):
-        at[b] = k
-    return at.tobytes()
-
-
-def _from_bytes(raw) -> list[list[int]]:
-    at = np.frombuffer(raw, np.int32)
-    order = np.argsort(at, kind="stable")
-    return [x.tolist() for x in np.split(order, np.flatnonzero(np.diff(at[order])) + 1)] if len(at) else []
+def crossover(a: Packing, b: Packing, lengths, capacity, rng) -> Packing:
+    """Well-filled bins of ``a`` injected into ``b``. Pieces are ordered by
+    length, so displaced ones are too."""
+    share = int(len(a.fill) * rng.uniform(0.2, 0.7))
+    given = np.argsort(-a.fill, kind="stable")[:share]
+    place = np.full(len(a.fill), -1, np.int32)
+    place[given] = np.arange(share, dtype=np.int32)
+    at = place[a.at]
+    inside = at >= 0
+    whole = np.ones(len(b.fill), bool)
+    whole[b.at[inside]] = False
+    kept = np.flatnonzero(whole)
+    place = np.full(len(b.fill), -1, np.int32)
+    place[kept] = np.arange(share, share + len(kept), dtype=np.int32)
+    at = np.where(inside, at, place[b.at])
+    return _best_fit(at, np.r_[a.fill[given], b.fill[kept]], np.flatnonzero(at < 0), lengths, capacity)
+
+
+def mutate(x: Packing, lengths, capacity, rng) -> Packing:
+    n = max(2, len(x.fill) // 20)
+    stays = np.ones(len(x.fill), bool)
+    stays[np.argsort(x.fill, kind="stable")[:n]] = False
+    stays[rng.integers(0, len(x.fill), n)] = False
+    place = np.where(stays, np.cumsum(stays) - 1, -1).astype(np.int32)
+    at = place[x.at]
+    return _best_fit(at, x.fill[stays], np.flatnonzero(at < 0), lengths, capacity)
 
 
 def _evolve_pass(step: int, capacity: int, population: int, generations: int):
     def one(shard, island, lengths, packings, guest):
         rng = np.random.default_rng([shard, island, step])
+        lengths = np.asarray(lengths, np.int64)
         n = len(lengths)
         least = least_bins(lengths, capacity)
         if packings:
-            group = [_from_bytes(x) for x in packings]
-            if guest is not None:
-                group.append(_from_bytes(guest))
+            group = [np.frombuffer(x, np.int32) for x in [*packings, *([] if guest is None else [guest])]]
+            group = [Packing(at, _fill(at, lengths), capacity) for at in group]
         else:
             group = []
             for k in range(population):
-                if group and len(group[0]) == least:
+                if group and len(group[0].fill) == least:
                     break
-                noise = np.array(lengths) * (1 + (0 if k == 0 and island == 0 else 0.15) * rng.random(n))
-                group.append(_pack(lengths, np.argsort(-noise, kind="stable").tolist(), capacity))
-        ranked = sorted(((fitness(g, lengths, capacity), g) for g in group), key=lambda x: x[0], reverse=True)
+                noise = lengths * (1 + (0 if k == 0 and island == 0 else 0.15) * rng.random(n))
+                group.append(_pack(lengths, np.argsort(-noise, kind="stable"), capacity))
+        ranked = sorted(group, key=lambda x: x.fitness, reverse=True)
         for _ in range(generations):
-            if len(ranked[0][1]) == least or len(ranked) < 2:
+            if len(ranked[0].fill) == least or len(ranked) < 2:
                 break
             a, b = rng.choice(len(ranked), 2, replace=False)
-            child = crossover(ranked[min(a, b)][1], ranked[max(a, b)][1], lengths, capacity, rng)
-            child = mutate(child, lengths, capacity, rng)
-            ranked.append((fitness(child, lengths, capacity), child))
-            ranked = sorted(ranked, key=lambda x: x[0], reverse=True)[:population]
+            child = crossover(ranked[min(a, b)], ranked[max(a, b)], lengths, capacity, rng)
+            ranked.append(mutate(child, lengths, capacity, rng))
+            ranked = sorted(ranked, key=lambda x: x.fitness, reverse=True)[:population]
         ranked = ranked[:population]
-        return [_to_bytes(g, n) for _, g in ranked], ranked[0][0]
+        return [x.at.tobytes() for x in ranked], ranked[0].fitness
 
     def run(batches):
         for batch in batches:
