@@ -8,7 +8,7 @@ of their id: all of one half are counted and all of the other set the
 threshold, which must come from documents that the counts have not seen. With r and g the counts of a bucket, R and G
 their totals, a bucket weighs log((g R / G + ALPHA) / (r + ALPHA)): what the
 corpus has and the trusted side hasn't counts against a document; weights have
-three decimals, which keeps their literal in the plan small. The score
+three decimals. The score
 is the mean over a document's n-grams. A document is kept if it passes the
 base rules and its score reaches that which ``KEPT`` of the held-out good
 documents reach. Without trusted or held-out documents every score passes.
@@ -26,12 +26,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meteora.llm.common import SPACE_CLASS, let, words
+from meteora.llm.common import SPACE_CLASS, drop, let, scratch, words
 
 BUCKETS = 1 << 16
 #: The most labelled documents of each half; None: all.
 TRUSTED = None
 HELD_OUT = None
+#: Numbers of 64 bits by which labelled ids are looked for at first.
+HASH_WORDS = 1 << 18
 ALPHA = 0.1
 KEPT = 0.99
 WINDOW = 5
@@ -104,47 +106,73 @@ def labelled(labels: DataFrame, half: int, most: int | None = None) -> DataFrame
     return found if most is None else found.orderBy(h, "doc_id").limit(most)
 
 
-def weight(r: int, g: int, raw: int, good: int) -> float:
-    return round(math.log((g * raw / good + ALPHA) / (r + ALPHA)), 3)
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
-    """Weight of each bucket and the threshold; BUCKETS counters and one
-    number reach the driver."""
-    good = labelled(labels, 0, TRUSTED).select("doc_id", F.lit(True).alias("_good"))
-    grams = (docs.select("doc_id", word_hashes(F.col("text")).alias("_h"))
-             .join(good, "doc_id", "left")
-             .select(F.coalesce("_good", F.lit(False)).alias("good"), ngram_buckets(F.col("_h")).alias("_b"))
-             .select("good", F.explode_outer("_b").alias("bucket")).where("bucket IS NOT NULL"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"),
-                                         F.count(F.when(F.col("good"), 1)).alias("good"))
-    found = {r["bucket"]: (r["raw"], r["good"]) for r in counts.collect()}
-    raw, good = (sum(x[i] for x in found.values()) for i in (0, 1))
-    if not good:
-        return [0.0] * BUCKETS, -math.inf
-    weights = [weight(*found.get(b, (0, 0)), raw, good) for b in range(BUCKETS)]
-    held = docs.select("doc_id", "text").join(labelled(labels, 1, HELD_OUT), "doc_id", "left_semi")
-    enough = F.size(words(F.col("text"))) >= LEAST_WORDS
-    low = held.where(enough).select(score(F.col("text"), weights).alias("s")).agg(
-        F.percentile("s", F.lit(1 - KEPT)).alias("low")).first()["low"]
+def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text and half of the rows of ``docs`` labelled good, a scratch table.
+    Rows whose id's hash has no bit among those of these labels go by a
+    broadcast of at most ``HASH_WORDS`` numbers of 64 bits, so few texts but
+    the labelled ones are shuffled; ids themselves are compared then, by a
+    shuffled join at every size."""
+    ids = scratch(labelled(labels, 0, TRUSTED).withColumn("half", F.lit(0)).union(
+        labelled(labels, 1, HELD_OUT).withColumn("half", F.lit(1))), "labelled")
+    h = F.xxhash64("doc_id")
+    word = F.pmod(h, F.lit(HASH_WORDS)).alias("_word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+    bits = ids.select(word, bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    near = (docs.select("doc_id", "text", word, bit.alias("_bit")).join(F.broadcast(bits), "_word")
+            .where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select("doc_id", "text"))
+    out = scratch(near.join(ids.hint("shuffle_hash"), "doc_id").select("text", "half"), "trusted", "zstd")
+    drop(ids)
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """A scratch table of one row, the weights of all buckets, and the
+    threshold; three numbers reach the driver."""
+    good = trusted_texts(docs, labels)
+    grams = (docs.select("text", F.lit(False).alias("good"))
+             .union(good.where("half = 0").select("text", F.lit(True)))
+             .select("good", F.explode(ngram_buckets(word_hashes(F.col("text")))).alias("bucket")))
+    counts = scratch(grams.groupBy("bucket").agg(F.count_if(~F.col("good")).alias("raw"),
+                                                 F.count_if("good").alias("good")), "counts")
+    total = counts.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).first()
+    none = F.lit(0).cast("long")
+    r, g = (F.coalesce(c, none) for c in ("raw", "good"))
+    weight = F.round(F.log((g * float(total["raw"]) / float(total["good"]) + ALPHA) / (r + ALPHA)), 3) \
+        if total["good"] else F.lit(0.0)
+    weights = scratch(docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
+                      .select("bucket", weight.alias("w")).groupBy()
+                      .agg(F.array_sort(F.collect_list(F.struct("bucket", "w")))["w"].alias("weights")), "weights")
+    low = None
+    if total["good"]:
+        enough = F.size(words(F.col("text"))) >= LEAST_WORDS
+        held = good.where("half = 1").where(enough).select("text", weights.scalar().alias("weights"))
+        low = held.select(score(F.col("text"), F.col("weights")).alias("s")).agg(
+            F.percentile("s", F.lit(1 - KEPT)).alias("low")).first()["low"]
+    drop(counts, good)
     return weights, -math.inf if low is None else low
 
 
-def score(text: Column, weights: list[float]) -> Column:
-    """Mean weight of a text's n-grams, 0 without any."""
-    table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
+def score(text: Column, weights: Column) -> Column:
+    """Mean weight of a text's n-grams, 0 without any. ``weights`` comes from
+    a subquery in a select before (``fit(...)[0].scalar()``): plans name it,
+    and don't hold the weights."""
     hashes = word_hashes(text)
-    total = F.aggregate(hashes, F.expr("struct(0D AS s, 0 AS n, 0L AS last)"), lambda acc, h: F.struct(
-        (acc["s"] + F.get(table, _bucket(h, 0)) + F.when(acc["n"] > 0, F.get(table, _bucket(F.xxhash64(h, acc["last"]), 1)))
-         .otherwise(0.0)).alias("s"),
-        (acc["n"] + 1).alias("n"), h.alias("last")))
-    return F.transform(F.array(total), lambda t: F.when(t["n"] > 0, t["s"] / (2 * t["n"] - 1)).otherwise(0.0))[0]
+
+    def mean(table):
+        total = F.aggregate(hashes, F.expr("struct(0D AS s, 0 AS n, 0L AS last)"), lambda acc, h: F.struct(
+            (acc["s"] + F.get(table, _bucket(h, 0)) + F.when(acc["n"] > 0, F.get(table, _bucket(F.xxhash64(h, acc["last"]), 1)))
+             .otherwise(0.0)).alias("s"),
+            (acc["n"] + 1).alias("n"), h.alias("last")))
+        return F.transform(F.array(total), lambda t: F.when(t["n"] > 0, t["s"] / (2 * t["n"] - 1)).otherwise(0.0))[0]
+
+    return let(weights, mean)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, llr."""
     weights, low = fit(docs, labels)
-    scored = docs.select("doc_id", "text", score(F.col("text"), weights).alias("llr"))
+    scored = docs.select("doc_id", "text", weights.scalar().alias("weights")).select(
+        "doc_id", "text", score(F.col("text"), F.col("weights")).alias("llr"))
     out = base_counts(scored, keep=("doc_id", "llr"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & (F.col("llr") >= low)).alias("kept"), "llr")
@@ -153,7 +181,8 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     weights, low = fit(docs, labels)
-    scored = docs.select(F.struct(*docs.columns).alias("_row"), score(F.col("text"), weights).alias("_llr"),
-                         F.col("text").alias("_text"))
+    scored = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_text"),
+                         weights.scalar().alias("_weights")).select(
+        "_row", "_text", score(F.col("_text"), F.col("_weights")).alias("_llr"))
     judged = base_counts(scored, text="_text", keep=("_row", "_llr"))
     return judged.where(~F.col("base_failed") & (F.col("_llr") >= low)).select("_row.*")

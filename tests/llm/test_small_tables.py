@@ -710,3 +710,26 @@ def test_packing_search_is_in_arrays():
     finally:
         sys.setprofile(None)
     assert calls < 400 * (packing.POPULATION + packing.GENERATIONS)
+
+
+def test_quality_shuffles_labelled_texts_alone(spark, monkeypatch):
+    """The rows that are counted aren't joined, only rows that share a hash
+    with a label are shuffled, and no plan holds the weights."""
+    plans, write = {}, quality.scratch
+
+    def watched(df, what, *codec):
+        plans[what] = df._jdf.queryExecution().toString()
+        return write(df, what, *codec)
+
+    monkeypatch.setattr(quality, "scratch", watched)
+    data = [(i, R.prose(i, 40), "en", "a", 1) for i in range(200)] + [(5, "again", "en", "a", 1), (None, "x", "en", "a", 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)] + [(5, 0), (5, 1), (999, 1), (None, 1)],
+                                   "doc_id long, quality int")
+    got = quality.keep_good(R.docs(spark, data), labels)
+    assert "Join" not in plans["counts"]
+    assert "BroadcastHashJoin [_word" in plans["trusted"] and "ShuffledHashJoin [doc_id" in plans["trusted"]
+    assert all(len(p) < 50_000 for p in [*plans.values(), got._jdf.queryExecution().toString()])
+    want = Counter(t for i, t, *_ in data if i is not None and i < 100 and i % 2)
+    assert Counter(r.text for r in quality.trusted_texts(R.docs(spark, data), labels).collect()) == want
+    monkeypatch.setattr(quality, "HASH_WORDS", 1)  # bits that ids share
+    assert Counter(r.text for r in quality.trusted_texts(R.docs(spark, data), labels).collect()) == want
