@@ -81,15 +81,16 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
 
 
 class Packing:
-    """A packing: the bin of every piece and the fill of every bin."""
+    """A packing: the bin of every piece, the fill of every bin, and numbers
+    in whose order the pieces of a bin came into it."""
 
-    def __init__(self, at: np.ndarray, fill: np.ndarray, capacity: int):
-        self.at, self.fill = at, fill
+    def __init__(self, at: np.ndarray, fill: np.ndarray, came: np.ndarray, capacity: int):
+        self.at, self.fill, self.came = at, fill, came
         #: Fewer bins first, then fuller full ones.
-        self.fitness = (-len(fill), float(np.square(fill / capacity).sum()))
+        self.fitness = (-len(fill), sum([(f / capacity) ** 2 for f in fill.tolist()]))
 
 
-def _best_fit(at: np.ndarray, fill: np.ndarray, items: np.ndarray, lengths, capacity) -> Packing:
+def _best_fit(at: np.ndarray, fill: np.ndarray, came: np.ndarray, items: np.ndarray, lengths, capacity) -> Packing:
     """``items`` put into bins of ``fill`` by best fit, in their order. Bins
     are kept by their open space, and bits mark the spaces that some bin has,
     so the tightest fit is found by one bit scan."""
@@ -116,11 +117,18 @@ def _best_fit(at: np.ndarray, fill: np.ndarray, items: np.ndarray, lengths, capa
         mask |= 1 << s
         where.append(b)
     at[items] = where
-    return Packing(at, capacity - np.array(space, np.int64), capacity)
+    came[items] = came.max(initial=0) + 1 + np.arange(len(items))
+    return Packing(at, capacity - np.array(space, np.int64), came, capacity)
 
 
 def _pack(lengths: np.ndarray, order: np.ndarray, capacity: int) -> Packing:
-    return _best_fit(np.empty(len(lengths), np.int32), np.zeros(0, np.int64), order, lengths, capacity)
+    n = len(lengths)
+    return _best_fit(np.empty(n, np.int32), np.zeros(0, np.int64), np.zeros(n, np.int64), order, lengths, capacity)
+
+
+def _longest_first(items: np.ndarray, turn: np.ndarray, x: Packing, lengths: np.ndarray) -> np.ndarray:
+    """Pieces by length, then by their bin's turn, then as they came."""
+    return items[np.lexsort((x.came[items], turn[x.at[items]], -lengths[items]))]
 
 
 def _fill(at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -145,8 +153,7 @@ def least_bins(lengths, capacity) -> int:
 
 
 def crossover(a: Packing, b: Packing, lengths, capacity, rng) -> Packing:
-    """Well-filled bins of ``a`` injected into ``b``. Pieces are ordered by
-    length, so displaced ones are too."""
+    """Well-filled bins of ``a`` injected into ``b``."""
     share = int(len(a.fill) * rng.uniform(0.2, 0.7))
     given = np.argsort(-a.fill, kind="stable")[:share]
     place = np.full(len(a.fill), -1, np.int32)
@@ -159,17 +166,20 @@ def crossover(a: Packing, b: Packing, lengths, capacity, rng) -> Packing:
     place = np.full(len(b.fill), -1, np.int32)
     place[kept] = np.arange(share, share + len(kept), dtype=np.int32)
     at = np.where(inside, at, place[b.at])
-    return _best_fit(at, np.r_[a.fill[given], b.fill[kept]], np.flatnonzero(at < 0), lengths, capacity)
+    displaced = _longest_first(np.flatnonzero(at < 0), np.arange(len(b.fill)), b, lengths)
+    return _best_fit(at, np.r_[a.fill[given], b.fill[kept]], np.where(inside, a.came, b.came), displaced, lengths, capacity)
 
 
 def mutate(x: Packing, lengths, capacity, rng) -> Packing:
     n = max(2, len(x.fill) // 20)
-    stays = np.ones(len(x.fill), bool)
-    stays[np.argsort(x.fill, kind="stable")[:n]] = False
-    stays[rng.integers(0, len(x.fill), n)] = False
+    out = list(set(np.argsort(x.fill, kind="stable")[:n].tolist()) | set(rng.integers(0, len(x.fill), n).tolist()))
+    stays, turn = np.ones(len(x.fill), bool), np.zeros(len(x.fill), np.int64)
+    stays[out] = False
+    turn[out] = np.arange(len(out))
     place = np.where(stays, np.cumsum(stays) - 1, -1).astype(np.int32)
     at = place[x.at]
-    return _best_fit(at, x.fill[stays], np.flatnonzero(at < 0), lengths, capacity)
+    displaced = _longest_first(np.flatnonzero(at < 0), turn, x, lengths)
+    return _best_fit(at, x.fill[stays], x.came.copy(), displaced, lengths, capacity)
 
 
 def _evolve_pass(step: int, capacity: int, population: int, generations: int):
@@ -180,7 +190,7 @@ def _evolve_pass(step: int, capacity: int, population: int, generations: int):
         least = least_bins(lengths, capacity)
         if packings:
             group = [np.frombuffer(x, np.int32) for x in [*packings, *([] if guest is None else [guest])]]
-            group = [Packing(at, _fill(at, lengths), capacity) for at in group]
+            group = [Packing(at, _fill(at, lengths), np.arange(n), capacity) for at in group]
         else:
             group = []
             for k in range(population):
